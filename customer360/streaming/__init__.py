@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reports are batch jobs run once per day (no watermark, event-time
+window, session state or late-data handling exists in them), so there is no
+streaming operator to provide. A daily run reads the current tables and
+publishes one dated dataset (see ``customer360.sources.sinks``).
+"""
