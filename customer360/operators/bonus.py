@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from customer360.config import ReportParams
-from customer360.functions.expressions import to_day
+from customer360.functions.expressions import money_units, to_day, units_to_money
 from customer360.operators.fx import to_base
 
 WIN = "WIN"
@@ -92,10 +92,10 @@ def bonus_expense(
     return (
         j.groupBy("client_id")
         .agg(
-            F.sum("win_amount_euro").alias("_exp"),
+            F.sum(money_units("win_amount_euro")).alias("_exp"),
             F.sum(F.when(pos, F.lit(1)).otherwise(F.lit(0))).alias("bonus_count"),
             F.sum(F.when(vip, F.lit(1)).otherwise(F.lit(0))).alias("vip_bonus_count"),
         )
         .filter(F.col("_exp") > 0)
-        .select("client_id", F.col("_exp").cast("double").alias("mkt_expense"), "bonus_count", "vip_bonus_count")
+        .select("client_id", units_to_money(F.col("_exp")).alias("mkt_expense"), "bonus_count", "vip_bonus_count")
     )

@@ -19,7 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from customer360.config import ReportParams
-from customer360.functions.expressions import days_since, horizon_sum, money_sum, to_day
+from customer360.functions.expressions import (
+    days_since,
+    money_sum,
+    money_threshold,
+    money_units,
+    to_day,
+    units_to_money,
+)
 
 # Output column prefixes of the two flow kinds (source spelling kept).
 DEPOSIT = "deposit"
@@ -62,12 +69,12 @@ def _kind_exprs(p: ReportParams, prefix: str, is_kind: Column, dd: Column, day_s
     rows of this kind gets NULL in every column, exactly as if the kind had
     been aggregated on its own and left-joined.
     """
-    amt = F.when(is_kind, F.col("amount"))
+    units = money_units("amount")
     out = [
-        F.sum(F.when(is_kind, F.when(dd <= n, F.col("amount")).otherwise(F.lit(0)))).cast("double").alias(f"{prefix}_{n}_days")
+        units_to_money(F.sum(F.when(is_kind, F.when(dd <= n, units).otherwise(F.lit(0))))).alias(f"{prefix}_{n}_days")
         for n in p.horizons
     ]
-    out.append(F.sum(amt).cast("double").alias(f"{prefix}_lifetime"))
+    out.append(units_to_money(F.sum(F.when(is_kind, units))).alias(f"{prefix}_lifetime"))
     cnt_name = "total_deposits_count" if prefix == DEPOSIT else f"{prefix}_count"
     out.append(F.sum(F.when(is_kind, F.col("id").isNotNull().cast("bigint"))).alias(cnt_name))
     if day_span:
@@ -123,7 +130,7 @@ def cumulative_flow(tx: DataFrame, p: ReportParams, txn_type=None) -> DataFrame:
         filter_approved(tx, p, txn_type)
         .groupBy("client_id", "user_name", to_day("txn_date").alias("txn_date"))
         .agg(
-            F.sum("amount").alias("_amt"),
+            F.sum(money_units("amount")).alias("_amt"),
             F.count("id").alias("dpst_cnt"),
             F.count_distinct("id").alias("_ids"),
         )
@@ -134,15 +141,15 @@ def cumulative_flow(tx: DataFrame, p: ReportParams, txn_type=None) -> DataFrame:
         "user_name",
         "txn_date",
         days_since(p.asof, "txn_date").alias("date_diff_dpst"),
-        F.col("_amt").cast("double").alias("dpst_amt"),
+        units_to_money(F.col("_amt")).alias("dpst_amt"),
         "dpst_cnt",
-        F.sum("_amt").over(w).cast("double").alias("cumulative_dpst_amt"),
+        units_to_money(F.sum("_amt").over(w)).alias("cumulative_dpst_amt"),
         F.sum("_ids").over(w).alias("cumulative_dpst_count"),
     )
 
 
 def _running_by_day(tx: DataFrame, p: ReportParams, txn_type) -> DataFrame:
-    """Per customer and day: running amount and running distinct-id count.
+    """Per customer and day: running amount (micro-units) and running distinct-id count.
 
     One row per (customer, day) before the window: the per-login distinct
     counts of the source add up to the number of distinct (login, id) pairs.
@@ -151,7 +158,7 @@ def _running_by_day(tx: DataFrame, p: ReportParams, txn_type) -> DataFrame:
     per_day = (
         filter_approved(tx, p, txn_type)
         .groupBy("client_id", to_day("txn_date").alias("txn_date"))
-        .agg(F.sum("amount").alias("_amt"), F.count_distinct(pair).alias("_ids"))
+        .agg(F.sum(money_units("amount")).alias("_amt"), F.count_distinct(pair).alias("_ids"))
     )
     w = Window.partitionBy("client_id").orderBy("txn_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return per_day.select(
@@ -168,7 +175,7 @@ def qualification_date(tx: DataFrame, p: ReportParams, min_amount=None, min_coun
     min_count = p.vip_min_count if min_count is None else min_count
     run = _running_by_day(tx, p, p.deposit_type)
     return (
-        run.filter((F.col("run_amt") >= F.lit(min_amount)) | (F.col("run_cnt") >= F.lit(min_count)))
+        run.filter((F.col("run_amt") >= money_threshold(min_amount)) | (F.col("run_cnt") >= F.lit(min_count)))
         .groupBy("client_id")
         .agg(F.min("txn_date").alias("vip_date"))
     )
@@ -195,7 +202,7 @@ def net_deposits(tx_eur: DataFrame, p: ReportParams) -> DataFrame:
     deposit, withdrawal = p.deposit_type, p.withdrawal_type
 
     def total(t):
-        return F.sum(F.when(F.col("txn_type") == F.lit(t), F.col("amount_eur")).otherwise(F.lit(0))).cast("double")
+        return units_to_money(F.sum(F.when(F.col("txn_type") == F.lit(t), money_units("amount_eur")).otherwise(F.lit(0))))
 
     return tx_eur.groupBy("client_id").agg(
         total(deposit).alias("total_deposits"), total(withdrawal).alias("total_withdrawals")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from customer360.config import ReportParams
-from customer360.functions.expressions import days_since, horizon_sum, ratio, within
+from customer360.functions.expressions import days_since, horizon_money, horizon_sum, money_sum, ratio, within
 
 LIFETIME = "lft"
 
@@ -33,11 +33,11 @@ def daily_revenue(days: DataFrame, p: ReportParams) -> DataFrame:
     return (
         days.groupBy("client_id", "summary_day")
         .agg(
-            F.sum("ngr").cast("double").alias("ngr"),
-            F.sum("bet_amount").cast("double").alias("bets"),
+            money_sum("ngr").alias("ngr"),
+            money_sum("bet_amount").alias("bets"),
             F.sum("bets_count").alias("games"),
-            F.sum("ggr").cast("double").alias("ggr"),
-            F.sum("returns_amount").cast("double").alias("returns_1"),
+            money_sum("ggr").alias("ggr"),
+            money_sum("returns_amount").alias("returns_1"),
         )
         .withColumn("date_diff_rev", days_since(p.asof, "summary_day"))
     )
@@ -46,23 +46,23 @@ def daily_revenue(days: DataFrame, p: ReportParams) -> DataFrame:
 def revenue_exprs(p: ReportParams, ggr_horizons: bool = True) -> list[Column]:
     """NGR per horizon and lifetime; GGR per horizon (optional) and lifetime."""
     dd = _dd(p)
-    out = [horizon_sum(dd, "ngr", n).cast("double").alias(f"ngr_{n}_days") for n in p.horizons]
-    out.append(F.sum("ngr").cast("double").alias("ngr_lifetime"))
+    out = [horizon_money(dd, "ngr", n).alias(f"ngr_{n}_days") for n in p.horizons]
+    out.append(money_sum("ngr").alias("ngr_lifetime"))
     if ggr_horizons:
-        out += [horizon_sum(dd, "ggr", n).cast("double").alias(f"ggr_{n}_days") for n in p.horizons]
-    out.append(F.sum("ggr").cast("double").alias("ggr_lifetime"))
+        out += [horizon_money(dd, "ggr", n).alias(f"ggr_{n}_days") for n in p.horizons]
+    out.append(money_sum("ggr").alias("ggr_lifetime"))
     return out
 
 
 def avg_bet_exprs(p: ReportParams, amount: str = "bet_amount", count: str = "bets_count") -> list[Column]:
     """Stake per bet in each horizon; NULL when the horizon has no bets."""
     dd = _dd(p)
-    return [ratio(horizon_sum(dd, amount, n), horizon_sum(dd, count, n)).alias(f"avg_bet_{n}_days") for n in p.horizons]
+    return [ratio(horizon_money(dd, amount, n), horizon_sum(dd, count, n)).alias(f"avg_bet_{n}_days") for n in p.horizons]
 
 
 def payout_expr(returns: str = "returns_amount", stakes: str = "bet_amount") -> Column:
     """Returns over stakes (lifetime)."""
-    return ratio(F.sum(returns), F.sum(stakes)).alias("payout_percent")
+    return ratio(money_sum(returns), money_sum(stakes)).alias("payout_percent")
 
 
 def last_bet_expr(measure: str) -> Column:
@@ -166,9 +166,7 @@ def top_products(plays: DataFrame, p: ReportParams, horizons: Sequence = (LIFETI
             b["product_name"].alias(f"top_played_game_{name}"),
             b["bets"].alias(f"bets_on_top_game_{name}"),
         ]
-    out = agg.select(*cols)
-    # A customer with rows only outside a horizon has a NULL best for it.
-    return out
+    return agg.select(*cols)
 
 
 def top_product(plays: DataFrame, p: ReportParams, horizon=LIFETIME) -> DataFrame:

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from customer360.config import ReportParams
-from customer360.functions.expressions import to_day
+from customer360.functions.expressions import money_threshold, money_units, to_day, units_to_money
 from customer360.operators.fx import fx_normalise_valid
 
 
-def cumulative_deposits_eur(tx: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
-    """Per customer and day: base-currency deposits and their running total.
+def _running(tx: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
+    """Per customer and day: base-currency deposits and their running total (``_run``, micro-units).
 
     Amounts use the distinct valid rates. The window runs over one row per
     (customer, day), so a partition never holds more rows than there are
@@ -20,14 +20,21 @@ def cumulative_deposits_eur(tx: DataFrame, rates: DataFrame, p: ReportParams) ->
     daily = (
         fx_normalise_valid(tx, rates, p, p.deposit_type)
         .groupBy("client_id", to_day("txn_date").alias("txn_date"))
-        .agg(F.sum("amount_eur").alias("_dep"))
+        .agg(F.sum(money_units("amount_eur")).alias("_dep"))
     )
     w = Window.partitionBy("client_id").orderBy("txn_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return daily.select(
         "client_id",
         "txn_date",
-        F.col("_dep").cast("double").alias("deposits"),
-        F.sum("_dep").over(w).cast("double").alias("total_dpst"),
+        units_to_money(F.col("_dep")).alias("deposits"),
+        F.sum("_dep").over(w).alias("_run"),
+    )
+
+
+def cumulative_deposits_eur(tx: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
+    """Per customer and day: base-currency deposits and their running total."""
+    return _running(tx, rates, p).select(
+        "client_id", "txn_date", "deposits", units_to_money(F.col("_run")).alias("total_dpst")
     )
 
 
@@ -39,8 +46,8 @@ def threshold_crossing(tx: DataFrame, rates: DataFrame, p: ReportParams, min_amo
     """
     min_amount = p.crossing_amount if min_amount is None else min_amount
     return (
-        cumulative_deposits_eur(tx, rates, p)
-        .filter(F.col("total_dpst") >= F.lit(float(min_amount)))
+        _running(tx, rates, p)
+        .filter(F.col("_run") >= money_threshold(min_amount))
         .groupBy("client_id")
         .agg(F.min("txn_date").alias("date_of_reaching_1k"))
     )
