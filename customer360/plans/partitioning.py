@@ -1,0 +1,23 @@
+"""Scan parallelism guard.
+
+Parquet is split by row group: a file written as one row group is read by a
+single task however many cores there are, and so is all per-row work
+fused into that stage (projections, broadcast-join probes, map-side partial
+aggregation). :func:`spread_small_scan` spreads such an input round-robin
+over the cores, but only when the scan yields fewer partitions than the
+default parallelism. A table large enough to matter on a cluster always
+has at least that many splits, so there the guard is inert and no extra
+shuffle is added.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``df`` repartitioned round-robin if it has fewer partitions than cores."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

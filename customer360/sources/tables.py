@@ -14,14 +14,22 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from customer360.plans.partitioning import spread_small_scan
+
+
+# Local inputs above this size are spread over the cores when their scan has
+# fewer partitions than cores (see plans.partitioning).
+SPREAD_MIN_BYTES = 1 << 20
+
 
 class TableSet:
     """Named tables under one directory, read on first use (no data cached)."""
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", spread: bool = True):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
+        self.spread = spread
         self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
@@ -30,7 +38,11 @@ class TableSet:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            self._frames[name] = self.spark.read.format(self.fmt).load(self.path(name))
+            path = self.path(name)
+            df = self.spark.read.format(self.fmt).load(path)
+            if self.spread and _local_size(path) >= SPREAD_MIN_BYTES:
+                df = spread_small_scan(df)
+            self._frames[name] = df
         return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -39,6 +51,19 @@ class TableSet:
         return self[name]
 
 
+def _local_size(path: str) -> int:
+    """Bytes of a local file or directory; 0 for remote paths (never spread)."""
+    if "://" in path and not path.startswith("file:"):
+        return 0
+    path = path.removeprefix("file:")
+    if os.path.isfile(path):
+        return os.path.getsize(path)
+    total = 0
+    for d, _, files in os.walk(path):
+        total += sum(os.path.getsize(os.path.join(d, f)) for f in files)
+    return total
+
+
 def read_tables(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:
     """Read several parquet tables of ``root`` into a name -> DataFrame map."""
     ts = TableSet(spark, root)
