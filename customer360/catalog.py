@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _fx(spark, sf_dir) -> Fixtures:
-    return Fixtures(spark, sf_dir)
+    return Fixtures.shared(spark, sf_dir)
 
 
 def _money_out(df: DataFrame, cols) -> DataFrame:

@@ -83,18 +83,27 @@ def bonus_expense(
     Only the lookups the result depends on are joined (rate fan-out and the
     crossing date); the descriptive lookups of :func:`bonus_enriched` would be
     pruned anyway. A NULL crossing date makes the VIP condition false.
+
+    Won bonuses are first counted per (customer, day, amount): rows that agree
+    on these give the same base amount and the same conditions, so the
+    result is unchanged, while a customer with very many bonuses is
+    collapsed map-side before any shuffle or join.
     """
-    j = _with_rate(_won(bonuses), customers, rates, p)
+    pre = _won(bonuses).groupBy(
+        "client_id", to_day("bonus_date").alias("bonus_date"), "winning_amount"
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    j = _with_rate(pre, customers, rates, p)
     h = crossing.select(F.col("client_id").alias("_hcid"), "date_of_reaching_1k")
     j = j.join(h, j.client_id == h._hcid, "left")
+    n = F.col("_n")
     pos = F.col("win_amount_euro") > 0
-    vip = pos & (to_day("bonus_date") >= F.col("date_of_reaching_1k"))
+    vip = pos & (F.col("bonus_date") >= F.col("date_of_reaching_1k"))
     return (
         j.groupBy("client_id")
         .agg(
-            F.sum(money_units("win_amount_euro")).alias("_exp"),
-            F.sum(F.when(pos, F.lit(1)).otherwise(F.lit(0))).alias("bonus_count"),
-            F.sum(F.when(vip, F.lit(1)).otherwise(F.lit(0))).alias("vip_bonus_count"),
+            F.sum(money_units("win_amount_euro") * n).alias("_exp"),
+            F.sum(F.when(pos, n).otherwise(F.lit(0))).alias("bonus_count"),
+            F.sum(F.when(vip, n).otherwise(F.lit(0))).alias("vip_bonus_count"),
         )
         .filter(F.col("_exp") > 0)
         .select("client_id", units_to_money(F.col("_exp")).alias("mkt_expense"), "bonus_count", "vip_bonus_count")

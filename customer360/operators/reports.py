@@ -31,6 +31,7 @@ from customer360.operators.fx import fx_normalise
 from customer360.operators.gaming import LIFETIME, avg_bet_exprs, last_bet_expr, payout_expr, revenue_exprs, top_products
 from customer360.operators.milestones import threshold_crossing
 from customer360.plans.joins import left_join_all
+from customer360.plans.lineage import cut_lineage
 
 
 def kpi_ratios(wide: DataFrame, p: ReportParams) -> DataFrame:
@@ -175,14 +176,23 @@ def report_b(
     balances: DataFrame,
     bonuses: DataFrame,
     p: ReportParams,
+    materialize: bool = True,
 ) -> DataFrame:
     """The VIP customer report of job B (57 columns).
 
     Cohort: customers whose running base-currency deposits (valid rates)
     reached ``crossing_amount``. A customer with several balance rows on its
     latest day appears once per row, as in the source.
+
+    The crossing dates feed both the cohort join and the bonus counts; they
+    are one small row per VIP customer but cost a full transaction scan, so
+    with ``materialize=True`` they are computed once and checkpointed in the
+    session's shared checkpoint folder (which also spares that scan if an
+    executor is lost later).
     """
     crossing = threshold_crossing(tx, rates, p)
+    if materialize:
+        crossing = cut_lineage(crossing)
     base = customer_dimension(attributes, customers, merchants, countries, languages, p)
     base = crossing.join(base.withColumnRenamed("customer_fk", "client_id"), "client_id", "inner")
     wide = left_join_all(

@@ -31,7 +31,8 @@ def tune_session(spark: SparkSession, shuffle_partitions: int | None = None) ->
     return spark
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "customer360") -> SparkSession:
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "customer360",
+                  driver_memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks (UI off, no ports beyond Spark's own)."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -40,7 +41,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", driver_memory)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

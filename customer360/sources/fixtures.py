@@ -49,14 +49,44 @@ def _shifted_day(c: str) -> Column:
     return F.date_sub(F.to_date(F.col(c)), EVENT_DAY_SHIFT)
 
 
+def _memo(method):
+    """Build an adapter's plan once per Fixtures instance."""
+    name = method.__name__
+
+    def wrapper(self):
+        if name not in self._plans:
+            self._plans[name] = method(self)
+        return self._plans[name]
+
+    wrapper.__name__ = name
+    wrapper.__doc__ = method.__doc__
+    return wrapper
+
+
 class Fixtures:
-    """The logical report tables over one test-data directory."""
+    """The logical report tables over one test-data directory.
+
+    ``Fixtures.shared(spark, dir)`` reuses one instance (and its plans) per
+    session and directory.
+    """
+
+    _shared: dict[tuple, "Fixtures"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.t = TableSet(spark, sf_dir)
+        self.t = TableSet.shared(spark, sf_dir)
+        self._plans: dict[str, DataFrame] = {}
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
+        key = (id(spark), sf_dir.rstrip("/"))
+        f = cls._shared.get(key)
+        if f is None or f.spark is not spark:
+            f = cls._shared[key] = cls(spark, sf_dir)
+        return f
 
     # -- customers and dimensions -------------------------------------------
+    @_memo
     def customers(self) -> DataFrame:
         c, n = self.t.customer, self.t.nation
         k = F.col("c_custkey")
@@ -82,6 +112,7 @@ class Fixtures:
             .alias("last_session_on"),
         )
 
+    @_memo
     def attributes(self) -> DataFrame:
         k = F.col("c_custkey")
         return self.t.customer.select(
@@ -90,17 +121,21 @@ class Fixtures:
             F.date_add(F.lit(CREATED_BASE), (k % 365).cast("int")).alias("registered_on"),
         )
 
+    @_memo
     def merchants(self) -> DataFrame:
         return self.t.supplier.filter(F.col("s_suppkey") < 9).select(
             F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")
         )
 
+    @_memo
     def countries(self) -> DataFrame:
         return self.t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("country_desc"))
 
+    @_memo
     def languages(self) -> DataFrame:
         return self.t.region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("lang_desc"))
 
+    @_memo
     def bonus_defs(self) -> DataFrame:
         return self.t.part.filter(F.col("p_partkey") < 6).select(
             F.col("p_partkey").alias("id"),
@@ -108,6 +143,7 @@ class Fixtures:
             F.col("p_name").alias("description"),
         )
 
+    @_memo
     def currencies(self) -> DataFrame:
         """Rates per currency id; id 3 twice (one invalid), id 7 rate 0."""
         n = self.t.nation
@@ -124,6 +160,7 @@ class Fixtures:
         return main.unionByName(extra)
 
     # -- facts ----------------------------------------------------------------
+    @_memo
     def transactions(self) -> DataFrame:
         o = self.t.orders
         key = F.col("o_orderkey")
@@ -146,6 +183,7 @@ class Fixtures:
         o = self.t.orders.select("o_orderkey", "o_custkey")
         return li.join(o, li.l_orderkey == o.o_orderkey)
 
+    @_memo
     def game_days(self) -> DataFrame:
         price = _money("l_extendedprice")
         return self._line_orders().select(
@@ -160,6 +198,7 @@ class Fixtures:
             (price * (F.lit(1) - F.col("l_discount")).cast("decimal(4,2)")).alias("returns_amount"),
         )
 
+    @_memo
     def game_plays(self) -> DataFrame:
         p = self.t.part.select("p_partkey", "p_brand", "p_name")
         lo = self._line_orders()
@@ -171,12 +210,14 @@ class Fixtures:
             F.to_date("l_shipdate").alias("summary_day"),
         )
 
+    @_memo
     def balances(self) -> DataFrame:
         e = self.t.events
         return e.groupBy(F.col("user_id").alias("client_id"), _shifted_day("ts").alias("summary_day")).agg(
             F.sum(_money("value")).cast("decimal(18,2)").alias("balance")
         )
 
+    @_memo
     def bonuses(self) -> DataFrame:
         e = self.t.events
         return e.select(
@@ -191,6 +232,7 @@ class Fixtures:
             .alias("winning_amount"),
         )
 
+    @_memo
     def last_contacts(self) -> DataFrame:
         cv = self.t.conversations
         return cv.groupBy("conv_id").agg(F.max("turn").alias("last_contact_turn")).select(

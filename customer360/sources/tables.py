@@ -23,7 +23,22 @@ SPREAD_MIN_BYTES = 1 << 20
 
 
 class TableSet:
-    """Named tables under one directory, read on first use (no data cached)."""
+    """Named tables under one directory, read on first use.
+
+    Only plan objects are kept (a DataFrame is an immutable lazy plan); no
+    data is cached. :meth:`shared` returns one TableSet per session and
+    directory so repeated queries do not re-read file footers.
+    """
+
+    _shared: dict[tuple, "TableSet"] = {}
+
+    @classmethod
+    def shared(cls, spark: SparkSession, root: str, fmt: str = "parquet", spread: bool = True) -> "TableSet":
+        key = (id(spark), root.rstrip("/"), fmt, spread)
+        ts = cls._shared.get(key)
+        if ts is None or ts.spark is not spark:
+            ts = cls._shared[key] = cls(spark, root, fmt, spread)
+        return ts
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", spread: bool = True):
         self.spark = spark
