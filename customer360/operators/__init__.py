@@ -8,6 +8,7 @@ from customer360.operators.flows import (
     deposit_horizons,
     filter_approved,
     flow_horizons,
+    flow_summary,
     net_deposits,
     qualification_date,
     vip_cohort,
@@ -45,6 +46,7 @@ __all__ = [
     "deposit_horizons",
     "filter_approved",
     "flow_horizons",
+    "flow_summary",
     "format_money",
     "fx_normalise",
     "fx_normalise_valid",

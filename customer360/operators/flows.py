@@ -181,6 +181,64 @@ def qualification_date(tx: DataFrame, p: ReportParams, min_amount=None, min_coun
     )
 
 
+def flow_summary(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None) -> DataFrame:
+    """Deposit and withdrawal horizons plus the VIP qualification date, one scan.
+
+    Equals ``flow_horizons(tx, p)`` left-joined with ``qualification_date``
+    but reads the transactions once. The chain is: per (customer, day)
+    totals of each kind (partially aggregated; the distinct deposit ids
+    need one shuffle on the id), a running-total window per customer over
+    those day rows (at most one row per calendar day), and a final
+    per-customer aggregation on the window's partitioning (no further
+    shuffle). Horizon sums over day totals equal those over raw rows: a day
+    inside the horizon adds its total, a day outside adds 0, and a kind with
+    no rows stays NULL.
+    """
+    min_amount = p.vip_min_amount if min_amount is None else min_amount
+    min_count = p.vip_min_count if min_count is None else min_count
+    units = money_units("amount")
+    kinds = {DEPOSIT: p.deposit_type, WITHDRAWAL: p.withdrawal_type}
+    day_aggs = []
+    for prefix, t in kinds.items():
+        is_kind = F.col("txn_type") == F.lit(t)
+        day_aggs += [
+            F.max(F.when(is_kind, F.lit(1))).alias(f"_{prefix}_any"),
+            F.sum(F.when(is_kind, units)).alias(f"_{prefix}_units"),
+            F.sum(F.when(is_kind, F.col("id").isNotNull().cast("bigint"))).alias(f"_{prefix}_cnt"),
+        ]
+    pair = F.when((F.col("txn_type") == F.lit(p.deposit_type)) & F.col("id").isNotNull(), F.struct("user_name", "id"))
+    day_aggs.append(F.count_distinct(pair).alias("_ids"))
+    daily = (
+        filter_approved(tx, p)
+        .filter(F.col("txn_type").isin(*kinds.values()))
+        .groupBy("client_id", to_day("txn_date").alias("txn_date"))
+        .agg(*day_aggs)
+    )
+    w = Window.partitionBy("client_id").orderBy("txn_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    run = daily.withColumns({
+        "_run_amt": F.sum(f"_{DEPOSIT}_units").over(w),
+        "_run_cnt": F.sum("_ids").over(w),
+    })
+    dd = days_since(p.asof, "txn_date")
+    out = []
+    for prefix in kinds:
+        present = F.col(f"_{prefix}_any").isNotNull()
+        u = F.col(f"_{prefix}_units")
+        out += [
+            units_to_money(F.sum(F.when(present, F.when(dd <= n, u).otherwise(F.lit(0))))).alias(f"{prefix}_{n}_days")
+            for n in p.horizons
+        ]
+        out.append(units_to_money(F.sum(u)).alias(f"{prefix}_lifetime"))
+        cnt_name = "total_deposits_count" if prefix == DEPOSIT else f"{prefix}_count"
+        out.append(F.sum(f"_{prefix}_cnt").alias(cnt_name))
+        if prefix == DEPOSIT:
+            out.append(F.min(F.when(present, dd)).alias(f"days_since_last_{prefix}"))
+            out.append(F.max(F.when(present, dd)).alias(f"days_since_first_{prefix}"))
+    qualifies = (F.col("_run_amt") >= money_threshold(min_amount)) | (F.col("_run_cnt") >= F.lit(min_count))
+    out.append(F.min(F.when(qualifies, F.col("txn_date"))).alias("vip_date"))
+    return run.groupBy("client_id").agg(*out)
+
+
 def cohort_filter(min_amount, min_count) -> Column:
     """Lifetime VIP rule on a deposit-horizon frame."""
     return (F.col(f"{DEPOSIT}_lifetime") >= F.lit(min_amount)) | (F.col("total_deposits_count") >= F.lit(min_count))

@@ -4,8 +4,8 @@ Both reports are a star of per-customer frames around a customer table. Each
 metric frame is one ``groupBy(client_id)`` over one source (all metrics of a
 source in the same aggregation), so a report reads every source once:
 
-* report A: transactions (deposits + withdrawals, one shuffle), transactions
-  again for the running-total VIP date, game days (revenue, average bet, last
+* report A: transactions (deposit and withdrawal horizons and the
+  running-total VIP date, one pass), game days (revenue, average bet, last
   bet day), plays (four top-product horizons in one aggregation), customers;
 * report B: customer + dimensions, transactions with all rates (flows),
   transactions with valid rates (crossing date), game days, balances,
@@ -26,7 +26,7 @@ from customer360.functions.expressions import days_since, ratio
 from customer360.functions.formatting import blocked_flag, decode_utf8
 from customer360.operators.bonus import bonus_expense
 from customer360.operators.customers import customer_dimension, latest_balance
-from customer360.operators.flows import DEPOSIT, WITHDRAWAL, cohort_filter, flow_horizons, qualification_date
+from customer360.operators.flows import DEPOSIT, WITHDRAWAL, cohort_filter, flow_horizons, flow_summary
 from customer360.operators.fx import fx_normalise
 from customer360.operators.gaming import LIFETIME, avg_bet_exprs, last_bet_expr, payout_expr, revenue_exprs, top_products
 from customer360.operators.milestones import threshold_crossing
@@ -82,12 +82,11 @@ def report_a(
     ``vip_min_count``. ``vip_date`` is the first day the running totals
     cross the same thresholds.
     """
-    flows = flow_horizons(tx, p).filter(cohort_filter(p.vip_min_amount, p.vip_min_count))
+    flows = flow_summary(tx, p).filter(cohort_filter(p.vip_min_amount, p.vip_min_count))
     gaming = days.groupBy("client_id").agg(
         *revenue_exprs(p, ggr_horizons=True), *avg_bet_exprs(p), last_bet_expr("bets_count")
     )
     tops = top_products(plays, p, (LIFETIME, 7, 30, 90))
-    vip = qualification_date(tx, p)
     cust = customers.select(
         F.col("id").alias("client_id"),
         F.col("email").alias("Email"),
@@ -105,7 +104,7 @@ def report_a(
         days_since(p.asof, "last_session_on").alias("days_since_last_login"),
         F.col("state_name").alias("StateName"),
     )
-    wide = left_join_all(flows.join(cust, "client_id", "inner"), [gaming, tops, vip], "client_id")
+    wide = left_join_all(flows.join(cust, "client_id", "inner"), [gaming, tops], "client_id")
     bets_30 = "bets_on_top_game_7d" if p.reference_compat else "bets_on_top_game_30d"
     bets_90 = "bets_on_top_game_7d" if p.reference_compat else "bets_on_top_game_90d"
     wide = wide.withColumns(

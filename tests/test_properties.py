@@ -82,3 +82,13 @@ def test_top_products_equal_row_number_form(spark):
         w = Window.partitionBy("client_id").orderBy(F.desc_nulls_first("bets"), "provider_name", "product_name")
         naive = per.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
         assert rows(naive) == rows(ops.top_product(plays, p, h))
+
+
+@pytest.mark.parametrize("seed", [8, 9])
+def test_flow_summary_equals_separate_operators(spark, seed):
+    p = ReportParams(asof=ASOF, vip_min_amount=900, vip_min_count=4)
+    df = gen(spark, seed, negative=True)
+    separate = ops.flow_horizons(df, p).join(ops.qualification_date(df, p), "client_id", "left")
+    one_pass = ops.flow_summary(df, p)
+    cols = sorted(separate.columns)
+    assert rows(one_pass.select(*cols)) == rows(separate.select(*cols))
