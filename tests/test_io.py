@@ -85,3 +85,25 @@ def test_queries_run_at_smallest_scale(spark):
 
     for k, q in queries().items():
         q(spark, SF0001).write.format("noop").mode("overwrite").save()
+
+
+def test_jobs_end_to_end(spark, tmp_path):
+    from customer360.catalog import PARAMS_A, PARAMS_B
+    from customer360.jobs import TABLES_A, TABLES_B, Inputs, job_a, run
+
+    out = str(tmp_path / "out")
+    ins_b = Inputs.from_fixtures(spark, SF0001, TABLES_B)
+    path_b = run(spark, "b", ins_b, PARAMS_B, out)
+    back_b = spark.read.parquet(path_b)
+    assert "last_contact_turn" in back_b.columns and "email" not in back_b.columns
+    assert back_b.count() > 0 and back_b.select("report_date").distinct().collect()[0][0] == "07-31-2001"
+
+    # The same job over tables stored as datasets (one per logical table).
+    tables = str(tmp_path / "tables")
+    ins_a = Inputs.from_fixtures(spark, SF0001, TABLES_A)
+    for n in TABLES_A:
+        ins_a.tables[n].write.parquet(f"{tables}/{n}")
+    stored = Inputs.from_dir(spark, tables, TABLES_A)
+    assert rows(job_a(stored, PARAMS_A)) == rows(job_a(ins_a, PARAMS_A))
+    path_a = run(spark, "a", stored, PARAMS_A, out, "csv")
+    assert glob.glob(path_a + "/report_date=07-31-2001/*.csv")
