@@ -206,8 +206,13 @@ def flow_summary(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None
             F.sum(F.when(is_kind, units)).alias(f"_{prefix}_units"),
             F.sum(F.when(is_kind, F.col("id").isNotNull().cast("bigint"))).alias(f"_{prefix}_cnt"),
         ]
-    pair = F.when((F.col("txn_type") == F.lit(p.deposit_type)) & F.col("id").isNotNull(), F.struct("user_name", "id"))
-    day_aggs.append(F.count_distinct(pair).alias("_ids"))
+    if p.unique_txn_ids:
+        ids_col = f"_{DEPOSIT}_cnt"  # with unique ids, distinct ids per day = deposit count
+    else:
+        ids_col = "_ids"
+        pair = F.when((F.col("txn_type") == F.lit(p.deposit_type)) & F.col("id").isNotNull(),
+                      F.struct("user_name", "id"))
+        day_aggs.append(F.count_distinct(pair).alias(ids_col))
     daily = (
         filter_approved(tx, p)
         .filter(F.col("txn_type").isin(*kinds.values()))
@@ -217,7 +222,7 @@ def flow_summary(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None
     w = Window.partitionBy("client_id").orderBy("txn_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     run = daily.withColumns({
         "_run_amt": F.sum(f"_{DEPOSIT}_units").over(w),
-        "_run_cnt": F.sum("_ids").over(w),
+        "_run_cnt": F.sum(ids_col).over(w),
     })
     dd = days_since(p.asof, "txn_date")
     out = []

@@ -192,12 +192,20 @@ def report_b(
     crossing = threshold_crossing(tx, rates, p)
     if materialize:
         crossing = cut_lineage(crossing)
-    base = customer_dimension(attributes, customers, merchants, countries, languages, p)
+    # Only cohort customers reach the report, so the per-customer tables are
+    # restricted to the cohort before their joins (a semi join; AQE turns it
+    # into a broadcast filter when the cohort is small). Catalyst cannot push
+    # the final inner join through the customer dimension's outer joins.
+    ids = crossing.select("client_id")
+    attrs = attributes.join(ids, "client_id", "left_semi")
+    custs = customers.join(ids.withColumnRenamed("client_id", "id"), "id", "left_semi")
+    base = customer_dimension(attrs, custs, merchants, countries, languages, p)
     base = crossing.join(base.withColumnRenamed("customer_fk", "client_id"), "client_id", "inner")
     wide = left_join_all(
         base,
-        [gaming_b(days, p), flow_horizons_eur(tx, rates, p), latest_balance(balances),
-         bonus_expense(bonuses, customers, rates, crossing, p)],
+        [gaming_b(days, p), flow_horizons_eur(tx, rates, p),
+         latest_balance(balances.join(ids, "client_id", "left_semi")),
+         bonus_expense(bonuses.join(ids, "client_id", "left_semi"), custs, rates, crossing, p)],
         "client_id",
     )
     email_text = decode_utf8("email") if dict(customers.dtypes).get("email") == "binary" else F.col("email")

@@ -92,3 +92,12 @@ def test_flow_summary_equals_separate_operators(spark, seed):
     one_pass = ops.flow_summary(df, p)
     cols = sorted(separate.columns)
     assert rows(one_pass.select(*cols)) == rows(separate.select(*cols))
+
+
+def test_unique_ids_knob_matches_exact_count_on_unique_ids(spark):
+    from customer360.sources.fixtures import Fixtures
+
+    tx = Fixtures(spark, SF001).transactions()  # ids are order keys: unique
+    exact = ReportParams(asof=ASOF, vip_min_amount=1_000_000, vip_min_count=5)
+    fast = ReportParams(asof=ASOF, vip_min_amount=1_000_000, vip_min_count=5, unique_txn_ids=True)
+    assert rows(ops.flow_summary(tx, exact)) == rows(ops.flow_summary(tx, fast))
