@@ -47,8 +47,3 @@ class ReportParams:
     # uses count(id), which aggregates map-side, instead of the exact
     # count(DISTINCT id), which shuffles every deposit row by its id.
     unique_txn_ids: bool = False
-
-    def asof_lit(self):
-        from pyspark.sql import functions as F
-
-        return F.lit(self.asof)

@@ -19,7 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from customer360.config import ReportParams
-from customer360.functions.expressions import days_since, horizon_money, horizon_sum, money_sum, ratio, within
+from customer360.functions.expressions import (
+    days_since,
+    horizon_money,
+    horizon_sum,
+    money_sum,
+    present_in,
+    ratio,
+    within,
+)
 
 LIFETIME = "lft"
 
@@ -121,7 +129,7 @@ def product_plays(plays: DataFrame, p: ReportParams, horizons: Sequence = (LIFET
         else:
             aggs += [
                 F.sum(F.when(within(dd, h), F.col("played_count"))).alias(f"bets_{name}"),
-                F.max(F.when(within(dd, h), F.lit(1))).alias(f"in_{name}"),
+                present_in(dd, h).alias(f"in_{name}"),
             ]
     return plays.groupBy("client_id", "provider_name", "product_name").agg(*aggs)
 
