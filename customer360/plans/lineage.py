@@ -1,9 +1,11 @@
 """Lineage cuts on the cluster's shared checkpoint folder.
 
-The folder comes from the session's ``spark.checkpoint.dir``; only when it is
-unset (tests, local runs) a default under the system temp dir is set. A
-checkpointed frame is written reliably (not executor-local), so losing an
-executor after the cut does not recompute the plan before it.
+The folder comes from the session's ``spark.checkpoint.dir``. Only a local
+session (tests, ``local[...]`` master) with the setting unset gets a default
+under the system temp dir; on a cluster an unset folder is an error, since a
+machine-local folder would not be shared. A checkpointed frame is written
+reliably (not executor-local), so losing an executor after the cut does not
+recompute the plan before it.
 """
 
 from __future__ import annotations
@@ -19,11 +21,16 @@ _LOCAL_DEFAULT = os.path.join(tempfile.gettempdir(), "customer360-checkpoints")
 def checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session, setting a local one only if unset."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return d
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = _LOCAL_DEFAULT
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
@@ -31,6 +38,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder and return the re-read frame."""
+    """Materialise ``df`` in the checkpoint folder and return the re-read frame.
+
+    A reliable checkpoint (never ``localCheckpoint``): the files live in the
+    shared folder, so they survive the loss of the executor that wrote them.
+    """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

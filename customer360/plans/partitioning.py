@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 
 def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """``df`` repartitioned round-robin if it has fewer partitions than cores."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: no RDD view, leave as is
         return df
-    return df.repartition(target)
+    return df if have >= target else df.repartition(target)
