@@ -32,7 +32,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = _LOCAL_DEFAULT
-        spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
     return d
 
