@@ -56,6 +56,20 @@ def _norm(v, approx: bool):
     return (1, v)
 
 
+SPARK_TO_DUCK = {
+    "IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "FloatType": "FLOAT",
+    "DateType": "DATE", "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "ShortType": "SMALLINT",
+    "ByteType": "TINYINT", "TimestampNTZType": "TIMESTAMP", "BinaryType": "BLOB",
+}
+
+
+def type_mismatches(sdf, rel):
+    """Columns whose Spark and DuckDB types differ (by name)."""
+    spark_t = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, str(f.dataType)) for f in sdf.schema.fields}
+    duck_t = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return {c: (spark_t[c], duck_t.get(c)) for c in spark_t if spark_t[c] != duck_t.get(c)}
+
+
 def rows_of(columns, rows, approx: bool):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = [tuple(_norm(r[i], approx) for i in order) for r in rows]
@@ -77,6 +91,9 @@ def compare(spark, sf_dir: str, key: str, con=None):
     drows = res.fetchall()
     if sorted(scols) != sorted(dcols):
         return False, f"columns differ: spark-only {sorted(set(scols) - set(dcols))} duck-only {sorted(set(dcols) - set(scols))}"
+    bad_types = type_mismatches(sdf, con.sql(oracle_sql()[key]))
+    if bad_types:
+        return False, f"column types differ (spark, duck): {bad_types}"
     if len(srows) != len(drows):
         return False, f"row count spark={len(srows)} duck={len(drows)}"
     if rows_of(scols, srows, False) == rows_of(dcols, drows, False):
