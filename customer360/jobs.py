@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from customer360 import operators as ops
 from customer360.config import ReportParams
+from customer360.plans.settings import shuffle_partitions_for, tune_session
 from customer360.sources.sinks import publish
 
 # Logical tables of the two jobs.
@@ -95,6 +96,8 @@ def main(argv=None) -> None:
     ap.add_argument("--vip-min-amount", type=float, default=None)
     ap.add_argument("--vip-min-count", type=int, default=None)
     ap.add_argument("--crossing-amount", type=float, default=None)
+    ap.add_argument("--input-bytes", type=int, default=None,
+                    help="size of the largest input table; sizes spark.sql.shuffle.partitions")
     a = ap.parse_args(argv)
 
     kw = {}
@@ -105,6 +108,7 @@ def main(argv=None) -> None:
             kw[k] = getattr(a, k)
     p = ReportParams(**kw)
     spark = SparkSession.builder.appName(f"customer360-report-{a.report}").getOrCreate()
+    tune_session(spark, shuffle_partitions_for(a.input_bytes) if a.input_bytes else None)
     names = TABLES_A if a.report == "a" else TABLES_B
     inputs = (Inputs.from_dir(spark, a.tables, names) if a.tables
               else Inputs.from_fixtures(spark, a.fixtures, names))

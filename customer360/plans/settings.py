@@ -7,8 +7,9 @@
   in the library broadcasts by hint, so a side is broadcast only when its
   measured size is under the threshold, and shuffled otherwise.
 * ``spark.sql.shuffle.partitions`` sizes the largest shuffle; pass a value
-  of about (input bytes of the largest fact) / 128 MB on a cluster, and let
-  AQE coalesce the small shuffles.
+  of about (input bytes of the largest fact) / 128 MB on a cluster
+  (:func:`shuffle_partitions_for`), and let AQE coalesce the small shuffles
+  down to ``advisoryPartitionSizeInBytes``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20, minimum: int = 8,
+                           maximum: int = 100_000) -> int:
+    """Shuffle partition count so that the largest shuffle's partitions are
+    about ``target_bytes`` (an upper bound: shuffles carry pruned, partially
+    aggregated rows, and AQE merges partitions that come out small)."""
+    return max(minimum, min(maximum, -(-int(input_bytes) // target_bytes)))
+
+
 def tune_session(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
     conf = {
         "spark.sql.adaptive.enabled": "true",

@@ -107,3 +107,11 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert rows(job_a(stored, PARAMS_A)) == rows(job_a(ins_a, PARAMS_A))
     path_a = run(spark, "a", stored, PARAMS_A, out, "csv")
     assert glob.glob(path_a + "/report_date=07-31-2001/*.csv")
+
+
+def test_shuffle_partition_sizing():
+    from customer360.plans.settings import shuffle_partitions_for
+
+    assert shuffle_partitions_for(0) == 8
+    assert shuffle_partitions_for(100 << 40) == 100_000  # 100 TB: capped
+    assert shuffle_partitions_for(10 << 30) == 80
