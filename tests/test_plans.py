@@ -100,3 +100,15 @@ def test_join_chain_reuses_customer_partitioning(spark):
         assert exchanges == aggregations + 2 * adapter_joins
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_report_b_cohort_computed_once_and_pushed_down(spark):
+    txt = plan(queries()["report_b"](spark, SF001))
+    tree = txt.split("\n\n")[0]
+    scans = re.findall(r"Location: InMemoryFileIndex \[file:[^\]]*/(\w+)\.parquet\]", txt)
+    # transactions: once for the base-currency flows, once inside the game-day
+    # adapter; the crossing dates come from their checkpoint, not a third scan.
+    assert scans.count("orders") == 2
+    assert "Scan ExistingRDD" in tree
+    # attributes, customers, balances and won bonuses are cut to the cohort.
+    assert tree.count("LeftSemi") >= 4
