@@ -52,6 +52,13 @@ class Inputs:
         ts = TableSet(spark, root, fmt)
         return cls({n: ts[n] for n in names})
 
+    @classmethod
+    def from_source(cls, tables, job: str) -> "Inputs":
+        """Tables with the source jobs' column names (keyed by logical name)."""
+        from customer360.sources.source_schemas import to_logical
+
+        return cls(to_logical(tables, job))
+
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, names) -> "Inputs":
         from customer360.sources.fixtures import Fixtures
@@ -89,6 +96,7 @@ def main(argv=None) -> None:
     ap.add_argument("--report", choices=["a", "b"], required=True)
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables", help="directory with one dataset per logical table")
+    src.add_argument("--source-tables", help="same, but with the source jobs' column names and codes")
     src.add_argument("--fixtures", help="test-data directory (driver tables)")
     ap.add_argument("--out", required=True, help="output root (shared storage on a cluster)")
     ap.add_argument("--asof", default=None, help="report date, YYYY-MM-DD (default: today)")
@@ -106,12 +114,21 @@ def main(argv=None) -> None:
     for k in ("vip_min_amount", "vip_min_count", "crossing_amount"):
         if getattr(a, k) is not None:
             kw[k] = getattr(a, k)
-    p = ReportParams(**kw)
+    if a.source_tables:
+        from customer360.sources.source_schemas import job_a_params, job_b_params
+
+        p = (job_a_params if a.report == "a" else job_b_params)(**kw)
+    else:
+        p = ReportParams(**kw)
     spark = SparkSession.builder.appName(f"customer360-report-{a.report}").getOrCreate()
     tune_session(spark, shuffle_partitions_for(a.input_bytes) if a.input_bytes else None)
     names = TABLES_A if a.report == "a" else TABLES_B
-    inputs = (Inputs.from_dir(spark, a.tables, names) if a.tables
-              else Inputs.from_fixtures(spark, a.fixtures, names))
+    if a.tables:
+        inputs = Inputs.from_dir(spark, a.tables, names)
+    elif a.source_tables:
+        inputs = Inputs.from_source(Inputs.from_dir(spark, a.source_tables, names).tables, a.report)
+    else:
+        inputs = Inputs.from_fixtures(spark, a.fixtures, names)
     print(run(spark, a.report, inputs, p, a.out, a.format))
 
 
