@@ -72,9 +72,14 @@ def money_threshold(amount) -> Column:
     return F.lit(int(round(float(amount) * _UNIT))).cast("bigint")
 
 
-def horizon_money(date_diff, value, n: int) -> Column:
-    """``horizon_sum`` of a DECIMAL money column, exact, as DOUBLE."""
-    return units_to_money(F.sum(F.when(within(date_diff, n), money_units(value)).otherwise(F.lit(0))))
+def horizon_money(date_diff, value, n: int, units: Column | None = None) -> Column:
+    """``horizon_sum`` of a DECIMAL money column, exact, as DOUBLE.
+
+    Pass ``units`` (``money_units(value)``) when building several horizons of
+    one column, so the conversion expression is built once.
+    """
+    u = money_units(value) if units is None else units
+    return units_to_money(F.sum(F.when(within(date_diff, n), u).otherwise(F.lit(0))))
 
 
 def horizon_sum(date_diff, value, n: int) -> Column:

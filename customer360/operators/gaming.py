@@ -24,8 +24,10 @@ from customer360.functions.expressions import (
     horizon_money,
     horizon_sum,
     money_sum,
+    money_units,
     present_in,
     ratio,
+    units_to_money,
     within,
 )
 
@@ -54,18 +56,21 @@ def daily_revenue(days: DataFrame, p: ReportParams) -> DataFrame:
 def revenue_exprs(p: ReportParams, ggr_horizons: bool = True) -> list[Column]:
     """NGR per horizon and lifetime; GGR per horizon (optional) and lifetime."""
     dd = _dd(p)
-    out = [horizon_money(dd, "ngr", n).alias(f"ngr_{n}_days") for n in p.horizons]
-    out.append(money_sum("ngr").alias("ngr_lifetime"))
+    ngr, ggr = money_units("ngr"), money_units("ggr")
+    out = [horizon_money(dd, "ngr", n, ngr).alias(f"ngr_{n}_days") for n in p.horizons]
+    out.append(units_to_money(F.sum(ngr)).alias("ngr_lifetime"))
     if ggr_horizons:
-        out += [horizon_money(dd, "ggr", n).alias(f"ggr_{n}_days") for n in p.horizons]
-    out.append(money_sum("ggr").alias("ggr_lifetime"))
+        out += [horizon_money(dd, "ggr", n, ggr).alias(f"ggr_{n}_days") for n in p.horizons]
+    out.append(units_to_money(F.sum(ggr)).alias("ggr_lifetime"))
     return out
 
 
 def avg_bet_exprs(p: ReportParams, amount: str = "bet_amount", count: str = "bets_count") -> list[Column]:
     """Stake per bet in each horizon; NULL when the horizon has no bets."""
     dd = _dd(p)
-    return [ratio(horizon_money(dd, amount, n), horizon_sum(dd, count, n)).alias(f"avg_bet_{n}_days") for n in p.horizons]
+    units = money_units(amount)
+    return [ratio(horizon_money(dd, amount, n, units), horizon_sum(dd, count, n)).alias(f"avg_bet_{n}_days")
+            for n in p.horizons]
 
 
 def payout_expr(returns: str = "returns_amount", stakes: str = "bet_amount") -> Column:
