@@ -75,6 +75,8 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.t = TableSet.shared(spark, sf_dir)
+        # Unspread scans, for the small side of a join (it is broadcast whole).
+        self.t_small = TableSet.shared(spark, sf_dir, spread=False)
         self._plans: dict[str, DataFrame] = {}
 
     @classmethod
@@ -180,7 +182,7 @@ class Fixtures:
 
     def _line_orders(self) -> DataFrame:
         li = self.t.lineitem
-        o = self.t.orders.select("o_orderkey", "o_custkey")
+        o = self.t_small.orders.select("o_orderkey", "o_custkey")
         return li.join(o, li.l_orderkey == o.o_orderkey)
 
     @_memo
