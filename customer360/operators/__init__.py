@@ -7,6 +7,7 @@ from customer360.operators.flows import (
     daily_flow,
     deposit_horizons,
     filter_approved,
+    flow_daily,
     flow_horizons,
     flow_summary,
     net_deposits,
@@ -45,6 +46,7 @@ __all__ = [
     "daily_revenue",
     "deposit_horizons",
     "filter_approved",
+    "flow_daily",
     "flow_horizons",
     "flow_summary",
     "format_money",

@@ -181,21 +181,16 @@ def qualification_date(tx: DataFrame, p: ReportParams, min_amount=None, min_coun
     )
 
 
-def flow_summary(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None) -> DataFrame:
-    """Deposit and withdrawal horizons plus the VIP qualification date, one scan.
-
-    Equals ``flow_horizons(tx, p)`` left-joined with ``qualification_date``
-    but reads the transactions once. The chain is: per (customer, day)
-    totals of each kind (partially aggregated; the distinct deposit ids
-    need one shuffle on the id), a running-total window per customer over
-    those day rows (at most one row per calendar day), and a final
-    per-customer aggregation on the window's partitioning (no further
-    shuffle). Horizon sums over day totals equal those over raw rows: a day
-    inside the horizon adds its total, a day outside adds 0, and a kind with
-    no rows stays NULL.
+def flow_daily(tx: DataFrame, p: ReportParams) -> DataFrame:
+    """Per (customer, day) totals of both flow kinds: the daily rollup.
+
+    Columns: ``client_id, txn_date`` and per kind ``_<kind>_any`` (1 if the
+    day has rows of the kind), ``_<kind>_units`` (BIGINT micro-units),
+    ``_<kind>_cnt`` (non-NULL ids), plus ``_ids`` (distinct (login, id)
+    deposit pairs; absent with ``unique_txn_ids``). Independent of the report
+    date, so a daily job can keep it as a day-partitioned table and rebuild
+    only the days that changed (see ``jobs.refresh_flow_rollup``).
     """
-    min_amount = p.vip_min_amount if min_amount is None else min_amount
-    min_count = p.vip_min_count if min_count is None else min_count
     units = money_units("amount")
     kinds = {DEPOSIT: p.deposit_type, WITHDRAWAL: p.withdrawal_type}
     day_aggs = []
@@ -206,19 +201,38 @@ def flow_summary(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None
             F.sum(F.when(is_kind, units)).alias(f"_{prefix}_units"),
             F.sum(F.when(is_kind, F.col("id").isNotNull().cast("bigint"))).alias(f"_{prefix}_cnt"),
         ]
-    if p.unique_txn_ids:
-        ids_col = f"_{DEPOSIT}_cnt"  # with unique ids, distinct ids per day = deposit count
-    else:
-        ids_col = "_ids"
+    if not p.unique_txn_ids:
         pair = F.when((F.col("txn_type") == F.lit(p.deposit_type)) & F.col("id").isNotNull(),
                       F.struct("user_name", "id"))
-        day_aggs.append(F.count_distinct(pair).alias(ids_col))
-    daily = (
+        day_aggs.append(F.count_distinct(pair).alias("_ids"))
+    return (
         filter_approved(tx, p)
         .filter(F.col("txn_type").isin(*kinds.values()))
         .groupBy("client_id", to_day("txn_date").alias("txn_date"))
         .agg(*day_aggs)
     )
+
+
+def flow_summary(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None,
+                 daily: DataFrame | None = None) -> DataFrame:
+    """Deposit and withdrawal horizons plus the VIP qualification date, one scan.
+
+    Equals ``flow_horizons(tx, p)`` left-joined with ``qualification_date``
+    but reads the transactions once. The chain is: per (customer, day)
+    totals of each kind (:func:`flow_daily`, partially aggregated; the
+    distinct deposit ids need one shuffle on the id), a running-total window
+    per customer over those day rows (at most one row per calendar day), and
+    a final per-customer aggregation on the window's partitioning (no
+    further shuffle). Horizon sums over day totals equal those over raw rows:
+    a day inside the horizon adds its total, a day outside adds 0, and a kind
+    with no rows stays NULL. Pass ``daily`` (a stored rollup) to skip the
+    transaction scan; ``tx`` is then unused.
+    """
+    min_amount = p.vip_min_amount if min_amount is None else min_amount
+    min_count = p.vip_min_count if min_count is None else min_count
+    kinds = {DEPOSIT: p.deposit_type, WITHDRAWAL: p.withdrawal_type}
+    ids_col = f"_{DEPOSIT}_cnt" if p.unique_txn_ids else "_ids"  # unique ids: distinct = count
+    daily = flow_daily(tx, p) if daily is None else daily
     w = Window.partitionBy("client_id").orderBy("txn_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     run = daily.withColumns({
         "_run_amt": F.sum(f"_{DEPOSIT}_units").over(w),

@@ -74,15 +74,17 @@ def report_a_columns(p: ReportParams) -> list[str]:
 
 
 def report_a(
-    customers: DataFrame, tx: DataFrame, days: DataFrame, plays: DataFrame, p: ReportParams
+    customers: DataFrame, tx: DataFrame, days: DataFrame, plays: DataFrame, p: ReportParams,
+    flow_rollup: DataFrame | None = None,
 ) -> DataFrame:
     """The VIP customer report of job A (63 columns, one row per VIP customer).
 
     Cohort: lifetime deposits >= ``vip_min_amount`` or deposit count >=
     ``vip_min_count``. ``vip_date`` is the first day the running totals
-    cross the same thresholds.
+    cross the same thresholds. With ``flow_rollup`` (a stored
+    ``flow_daily`` table) the transactions are not scanned.
     """
-    flows = flow_summary(tx, p).filter(cohort_filter(p.vip_min_amount, p.vip_min_count))
+    flows = flow_summary(tx, p, daily=flow_rollup).filter(cohort_filter(p.vip_min_amount, p.vip_min_count))
     gaming = days.groupBy("client_id").agg(
         *revenue_exprs(p, ggr_horizons=True), *avg_bet_exprs(p), last_bet_expr("bets_count")
     )
