@@ -75,7 +75,8 @@ def bonus_enriched(
 
 
 def bonus_expense(
-    bonuses: DataFrame, customers: DataFrame, rates: DataFrame, crossing: DataFrame, p: ReportParams
+    bonuses: DataFrame, customers: DataFrame, rates: DataFrame, crossing: DataFrame, p: ReportParams,
+    cohort: DataFrame | None = None,
 ) -> DataFrame:
     """Per customer: bonus expense, count of positive bonuses, and count of
     positive bonuses on/after the crossing date; customers with expense > 0.
@@ -87,11 +88,15 @@ def bonus_expense(
     Won bonuses are first counted per (customer, day, amount): rows that agree
     on these give the same base amount and the same conditions, so the
     result is unchanged, while a customer with very many bonuses is
-    collapsed map-side before any shuffle or join.
+    collapsed map-side before any shuffle or join. ``cohort`` (``client_id``
+    rows) restricts the result to those customers; it is applied to the
+    pre-counted rows, so even a shuffled semi join never moves raw rows.
     """
     pre = _won(bonuses).groupBy(
         "client_id", to_day("bonus_date").alias("bonus_date"), "winning_amount"
     ).agg(F.count(F.lit(1)).alias("_n"))
+    if cohort is not None:
+        pre = pre.join(cohort, "client_id", "left_semi")
     j = _with_rate(pre, customers, rates, p)
     h = crossing.select(F.col("client_id").alias("_hcid"), "date_of_reaching_1k")
     j = j.join(h, j.client_id == h._hcid, "left")

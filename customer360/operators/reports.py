@@ -207,7 +207,7 @@ def report_b(
         base,
         [gaming_b(days, p), flow_horizons_eur(tx, rates, p),
          latest_balance(balances.join(ids, "client_id", "left_semi")),
-         bonus_expense(bonuses.join(ids, "client_id", "left_semi"), custs, rates, crossing, p)],
+         bonus_expense(bonuses, custs, rates, crossing, p, cohort=ids)],
         "client_id",
     )
     email_text = decode_utf8("email") if dict(customers.dtypes).get("email") == "binary" else F.col("email")
