@@ -40,19 +40,37 @@ def bonus_enriched(
     p: ReportParams,
 ) -> DataFrame:
     """Won bonuses with base-currency amount, promo, brand, affiliate, country
-    and the customer's threshold-crossing date."""
-    j = _with_rate(_won(bonuses), customers, rates, p, extra=("country_fk",))
+    and the customer's threshold-crossing date.
+
+    The per-customer lookups (customer -> currency rate(s) and country,
+    attributes, crossing date) are combined into one customer profile first,
+    so the raw bonus rows meet a single join on the customer (which AQE can
+    split if one customer holds many bonuses) instead of a chain of
+    sort-merge joins; promo and brand are small broadcast dimensions. The
+    profile is a full outer combination of the customer's tables, so a
+    bonus whose customer is missing from one of them still gets the others,
+    exactly as the chain of left joins gives.
+    """
+    r = rates.select(F.col("id").alias("_rid"), "rate_to_eur")
+    g = countries.select(F.col("id").alias("_gid"), F.col("country_desc").alias("country_name"))
+    cust = (
+        customers.select(F.col("id").alias("_pid"), "currency_fk", "country_fk")
+        .join(r, F.col("currency_fk") == r._rid, "left")
+        .join(g, F.col("country_fk") == g._gid, "left")
+        .drop("_rid", "_gid")
+    )
+    other = attributes.select(F.col("client_id").alias("_pid"), "referral_info").join(
+        crossing.select(F.col("client_id").alias("_pid"), "date_of_reaching_1k"), "_pid", "full"
+    )
+    profile = cust.join(other, "_pid", "full")
     d = bonus_defs.select(F.col("id").alias("_bid"), "promo_code", "description")
     m = merchants.select(F.col("id").alias("_mid"), F.col("name").alias("merchant_name"))
-    f = attributes.select(F.col("client_id").alias("_acid"), "referral_info")
-    g = countries.select(F.col("id").alias("_gid"), F.col("country_desc").alias("country_name"))
-    h = crossing.select(F.col("client_id").alias("_hcid"), "date_of_reaching_1k")
+    won = _won(bonuses)
     j = (
-        j.join(d, j.bonus_fk == d._bid, "left")
-        .join(m, j.merchant_fk == m._mid, "left")
-        .join(f, j.client_id == f._acid, "left")
-        .join(g, F.col("country_fk") == g._gid, "left")
-        .join(h, j.client_id == h._hcid, "left")
+        won.join(profile, won.client_id == profile._pid, "left")
+        .withColumn("win_amount_euro", to_base(F.col("winning_amount"), F.col("rate_to_eur"), p.fx_scale))
+        .join(d, F.col("bonus_fk") == d._bid, "left")
+        .join(m, F.col("merchant_fk") == m._mid, "left")
     )
     return j.select(
         "id",

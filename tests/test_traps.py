@@ -278,3 +278,25 @@ def test_round_metrics_leaves_counts(spark, metric_type):
     out = ops.round_metrics(df, p, cols=["Deposit_7_days", "Total_Deposits_Count"])
     assert out.schema["Total_Deposits_Count"].dataType == df.schema["Total_Deposits_Count"].dataType
     assert out.collect()[0] == (1.0, 3)  # 1.005 -> half-even on the decimal digits -> 1.00
+
+
+def test_bonus_enriched_customer_missing_from_one_table(spark):
+    bon = spark.createDataFrame(
+        [(1, 5, 0, 0, day(1), "WIN", D("10.00")), (2, 6, 0, 0, day(1), "WIN", D("8.00"))],
+        "id long, client_id long, bonus_fk long, merchant_fk long, bonus_date date, status string, "
+        "winning_amount decimal(12,2)",
+    )
+    cust = spark.createDataFrame([(6, 1, 0), (7, 1, 0)], "id long, currency_fk long, country_fk long")
+    rates = spark.createDataFrame([(1, D("2.000"), 1), (1, D("4.000"), 0)], RATES)
+    attrs = spark.createDataFrame([(5, "aff5", dt.date(2000, 1, 1))], "client_id long, referral_info string, registered_on date")
+    crossing = spark.createDataFrame([(5, day(9))], "client_id long, date_of_reaching_1k date")
+    defs = spark.createDataFrame([(0, "P", "promo")], "id long, promo_code string, description string")
+    merch = spark.createDataFrame([(0, "M")], "id long, name string")
+    ctry = spark.createDataFrame([(0, "NL")], "id long, country_desc string")
+    out = ops.bonus_enriched(bon, cust, rates, defs, merch, attrs, ctry, crossing, P)
+    got = rows(out, "client_id", "rate_to_eur", "win_amount_euro", "referral_info", "date_of_reaching_1k",
+               "country_name", "promo_code")
+    assert got == sorted([
+        (5, None, None, "aff5", day(9), None, "P"),          # not in customers: attributes and crossing still found
+        (6, 2.0, 4.0, None, None, "NL", "P"), (6, 4.0, 2.0, None, None, "NL", "P"),  # two rate rows: fan-out
+    ], key=repr)
