@@ -4,6 +4,7 @@ from customer360.functions.expressions import (
     days_since,
     horizon_sum,
     money_sum,
+    on_or_after,
     present_in,
     ratio,
     to_day,
@@ -25,6 +26,7 @@ __all__ = [
     "eur_text",
     "horizon_sum",
     "money_sum",
+    "on_or_after",
     "present_in",
     "ratio",
     "report_date",

@@ -48,6 +48,21 @@ def within(date_diff, n: int) -> Column:
     return _col(date_diff) <= F.lit(n)
 
 
+def on_or_after(day_col, asof, n: int) -> Column:
+    """The horizon filter ``datediff(asof, day) <= n`` in push-down form.
+
+    ``day >= asof - n`` selects the same rows (inclusive, future days pass,
+    NULL fails) for a DATE column, and for a timestamp column the day bound
+    is midnight; as a plain comparison on the column it reaches the parquet
+    scan (row groups and files entirely before the bound are skipped).
+    """
+    if isinstance(asof, (dt.date, dt.datetime)):
+        bound = F.lit((asof.date() if isinstance(asof, dt.datetime) else asof) - dt.timedelta(days=n))
+    else:
+        bound = F.date_sub(_lit_date(asof), n)
+    return _col(day_col) >= bound
+
+
 # Fixed value: money is added up in micro-units (6 decimal places), enough
 # for the 2-decimal amounts and the 6-decimal base-currency amounts.
 MONEY_SCALE = 6

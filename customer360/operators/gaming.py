@@ -25,6 +25,7 @@ from customer360.functions.expressions import (
     horizon_sum,
     money_sum,
     money_units,
+    on_or_after,
     present_in,
     ratio,
     units_to_money,
@@ -185,7 +186,7 @@ def top_products(plays: DataFrame, p: ReportParams, horizons: Sequence = (LIFETI
 def top_product(plays: DataFrame, p: ReportParams, horizon=LIFETIME) -> DataFrame:
     """Top product of one horizon; only customers with a row in the horizon."""
     name = _horizon_name(horizon)
-    src = plays if horizon == LIFETIME else plays.filter(within(_dd(p), horizon))
+    src = plays if horizon == LIFETIME else plays.filter(on_or_after("summary_day", p.asof, horizon))
     return (
         top_products(src, p, (horizon,))
         .select(

@@ -112,3 +112,15 @@ def test_report_b_cohort_computed_once_and_pushed_down(spark):
     assert "Scan ExistingRDD" in tree
     # attributes, customers, balances and won bonuses are cut to the cohort.
     assert tree.count("LeftSemi") >= 4
+
+
+def test_horizon_filter_reaches_the_scan(spark, tmp_path):
+    from customer360.sources.fixtures import Fixtures
+
+    path = str(tmp_path / "plays.parquet")
+    Fixtures(spark, SF001).game_plays().write.parquet(path)
+    plays = spark.read.parquet(path)
+    p = ReportParams(asof=dt.date(2001, 8, 1))
+    txt = plan(ops.top_product(plays, p, 7))
+    pushed = re.search(r"PushedFilters: \[(.*)\]", txt[txt.index("Scan parquet"):]).group(1)
+    assert "GreaterThanOrEqual(summary_day,2001-07-25)" in pushed
