@@ -72,23 +72,36 @@ def refresh_flow_rollup(tx: DataFrame, p: ReportParams, path: str, days_back: in
 
     Only transactions of the last ``days_back`` days before ``asof`` are read
     (a pushed-down date filter) and only those day partitions are rewritten
-    (dynamic partition overwrite); ``days_back=None`` rebuilds every day.
+    (dynamic partition overwrite); ``days_back=None``, or a rollup that does
+    not exist yet, rebuilds every day.
     Choose ``days_back`` to cover the period in which transactions can still
     change status; a day that loses all its rows keeps its old partition
     until a full rebuild. Use the same ``ReportParams`` codes when reading.
     """
     from pyspark.sql import functions as F
 
+    spark = tx.sparkSession
     src = tx
+    if days_back is not None and not _exists(spark, path):
+        days_back = None  # first run: a partial rollup would miss history
     if days_back is not None:
         start = p.asof - dt.timedelta(days=days_back)
         src = tx.filter(F.col("txn_date") >= F.lit(start))
     (ops.flow_daily(src, p).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("txn_date").parquet(path))
-    rollup = tx.sparkSession.read.parquet(path)
+    rollup = spark.read.parquet(path)
     return rollup.withColumn("txn_date", F.col("txn_date").cast("date"))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset can be read at ``path`` (works for any Hadoop file system)."""
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # AnalysisException: path does not exist / no data
+        return False
+
+
 def job_a(inputs: Inputs, p: ReportParams, flow_rollup: DataFrame | None = None) -> DataFrame:
     """Report A, presented: EUR money text and rounded average bets."""
     rep = ops.report_a(inputs.customers, inputs.transactions, inputs.game_days, inputs.game_plays, p,

@@ -161,3 +161,22 @@ def test_flow_rollup_refresh_gives_same_report(spark, tmp_path):
     rollup = refresh_flow_rollup(ins.transactions, PARAMS_A, path, days_back=40)  # recent days only
     assert rollup.select("txn_date").distinct().count() > 40
     assert rows(job_a(ins, PARAMS_A, rollup)) == rows(job_a(ins, PARAMS_A))
+
+
+def test_job_cli(spark, tmp_path, capsys):
+    from customer360.jobs import main
+
+    out = str(tmp_path / "out")
+    main(["--report", "a", "--fixtures", SF0001, "--out", out, "--asof", "2001-08-01",
+          "--vip-min-amount", "1000000", "--vip-min-count", "5",
+          "--flow-rollup", str(tmp_path / "rollup"), "--rollup-days", "30", "--format", "csv"])
+    main(["--report", "b", "--fixtures", SF0001, "--out", out, "--asof", "2001-08-01",
+          "--crossing-amount", "300000"])
+    printed = capsys.readouterr().out.split()
+    assert printed[-2].endswith("VIP_Customer_Details") and printed[-1].endswith("VIP_Summary")
+    assert spark.read.parquet(printed[-1]).count() > 0
+    assert glob.glob(printed[-2] + "/report_date=07-31-2001/*.csv")
+    from customer360.catalog import report_a
+
+    published = spark.read.option("header", "true").csv(printed[-2])
+    assert published.count() == report_a(spark, SF0001).count() > 0
