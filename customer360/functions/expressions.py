@@ -70,11 +70,13 @@ _UNIT = 10**MONEY_SCALE
 
 
 def money_units(c) -> Column:
-    """DECIMAL money (scale <= 6) as exact BIGINT micro-units.
+    """Money as BIGINT micro-units: exact for DECIMAL (scale <= 6); a DOUBLE
+    column is rounded to the nearest micro-unit (plain truncation would turn
+    1.005 into 1004999 because of binary noise).
 
     Under ANSI mode an amount too large for BIGINT raises instead of wrapping.
     """
-    return (_col(c) * F.lit(_UNIT)).cast("bigint")
+    return F.round(_col(c) * F.lit(_UNIT)).cast("bigint")
 
 
 def units_to_money(units: Column) -> Column:

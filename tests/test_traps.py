@@ -300,3 +300,12 @@ def test_bonus_enriched_customer_missing_from_one_table(spark):
         (5, None, None, "aff5", day(9), None, "P"),          # not in customers: attributes and crossing still found
         (6, 2.0, 4.0, None, None, "NL", "P"), (6, 4.0, 2.0, None, None, "NL", "P"),  # two rate rows: fan-out
     ], key=repr)
+
+
+def test_money_units_exact_for_decimal_and_rounded_for_double(spark):
+    from customer360.functions.expressions import money_units
+
+    d = spark.createDataFrame([(D("1.005000"), 1.005), (D("-2.675000"), -2.675), (D("0.000001"), 1e-6)],
+                              "dec decimal(18,6), dbl double")
+    got = d.select(money_units("dec").alias("a"), money_units("dbl").alias("b")).collect()
+    assert [tuple(r) for r in got] == [(1005000, 1005000), (-2675000, -2675000), (1, 1)]
