@@ -47,3 +47,7 @@ class ReportParams:
     # uses count(id), which aggregates map-side, instead of the exact
     # count(DISTINCT id), which shuffles every deposit row by its id.
     unique_txn_ids: bool = False
+    # Report B: broadcast the materialised VIP cohort to filter the fact
+    # inputs map-side when it has at most this many customers (a checked
+    # size bound; larger cohorts keep the shuffle plan).
+    cohort_broadcast_rows: int = 2_000_000

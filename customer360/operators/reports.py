@@ -192,20 +192,32 @@ def report_b(
     executor is lost later).
     """
     crossing = threshold_crossing(tx, rates, p)
+    small_cohort = False
     if materialize:
         crossing = cut_lineage(crossing)
+        # Counting the checkpointed cohort is cheap; it is the size check
+        # behind the explicit broadcast below.
+        small_cohort = crossing.count() <= p.cohort_broadcast_rows
     # Only cohort customers reach the report, so the per-customer tables are
     # restricted to the cohort before their joins (a semi join; AQE turns it
     # into a broadcast filter when the cohort is small). Catalyst cannot push
     # the final inner join through the customer dimension's outer joins.
     ids = crossing.select("client_id")
+    if small_cohort:
+        # Map-side filter of the facts: only cohort customers are aggregated
+        # and shuffled. Beyond the bound, the facts are aggregated for every
+        # customer and the cohort join drops the rest.
+        days = days.join(F.broadcast(ids), "client_id", "left_semi")
+        tx_flows = tx.join(F.broadcast(ids), "client_id", "left_semi")
+    else:
+        tx_flows = tx
     attrs = attributes.join(ids, "client_id", "left_semi")
     custs = customers.join(ids.withColumnRenamed("client_id", "id"), "id", "left_semi")
     base = customer_dimension(attrs, custs, merchants, countries, languages, p)
     base = crossing.join(base.withColumnRenamed("customer_fk", "client_id"), "client_id", "inner")
     wide = left_join_all(
         base,
-        [gaming_b(days, p), flow_horizons_eur(tx, rates, p),
+        [gaming_b(days, p), flow_horizons_eur(tx_flows, rates, p),
          latest_balance(balances.join(ids, "client_id", "left_semi")),
          bonus_expense(bonuses, custs, rates, crossing, p, cohort=ids)],
         "client_id",

@@ -11,7 +11,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from conftest import SF001, rows
 from __spark_entry__ import queries
 from customer360 import operators as ops
 from customer360.config import ReportParams
@@ -124,3 +124,19 @@ def test_horizon_filter_reaches_the_scan(spark, tmp_path):
     txt = plan(ops.top_product(plays, p, 7))
     pushed = re.search(r"PushedFilters: \[(.*)\]", txt[txt.index("Scan parquet"):]).group(1)
     assert "GreaterThanOrEqual(summary_day,2001-07-25)" in pushed
+
+
+def test_report_b_small_cohort_filters_facts_map_side(spark):
+    from customer360.catalog import PARAMS_B
+    from customer360.sources.fixtures import Fixtures
+
+    f = Fixtures(spark, SF001)
+    args = (f.attributes(), f.customers(), f.merchants(), f.countries(), f.languages(), f.transactions(),
+            f.currencies(), f.game_days(), f.balances(), f.bonuses())
+    small = plan(ops.report_b(*args, PARAMS_B)).split("\n\n")[0]
+    assert small.count("BroadcastHashJoin LeftSemi") >= 2
+    import dataclasses
+
+    big = dataclasses.replace(PARAMS_B, cohort_broadcast_rows=0)
+    assert plan(ops.report_b(*args, big)).split("\n\n")[0].count("BroadcastHashJoin LeftSemi") == 0
+    assert rows(ops.report_b(*args, PARAMS_B)) == rows(ops.report_b(*args, big))
