@@ -75,7 +75,7 @@ def report_a_columns(p: ReportParams) -> list[str]:
 
 def report_a(
     customers: DataFrame, tx: DataFrame, days: DataFrame, plays: DataFrame, p: ReportParams,
-    flow_rollup: DataFrame | None = None,
+    flow_rollup: DataFrame | None = None, materialize: bool = True,
 ) -> DataFrame:
     """The VIP customer report of job A (63 columns, one row per VIP customer).
 
@@ -83,8 +83,19 @@ def report_a(
     ``vip_min_count``. ``vip_date`` is the first day the running totals
     cross the same thresholds. With ``flow_rollup`` (a stored
     ``flow_daily`` table) the transactions are not scanned.
+
+    With ``materialize`` the cohort's flow metrics (one row per VIP
+    customer) are checkpointed first; if the cohort has at most
+    ``cohort_broadcast_rows`` customers it is broadcast to filter the game
+    days and plays map-side, so only cohort customers are aggregated.
     """
     flows = flow_summary(tx, p, daily=flow_rollup).filter(cohort_filter(p.vip_min_amount, p.vip_min_count))
+    if materialize:
+        flows = cut_lineage(flows)
+        if flows.count() <= p.cohort_broadcast_rows:
+            ids = F.broadcast(flows.select("client_id"))
+            days = days.join(ids, "client_id", "left_semi")
+            plays = plays.join(ids, "client_id", "left_semi")
     gaming = days.groupBy("client_id").agg(
         *revenue_exprs(p, ggr_horizons=True), *avg_bet_exprs(p), last_bet_expr("bets_count")
     )

@@ -65,11 +65,19 @@ def test_small_dimensions_are_broadcast(spark):
 
 
 def test_top_products_one_aggregation_no_window(spark):
-    txt = plan(queries()["report_a"](spark, SF001), "simple")
+    from customer360.catalog import PARAMS_A
+    from customer360.sources.fixtures import Fixtures
+
+    f = Fixtures(spark, SF001)
+    lazy = ops.report_a(f.customers(), f.transactions(), f.game_days(), f.game_plays(), PARAMS_A,
+                        materialize=False)
+    txt = plan(lazy, "simple")
     # The four top-product horizons share one (customer, product) aggregation
     # and one per-customer min(struct) aggregation; no per-horizon window.
     assert txt.count("Window [") == 1  # only the running total of the VIP date
     assert "min(CASE WHEN isnotnull(in_lft" in txt and "min(CASE WHEN isnotnull(in_90d" in txt
+    # Materialised (the default), the window runs in the cohort's checkpoint job.
+    assert plan(queries()["report_a"](spark, SF001), "simple").count("Window [") == 0
 
 
 def test_report_a_scans(spark):
@@ -140,3 +148,19 @@ def test_report_b_small_cohort_filters_facts_map_side(spark):
     big = dataclasses.replace(PARAMS_B, cohort_broadcast_rows=0)
     assert plan(ops.report_b(*args, big)).split("\n\n")[0].count("BroadcastHashJoin LeftSemi") == 0
     assert rows(ops.report_b(*args, PARAMS_B)) == rows(ops.report_b(*args, big))
+
+
+def test_report_a_small_cohort_filters_facts_map_side(spark):
+    import dataclasses
+
+    from customer360.catalog import PARAMS_A
+    from customer360.sources.fixtures import Fixtures
+
+    f = Fixtures(spark, SF001)
+    args = (f.customers(), f.transactions(), f.game_days(), f.game_plays())
+    small = plan(ops.report_a(*args, PARAMS_A)).split("\n\n")[0]
+    assert small.count("BroadcastHashJoin LeftSemi") == 2
+    big = dataclasses.replace(PARAMS_A, cohort_broadcast_rows=0)
+    assert "LeftSemi" not in plan(ops.report_a(*args, big)).split("\n\n")[0]
+    lazy = ops.report_a(*args, PARAMS_A, materialize=False)
+    assert rows(ops.report_a(*args, PARAMS_A)) == rows(ops.report_a(*args, big)) == rows(lazy)
