@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from customer360 import operators as ops
 from customer360.config import ReportParams
+from customer360.jobs import REPORT_A_NAME
 from customer360.functions.formatting import blocked_flag, decode_utf8
 from customer360.operators.gaming import LIFETIME
 from customer360.operators.reports import flow_horizons_eur, gaming_b
@@ -24,8 +25,6 @@ from customer360.sources.sinks import with_report_label
 CURRENCY_CODES = ("CAD", "USDT", "BRL", "EUR", "NZD", "USD", "AUD", "GBP", "XXX")
 PARAMS_A = ReportParams(asof=ASOF, vip_min_amount=1_000_000, vip_min_count=5)
 PARAMS_B = ReportParams(asof=ASOF, crossing_amount=300_000)
-REPORT_A_NAME = "VIP_Customer_Details"
-REPORT_B_NAME = "VIP_Summary"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
