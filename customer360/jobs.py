@@ -161,7 +161,9 @@ def main(argv=None) -> None:
     else:
         p = ReportParams(**kw)
     spark = SparkSession.builder.appName(f"customer360-report-{a.report}").getOrCreate()
-    tune_session(spark, shuffle_partitions_for(a.input_bytes) if a.input_bytes else None)
+    local = spark.sparkContext.master.startswith("local")
+    tune_session(spark, shuffle_partitions_for(a.input_bytes) if a.input_bytes else None,
+                 parallelism_first=None if local else False)
     names = TABLES_A if a.report == "a" else TABLES_B
     if a.tables:
         inputs = Inputs.from_dir(spark, a.tables, names)

@@ -25,7 +25,11 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20, mini
     return max(minimum, min(maximum, -(-int(input_bytes) // target_bytes)))
 
 
-def tune_session(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+def tune_session(spark: SparkSession, shuffle_partitions: int | None = None,
+                 parallelism_first: bool | None = None) -> SparkSession:
+    """Apply the settings above. ``parallelism_first=False`` (for shared
+    clusters) makes AQE coalesce shuffles to the advisory partition size
+    instead of keeping as many partitions as there are cores."""
     conf = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -35,6 +39,8 @@ def tune_session(spark: SparkSession, shuffle_partitions: int | None = None) ->
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if parallelism_first is not None:
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = str(parallelism_first).lower()
     for k, v in conf.items():
         spark.conf.set(k, v)
     return spark
