@@ -101,3 +101,18 @@ def test_unique_ids_knob_matches_exact_count_on_unique_ids(spark):
     exact = ReportParams(asof=ASOF, vip_min_amount=1_000_000, vip_min_count=5)
     fast = ReportParams(asof=ASOF, vip_min_amount=1_000_000, vip_min_count=5, unique_txn_ids=True)
     assert rows(ops.flow_summary(tx, exact)) == rows(ops.flow_summary(tx, fast))
+
+
+def test_eur_text_matches_python_reference(spark):
+    from customer360.functions import eur_text
+
+    rnd = random.Random(3)
+    vals = [rnd.choice([-1, 1]) * rnd.random() * 10 ** rnd.randint(0, 12) for _ in range(400)] + [0.0, -0.5, 999.999]
+
+    def reference(v):  # NULL/NaN -> 0, truncate toward zero, '.' thousands, ',00', minus after the sign
+        n = int(v)
+        return "€\u00a0" + ("-" if n < 0 else "") + f"{abs(n):,}".replace(",", ".") + ",00"
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
+    got = {r["i"]: r["t"] for r in df.select("i", eur_text("v").alias("t")).collect()}
+    assert [got[i] for i in range(len(vals))] == [reference(v) for v in vals]
