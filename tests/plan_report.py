@@ -9,37 +9,17 @@ sort-merge join into a broadcast join at runtime).
 
 from __future__ import annotations
 
-import contextlib
-import io
 import os
-import re
 import sys
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, os.path.dirname(HERE))
 
 
-def summarise(df) -> dict[str, int]:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    txt = buf.getvalue()
-    tree = txt.split("\n\n")[0]
-    args = re.findall(r"Arguments: (hashpartitioning|RoundRobinPartitioning|SinglePartition|rangepartitioning)", txt)
-    return {
-        "scans": tree.count("Scan parquet"),
-        "hash_shuffles": args.count("hashpartitioning"),
-        "spread_shuffles": args.count("RoundRobinPartitioning"),
-        "broadcasts": tree.count("BroadcastExchange"),
-        "smj": tree.count("SortMergeJoin"),
-        "windows": len(re.findall(r"\bWindow \(", tree)),
-        "sort_aggs": tree.count("SortAggregate"),
-    }
-
-
 def main(argv):
     from __spark_entry__ import queries
 
+    from customer360.plans.inspect import plan_summary
     from customer360.plans.settings import local_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
@@ -48,7 +28,7 @@ def main(argv):
     print("| query | " + " | ".join(cols) + " |")
     print("| --- |" + " --- |" * len(cols))
     for k, q in queries().items():
-        s = summarise(q(spark, sf_dir))
+        s = plan_summary(q(spark, sf_dir))
         print(f"| {k} | " + " | ".join(str(s[c]) for c in cols) + " |", flush=True)
 
 

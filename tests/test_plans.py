@@ -3,9 +3,7 @@ dimensions, one aggregation per source, no extra shuffle in the join chain."""
 
 from __future__ import annotations
 
-import contextlib
 import datetime as dt
-import io
 import re
 
 import pytest
@@ -15,13 +13,11 @@ from conftest import SF001, rows
 from __spark_entry__ import queries
 from customer360 import operators as ops
 from customer360.config import ReportParams
+from customer360.plans.inspect import plan_text
 
 
 def plan(df, mode="formatted") -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(mode)
-    return buf.getvalue()
+    return plan_text(df, mode)
 
 
 @pytest.fixture(scope="module")
@@ -164,3 +160,13 @@ def test_report_a_small_cohort_filters_facts_map_side(spark):
     assert "LeftSemi" not in plan(ops.report_a(*args, big)).split("\n\n")[0]
     lazy = ops.report_a(*args, PARAMS_A, materialize=False)
     assert rows(ops.report_a(*args, PARAMS_A)) == rows(ops.report_a(*args, big)) == rows(lazy)
+
+
+def test_plan_summary_helper(raw_tx):
+    from customer360.plans import plan_summary, pushed_filters
+
+    p = ReportParams(asof=dt.date(2001, 8, 1))
+    df = ops.flow_horizons(raw_tx, p)
+    assert plan_summary(df) == {"scans": 1, "hash_shuffles": 1, "spread_shuffles": 0, "broadcasts": 0,
+                                "smj": 0, "windows": 0, "sort_aggs": 0}
+    assert any("In(status" in f for f in pushed_filters(df))
