@@ -34,6 +34,11 @@ from customer360.plans.joins import left_join_all
 from customer360.plans.lineage import cut_lineage
 
 
+def _at_most(df: DataFrame, n: int) -> bool:
+    """Whether ``df`` has at most ``n`` rows, reading no more than n + 1."""
+    return df.limit(n + 1).count() <= n
+
+
 def kpi_ratios(wide: DataFrame, p: ReportParams) -> DataFrame:
     """NGR / deposits per horizon, withdrawals / deposits, net deposits.
 
@@ -92,7 +97,7 @@ def report_a(
     flows = flow_summary(tx, p, daily=flow_rollup).filter(cohort_filter(p.vip_min_amount, p.vip_min_count))
     if materialize:
         flows = cut_lineage(flows)
-        if flows.count() <= p.cohort_broadcast_rows:
+        if _at_most(flows, p.cohort_broadcast_rows):
             ids = F.broadcast(flows.select("client_id"))
             days = days.join(ids, "client_id", "left_semi")
             plays = plays.join(ids, "client_id", "left_semi")
@@ -208,7 +213,7 @@ def report_b(
         crossing = cut_lineage(crossing)
         # Counting the checkpointed cohort is cheap; it is the size check
         # behind the explicit broadcast below.
-        small_cohort = crossing.count() <= p.cohort_broadcast_rows
+        small_cohort = _at_most(crossing, p.cohort_broadcast_rows)
     # Only cohort customers reach the report, so the per-customer tables are
     # restricted to the cohort before their joins (a semi join; AQE turns it
     # into a broadcast filter when the cohort is small). Catalyst cannot push
