@@ -49,6 +49,8 @@ BANDS = 4
 BUCKETS = 1 << 17
 #: Rows of one side of a tile before it is salted.
 TILE_ROWS = 512
+#: Largest table of wanted rows that is broadcast (counted before).
+BROADCAST_ROWS = 500_000
 
 _BITS = [f"w{i}" for i in range(WORDS)]
 _U = np.uint64
@@ -78,7 +80,7 @@ def _bands(s: np.ndarray) -> list[int]:
 
 
 def _signatures(k: int, id_type: pa.DataType):
-    """Rows per document (bucket NULL) and shingle counts per bucket (doc_id NULL)."""
+    """Rows per document (bucket NULL) and shingle counts per bucket (the rest NULL)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(BUCKETS, np.int64)
@@ -91,17 +93,17 @@ def _signatures(k: int, id_type: pa.DataType):
                     bits[i] = _bitmap(s)
             count += np.bincount((np.concatenate(sets) >> _U(20)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_vertex(s) if len(s) else None for s in sets], pa.int64()),
+                [b.column("doc_id"), b.column("rk"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_vertex(s) if len(s) else None for s in sets], pa.int64()),
                  *(pa.array(bits[:, i]) for i in range(WORDS)), pa.array([_bands(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                  pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names)
         hit = np.flatnonzero(count)
         if len(hit):
             none = pa.nulls(len(hit), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(hit), id_type), none, none, *[none] * WORDS, pa.nulls(len(hit), pa.list_(pa.int64())),
+                [pa.nulls(len(hit), id_type), none, none, none, *[none] * WORDS, pa.nulls(len(hit), pa.list_(pa.int64())),
                  pa.array(hit.astype(np.int32)), pa.array(count[hit])], names)
 
-    names = ["doc_id", "n_shingles", "node", *_BITS, "bands", "bucket", "n"]
+    names = ["doc_id", "rk", "n_shingles", "node", *_BITS, "bands", "bucket", "n"]
     return run
 
 
@@ -132,13 +134,12 @@ def _prefixes(k: int, percent: int, counts: np.ndarray):
 
 
 def _arrays(k: int):
-    """(node, hashes) of the fetched texts, for the vertex they were fetched for."""
+    """(a, b, hashes): the array of vertex ``a`` for each of its wanted rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
-            want = b.column("node").to_pylist()
-            rows = [(v, s.tobytes()) for v, s in zip(want, shingle_sets(*utf8(b.column("text")), k), strict=True) if len(s) and _vertex(s) == v]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["node", "hashes"])
+            sets = shingle_sets(*utf8(b.column("text")), k)
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array([s.tobytes() for s in sets], pa.binary())], ["a", "b", "hashes"])
 
     return run
 
@@ -160,10 +161,22 @@ def _intersect(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link; the array of ``a`` travels to that of ``b``."""
-    x = pairs.join(arrays.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
-    both = x.join(arrays.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+def _wanted(docs: DataFrame, want: DataFrame, k: int) -> DataFrame:
+    """Arrays for ``want`` (rk, a, b), made from the texts again instead of being
+    stored for the whole corpus. Up to BROADCAST_ROWS rows (24 bytes each) are
+    broadcast, counted first; more are joined by a shuffle."""
+    small = want.count() <= BROADCAST_ROWS
+    found = docs.join(F.broadcast(want) if small else want, "rk").select("text", "a", "b")
+    return found.mapInArrow(_arrays(k), "a bigint, b bigint, hashes binary")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, keys: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link. ``keys``: (node, rk) of one row with each set.
+    The array of ``a`` travels to that of ``b``."""
+    x = _wanted(docs, cut_lineage(pairs.join(keys, F.col("a") == F.col("node")).select("rk", "a", "b")), k)
+    ends = pairs.select("b").distinct().join(keys, F.col("b") == F.col("node"))
+    y = _wanted(docs, cut_lineage(ends.select("rk", F.col("b").alias("a"), "b")), k).dropDuplicates(["b"])
+    both = x.withColumnRenamed("hashes", "x").join(y.select("b", F.col("hashes").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(_intersect(percent), "a bigint, b bigint")
 
 
@@ -181,8 +194,9 @@ def _reachable(l: str, r: str, percent: int):
 def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest linked doc_id) per row."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    docs = docs.select("*", F.xxhash64("doc_id", "text").alias("rk"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, n_shingles bigint, node bigint, " + ", ".join(f"{w} bigint" for w in _BITS) + ", bands array<bigint>, bucket int, n bigint"
+    schema = f"doc_id {id_type}, rk bigint, n_shingles bigint, node bigint, " + ", ".join(f"{w} bigint" for w in _BITS) + ", bands array<bigint>, bucket int, n bigint"
     first = cut_lineage(docs.mapInArrow(_signatures(k, to_arrow_type(docs.schema["doc_id"].dataType)), schema))
     sigs = first.where("bucket is null")
     counts = np.zeros(BUCKETS, np.int64)
@@ -190,7 +204,7 @@ def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_
     counts[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
 
     once = sigs.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), *[F.first(w).alias(w) for w in _BITS])
+        F.min("rk").alias("rk"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), *[F.first(w).alias(w) for w in _BITS])
 
     # Shingles of the prefix lists that two different sets hold.
     rows = docs.mapInArrow(_prefixes(k, percent, counts), "token bigint, node bigint, n_shingles bigint")
@@ -198,15 +212,8 @@ def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_
     shared = rows.select("*", F.min("node").over(by_token).alias("lo"), F.max("node").over(by_token).alias("hi"))
     shared = cut_lineage(shared.where("lo <> hi").select("token", "node", "n_shingles").distinct())
 
-    # Arrays of the vertices that may link: the text of one document of each.
-    near = once.join(shared.select("node").distinct(), "node", "left_semi")
-    near = cut_lineage(near)
-    want = near.select("node", "doc_id")
-    if any(r["doc_id"] is None for r in want.where("doc_id is null").limit(1).collect()):
-        fetched = docs.join(want, docs["doc_id"].eqNullSafe(want["doc_id"])).select("node", "text")
-    else:
-        fetched = docs.join(want, "doc_id").select("node", "text")
-    arrays = cut_lineage(fetched.mapInArrow(_arrays(k), "node bigint, hashes binary").dropDuplicates(["node"]))
+    near = cut_lineage(once.join(shared.select("node").distinct(), "node", "left_semi"))
+    keys = near.select("node", "rk")
 
     # Stars: every vertex against the smallest of each of its band groups.
     bands = near.select("node", F.posexplode("bands").alias("band", "key"))
@@ -214,7 +221,7 @@ def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_
     star = bands.join(lead, ["band", "key"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     p, q = near.alias("p"), near.alias("q")
     star = star.join(p, F.col("a") == F.col("p.node")).join(q, F.col("b") == F.col("q.node")).where(_reachable("p", "q", percent)).select("a", "b")
-    links = cut_lineage(_verified(star, arrays, percent))
+    links = cut_lineage(_verified(docs, cut_lineage(star), keys, k, percent))
     merged = connected_components(links)
 
     # Tiles: shingles that reach over merged groups.
@@ -223,7 +230,7 @@ def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_
     across = across.select("*", F.min("group").over(by_token).alias("lo"), F.max("group").over(by_token).alias("hi"), F.count("*").over(by_token).alias("c"))
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(100 / percent + 0.01)))
     across = across.where("lo <> hi").withColumn("band", band).withColumn("salts", F.ceil(F.col("c") / TILE_ROWS).cast("int"))
-    across = across.drop("lo", "hi", "c", "n_shingles").join(near.drop("bands", "doc_id"), "node")
+    across = across.drop("lo", "hi", "c", "n_shingles").join(near.drop("bands", "rk"), "node")
     left = across.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + 1))).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
     right = across.withColumn("tile", F.col("band")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     l, r = left.alias("l"), right.alias("r")
@@ -231,7 +238,7 @@ def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_
     tiles = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.tile") == F.col("r.tile")) & (F.col("l.salt") == F.col("r.salt"))
                    & (F.col("l.group") != F.col("r.group")) & order & _reachable("l", "r", percent))
     pairs = cut_lineage(tiles.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct())
-    more = cut_lineage(_verified(pairs, arrays, percent))
+    more = cut_lineage(_verified(docs, pairs, keys, k, percent))
 
     roots = connected_components(merged.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     member = sigs.select("doc_id", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -21,6 +21,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ CLOSING_ID = 0
 #: Pieces numbered by one window partition.
 RANK_GROUP = 100_000
 #: Distinct words whose ids a worker keeps before it starts afresh.
-WORD_CACHE = 300_000
+WORD_CACHE = 800_000
 
 _RUN = re.compile(r"\s\s")
 _TOKENIZERS: dict[str, "WordTokenizer"] = {}
@@ -67,19 +68,18 @@ class WordTokenizer:
     def _clear(self) -> None:
         self.index: dict = {}
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.at = [0]
+        self.at = np.zeros(1, np.int64)
 
     def _learn(self, keys: list) -> None:
         texts = [k[0] if type(k) is tuple else " " + k for k in keys]
         for i in range(0, len(texts), 20_000):
             ids = [x.ids for x in self.tok.encode_batch_fast(texts[i : i + 20_000], add_special_tokens=False)]
-            end = self.at[-1] + sum(map(len, ids))
-            if end > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(end, len(self.flat)), np.uint32)])
-            self.flat[self.at[-1] : end] = [x for row in ids for x in row]
-            for k, row in zip(keys[i : i + 20_000], ids, strict=True):
-                self.index[k] = len(self.at) - 1
-                self.at.append(self.at[-1] + len(row))
+            ends = self.at[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            if ends[-1] > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros(max(ends[-1], len(self.flat)), np.uint32)])
+            self.flat[self.at[-1] : ends[-1]] = np.fromiter(chain.from_iterable(ids), np.uint32)
+            self.index.update(zip(keys[i : i + 20_000], range(len(self.at) - 1, len(self.at) - 1 + len(ids)), strict=True))
+            self.at = np.concatenate((self.at, ends))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text (uint32, no special tokens)."""
@@ -97,7 +97,7 @@ class WordTokenizer:
         new = [k for k in set(keys) if k not in self.index]
         if new:
             self._learn(new)
-        at = np.asarray(self.at, np.int64)
+        at = self.at
         which = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
         size = at[which + 1] - at[which]
         stop = np.concatenate(([0], np.cumsum(size)))
