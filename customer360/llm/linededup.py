@@ -287,12 +287,12 @@ def line_report(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) ->
 def dedup_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` without repeated lines: all columns kept, n_chars (if there)
     recounted. A document all of whose lines are removed goes."""
-    gone = line_classes(docs, tau, min_chars).where("not keep").groupBy("rk").agg(F.collect_set("line_no").alias("_gone"))
-    out = docs.withColumn("_rk", _row_key()).join(gone.withColumnRenamed("rk", "_rk"), "_rk", "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("_gone", i))
-    out = out.withColumn("_kept", F.when(F.col("_gone").isNotNull(), kept))
-    out = out.where(F.col("_kept").isNull() | F.exists("_kept", lambda x: F.length(F.trim(x)) > 0))
-    out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")))
+    gone = line_classes(docs, tau, min_chars).where("not keep").groupBy("rk").agg(F.collect_set("line_no").alias("__gone"))
+    out = docs.withColumn("__row_key", _row_key()).join(gone.withColumnRenamed("rk", "__row_key"), "__row_key", "left")
+    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("__gone", i))
+    out = out.withColumn("__kept", F.when(F.col("__gone").isNotNull(), kept))
+    out = out.where(F.col("__kept").isNull() | F.exists("__kept", lambda x: F.length(F.trim(x)) > 0))
+    out = out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(docs.columns)

@@ -13,9 +13,9 @@ documents link when 100 * |A n B| >= 80 * |A u B|. The join is exact:
 3. Members of a band group are verified against the group's smallest vertex
    (a star, not all pairs); verified links merge most copies.
 4. What remains are shingles shared across merged groups. They are joined in
-   tiles of (shingle, size band), salted by size; sizes and
-   ``n - popcount(A & ~B)``, an upper bound of the overlap, discard pairs
-   inside the join; survivors meet in an exact intersection of sorted arrays.
+   tiles of (shingle, size band), salted by size. Of the distinct pairs,
+   ``n - popcount(A & ~B)``, an upper bound of the overlap, discards most;
+   the others meet in an exact intersection of sorted arrays.
 
 Only pairs of vertices from different merged groups are ever formed, so
 copies are not expanded into all pairs, and no link that joins two groups is
@@ -180,19 +180,34 @@ def _verified(docs: DataFrame, pairs: DataFrame, keys: DataFrame, k: int, percen
     return both.select("a", "b", "x", "y").mapInArrow(_intersect(percent), "a bigint, b bigint")
 
 
-def _reachable(l: str, r: str, percent: int):
-    """Sizes and bitmaps allow the threshold (an upper bound of the overlap)."""
-    na, nb = F.col(f"{l}.n_shingles"), F.col(f"{r}.n_shingles")
+def _bounded(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and bitmaps allow the threshold: each bit of A that
+    B lacks is a shingle that is not shared."""
+    p, q = near.alias("p"), near.alias("q")
+    both = pairs.join(p, F.col("a") == F.col("p.node")).join(q, F.col("b") == F.col("q.node"))
+    na, nb = F.col("p.n_shingles"), F.col("q.n_shingles")
 
-    def missing(p, q):
-        return sum((F.bit_count(F.col(f"{p}.{w}").bitwiseAND(F.bitwise_not(F.col(f"{q}.{w}")))) for w in _BITS), F.lit(0))
+    def missing(l, r):
+        return sum((F.bit_count(F.col(f"{l}.{w}").bitwiseAND(F.bitwise_not(F.col(f"{r}.{w}")))) for w in _BITS), F.lit(0))
 
-    top = F.least(na - missing(l, r), nb - missing(r, l))
-    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (100 * top >= percent * (na + nb - top))
+    top = F.least(na - missing("p", "q"), nb - missing("q", "p"))
+    return both.where(100 * top >= percent * (na + nb - top)).select("a", "b")
 
 
 def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest linked doc_id) per row."""
+    return _linked(docs, k, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_PERCENT) -> DataFrame:
+    """``docs`` (all columns) with the smallest doc_id of each component; of
+    identical rows one stays. Components without any doc_id stay whole."""
+    keep = _linked(docs, k, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("rk").alias("__row_key")).distinct()
+    keyed = docs.withColumn("__row_key", F.xxhash64("doc_id", F.col("text").cast("string")))
+    return keyed.join(keep, "__row_key", "left_semi").dropDuplicates(["__row_key"]).drop("__row_key")
+
+
+def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     docs = docs.select("*", F.xxhash64("doc_id", "text").alias("rk"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -219,9 +234,8 @@ def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_
     bands = near.select("node", F.posexplode("bands").alias("band", "key"))
     lead = bands.groupBy("band", "key").agg(F.min("node").alias("b"), F.count("*").alias("c")).where("c > 1")
     star = bands.join(lead, ["band", "key"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    p, q = near.alias("p"), near.alias("q")
-    star = star.join(p, F.col("a") == F.col("p.node")).join(q, F.col("b") == F.col("q.node")).where(_reachable("p", "q", percent)).select("a", "b")
-    links = cut_lineage(_verified(docs, cut_lineage(star), keys, k, percent))
+    star = cut_lineage(_bounded(star, near, percent))
+    links = cut_lineage(_verified(docs, star, keys, k, percent))
     merged = connected_components(links)
 
     # Tiles: shingles that reach over merged groups.
@@ -230,18 +244,19 @@ def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_
     across = across.select("*", F.min("group").over(by_token).alias("lo"), F.max("group").over(by_token).alias("hi"), F.count("*").over(by_token).alias("c"))
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(100 / percent + 0.01)))
     across = across.where("lo <> hi").withColumn("band", band).withColumn("salts", F.ceil(F.col("c") / TILE_ROWS).cast("int"))
-    across = across.drop("lo", "hi", "c", "n_shingles").join(near.drop("bands", "rk"), "node")
+    across = across.drop("lo", "hi", "c")
     left = across.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + 1))).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
     right = across.withColumn("tile", F.col("band")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     l, r = left.alias("l"), right.alias("r")
     order = (F.col("l.n_shingles") < F.col("r.n_shingles")) | ((F.col("l.n_shingles") == F.col("r.n_shingles")) & (F.col("l.node") < F.col("r.node")))
     tiles = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.tile") == F.col("r.tile")) & (F.col("l.salt") == F.col("r.salt"))
-                   & (F.col("l.group") != F.col("r.group")) & order & _reachable("l", "r", percent))
-    pairs = cut_lineage(tiles.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct())
+                   & (F.col("l.group") != F.col("r.group")) & order & (100 * F.col("l.n_shingles") >= percent * F.col("r.n_shingles")))
+    pairs = tiles.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+    pairs = cut_lineage(_bounded(pairs, near, percent))
     more = cut_lineage(_verified(docs, pairs, keys, k, percent))
 
     roots = connected_components(merged.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-    member = sigs.select("doc_id", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    member = sigs.select("doc_id", "rk", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = member.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     out = member.join(least, "root", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "rk", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

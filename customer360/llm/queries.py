@@ -3,12 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(n: int) -> F.Column:
+    """crc32 of doc_id as text, modulo n: the folds of the contracts."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every verified benchmark passage of ``documents``."""
+    from customer360.llm.decontam import find_leaks
+
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines' classes and the lines that go."""
+    from customer360.llm.linededup import line_report
+
+    return line_report(_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the rows not held out."""
+    from customer360.llm.toxcnn import toxicity
+
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = toxicity(docs, docs, labels.where(_remainder(5) != 0))
+    return scored.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     from customer360.llm.ngramjoin import link_components
@@ -23,5 +52,5 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_ngram_jaccard, op9_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op3_decontamination, op4_line_dedup, op8_ngram_jaccard, op9_best_fit_packing, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
