@@ -18,7 +18,6 @@ columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from customer360.llm.textnum import chunks
+from customer360.llm.textnum import SPACE, chunks, span_hashes, utf8
 from customer360.plans import cut_lineage
 
 CAPACITY = 2048
@@ -38,7 +37,6 @@ RANK_GROUP = 100_000
 #: Distinct words whose ids a worker keeps before it starts afresh.
 WORD_CACHE = 800_000
 
-_RUN = re.compile(r"\s\s")
 _TOKENIZERS: dict[str, "WordTokenizer"] = {}
 
 
@@ -53,9 +51,10 @@ class WordTokenizer:
     """Ids of whole texts, encoding each distinct space-separated word once.
 
     The vocabulary's split pattern starts a new piece at every single space
-    between two non-spaces, so a text without runs of white space can be
-    encoded word by word. Any other text is encoded whole.
-    """
+    between two non-spaces, so a text without runs of white space (and without
+    non-ASCII white space) can be encoded word by word; any other text is
+    encoded whole. Words are looked up by a 64-bit hash of their bytes in an
+    open-addressing table."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,46 +65,87 @@ class WordTokenizer:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
+        self.slot = np.full(4 * WORD_CACHE, -1, np.int32)
+        self.key = np.zeros(0, np.uint64)
         self.at = np.zeros(1, np.int64)
-
-    def _learn(self, keys: list) -> None:
-        texts = [k[0] if type(k) is tuple else " " + k for k in keys]
-        for i in range(0, len(texts), 20_000):
-            ids = [x.ids for x in self.tok.encode_batch_fast(texts[i : i + 20_000], add_special_tokens=False)]
-            ends = self.at[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
-            if ends[-1] > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(ends[-1], len(self.flat)), np.uint32)])
-            self.flat[self.at[-1] : ends[-1]] = np.fromiter(chain.from_iterable(ids), np.uint32)
-            self.index.update(zip(keys[i : i + 20_000], range(len(self.at) - 1, len(self.at) - 1 + len(ids)), strict=True))
-            self.at = np.concatenate((self.at, ends))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of every text (uint32, no special tokens)."""
-        if len(self.index) > WORD_CACHE:
+        self.flat = np.zeros(1 << 20, np.uint32)
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Number of each word, -1 for a new one."""
+        out = np.full(len(h), -1, np.int64)
+        todo, place = np.arange(len(h)), (h % np.uint64(len(self.slot))).astype(np.int64)
+        while len(todo):
+            got = self.slot[place[todo]]
+            full = got >= 0
+            same = full & (self.key[np.where(full, got, 0)] == h[todo]) if len(self.key) else full & False
+            out[todo[same]] = got[same]
+            todo = todo[full & ~same]
+            place[todo] = (place[todo] + 1) % len(self.slot)
+        return out
+
+    def _learn(self, h: np.ndarray, words: list[str]) -> None:
+        """Add the distinct new words."""
+        ids = []
+        for i in range(0, len(words), 20_000):
+            ids += [x.ids for x in self.tok.encode_batch_fast(words[i : i + 20_000], add_special_tokens=False)]
+        ends = self.at[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        if ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(ends[-1], len(self.flat)), np.uint32)])
+        self.flat[self.at[-1] : ends[-1]] = np.fromiter(chain.from_iterable(ids), np.uint32)
+        number = np.arange(len(self.key), len(self.key) + len(h))
+        self.key, self.at = np.concatenate((self.key, h)), np.concatenate((self.at, ends))
+        if len(self.key) * 2 > len(self.slot):
+            self.slot = np.full(4 * len(self.key), -1, np.int32)
+            h, number = self.key, np.arange(len(self.key))
+        place, todo = (h % np.uint64(len(self.slot))).astype(np.int64), np.arange(len(h))
+        while len(todo):
+            free = todo[self.slot[place[todo]] < 0]
+            self.slot[place[free]] = number[free]
+            todo = todo[self.slot[place[todo]] != number[todo]]
+            place[todo] = (place[todo] + 1) % len(self.slot)
+
+    def encode(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of every text (uint32, no special tokens); NULL is empty."""
+        if len(self.key) > WORD_CACHE:
             self._clear()
-        whole = [bool(_RUN.search(t)) for t in texts]
-        keys: list = []
-        ends = [0]
-        for t, w in zip(texts, whole, strict=True):
-            if not w and t:
-                parts = t.split(" ")
-                parts[0] = (parts[0],)
-                keys += parts
-            ends.append(len(keys))
-        new = [k for k in set(keys) if k not in self.index]
-        if new:
-            self._learn(new)
-        at = self.at
-        which = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
-        size = at[which + 1] - at[which]
-        stop = np.concatenate(([0], np.cumsum(size)))
-        ids = self.flat[np.repeat(at[which] - stop[:-1], size) + np.arange(stop[-1])]
-        cut = stop[np.asarray(ends)]
+        raw, off = utf8(column)
+        n = len(raw)
+        follow, third = np.append(raw[1:], 0), np.append(raw[2:], [0, 0])[:n]
+        odd = (SPACE[raw] & SPACE[follow]) | ((raw == 0xC2) & ((follow == 0x85) | (follow == 0xA0))) | ((raw == 0xE1) & (follow == 0x9A))
+        odd |= (raw == 0xE2) & (((follow == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF))) | ((follow == 0x81) & (third == 0x9F)))
+        odd |= (raw == 0xE3) & (follow == 0x80) & (third == 0x80)
+        whole = np.zeros(len(column) + 1, bool)
+        whole[np.searchsorted(off, np.flatnonzero(odd), "right") - 1] = True
+        # A word begins at a text's start and after every space.
+        gaps = np.flatnonzero(raw == 32)
+        row = np.searchsorted(off, gaps, "right") - 1
+        full = np.flatnonzero(np.diff(off))
+        begin = np.concatenate((gaps + 1, off[full]))
+        row = np.concatenate((row, full))
+        order = np.argsort(begin, kind="stable")
+        begin, row = begin[order], row[order]
+        stop = np.append(begin[1:] - 1, n)
+        new_row = np.append(row[1:] != row[:-1], True)
+        stop[new_row] = off[row[new_row] + 1]
+        first = begin == off[row]
+        use = ~whole[row]
+        begin, stop, row, first = begin[use], stop[use], row[use], first[use]
+        with np.errstate(over="ignore"):
+            h = span_hashes(raw, begin, stop, fold=False) ^ (first * np.uint64(0x9E3779B97F4A7C15))
+        which = self._find(h)
+        lost = np.flatnonzero(which < 0)
+        if len(lost):
+            fresh, at = np.unique(h[lost], return_index=True)
+            data = raw.tobytes()
+            self._learn(fresh, [("" if f else " ") + data[a:b].decode("utf-8", "replace") for a, b, f in zip(begin[lost[at]].tolist(), stop[lost[at]].tolist(), first[lost[at]].tolist(), strict=True)])
+            which[lost] = self._find(h[lost])
+        size = self.at[which + 1] - self.at[which]
+        end = np.concatenate(([0], np.cumsum(size)))
+        ids = self.flat[np.repeat(self.at[which] - end[:-1], size) + np.arange(end[-1])]
+        cut = end[np.searchsorted(row, np.arange(len(column) + 1))]
         return [
-            np.asarray(self.tok.encode(t, add_special_tokens=False).ids, np.uint32) if w else ids[a:b]
-            for t, w, a, b in zip(texts, whole, cut[:-1].tolist(), cut[1:].tolist(), strict=True)
+            np.asarray(self.tok.encode(column[i].as_py(), add_special_tokens=False).ids, np.uint32) if w else ids[a:b]
+            for i, (w, a, b) in enumerate(zip(whole[:-1].tolist(), cut[:-1].tolist(), cut[1:].tolist(), strict=True))
         ]
 
 
@@ -124,7 +164,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
         for b in chunks(batches):
             keys = b.column("doc_id")
             row, piece, start, length, crc, kept = [], [], [], [], [], []
-            for i, ids in enumerate(_TOKENIZERS[path].encode([t or "" for t in b.column("text").to_pylist()])):
+            for i, ids in enumerate(_TOKENIZERS[path].encode(b.column("text"))):
                 ids = np.append(ids, np.uint32(CLOSING_ID)).astype("<u4")
                 first = len(ids) % capacity or capacity
                 for p, a in enumerate([0, *range(first, len(ids), capacity)]):

@@ -38,7 +38,8 @@ FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BYTE = stream(1, 256)[FOLD]  # equal for the two cases of a letter
+_PLAIN = stream(1, 256)
+_BYTE = _PLAIN[FOLD]  # equal for the two cases of a letter
 _BASE = 0xD1342543DE82EF95
 _POW: list[np.ndarray] = []
 
@@ -98,15 +99,15 @@ def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return s, e, np.searchsorted(s, off)
 
 
-def span_hashes(raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """64-bit hash of the case-folded bytes of every span."""
+def span_hashes(raw: np.ndarray, s: np.ndarray, e: np.ndarray, fold: bool = True) -> np.ndarray:
+    """64-bit hash of the (case-folded) bytes of every span."""
     if not len(s):
         return np.zeros(0, _U)
     p, inv = _powers(len(raw) + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(len(raw) + 1, _U)
-        np.cumsum(_BYTE[raw] * p[: len(raw)], out=total[1:])
-        return mix((total[e] - total[s]) * inv[s] + (e - s).astype(_U))
+        np.cumsum((_BYTE if fold else _PLAIN)[raw] * p[: len(raw)], out=total[1:])
+        return mix((total[e] - total[s]) * inv[np.minimum(s, len(raw))] + (e - s).astype(_U))
 
 
 def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
