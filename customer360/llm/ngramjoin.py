@@ -4,18 +4,21 @@ A document's set is its distinct five-word shingles (64-bit hashes). Two
 documents link when 100 * |A n B| >= 80 * |A u B|. The join is exact:
 
 1. One pass gives every document its set's size, a digest (equal sets become
-   one vertex), a 1024-bit hashed bitmap and four min-wise band keys, and
-   counts shingles into a fixed number of hash buckets.
+   one vertex) and hashed bitmaps of 512 and 2048 bits, each bit the parity of
+   the shingles that hash to it, and counts shingles into a fixed number of
+   hash buckets. A shingle that only one of two sets holds flips one bit, so
+   ``(|A| + |B| - popcount(a ^ b)) / 2`` bounds the overlap from above.
 2. A linking pair shares a shingle among each one's first
    ``n - ceil(0.8 n) + 1`` shingles in any common order; rarest bucket first
    keeps these lists apart. They are emitted per partition once per distinct
    set, and only shingles held by two different sets go on.
-3. Members of a band group are verified against the group's smallest vertex
-   (a star, not all pairs); verified links merge most copies.
+3. The holders of a shingle are verified against the one of them whose own
+   list is shared most (a star, not all pairs: the text that copies were made
+   from is shared whole); verified links merge most copies.
 4. What remains are shingles shared across merged groups. They are joined in
-   tiles of (shingle, size band), salted by size. Of the distinct pairs,
-   ``n - popcount(A & ~B)``, an upper bound of the overlap, discards most;
-   the others meet in an exact intersection of sorted arrays.
+   tiles of (shingle, size band), salted by size, in which sizes and the short
+   bitmaps discard pairs; of the distinct pairs left, the long bitmaps discard
+   more, and the others meet in an exact intersection of sorted arrays.
 
 Only pairs of vertices from different merged groups are ever formed, so
 copies are not expanded into all pairs, and no link that joins two groups is
@@ -44,15 +47,14 @@ from customer360.plans import cut_lineage
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
-WORDS = 16  # 64-bit words of a bitmap
-BANDS = 4
+LONG, SHORT = 2048, 512  # bits
 BUCKETS = 1 << 17
 #: Rows of one side of a tile before it is salted.
 TILE_ROWS = 512
 #: Largest table of wanted rows that is broadcast (counted before).
 BROADCAST_ROWS = 500_000
 
-_BITS = [f"w{i}" for i in range(WORDS)]
+_BITS = [f"w{i}" for i in range(SHORT // 64)]
 _U = np.uint64
 
 
@@ -64,46 +66,35 @@ def _vertex(s: np.ndarray) -> int:
 
 
 def _bitmap(s: np.ndarray) -> np.ndarray:
-    out = np.zeros(WORDS * 64, np.uint8)
-    out[(s >> _U(40)).astype(np.int64) % (WORDS * 64)] = 1
-    return np.packbits(out).view(np.int64)
-
-
-def _bands(s: np.ndarray) -> list[int]:
-    """Keys of ``BANDS`` pairs of minima, one minimum per equal range of hashes."""
-    ranges = 2 * BANDS
-    edge = (np.arange(ranges, dtype=_U) << _U(61)) if ranges == 8 else np.arange(ranges, dtype=_U) * _U(2**64 // ranges)
-    at = np.searchsorted(s, edge)
-    low = np.where(at < len(s), s[np.minimum(at, len(s) - 1)], _U(0))  # an empty range takes the next one's minimum
-    with np.errstate(over="ignore"):
-        return mix(low[0::2] * _U(3) + low[1::2] + np.arange(BANDS, dtype=_U)).view(np.int64).tolist()
+    """Parity of the shingles per bit, LONG bits as words of 64."""
+    return np.packbits(np.bincount((s >> _U(40)).astype(np.int64) % LONG, minlength=LONG).astype(np.uint8) & 1).view(np.int64)
 
 
 def _signatures(k: int, id_type: pa.DataType):
-    """Rows per document (bucket NULL) and shingle counts per bucket (the rest NULL)."""
+    """Rows per document, and one row per task with shingle counts per bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(BUCKETS, np.int64)
+        none = pa.nulls(1, pa.int64())
         for b in chunks(batches):
             sets = shingle_sets(*utf8(b.column("text")), k)
             n = len(sets)
-            bits = np.zeros((n, WORDS), np.int64)
+            bits = np.zeros((n, LONG // 64), np.int64)
             for i, s in enumerate(sets):
                 if len(s):
                     bits[i] = _bitmap(s)
+            short = np.bitwise_xor.reduce(bits.reshape(n, -1, SHORT // 64), axis=1)
             count += np.bincount((np.concatenate(sets) >> _U(20)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("rk"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_vertex(s) if len(s) else None for s in sets], pa.int64()),
-                 *(pa.array(bits[:, i]) for i in range(WORDS)), pa.array([_bands(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names)
+                 *(pa.array(short[:, i]) for i in range(SHORT // 64)), pa.array([r.tobytes() for r in bits], pa.binary()), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int64()))], names)
         hit = np.flatnonzero(count)
         if len(hit):
-            none = pa.nulls(len(hit), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(hit), id_type), none, none, none, *[none] * WORDS, pa.nulls(len(hit), pa.list_(pa.int64())),
-                 pa.array(hit.astype(np.int32)), pa.array(count[hit])], names)
+                [pa.nulls(1, id_type), none, none, none, *[none] * (SHORT // 64), pa.nulls(1, pa.binary()),
+                 pa.array([hit.astype(np.int32)], pa.list_(pa.int32())), pa.array([count[hit]], pa.list_(pa.int64()))], names)
 
-    names = ["doc_id", "rk", "n_shingles", "node", *_BITS, "bands", "bucket", "n"]
+    names = ["doc_id", "rk", "n_shingles", "node", *_BITS, "bits", "buckets", "counts"]
     return run
 
 
@@ -181,17 +172,17 @@ def _verified(docs: DataFrame, pairs: DataFrame, keys: DataFrame, k: int, percen
 
 
 def _bounded(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sizes and bitmaps allow the threshold: each bit of A that
-    B lacks is a shingle that is not shared."""
-    p, q = near.alias("p"), near.alias("q")
-    both = pairs.join(p, F.col("a") == F.col("p.node")).join(q, F.col("b") == F.col("q.node"))
-    na, nb = F.col("p.n_shingles"), F.col("q.n_shingles")
+    """The pairs (a, b) whose sizes and long bitmaps allow the threshold."""
+    p, q = (near.select(F.col("node").alias(e), F.col("n_shingles").alias(f"n{e}"), F.col("bits").alias(f"bits_{e}")) for e in "ab")
 
-    def missing(l, r):
-        return sum((F.bit_count(F.col(f"{l}.{w}").bitwiseAND(F.bitwise_not(F.col(f"{r}.{w}")))) for w in _BITS), F.lit(0))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(v.as_py() for v in b.column(c)), _U).reshape(b.num_rows, -1) for c in ("bits_a", "bits_b"))
+            both = b.column("na").to_numpy() + b.column("nb").to_numpy()
+            top = (both - np.bitwise_count(x ^ y).sum(1, dtype=np.int64)) // 2
+            yield b.select(["a", "b"]).filter(pa.array(100 * top >= percent * (both - top)))
 
-    top = F.least(na - missing("p", "q"), nb - missing("q", "p"))
-    return both.where(100 * top >= percent * (na + nb - top)).select("a", "b")
+    return pairs.join(p, "a").join(q, "b").select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_PERCENT) -> DataFrame:
@@ -211,15 +202,16 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     docs = docs.select("*", F.xxhash64("doc_id", "text").alias("rk"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, rk bigint, n_shingles bigint, node bigint, " + ", ".join(f"{w} bigint" for w in _BITS) + ", bands array<bigint>, bucket int, n bigint"
+    schema = f"doc_id {id_type}, rk bigint, n_shingles bigint, node bigint, " + ", ".join(f"{w} bigint" for w in _BITS) + ", bits binary, buckets array<int>, counts array<bigint>"
     first = cut_lineage(docs.mapInArrow(_signatures(k, to_arrow_type(docs.schema["doc_id"].dataType)), schema))
-    sigs = first.where("bucket is null")
+    sigs = first.where("buckets is null")
     counts = np.zeros(BUCKETS, np.int64)
-    table = first.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows at most
+    cells = first.where("buckets is not null").select(F.inline(F.arrays_zip(F.col("buckets").alias("bucket"), F.col("counts").alias("n"))))
+    table = cells.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows at most
     counts[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
 
     once = sigs.where("node is not null").groupBy("node").agg(
-        F.min("rk").alias("rk"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), *[F.first(w).alias(w) for w in _BITS])
+        F.min("rk").alias("rk"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"), *[F.first(w).alias(w) for w in _BITS])
 
     # Shingles of the prefix lists that two different sets hold.
     rows = docs.mapInArrow(_prefixes(k, percent, counts), "token bigint, node bigint, n_shingles bigint")
@@ -230,10 +222,12 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     near = cut_lineage(once.join(shared.select("node").distinct(), "node", "left_semi"))
     keys = near.select("node", "rk")
 
-    # Stars: every vertex against the smallest of each of its band groups.
-    bands = near.select("node", F.posexplode("bands").alias("band", "key"))
-    lead = bands.groupBy("band", "key").agg(F.min("node").alias("b"), F.count("*").alias("c")).where("c > 1")
-    star = bands.join(lead, ["band", "key"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    # Stars: the holders of a shingle against the one that is shared most.
+    first_of = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
+    weight = shared.groupBy("node").agg((F.count("*") / F.max(first_of)).alias("share"))
+    held = shared.select("token", "node").join(weight, "node")
+    lead = held.groupBy("token").agg(F.max(F.struct("share", "node")).alias("top")).select("token", F.col("top.node").alias("b"))
+    star = shared.join(lead, "token").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     star = cut_lineage(_bounded(star, near, percent))
     links = cut_lineage(_verified(docs, star, keys, k, percent))
     merged = connected_components(links)
@@ -244,13 +238,17 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     across = across.select("*", F.min("group").over(by_token).alias("lo"), F.max("group").over(by_token).alias("hi"), F.count("*").over(by_token).alias("c"))
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(100 / percent + 0.01)))
     across = across.where("lo <> hi").withColumn("band", band).withColumn("salts", F.ceil(F.col("c") / TILE_ROWS).cast("int"))
-    across = across.drop("lo", "hi", "c")
+    across = across.drop("lo", "hi", "c").join(near.select("node", *_BITS), "node")
+    differ = sum((F.bit_count(F.col(f"l.{w}").bitwiseXOR(F.col(f"r.{w}"))) for w in _BITS), F.lit(0))
+    total = F.col("l.n_shingles") + F.col("r.n_shingles")
+    top = F.floor((total - differ) / 2)
     left = across.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + 1))).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
     right = across.withColumn("tile", F.col("band")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     l, r = left.alias("l"), right.alias("r")
     order = (F.col("l.n_shingles") < F.col("r.n_shingles")) | ((F.col("l.n_shingles") == F.col("r.n_shingles")) & (F.col("l.node") < F.col("r.node")))
     tiles = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.tile") == F.col("r.tile")) & (F.col("l.salt") == F.col("r.salt"))
-                   & (F.col("l.group") != F.col("r.group")) & order & (100 * F.col("l.n_shingles") >= percent * F.col("r.n_shingles")))
+                   & (F.col("l.group") != F.col("r.group")) & order & (100 * F.col("l.n_shingles") >= percent * F.col("r.n_shingles"))
+                   & (100 * top >= percent * (total - top)))
     pairs = tiles.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
     pairs = cut_lineage(_bounded(pairs, near, percent))
     more = cut_lineage(_verified(docs, pairs, keys, k, percent))
