@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from customer360 import operators as ops
 from customer360.config import ReportParams
-from customer360.jobs import REPORT_A_NAME
 from customer360.functions.formatting import blocked_flag, decode_utf8
 from customer360.operators.gaming import LIFETIME
 from customer360.operators.reports import flow_horizons_eur, gaming_b
@@ -22,6 +21,7 @@ from customer360.sources.fixtures import ASOF, Fixtures
 from customer360.sources.sinks import with_report_label
 
 # Fixed test parameters (see FIXTURES.md).
+REPORT_A_NAME = "report_a"
 CURRENCY_CODES = ("CAD", "USDT", "BRL", "EUR", "NZD", "USD", "AUD", "GBP", "XXX")
 PARAMS_A = ReportParams(asof=ASOF, vip_min_amount=1_000_000, vip_min_count=5)
 PARAMS_B = ReportParams(asof=ASOF, crossing_amount=300_000)
@@ -148,7 +148,8 @@ QUERIES: dict[str, Query] = {
         _fx(s, d).merchants(), _fx(s, d).attributes(), _fx(s, d).countries(), _crossing(_fx(s, d)), PARAMS_B,
     ),
     "bonus_expense": lambda s, d: ops.bonus_expense(
-        _fx(s, d).bonuses(), _fx(s, d).customers(), _fx(s, d).currencies(), _crossing(_fx(s, d)), PARAMS_B
+        _fx(s, d).bonuses(), _fx(s, d).customers(), _fx(s, d).currencies(), _crossing(_fx(s, d)), PARAMS_B,
+        attributes=_fx(s, d).attributes(),
     ),
     # reports
     "kpi_ratios": _kpi,

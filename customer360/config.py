@@ -37,9 +37,9 @@ class ReportParams:
     vip_min_amount: float = DEFAULT_VIP_MIN_AMOUNT
     vip_min_count: int = DEFAULT_VIP_MIN_COUNT
     crossing_amount: float = DEFAULT_CROSSING_AMOUNT
-    # Scale of per-row base-currency amounts (amount / rate). The source
-    # database's decimal division keeps the dividend's scale plus four digits.
-    fx_scale: int = 6
+    # Digits that the source database's decimal division adds to the scale of
+    # the dividend in per-row base-currency amounts (amount / rate).
+    fx_extra_digits: int = 4
     # Reproduce the source's slip where the 30/90-day "bets on top game"
     # columns carry the 7-day value.
     reference_compat: bool = False
@@ -47,7 +47,3 @@ class ReportParams:
     # uses count(id), which aggregates map-side, instead of the exact
     # count(DISTINCT id), which shuffles every deposit row by its id.
     unique_txn_ids: bool = False
-    # Report B: broadcast the materialised VIP cohort to filter the fact
-    # inputs map-side when it has at most this many customers (a checked
-    # size bound; larger cohorts keep the shuffle plan).
-    cohort_broadcast_rows: int = 2_000_000

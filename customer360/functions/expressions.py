@@ -2,10 +2,8 @@
 
 Conventions (kept identical in the SQL oracle so results hash equal):
 
-* money is summed exactly, as whole micro-units in a BIGINT (integer
-  addition is exact and independent of order; a DECIMAL sum buffer wider
-  than 18 digits is object-backed in Spark and about twice as slow), and
-  exposed as DOUBLE;
+* money is summed as DECIMAL at its declared scale (exact and independent of
+  order), and exposed as DOUBLE;
 * ratios cast both operands to DOUBLE and divide with ``try_divide`` so a
   zero or NULL denominator yields NULL (Spark 4 ANSI ``/`` raises instead);
 * day differences are ``datediff(asof, day)`` (INT).
@@ -14,6 +12,7 @@ Conventions (kept identical in the SQL oracle so results hash equal):
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,30 +62,21 @@ def on_or_after(day_col, asof, n: int) -> Column:
     return _col(day_col) >= bound
 
 
-# Fixed value: money is added up in micro-units (6 decimal places), enough
-# for the 2-decimal amounts and the 6-decimal base-currency amounts.
-MONEY_SCALE = 6
-_UNIT = 10**MONEY_SCALE
-
-
 def money_units(c) -> Column:
-    """Money as BIGINT micro-units: exact for DECIMAL (scale <= 6); a DOUBLE
-    column is rounded to the nearest micro-unit (plain truncation would turn
-    1.005 into 1004999 because of binary noise).
-
-    Under ANSI mode an amount too large for BIGINT raises instead of wrapping.
-    """
-    return F.round(_col(c) * F.lit(_UNIT)).cast("bigint")
+    """Money as it is added up: the column itself. A DECIMAL sum is exact at the
+    column's declared scale, whatever it is, and independent of row order; a
+    DOUBLE column has no declared scale and is added up as DOUBLE."""
+    return _col(c)
 
 
 def units_to_money(units: Column) -> Column:
-    """BIGINT micro-units (e.g. a sum) back to a DOUBLE amount."""
-    return units.cast("double") / F.lit(float(_UNIT))
+    """A money sum as the DOUBLE amount that the reports show."""
+    return units.cast("double")
 
 
 def money_threshold(amount) -> Column:
-    """A money threshold in micro-units, for exact comparisons with unit sums."""
-    return F.lit(int(round(float(amount) * _UNIT))).cast("bigint")
+    """A money threshold, for exact comparisons with DECIMAL sums."""
+    return F.lit(Decimal(str(amount)))
 
 
 def horizon_money(date_diff, value, n: int, units: Column | None = None) -> Column:

@@ -36,13 +36,14 @@ def eur_text(c) -> Column:
 
 
 def round2(c, digits: int = 2) -> Column:
-    """Round half-to-even to ``digits`` places, on the decimal value.
+    """Round a DOUBLE to ``digits`` places as the source's data frames do.
 
-    The source rounds DECIMAL results (``round(Decimal, 2)`` is half-even on
-    the decimal digits), so a DOUBLE is first taken to DECIMAL(38,8) and
-    rounded there: 40153.575 -> 40153.58, 1142.785 -> 1142.78.
+    They hold 64-bit floats, whose rounding scales by a power of ten, rounds to
+    the nearest whole number (ties to even) and scales back: 40153.575 ->
+    40153.57, 1142.785 -> 1142.79, 2.345 -> 2.35.
     """
-    return F.bround(_col(c).cast("decimal(38,8)"), digits).cast("double")
+    power = float(10**digits)
+    return F.rint(_col(c).cast("double") * power) / power
 
 
 def decode_utf8(c) -> Column:

@@ -7,7 +7,7 @@ attached by e-mail -> dated dataset.
 Inputs are the logical tables as DataFrames (``Inputs``). ``Inputs.from_dir``
 reads a directory with one dataset per logical table (parquet by default);
 ``Inputs.from_fixtures`` derives them from the test tables. Any table can
-also come from a database through ``sources.read_jdbc``.
+also come from a database (``Inputs.from_jdbc``).
 
     python -m customer360.jobs --report a --tables /data/tables --out /data/reports --asof 2001-08-01
     python -m customer360.jobs --report b --fixtures /root/testdata/sf0.01 --out /tmp/out
@@ -17,22 +17,29 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from customer360 import operators as ops
 from customer360.config import ReportParams
+from customer360.operators.flows import DEPOSIT, WITHDRAWAL
+from customer360.plans.lineage import cut_lineage
 from customer360.plans.settings import shuffle_partitions_for, tune_session
 from customer360.sources.sinks import publish
+from customer360.sources.tables import path_exists, read_jdbc
 
 # Logical tables of the two jobs.
 TABLES_A = ("customers", "transactions", "game_days", "game_plays")
 TABLES_B = ("attributes", "customers", "merchants", "countries", "languages", "transactions", "currencies",
             "game_days", "balances", "bonuses", "last_contacts")
-# The dataset (sheet) names of the two reports.
-REPORT_A_NAME = "VIP_Customer_Details"
-REPORT_B_NAME = "VIP_Summary"
+# Dataset names of the two reports, unless the caller gives others.
+DATASETS = {"a": "report_a", "b": "report_b"}
+ROLLUP_TASKS_PER_DAY = 8
 
 
 @dataclass
@@ -59,6 +66,13 @@ class Inputs:
 
         return cls(to_logical(tables, job))
 
+    @classmethod
+    def from_jdbc(cls, spark: SparkSession, options: Mapping[str, Mapping], job: str) -> "Inputs":
+        """Tables of a source database, read by :func:`read_jdbc`: ``options`` maps
+        each logical name to its arguments (url, table, partition column and
+        bounds, connection options). Columns are the source jobs' own."""
+        return cls.from_source({n: read_jdbc(spark, **dict(o)) for n, o in options.items()}, job)
+
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, names) -> "Inputs":
         from customer360.sources.fixtures import Fixtures
@@ -70,61 +84,64 @@ class Inputs:
 def refresh_flow_rollup(tx: DataFrame, p: ReportParams, path: str, days_back: int | None = None) -> DataFrame:
     """Rebuild the per-(customer, day) flow rollup for recent days and return the whole rollup.
 
-    Only transactions of the last ``days_back`` days before ``asof`` are read
-    (a pushed-down date filter) and only those day partitions are rewritten
-    (dynamic partition overwrite); ``days_back=None``, or a rollup that does
-    not exist yet, rebuilds every day.
-    Choose ``days_back`` to cover the period in which transactions can still
-    change status; a day that loses all its rows keeps its old partition
-    until a full rebuild. Use the same ``ReportParams`` codes when reading.
+    With ``days_back`` only transactions from that many days before ``asof``
+    on are read (a pushed-down date filter) and every stored day from there on
+    is replaced, also one that has no rows left. ``days_back=None`` replaces
+    the whole rollup; so does a first run, when nothing is stored at ``path``
+    yet. Undated rows belong to every rebuild. Choose ``days_back`` to cover the
+    period in which transactions can still change status, and use the same
+    ``ReportParams`` codes when reading. Days are written by a bounded number of
+    tasks each (``ROLLUP_TASKS_PER_DAY``), so that files do not multiply.
     """
-    from pyspark.sql import functions as F
-
     spark = tx.sparkSession
-    src = tx
-    if days_back is not None and not _exists(spark, path):
-        days_back = None  # first run: a partial rollup would miss history
-    if days_back is not None:
+    kind = T.StructField("txn_date", T.DateType())
+    if days_back is None or not path_exists(spark, path):
+        daily, mode = ops.flow_daily(tx, p), "static"
+    else:
         start = p.asof - dt.timedelta(days=days_back)
-        src = tx.filter(F.col("txn_date") >= F.lit(start))
-    (ops.flow_daily(src, p).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("txn_date").parquet(path))
-    rollup = spark.read.parquet(path)
-    return rollup.withColumn("txn_date", F.col("txn_date").cast("date"))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a dataset can be read at ``path`` (works for any Hadoop file system)."""
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # AnalysisException: path does not exist / no data
-        return False
-
-
-def job_a(inputs: Inputs, p: ReportParams, flow_rollup: DataFrame | None = None) -> DataFrame:
-    """Report A, presented: EUR money text and rounded average bets."""
+        recent = (F.col("txn_date") >= F.lit(start)) | F.col("txn_date").isNull()
+        daily, mode = ops.flow_daily(tx.filter(recent), p), "dynamic"
+        # Dynamic overwrite leaves days without new rows as they are: give those
+        # that had rows a placeholder that readers drop.
+        stored = spark.read.parquet(path).select(F.col("txn_date").cast("date").alias("txn_date")).filter(recent).distinct()
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in daily.schema if f.name != "txn_date"]
+        daily = daily.unionByName(stored.select("txn_date", *nothing))
+    spread = F.pmod(F.xxhash64("client_id"), F.lit(ROLLUP_TASKS_PER_DAY))
+    out = daily.repartition("txn_date", spread)
+    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("txn_date").parquet(path)
+    schema = T.StructType([f for f in daily.schema if f.name != "txn_date"] + [kind])
+    return spark.read.schema(schema).parquet(path).where(f"_{DEPOSIT}_any is not null or _{WITHDRAWAL}_any is not null")
+
+
+def job_a(inputs: Inputs, p: ReportParams, flow_rollup: DataFrame | None = None, store: bool = False) -> DataFrame:
+    """Report A, presented: EUR money text and rounded average bets. With
+    ``store`` the cohort's metrics (one row per VIP customer) are computed once
+    and checkpointed in the session's shared folder before the report."""
+    flows = ops.cohort_flows(inputs.transactions, p, flow_rollup)
     rep = ops.report_a(inputs.customers, inputs.transactions, inputs.game_days, inputs.game_plays, p,
-                       flow_rollup=flow_rollup)
+                       flows=cut_lineage(flows) if store else flows)
     return ops.format_money(rep, p)
 
 
-def job_b(inputs: Inputs, p: ReportParams) -> DataFrame:
-    """Report B, presented: rounded metrics with the last help-desk contact."""
+def job_b(inputs: Inputs, p: ReportParams, store: bool = False) -> DataFrame:
+    """Report B, presented: rounded metrics with the last help-desk contact. With
+    ``store`` the crossing dates are computed once and checkpointed."""
+    crossing = ops.threshold_crossing(inputs.transactions, inputs.currencies, p)
     rep = ops.report_b(
         inputs.attributes, inputs.customers, inputs.merchants, inputs.countries, inputs.languages,
         inputs.transactions, inputs.currencies, inputs.game_days, inputs.balances, inputs.bonuses, p,
+        crossing=cut_lineage(crossing) if store else crossing,
     )
     return ops.contact_enrichment(ops.round_metrics(rep, p), inputs.last_contacts)
 
 
-def run(spark: SparkSession, report: str, inputs: Inputs, p: ReportParams, out_root: str, fmt: str = "parquet") -> str:
-    """Compute and publish one report; returns the dataset path."""
-    if report == "a":
-        return publish(job_a(inputs, p), p.asof, REPORT_A_NAME, out_root, fmt)
-    if report == "b":
-        return publish(job_b(inputs, p), p.asof, REPORT_B_NAME, out_root, fmt)
-    raise ValueError(f"unknown report {report!r}")
+def run(spark: SparkSession, report: str, inputs: Inputs, p: ReportParams, out_root: str, fmt: str = "parquet",
+        name: str | None = None) -> str:
+    """Compute and publish one report as dataset ``name``; returns its path."""
+    if report not in DATASETS:
+        raise ValueError(f"unknown report {report!r}")
+    df = (job_a if report == "a" else job_b)(inputs, p, store=True)
+    return publish(df, p.asof, name or DATASETS[report], out_root, fmt)
 
 
 def main(argv=None) -> None:
@@ -133,8 +150,10 @@ def main(argv=None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables", help="directory with one dataset per logical table")
     src.add_argument("--source-tables", help="same, but with the source jobs' column names and codes")
+    src.add_argument("--jdbc", help="JSON file: logical table -> arguments of read_jdbc (keep it out of the repository)")
     src.add_argument("--fixtures", help="test-data directory (driver tables)")
     ap.add_argument("--out", required=True, help="output root (shared storage on a cluster)")
+    ap.add_argument("--name", default=None, help="dataset name (default: report_a / report_b)")
     ap.add_argument("--asof", default=None, help="report date, YYYY-MM-DD (default: today)")
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--vip-min-amount", type=float, default=None)
@@ -154,7 +173,7 @@ def main(argv=None) -> None:
     for k in ("vip_min_amount", "vip_min_count", "crossing_amount"):
         if getattr(a, k) is not None:
             kw[k] = getattr(a, k)
-    if a.source_tables:
+    if a.source_tables or a.jdbc:
         from customer360.sources.source_schemas import job_a_params, job_b_params
 
         p = (job_a_params if a.report == "a" else job_b_params)(**kw)
@@ -169,13 +188,16 @@ def main(argv=None) -> None:
         inputs = Inputs.from_dir(spark, a.tables, names)
     elif a.source_tables:
         inputs = Inputs.from_source(Inputs.from_dir(spark, a.source_tables, names).tables, a.report)
+    elif a.jdbc:
+        text = spark.read.text(a.jdbc, wholetext=True).first()["value"]
+        inputs = Inputs.from_jdbc(spark, json.loads(text), a.report)
     else:
         inputs = Inputs.from_fixtures(spark, a.fixtures, names)
     if a.report == "a" and a.flow_rollup:
         rollup = refresh_flow_rollup(inputs.transactions, p, a.flow_rollup, a.rollup_days)
-        print(publish(job_a(inputs, p, rollup), p.asof, REPORT_A_NAME, a.out, a.format))
+        print(publish(job_a(inputs, p, rollup, store=True), p.asof, a.name or DATASETS["a"], a.out, a.format))
     else:
-        print(run(spark, a.report, inputs, p, a.out, a.format))
+        print(run(spark, a.report, inputs, p, a.out, a.format, a.name))
 
 
 if __name__ == "__main__":

@@ -29,9 +29,10 @@ from customer360.operators.gaming import (
 )
 from customer360.operators.milestones import cumulative_deposits_eur, threshold_crossing
 from customer360.operators.presentation import contact_enrichment, format_money, round_metrics
-from customer360.operators.reports import kpi_ratios, report_a, report_b
+from customer360.operators.reports import cohort_flows, kpi_ratios, report_a, report_b
 
 __all__ = [
+    "cohort_flows",
     "avg_bet_horizons",
     "avg_games_per_active_day",
     "bonus_enriched",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from customer360.config import ReportParams
 from customer360.functions.expressions import money_units, to_day, units_to_money
@@ -16,14 +17,14 @@ def _won(bonuses: DataFrame) -> DataFrame:
     return bonuses.filter(F.col("status") == WIN)
 
 
-def _with_rate(won: DataFrame, customers: DataFrame, rates: DataFrame, p: ReportParams, extra=()) -> DataFrame:
+def _with_rate(won: DataFrame, customers: DataFrame, rates: DataFrame, kind: DataType, p: ReportParams) -> DataFrame:
     """Won bonuses with the customer's currency rate (all rate rows: fan-out kept)."""
-    b = customers.select(F.col("id").alias("_cid"), "currency_fk", *extra)
+    b = customers.select(F.col("id").alias("_cid"), "currency_fk")
     r = rates.select(F.col("id").alias("_rid"), "rate_to_eur")
     return (
         won.join(b, won.client_id == b._cid, "left")
         .join(r, F.col("currency_fk") == r._rid, "left")
-        .withColumn("win_amount_euro", to_base(F.col("winning_amount"), F.col("rate_to_eur"), p.fx_scale))
+        .withColumn("win_amount_euro", to_base(F.col("winning_amount"), kind, F.col("rate_to_eur"), p.fx_extra_digits))
         .drop("_cid", "_rid")
     )
 
@@ -39,69 +40,56 @@ def bonus_enriched(
     crossing: DataFrame,
     p: ReportParams,
 ) -> DataFrame:
-    """Won bonuses with base-currency amount, promo, brand, affiliate, country
-    and the customer's threshold-crossing date.
+    """Won bonuses (every column of ``bonuses`` passes through) with base-currency
+    amount, promo, brand, affiliate, country and the customer's
+    threshold-crossing date.
 
-    The per-customer lookups (customer -> currency rate(s) and country,
-    attributes, crossing date) are combined into one customer profile first,
-    so the raw bonus rows meet a single join on the customer (which AQE can
-    split if one customer holds many bonuses) instead of a chain of
-    sort-merge joins; promo and brand are small broadcast dimensions. The
-    profile is a full outer combination of the customer's tables, so a
-    bonus whose customer is missing from one of them still gets the others,
-    exactly as the chain of left joins gives.
+    The per-customer lookups are joined to the distinct winners first, so that
+    the raw bonus rows meet one join on the customer (which AQE can split if
+    one customer holds many bonuses); promo and brand are small dimensions.
+    Several rate or attribute rows of a customer repeat its bonuses, as the
+    source's joins do.
     """
+    won = _won(bonuses)
     r = rates.select(F.col("id").alias("_rid"), "rate_to_eur")
     g = countries.select(F.col("id").alias("_gid"), F.col("country_desc").alias("country_name"))
-    cust = (
-        customers.select(F.col("id").alias("_pid"), "currency_fk", "country_fk")
+    c = customers.select(F.col("id").alias("_pid"), "currency_fk", "country_fk")
+    a = attributes.select(F.col("client_id").alias("_pid"), "referral_info")
+    h = crossing.select(F.col("client_id").alias("_pid"), "date_of_reaching_1k")
+    winners = won.select(F.col("client_id").alias("_pid")).where("_pid is not null").distinct()
+    profile = (
+        winners.join(c, "_pid", "left").join(a, "_pid", "left").join(h, "_pid", "left")
         .join(r, F.col("currency_fk") == r._rid, "left")
         .join(g, F.col("country_fk") == g._gid, "left")
-        .drop("_rid", "_gid")
-    )
-    other = attributes.select(F.col("client_id").alias("_pid"), "referral_info").join(
-        crossing.select(F.col("client_id").alias("_pid"), "date_of_reaching_1k"), "_pid", "full"
+        .drop("_rid", "_gid", "country_fk")
     )
-    profile = cust.join(other, "_pid", "full")
     d = bonus_defs.select(F.col("id").alias("_bid"), "promo_code", "description")
     m = merchants.select(F.col("id").alias("_mid"), F.col("name").alias("merchant_name"))
-    won = _won(bonuses)
+    kind = bonuses.schema["winning_amount"].dataType
     j = (
         won.join(profile, won.client_id == profile._pid, "left")
-        .withColumn("win_amount_euro", to_base(F.col("winning_amount"), F.col("rate_to_eur"), p.fx_scale))
+        .withColumn("win_amount_euro", to_base(F.col("winning_amount"), kind, F.col("rate_to_eur"), p.fx_extra_digits))
         .join(d, F.col("bonus_fk") == d._bid, "left")
         .join(m, F.col("merchant_fk") == m._mid, "left")
     )
-    return j.select(
-        "id",
-        "client_id",
-        "bonus_fk",
-        "merchant_fk",
-        "status",
-        F.col("winning_amount").cast("double").alias("winning_amount"),
-        "currency_fk",
-        F.col("rate_to_eur").cast("double").alias("rate_to_eur"),
-        F.col("win_amount_euro").cast("double").alias("win_amount_euro"),
-        "promo_code",
-        "description",
-        "merchant_name",
-        "referral_info",
-        "country_name",
-        "date_of_reaching_1k",
-        to_day("bonus_date").alias("bonus_date"),
-    )
+    made = ("winning_amount", "rate_to_eur", "win_amount_euro")
+    added = ["currency_fk", "rate_to_eur", "win_amount_euro", "promo_code", "description", "merchant_name", "referral_info",
+             "country_name", "date_of_reaching_1k"]
+    cols = [x for x in bonuses.columns if x != "bonus_date"] + added
+    return j.select(*[F.col(x).cast("double").alias(x) if x in made else F.col(x) for x in cols], to_day("bonus_date").alias("bonus_date"))
 
 
 def bonus_expense(
     bonuses: DataFrame, customers: DataFrame, rates: DataFrame, crossing: DataFrame, p: ReportParams,
-    cohort: DataFrame | None = None,
+    attributes: DataFrame | None = None, cohort: DataFrame | None = None,
 ) -> DataFrame:
     """Per customer: bonus expense, count of positive bonuses, and count of
     positive bonuses on/after the crossing date; customers with expense > 0.
 
-    Only the lookups the result depends on are joined (rate fan-out and the
-    crossing date); the descriptive lookups of :func:`bonus_enriched` would be
-    pruned anyway. A NULL crossing date makes the VIP condition false.
+    The joins that can repeat a bonus are kept: every rate row of the customer's
+    currency, and every attribute row of the customer (``attributes``; counted
+    per customer and multiplied in). The other lookups have unique keys and
+    change nothing. A NULL crossing date makes the VIP condition false.
 
     Won bonuses are first counted per (customer, day, amount): rows that agree
     on these give the same base amount and the same conditions, so the
@@ -115,18 +103,23 @@ def bonus_expense(
     ).agg(F.count(F.lit(1)).alias("_n"))
     if cohort is not None:
         pre = pre.join(cohort, "client_id", "left_semi")
-    j = _with_rate(pre, customers, rates, p)
+    j = _with_rate(pre, customers, rates, bonuses.schema["winning_amount"].dataType, p)
     h = crossing.select(F.col("client_id").alias("_hcid"), "date_of_reaching_1k")
     j = j.join(h, j.client_id == h._hcid, "left")
     n = F.col("_n")
+    if attributes is not None:
+        times = attributes.groupBy(F.col("client_id").alias("_acid")).agg(F.count(F.lit(1)).alias("_times"))
+        j = j.join(times, j.client_id == times._acid, "left")
+        n = n * F.coalesce("_times", F.lit(1))
     pos = F.col("win_amount_euro") > 0
     vip = pos & (F.col("bonus_date") >= F.col("date_of_reaching_1k"))
     return (
-        j.groupBy("client_id")
+        j.withColumn("_n", n)
+        .groupBy("client_id")
         .agg(
-            F.sum(money_units("win_amount_euro") * n).alias("_exp"),
-            F.sum(F.when(pos, n).otherwise(F.lit(0))).alias("bonus_count"),
-            F.sum(F.when(vip, n).otherwise(F.lit(0))).alias("vip_bonus_count"),
+            F.sum(money_units("win_amount_euro") * F.col("_n").cast("decimal(9,0)")).alias("_exp"),
+            F.sum(F.when(pos, F.col("_n")).otherwise(F.lit(0))).alias("bonus_count"),
+            F.sum(F.when(vip, F.col("_n")).otherwise(F.lit(0))).alias("vip_bonus_count"),
         )
         .filter(F.col("_exp") > 0)
         .select("client_id", units_to_money(F.col("_exp")).alias("mkt_expense"), "bonus_count", "vip_bonus_count")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from customer360.config import ReportParams
@@ -63,13 +63,15 @@ def customer_dimension(
 def latest_balance(balances: DataFrame) -> DataFrame:
     """Balance rows on each customer's latest snapshot day (ties all kept).
 
-    The latest day per customer is a partially aggregated ``max``; joining it
-    back on (customer, day) spreads a customer's rows over its days, so a
-    customer with very many snapshots does not end up in a single task.
+    ``rank() = 1`` over the customer: Spark keeps each task's own latest rows of
+    a customer before the shuffle (a window group limit), so one scan suffices
+    and a customer with very many snapshots is reduced map-side. Rows without a
+    day never count as the latest, nor do rows without a customer.
     """
-    last = balances.groupBy("client_id").agg(F.max("summary_day").alias("_max_day"))
-    last = last.withColumnRenamed("client_id", "_cid")
+    w = Window.partitionBy("client_id").orderBy(F.col("summary_day").desc())
     return (
-        balances.join(last, (balances.client_id == last._cid) & (balances.summary_day == last._max_day))
+        balances.where("summary_day is not null and client_id is not null")
+        .withColumn("_rank", F.rank().over(w))
+        .where("_rank = 1")
         .select("client_id", F.col("balance").cast("double").alias("balance_base_currency"))
     )

@@ -88,6 +88,7 @@ def flow_horizons(
     p: ReportParams,
     kinds: Mapping[str, object] | None = None,
     day_span: Mapping[str, bool] | None = None,
+    net: str | None = None,
 ) -> DataFrame:
     """Horizon sums, lifetime sum and count per customer for several flow kinds.
 
@@ -95,7 +96,8 @@ def flow_horizons(
     withdrawals). One scan, one shuffle, whatever the number of kinds.
     Summing raw rows equals summing the per-day totals of the source query:
     a day inside the horizon contributes its amounts, one outside contributes
-    0, and NULL amounts are skipped either way.
+    0, and NULL amounts are skipped either way. ``net`` names an extra column,
+    the exact difference of the two lifetime sums (NULL if either is missing).
     """
     kinds = kinds or {DEPOSIT: p.deposit_type, WITHDRAWAL: p.withdrawal_type}
     day_span = day_span if day_span is not None else {DEPOSIT: True}
@@ -104,6 +106,9 @@ def flow_horizons(
     exprs: list[Column] = []
     for prefix, t in kinds.items():
         exprs += _kind_exprs(p, prefix, F.col("txn_type") == F.lit(t), dd, day_span.get(prefix, False))
+    if net:
+        plus, minus = (F.sum(F.when(F.col("txn_type") == F.lit(kinds[k]), money_units("amount"))) for k in (DEPOSIT, WITHDRAWAL))
+        exprs.append((plus - minus).cast("double").alias(net))
     return base.groupBy("client_id").agg(*exprs)
 
 
@@ -122,8 +127,9 @@ def cumulative_flow(tx: DataFrame, p: ReportParams, txn_type=None) -> DataFrame:
 
     The running frame is RANGE UNBOUNDED PRECEDING .. CURRENT ROW ordered by
     day only, so logins of one customer on the same day share one running
-    total (peers), as in the source window. The running count adds up the
-    per-group distinct ids.
+    total (peers), as in the source window; a NULL day comes last, as the
+    source's database sorts it. The running count adds up the per-group
+    distinct ids.
     """
     txn_type = p.deposit_type if txn_type is None else txn_type
     daily = (
@@ -135,7 +141,7 @@ def cumulative_flow(tx: DataFrame, p: ReportParams, txn_type=None) -> DataFrame:
             F.count_distinct("id").alias("_ids"),
         )
     )
-    w = Window.partitionBy("client_id").orderBy("txn_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("client_id").orderBy(F.col("txn_date").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return daily.select(
         "client_id",
         "user_name",
@@ -149,7 +155,7 @@ def cumulative_flow(tx: DataFrame, p: ReportParams, txn_type=None) -> DataFrame:
 
 
 def _running_by_day(tx: DataFrame, p: ReportParams, txn_type) -> DataFrame:
-    """Per customer and day: running amount (micro-units) and running distinct-id count.
+    """Per customer and day: running amount and running distinct-id count.
 
     One row per (customer, day) before the window: the per-login distinct
     counts of the source add up to the number of distinct (login, id) pairs.
@@ -160,7 +166,7 @@ def _running_by_day(tx: DataFrame, p: ReportParams, txn_type) -> DataFrame:
         .groupBy("client_id", to_day("txn_date").alias("txn_date"))
         .agg(F.sum(money_units("amount")).alias("_amt"), F.count_distinct(pair).alias("_ids"))
     )
-    w = Window.partitionBy("client_id").orderBy("txn_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("client_id").orderBy(F.col("txn_date").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return per_day.select(
         "client_id",
         "txn_date",
@@ -185,7 +191,7 @@ def flow_daily(tx: DataFrame, p: ReportParams) -> DataFrame:
     """Per (customer, day) totals of both flow kinds: the daily rollup.
 
     Columns: ``client_id, txn_date`` and per kind ``_<kind>_any`` (1 if the
-    day has rows of the kind), ``_<kind>_units`` (BIGINT micro-units),
+    day has rows of the kind), ``_<kind>_units`` (exact sums),
     ``_<kind>_cnt`` (non-NULL ids), plus ``_ids`` (distinct (login, id)
     deposit pairs; absent with ``unique_txn_ids``). Independent of the report
     date, so a daily job can keep it as a day-partitioned table and rebuild
@@ -233,7 +239,7 @@ def flow_summary(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None
     kinds = {DEPOSIT: p.deposit_type, WITHDRAWAL: p.withdrawal_type}
     ids_col = f"_{DEPOSIT}_cnt" if p.unique_txn_ids else "_ids"  # unique ids: distinct = count
     daily = flow_daily(tx, p) if daily is None else daily
-    w = Window.partitionBy("client_id").orderBy("txn_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("client_id").orderBy(F.col("txn_date").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     run = daily.withColumns({
         "_run_amt": F.sum(f"_{DEPOSIT}_units").over(w),
         "_run_cnt": F.sum(ids_col).over(w),

@@ -13,6 +13,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 from customer360.config import ReportParams
 from customer360.operators.flows import filter_approved
@@ -32,14 +33,15 @@ CASE_RATES = {
 DEFAULT_CASE_RATE = Decimal("1")
 
 
-def to_base(amount: Column, rate: Column, scale: int) -> Column:
-    """``amount / rate`` as a DECIMAL with ``scale`` digits; NULL if rate is 0/NULL.
+def to_base(amount: Column, kind: DataType, rate: Column, extra: int) -> Column:
+    """``amount / rate``; NULL if rate is 0/NULL.
 
-    The quotient is kept in fixed point (as the source database's decimal
-    division does) so that later sums are exact and order independent.
+    For a DECIMAL amount (``kind`` is its type) the quotient is DECIMAL with
+    ``extra`` digits more than the amount's own scale, as the source database's
+    decimal division gives, so that later sums are exact and order independent.
     """
-    q = F.try_divide(amount.cast("double"), rate.cast("double"))
-    return q.cast(f"decimal(38,{scale})")
+    q = F.try_divide(amount, rate)
+    return q.cast(f"decimal(28,{kind.scale + extra})") if isinstance(kind, DecimalType) else q.cast("double")
 
 
 def fx_normalise(tx: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
@@ -54,7 +56,7 @@ def fx_normalise(tx: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
     return (
         t.join(r, t.currency_fk == r._rate_id, "left")
         .drop("_rate_id")
-        .withColumn("amount_eur", to_base(F.col("amount"), F.col("rate_to_eur"), p.fx_scale))
+        .withColumn("amount_eur", to_base(F.col("amount"), tx.schema["amount"].dataType, F.col("rate_to_eur"), p.fx_extra_digits))
     )
 
 
@@ -70,7 +72,7 @@ def fx_normalise_valid(tx: DataFrame, rates: DataFrame, p: ReportParams, txn_typ
     return (
         t.join(r, t.currency_fk == r._rate_id, "left")
         .drop("_rate_id")
-        .withColumn("amount_eur", to_base(F.col("amount"), F.col("rate_to_eur"), p.fx_scale))
+        .withColumn("amount_eur", to_base(F.col("amount"), tx.schema["amount"].dataType, F.col("rate_to_eur"), p.fx_extra_digits))
     )
 
 

@@ -11,7 +11,7 @@ from customer360.operators.fx import fx_normalise_valid
 
 
 def _running(tx: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
-    """Per customer and day: base-currency deposits and their running total (``_run``, micro-units).
+    """Per customer and day: base-currency deposits and their exact running total (``_run``).
 
     Amounts use the distinct valid rates. The window runs over one row per
     (customer, day), so a partition never holds more rows than there are
@@ -22,7 +22,7 @@ def _running(tx: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
         .groupBy("client_id", to_day("txn_date").alias("txn_date"))
         .agg(F.sum(money_units("amount_eur")).alias("_dep"))
     )
-    w = Window.partitionBy("client_id").orderBy("txn_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("client_id").orderBy(F.col("txn_date").asc_nulls_first()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return daily.select(
         "client_id",
         "txn_date",
@@ -42,12 +42,14 @@ def threshold_crossing(tx: DataFrame, rates: DataFrame, p: ReportParams, min_amo
     """``client_id, date_of_reaching_1k``: first day with running total >= ``min_amount``.
 
     The first qualifying day by ascending date (``row_number() = 1``) is the
-    minimum qualifying day, computed as a partially aggregated ``min``.
+    minimum qualifying day, computed as a partially aggregated ``min``; the
+    source's database sorts a NULL day first, so one that qualifies is it.
     """
     min_amount = p.crossing_amount if min_amount is None else min_amount
     return (
         _running(tx, rates, p)
         .filter(F.col("_run") >= money_threshold(min_amount))
         .groupBy("client_id")
-        .agg(F.min("txn_date").alias("date_of_reaching_1k"))
+        .agg(F.min(F.struct(F.col("txn_date").isNotNull(), "txn_date")).alias("first"))
+        .select("client_id", F.col("first.txn_date").alias("date_of_reaching_1k"))
     )

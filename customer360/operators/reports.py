@@ -31,12 +31,6 @@ from customer360.operators.fx import fx_normalise
 from customer360.operators.gaming import LIFETIME, avg_bet_exprs, last_bet_expr, payout_expr, revenue_exprs, top_products
 from customer360.operators.milestones import threshold_crossing
 from customer360.plans.joins import left_join_all
-from customer360.plans.lineage import cut_lineage
-
-
-def _at_most(df: DataFrame, n: int) -> bool:
-    """Whether ``df`` has at most ``n`` rows, reading no more than n + 1."""
-    return df.limit(n + 1).count() <= n
 
 
 def kpi_ratios(wide: DataFrame, p: ReportParams) -> DataFrame:
@@ -47,11 +41,8 @@ def kpi_ratios(wide: DataFrame, p: ReportParams) -> DataFrame:
     """
     cols = {f"ngr_deposits_{n}_days": ratio(f"ngr_{n}_days", f"{DEPOSIT}_{n}_days") for n in p.horizons}
     cols["deposit_payout_percent"] = ratio(f"{WITHDRAWAL}_lifetime", f"{DEPOSIT}_lifetime")
-    # Exact fixed-point difference (the lifetimes are exact DECIMAL sums).
-    dec = f"decimal(38,{p.fx_scale})"
-    cols["net_deposits"] = (
-        F.col(f"{DEPOSIT}_lifetime").cast(dec) - F.col(f"{WITHDRAWAL}_lifetime").cast(dec)
-    ).cast("double")
+    if "net_deposits" not in wide.columns:  # flows bring the exact difference of the sums
+        cols["net_deposits"] = F.col(f"{DEPOSIT}_lifetime") - F.col(f"{WITHDRAWAL}_lifetime")
     return wide.withColumns(cols)
 
 
@@ -78,29 +69,28 @@ def report_a_columns(p: ReportParams) -> list[str]:
     )
 
 
+def cohort_flows(tx: DataFrame, p: ReportParams, flow_rollup: DataFrame | None = None) -> DataFrame:
+    """Flow metrics and VIP date of job A's VIP customers."""
+    return flow_summary(tx, p, daily=flow_rollup).filter(cohort_filter(p.vip_min_amount, p.vip_min_count))
+
+
 def report_a(
     customers: DataFrame, tx: DataFrame, days: DataFrame, plays: DataFrame, p: ReportParams,
-    flow_rollup: DataFrame | None = None, materialize: bool = True,
+    flow_rollup: DataFrame | None = None, flows: DataFrame | None = None,
 ) -> DataFrame:
     """The VIP customer report of job A (63 columns, one row per VIP customer).
 
     Cohort: lifetime deposits >= ``vip_min_amount`` or deposit count >=
     ``vip_min_count``. ``vip_date`` is the first day the running totals
     cross the same thresholds. With ``flow_rollup`` (a stored
-    ``flow_daily`` table) the transactions are not scanned.
-
-    With ``materialize`` the cohort's flow metrics (one row per VIP
-    customer) are checkpointed first; if the cohort has at most
-    ``cohort_broadcast_rows`` customers it is broadcast to filter the game
-    days and plays map-side, so only cohort customers are aggregated.
+    ``flow_daily`` table) the transactions are not scanned; with ``flows`` (a
+    stored :func:`cohort_flows`) nor is the cohort computed. The cohort
+    restricts customers, game days and plays by plain semi joins, which Spark
+    broadcasts or shuffles by the measured size of the cohort.
     """
-    flows = flow_summary(tx, p, daily=flow_rollup).filter(cohort_filter(p.vip_min_amount, p.vip_min_count))
-    if materialize:
-        flows = cut_lineage(flows)
-        if _at_most(flows, p.cohort_broadcast_rows):
-            ids = F.broadcast(flows.select("client_id"))
-            days = days.join(ids, "client_id", "left_semi")
-            plays = plays.join(ids, "client_id", "left_semi")
+    flows = cohort_flows(tx, p, flow_rollup) if flows is None else flows
+    ids = flows.select("client_id")
+    days, plays = days.join(ids, "client_id", "left_semi"), plays.join(ids, "client_id", "left_semi")
     gaming = days.groupBy("client_id").agg(
         *revenue_exprs(p, ggr_horizons=True), *avg_bet_exprs(p), last_bet_expr("bets_count")
     )
@@ -168,7 +158,7 @@ def report_b_columns(p: ReportParams) -> list[tuple[str, str]]:
 def flow_horizons_eur(tx: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
     """Deposit and withdrawal horizons in base currency (all rate rows)."""
     txe = fx_normalise(tx, rates, p).withColumn("amount", F.col("amount_eur"))
-    return flow_horizons(txe, p)
+    return flow_horizons(txe, p, net="net_deposits")
 
 
 def gaming_b(days: DataFrame, p: ReportParams) -> DataFrame:
@@ -193,40 +183,24 @@ def report_b(
     balances: DataFrame,
     bonuses: DataFrame,
     p: ReportParams,
-    materialize: bool = True,
+    crossing: DataFrame | None = None,
 ) -> DataFrame:
     """The VIP customer report of job B (57 columns).
 
     Cohort: customers whose running base-currency deposits (valid rates)
     reached ``crossing_amount``. A customer with several balance rows on its
-    latest day appears once per row, as in the source.
-
-    The crossing dates feed both the cohort join and the bonus counts; they
-    are one small row per VIP customer but cost a full transaction scan, so
-    with ``materialize=True`` they are computed once and checkpointed in the
-    session's shared checkpoint folder (which also spares that scan if an
-    executor is lost later).
+    latest day, or several attribute rows, appears once per row, as in the
+    source.
+
+    The crossing dates decide the cohort and the bonus counts. They cost a full
+    transaction scan, so a job computes them once, stores them and passes them
+    as ``crossing``. The cohort restricts every input by a semi join before its
+    aggregation (Spark broadcasts or shuffles it by its measured size):
+    Catalyst cannot push the final inner join through the outer joins.
     """
-    crossing = threshold_crossing(tx, rates, p)
-    small_cohort = False
-    if materialize:
-        crossing = cut_lineage(crossing)
-        # Counting the checkpointed cohort is cheap; it is the size check
-        # behind the explicit broadcast below.
-        small_cohort = _at_most(crossing, p.cohort_broadcast_rows)
-    # Only cohort customers reach the report, so the per-customer tables are
-    # restricted to the cohort before their joins (a semi join; AQE turns it
-    # into a broadcast filter when the cohort is small). Catalyst cannot push
-    # the final inner join through the customer dimension's outer joins.
+    crossing = threshold_crossing(tx, rates, p) if crossing is None else crossing
     ids = crossing.select("client_id")
-    if small_cohort:
-        # Map-side filter of the facts: only cohort customers are aggregated
-        # and shuffled. Beyond the bound, the facts are aggregated for every
-        # customer and the cohort join drops the rest.
-        days = days.join(F.broadcast(ids), "client_id", "left_semi")
-        tx_flows = tx.join(F.broadcast(ids), "client_id", "left_semi")
-    else:
-        tx_flows = tx
+    days, tx_flows = days.join(ids, "client_id", "left_semi"), tx.join(ids, "client_id", "left_semi")
     attrs = attributes.join(ids, "client_id", "left_semi")
     custs = customers.join(ids.withColumnRenamed("client_id", "id"), "id", "left_semi")
     base = customer_dimension(attrs, custs, merchants, countries, languages, p)
@@ -235,7 +209,7 @@ def report_b(
         base,
         [gaming_b(days, p), flow_horizons_eur(tx_flows, rates, p),
          latest_balance(balances.join(ids, "client_id", "left_semi")),
-         bonus_expense(bonuses, custs, rates, crossing, p, cohort=ids)],
+         bonus_expense(bonuses, custs, rates, crossing, p, attributes=attrs, cohort=ids)],
         "client_id",
     )
     email_text = decode_utf8("email") if dict(customers.dtypes).get("email") == "binary" else F.col("email")

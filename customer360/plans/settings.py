@@ -3,8 +3,8 @@
 * AQE on: shuffle partitions are coalesced to the data actually produced,
   a sort-merge join whose build side turns out small at runtime becomes a
   broadcast join, and skewed join partitions are split.
-* The static broadcast threshold stays Spark's size-checked default; nothing
-  in the library broadcasts by hint, so a side is broadcast only when its
+* The static broadcast threshold stays Spark's size-checked default; the report
+  operators broadcast nothing by hint, so a side is broadcast only when its
   measured size is under the threshold, and shuffled otherwise.
 * ``spark.sql.shuffle.partitions`` sizes the largest shuffle; pass a value
   of about (input bytes of the largest fact) / 128 MB on a cluster
@@ -17,12 +17,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20, minimum: int = 8,
-                           maximum: int = 100_000) -> int:
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20, minimum: int = 8) -> int:
     """Shuffle partition count so that the largest shuffle's partitions are
     about ``target_bytes`` (an upper bound: shuffles carry pruned, partially
     aggregated rows, and AQE merges partitions that come out small)."""
-    return max(minimum, min(maximum, -(-int(input_bytes) // target_bytes)))
+    return max(minimum, -(-int(input_bytes) // target_bytes))
 
 
 def tune_session(spark: SparkSession, shuffle_partitions: int | None = None,

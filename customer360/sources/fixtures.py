@@ -6,7 +6,7 @@ data has none of them, so each is derived here from the driver tables with
 plain DataFrame operations; FIXTURES.md gives the same definitions as SQL
 (used verbatim by the DuckDB oracle). The derivations deliberately include
 the traps of the real data: NULL / 'blocked' e-mails, two logins per
-customer, pending transactions, currencies without or with duplicate or zero
+customer, pending and undated transactions, customers with two attribute rows, currencies without or with duplicate or zero
 rates, zero bet counts, negative NGR, days after the report date.
 
 Everything is lazy: an adapter is a plan over the parquet scans, so the
@@ -75,8 +75,6 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.t = TableSet.shared(spark, sf_dir)
-        # Unspread scans, for the small side of a join (it is broadcast whole).
-        self.t_small = TableSet.shared(spark, sf_dir, spread=False)
         self._plans: dict[str, DataFrame] = {}
 
     @classmethod
@@ -106,7 +104,7 @@ class Fixtures:
             (k % 4).alias("partner_id"),
             F.concat(F.lit("S"), (k % 50).cast("string")).alias("state_name"),
             F.col("c_nationkey").alias("country_fk"),
-            (k % 10).alias("merchant_fk"),
+            (k % 500).alias("merchant_fk"),
             (k % 30).alias("currency_fk"),
             F.date_add(F.lit(CREATED_BASE), (k % 365).cast("int")).alias("created_on"),
             F.when(k % 13 == 0, F.lit(None).cast("date"))
@@ -116,16 +114,18 @@ class Fixtures:
 
     @_memo
     def attributes(self) -> DataFrame:
+        """One row per customer, and a second one for every 53rd."""
         k = F.col("c_custkey")
-        return self.t.customer.select(
+        one = self.t.customer.select(
             k.alias("client_id"),
             F.col("c_mktsegment").alias("referral_info"),
             F.date_add(F.lit(CREATED_BASE), (k % 365).cast("int")).alias("registered_on"),
         )
+        return one.unionByName(one.filter(F.col("client_id") % 53 == 0).withColumn("referral_info", F.lit("second")))
 
     @_memo
     def merchants(self) -> DataFrame:
-        return self.t.supplier.filter(F.col("s_suppkey") < 9).select(
+        return self.t.supplier.select(
             F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")
         )
 
@@ -139,7 +139,7 @@ class Fixtures:
 
     @_memo
     def bonus_defs(self) -> DataFrame:
-        return self.t.part.filter(F.col("p_partkey") < 6).select(
+        return self.t.part.select(
             F.col("p_partkey").alias("id"),
             F.col("p_brand").alias("promo_code"),
             F.col("p_name").alias("description"),
@@ -170,7 +170,7 @@ class Fixtures:
             key.alias("id"),
             F.col("o_custkey").alias("client_id"),
             F.concat(F.lit("login"), (key % 2).cast("string")).alias("user_name"),
-            F.to_date("o_orderdate").alias("txn_date"),
+            F.when(key % 89 != 0, F.to_date("o_orderdate")).alias("txn_date"),
             F.when(F.col("o_orderstatus") == "F", "Approved")
             .when(F.col("o_orderstatus") == "P", "ApprovedManually")
             .otherwise("Pending")
@@ -182,7 +182,7 @@ class Fixtures:
 
     def _line_orders(self) -> DataFrame:
         li = self.t.lineitem
-        o = self.t_small.orders.select("o_orderkey", "o_custkey")
+        o = self.t.orders.select("o_orderkey", "o_custkey")
         return li.join(o, li.l_orderkey == o.o_orderkey)
 
     @_memo
@@ -225,8 +225,8 @@ class Fixtures:
         return e.select(
             F.col("event_id").alias("id"),
             F.col("user_id").alias("client_id"),
-            (F.col("event_id") % 7).alias("bonus_fk"),
-            (F.col("user_id") % 10).alias("merchant_fk"),
+            (F.col("event_id") % 9001).alias("bonus_fk"),
+            (F.col("user_id") % 500).alias("merchant_fk"),
             _shifted_day("ts").alias("bonus_date"),
             F.when(F.col("event_type").isin(*WINNING_EVENTS), "WIN").otherwise("LOST").alias("status"),
             F.when(F.col("event_type") == "signup", F.lit(0).cast("decimal(12,2)"))

@@ -2,9 +2,9 @@
 
 The source jobs write one spreadsheet per run named after the day before the
 run. Here a report is a dataset partitioned by ``report_date`` under
-``<root>/<name>``: re-running a day replaces only that day's partition
-(dynamic partition overwrite), other days stay, and Spark's commit protocol
-makes the write all-or-nothing even if executors are lost mid-way.
+``<root>/<name>``: re-running a day replaces that day's folder and no other,
+and Spark's commit protocol makes the write all-or-nothing even if executors
+are lost mid-way.
 """
 
 from __future__ import annotations
@@ -22,20 +22,16 @@ def with_report_label(df: DataFrame, asof, name: str) -> DataFrame:
 
 
 def publish(df: DataFrame, asof, name: str, root: str, fmt: str = "parquet", header: bool = True) -> str:
-    """Write ``df`` as the dated dataset ``<root>/<name>`` and return its path.
+    """Write ``df`` as one day of the dated dataset ``<root>/<name>``; returns its path.
 
-    ``fmt`` is ``parquet`` or ``csv`` (with a header line, for spreadsheet
-    users). The sheet name of the source becomes the dataset name.
+    The day's folder is overwritten as a whole, so an empty result empties it
+    and other days are not touched. ``fmt`` is ``parquet`` or ``csv`` (with a
+    header line, for spreadsheet users).
     """
     path = f"{root.rstrip('/')}/{name}"
-    out = with_report_label(df, asof, name).drop("report_name")
-    w = (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("report_date")
-        .format(fmt)
-    )
+    label = df.sparkSession.range(1).select(report_date(asof).alias("d")).first()["d"]
+    w = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         w = w.option("header", str(header).lower())
-    w.save(path)
+    w.save(f"{path}/report_date={label}")
     return path

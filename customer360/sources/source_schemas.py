@@ -68,6 +68,8 @@ JOB_B_COLUMNS: dict[str, dict[str, str]] = {
     "bonus_defs": {"id": "id", "promo_code": "promo_code", "description": "description"},
     "last_contacts": {"requester_email": "requester_email"},
 }
+# Logical columns that no report reads.
+OPTIONAL = {"currency_id"}
 # Codes and thresholds of the two jobs.
 JOB_A_STATUSES = ("Approved", "ApprovedManually")
 JOB_A_TYPES = (2, 1)  # deposit, withdrawal
@@ -96,7 +98,11 @@ def job_b_params(asof: dt.date | None = None, **overrides) -> ReportParams:
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Rename the mapped columns present in ``df``; other columns are kept as they are."""
+    """Rename the mapped columns; other columns are kept. A mapped column that
+    ``df`` lacks under either name is an error."""
+    missing = [k for k, v in mapping.items() if k not in df.columns and v not in df.columns and v not in OPTIONAL]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
     present = {k: v for k, v in mapping.items() if k in df.columns and k != v}
     return df.withColumnsRenamed(present) if present else df
 
@@ -104,4 +110,10 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 def to_logical(tables: Mapping[str, DataFrame], job: str) -> dict[str, DataFrame]:
     """Source-shaped tables (keyed by logical table name) -> logical tables."""
     columns = {"a": JOB_A_COLUMNS, "b": JOB_B_COLUMNS}[job]
-    return {name: rename_columns(df, columns.get(name, {})) for name, df in tables.items()}
+    out = {}
+    for name, df in tables.items():
+        try:
+            out[name] = rename_columns(df, columns.get(name, {}))
+        except ValueError as e:
+            raise ValueError(f"table {name}: {e}") from e
+    return out

@@ -9,17 +9,10 @@ several tasks at once when a numeric partition column is given.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from customer360.plans.partitioning import spread_small_scan
-
-
-# Local inputs above this size are spread over the cores when their scan has
-# fewer partitions than cores (see plans.partitioning).
-SPREAD_MIN_BYTES = 1 << 20
 
 
 class TableSet:
@@ -33,31 +26,27 @@ class TableSet:
     _shared: dict[tuple, "TableSet"] = {}
 
     @classmethod
-    def shared(cls, spark: SparkSession, root: str, fmt: str = "parquet", spread: bool = True) -> "TableSet":
-        key = (id(spark), root.rstrip("/"), fmt, spread)
+    def shared(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> "TableSet":
+        key = (id(spark), root.rstrip("/"), fmt)
         ts = cls._shared.get(key)
         if ts is None or ts.spark is not spark:
-            ts = cls._shared[key] = cls(spark, root, fmt, spread)
+            ts = cls._shared[key] = cls(spark, root, fmt)
         return ts
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", spread: bool = True):
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
-        self.spread = spread
         self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
+        """``<root>/<name>.<fmt>`` if the root's file system has it, else ``<root>/<name>``."""
         p = f"{self.root}/{name}.{self.fmt}"
-        return p if os.path.exists(p) or "://" in p else f"{self.root}/{name}"
+        return p if path_exists(self.spark, p) else f"{self.root}/{name}"
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            path = self.path(name)
-            df = self.spark.read.format(self.fmt).load(path)
-            if self.spread and _local_size(path) >= SPREAD_MIN_BYTES:
-                df = spread_small_scan(df)
-            self._frames[name] = df
+            self._frames[name] = self.spark.read.format(self.fmt).load(self.path(name))
         return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -66,17 +55,11 @@ class TableSet:
         return self[name]
 
 
-def _local_size(path: str) -> int:
-    """Bytes of a local file or directory; 0 for remote paths (never spread)."""
-    if "://" in path and not path.startswith("file:"):
-        return 0
-    path = path.removeprefix("file:")
-    if os.path.isfile(path):
-        return os.path.getsize(path)
-    total = 0
-    for d, _, files in os.walk(path):
-        total += sum(os.path.getsize(os.path.join(d, f)) for f in files)
-    return total
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its own Hadoop file system (local, HDFS, object
+    store). Any other trouble, such as a missing permission, is raised."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def read_tables(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, rows
-from __spark_entry__ import queries
+from customer360.catalog import QUERIES
 from customer360 import operators as ops
 from customer360.config import ReportParams
 from customer360.plans.inspect import plan_text
@@ -49,14 +49,14 @@ def test_flows_one_scan_one_shuffle(raw_tx):
     assert "partial_sum" in txt  # map-side partial aggregation before the shuffle
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_python_in_plans(spark, key):
-    txt = plan(queries()[key](spark, SF001), "simple")
+    txt = plan(QUERIES[key](spark, SF001), "simple")
     assert "PythonUDF" not in txt and "EvalPython" not in txt and "ArrowEvalPython" not in txt
 
 
 def test_small_dimensions_are_broadcast(spark):
-    txt = plan(queries()["customer_dimension"](spark, SF001))
+    txt = plan(QUERIES["customer_dimension"](spark, SF001))
     assert txt.count("BroadcastHashJoin") >= 3
 
 
@@ -65,22 +65,57 @@ def test_top_products_one_aggregation_no_window(spark):
     from customer360.sources.fixtures import Fixtures
 
     f = Fixtures(spark, SF001)
-    lazy = ops.report_a(f.customers(), f.transactions(), f.game_days(), f.game_plays(), PARAMS_A,
-                        materialize=False)
+    lazy = ops.report_a(f.customers(), f.transactions(), f.game_days(), f.game_plays(), PARAMS_A)
     txt = plan(lazy, "simple")
     # The four top-product horizons share one (customer, product) aggregation
     # and one per-customer min(struct) aggregation; no per-horizon window.
-    assert txt.count("Window [") == 1  # only the running total of the VIP date
     assert "min(CASE WHEN isnotnull(in_lft" in txt and "min(CASE WHEN isnotnull(in_90d" in txt
-    # Materialised (the default), the window runs in the cohort's checkpoint job.
-    assert plan(queries()["report_a"](spark, SF001), "simple").count("Window [") == 0
+    assert "row_number" not in txt
 
 
-def test_report_a_scans(spark):
-    scans = re.findall(r"Location: InMemoryFileIndex \[file:[^\]]*/(\w+)\.parquet\]",
-                       plan(queries()["report_a"](spark, SF001)))
-    # lineitem feeds the game-day and play adapters once each; customers once.
-    assert scans.count("lineitem") == 2 and scans.count("customer") == 1
+def test_building_a_query_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    for key, query in QUERIES.items():
+        query(spark, SF001)  # file listings and footers only
+        spark.sparkContext.setJobGroup(key, key)
+        query(spark, SF001)
+        assert not tracker.getJobIdsForGroup(key), key
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_stored_cohort_spares_the_transactions(spark):
+    from customer360.catalog import PARAMS_A, PARAMS_B
+    from customer360.plans import cut_lineage
+    from customer360.sources.fixtures import Fixtures
+
+    f = Fixtures(spark, SF001)
+    a = (f.customers(), f.transactions(), f.game_days(), f.game_plays())
+    flows = cut_lineage(ops.cohort_flows(f.transactions(), PARAMS_A))
+    stored = ops.report_a(*a, PARAMS_A, flows=flows)
+    assert "Window [" not in plan(stored, "simple") and rows(stored) == rows(ops.report_a(*a, PARAMS_A))
+    b = (f.attributes(), f.customers(), f.merchants(), f.countries(), f.languages(), f.transactions(),
+         f.currencies(), f.game_days(), f.balances(), f.bonuses())
+    crossing = cut_lineage(ops.threshold_crossing(f.transactions(), f.currencies(), PARAMS_B))
+    assert rows(ops.report_b(*b, PARAMS_B, crossing=crossing)) == rows(ops.report_b(*b, PARAMS_B))
+
+
+def test_unique_ids_need_two_shuffles(raw_tx):
+    from customer360.plans import plan_summary
+
+    p = ReportParams(asof=dt.date(2001, 8, 1), unique_txn_ids=True)
+    assert plan_summary(ops.flow_summary(raw_tx, p))["hash_shuffles"] == 2
+
+
+def test_latest_balance_one_scan_one_shuffle_no_join(spark, tmp_path):
+    from customer360.plans import plan_summary
+    from customer360.sources.fixtures import Fixtures
+
+    path = str(tmp_path / "balances.parquet")
+    Fixtures(spark, SF001).balances().write.parquet(path)
+    df = ops.latest_balance(spark.read.parquet(path))
+    s = plan_summary(df)
+    assert (s["scans"], s["hash_shuffles"], s["smj"], s["broadcasts"]) == (1, 1, 0, 0)
+    assert "WindowGroupLimit" in plan(df, "simple")
 
 
 def test_join_chain_reuses_customer_partitioning(spark):
@@ -106,16 +141,9 @@ def test_join_chain_reuses_customer_partitioning(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_report_b_cohort_computed_once_and_pushed_down(spark):
-    txt = plan(queries()["report_b"](spark, SF001))
-    tree = txt.split("\n\n")[0]
-    scans = re.findall(r"Location: InMemoryFileIndex \[file:[^\]]*/(\w+)\.parquet\]", txt)
-    # transactions: once for the base-currency flows, once inside the game-day
-    # adapter; the crossing dates come from their checkpoint, not a third scan.
-    assert scans.count("orders") == 2
-    assert "Scan ExistingRDD" in tree
-    # attributes, customers, balances and won bonuses are cut to the cohort.
-    assert tree.count("LeftSemi") >= 4
+def test_report_b_inputs_are_cut_to_the_cohort(spark):
+    tree = plan(QUERIES["report_b"](spark, SF001)).split("\n\n")[0]
+    assert tree.count("LeftSemi") >= 6
 
 
 def test_horizon_filter_reaches_the_scan(spark, tmp_path):
@@ -130,38 +158,6 @@ def test_horizon_filter_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(summary_day,2001-07-25)" in pushed
 
 
-def test_report_b_small_cohort_filters_facts_map_side(spark):
-    from customer360.catalog import PARAMS_B
-    from customer360.sources.fixtures import Fixtures
-
-    f = Fixtures(spark, SF001)
-    args = (f.attributes(), f.customers(), f.merchants(), f.countries(), f.languages(), f.transactions(),
-            f.currencies(), f.game_days(), f.balances(), f.bonuses())
-    small = plan(ops.report_b(*args, PARAMS_B)).split("\n\n")[0]
-    assert small.count("BroadcastHashJoin LeftSemi") >= 2
-    import dataclasses
-
-    big = dataclasses.replace(PARAMS_B, cohort_broadcast_rows=0)
-    assert plan(ops.report_b(*args, big)).split("\n\n")[0].count("BroadcastHashJoin LeftSemi") == 0
-    assert rows(ops.report_b(*args, PARAMS_B)) == rows(ops.report_b(*args, big))
-
-
-def test_report_a_small_cohort_filters_facts_map_side(spark):
-    import dataclasses
-
-    from customer360.catalog import PARAMS_A
-    from customer360.sources.fixtures import Fixtures
-
-    f = Fixtures(spark, SF001)
-    args = (f.customers(), f.transactions(), f.game_days(), f.game_plays())
-    small = plan(ops.report_a(*args, PARAMS_A)).split("\n\n")[0]
-    assert small.count("BroadcastHashJoin LeftSemi") == 2
-    big = dataclasses.replace(PARAMS_A, cohort_broadcast_rows=0)
-    assert "LeftSemi" not in plan(ops.report_a(*args, big)).split("\n\n")[0]
-    lazy = ops.report_a(*args, PARAMS_A, materialize=False)
-    assert rows(ops.report_a(*args, PARAMS_A)) == rows(ops.report_a(*args, big)) == rows(lazy)
-
-
 def test_plan_summary_helper(raw_tx):
     from customer360.plans import plan_summary, pushed_filters
 

@@ -235,8 +235,19 @@ def test_money_text_and_rounding(spark):
     assert got == [f"€{nb}1.234.567,00", f"€{nb}-1.234,00", f"€{nb}0,00", f"€{nb}0,00", f"€{nb}0,00"]
     w = [r[0] for r in df.select(whole_units("v")).collect()]
     assert w == [1234567, -1234, 0, 0, 0]
-    r = spark.createDataFrame([(0.125,), (40153.575,), (1142.785,), (2.675,)], "v double")
-    assert [x[0] for x in r.select(round2("v")).collect()] == [0.12, 40153.58, 1142.78, 2.68]
+
+
+def test_rounding_equals_that_of_data_frames(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    v = np.concatenate([[40153.575, 1142.785, 2.345, 0.1349999999, 0.125, 2.675, 1.005, -2.345, 0.0],
+                        np.round(rng.uniform(-1e5, 1e5, 10_000), 3), rng.normal(0, 1e3, 5_000)])
+    r = spark.createDataFrame(pd.DataFrame({"i": np.arange(len(v)), "v": v}))
+    got = [x[0] for x in r.select("i", round2("v").alias("r")).orderBy("i").select("r").collect()]
+    assert got == pd.Series(v).round(2).tolist()
+    assert got[:4] == [40153.57, 1142.79, 2.35, 0.13]
 
 
 def test_blocked_flag_case_sensitive_and_null(spark):
@@ -277,7 +288,7 @@ def test_round_metrics_leaves_counts(spark, metric_type):
     df = df.withColumn("Total_Deposits_Count", df["Total_Deposits_Count"].cast(metric_type))
     out = ops.round_metrics(df, p, cols=["Deposit_7_days", "Total_Deposits_Count"])
     assert out.schema["Total_Deposits_Count"].dataType == df.schema["Total_Deposits_Count"].dataType
-    assert out.collect()[0] == (1.0, 3)  # 1.005 -> half-even on the decimal digits -> 1.00
+    assert out.collect()[0] == (1.0, 3)  # the float 1.005 times 100 is just below 100.5
 
 
 def test_bonus_enriched_customer_missing_from_one_table(spark):
@@ -302,10 +313,42 @@ def test_bonus_enriched_customer_missing_from_one_table(spark):
     ], key=repr)
 
 
-def test_money_units_exact_for_decimal_and_rounded_for_double(spark):
-    from customer360.functions.expressions import money_units
+def test_money_sums_are_exact_at_the_declared_scale(spark):
+    from customer360.functions import money_sum
+
+    d = spark.createDataFrame([(D("0.00000040"), 0.25)] * 5, "dec decimal(18,8), dbl double")
+    assert d.agg(money_sum("dec"), money_sum("dbl")).first()[:] == (0.000002, 1.25)
+
+
+def test_base_currency_keeps_the_scale_of_the_amount(spark):
+    tx = spark.createDataFrame([(1, 1, "u", day(1), "Approved", 2, 1, D("0.00010000"))],
+                               "id long, client_id long, user_name string, txn_date date, status string, txn_type int, currency_fk long, amount decimal(18,8)")
+    r = ops.fx_normalise(tx, spark.createDataFrame([(1, D("3.000"), 1)], RATES), P).first()
+    assert r["amount_eur"] == D("0.000033333333")
 
-    d = spark.createDataFrame([(D("1.005000"), 1.005), (D("-2.675000"), -2.675), (D("0.000001"), 1e-6)],
-                              "dec decimal(18,6), dbl double")
-    got = d.select(money_units("dec").alias("a"), money_units("dbl").alias("b")).collect()
-    assert [tuple(r) for r in got] == [(1005000, 1005000), (-2675000, -2675000), (1, 1)]
+
+def test_undated_deposits_sort_as_in_each_source_database(spark):
+    tx = spark.createDataFrame(
+        [(1, 1, "u", None, "Approved", 2, 1, D("95.00")), (2, 1, "u", dt.date(2001, 7, 1), "Approved", 2, 1, D("10.00")),
+         (3, 1, "u", dt.date(2001, 7, 9), "Approved", 2, 1, D("95.00"))],
+        "id long, client_id long, user_name string, txn_date date, status string, txn_type int, currency_fk long, amount decimal(18,2)")
+    assert rows(ops.qualification_date(tx, P, 100, 99)) == [(1, dt.date(2001, 7, 9))]
+    assert ops.flow_summary(tx, P, 100, 99).first()["vip_date"] == dt.date(2001, 7, 9)
+    rates = spark.createDataFrame([(1, D("1.000"), 1)], RATES)
+    assert rows(ops.threshold_crossing(tx, rates, P, 100)) == [(1, dt.date(2001, 7, 1))]
+    assert rows(ops.threshold_crossing(tx, rates, P, 95)) == [(1, None)]
+
+
+def test_bonus_joins_that_repeat_rows(spark):
+    bon = spark.createDataFrame([(1, 1, 0, 0, day(1), "WIN", D("10.00"), "kept")],
+                                "id long, client_id long, bonus_fk long, merchant_fk long, bonus_date date, status string, winning_amount decimal(12,2), extra string")
+    cust = spark.createDataFrame([(1, 1, 0)], "id long, currency_fk long, country_fk long")
+    rates = spark.createDataFrame([(1, D("1.000"), 1)], RATES)
+    attrs = spark.createDataFrame([(1, "a", day(1)), (1, "b", day(1))], "client_id long, referral_info string, registered_on date")
+    crossing = spark.createDataFrame([(1, day(3))], "client_id long, date_of_reaching_1k date")
+    none = spark.createDataFrame([], "id long, promo_code string, description string, name string, country_desc string")
+    rich = ops.bonus_enriched(bon, cust, rates, none.select("id", "promo_code", "description"), none.select("id", "name"), attrs,
+                              none.select("id", "country_desc"), crossing, P)
+    assert rows(rich, "referral_info", "win_amount_euro", "extra") == [("a", 10.0, "kept"), ("b", 10.0, "kept")]
+    r = ops.bonus_expense(bon, cust, rates, crossing, P, attributes=attrs).first()
+    assert (r["mkt_expense"], r["bonus_count"]) == (20.0, 2)
