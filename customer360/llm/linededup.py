@@ -13,8 +13,9 @@ more than the edits left on either side. Each line gives its own segments
 at the admissible places (the probe rows). Keys held by one line only are
 dropped. Each key's members are first verified against its smallest index
 line and merged; then only pairs of different merged groups are formed, so a
-large group of copies is never expanded into all pairs. Distances come from a
-diagonal band of 2 tau + 1 cells kept as bit vectors, advanced for many pairs
+large group of copies is never expanded into all pairs. Parities of character
+and character-pair counts, of which an edit flips few bits, discard most pairs
+inside the joins. Distances of the others come from a diagonal band of 2 tau + 1 cells kept as bit vectors, advanced for many pairs
 at once.
 
 Of every class the first occurrence in the corpus (smallest doc_id, then
@@ -45,6 +46,10 @@ KEY_ROWS = 512
 #: Cells (pairs x code points) verified at once.
 BAND_CELLS = 1 << 22
 
+#: Line numbers in a table of wanted lines that is broadcast (counted before).
+BROADCAST_LINES = 500_000
+
+_MARKS = ["m0", "m1", "m2"]
 _U = np.uint64
 _BASE = 0xA0761D6478BD642F
 _POW: list[np.ndarray] = []
@@ -143,6 +148,21 @@ def _keys(tau: int, least: int):
     return run
 
 
+def _parities(cp: np.ndarray) -> np.ndarray:
+    """Parities of the counts of hashed characters (64 bits) and of hashed
+    character pairs (128 bits). One edit changes two bits of the first and four
+    of the second at most."""
+    one = np.bincount((mix(cp) >> _U(58)).astype(np.int64), minlength=64) & 1
+    two = np.bincount((mix(cp[:-1].astype(_U) << _U(32) | cp[1:]) >> _U(57)).astype(np.int64), minlength=128) & 1
+    return np.packbits(np.concatenate((one, two)).astype(np.uint8)).view(np.int64)
+
+
+def _near(l: str, r: str, tau: int):
+    """Condition that the parities allow ``tau`` edits."""
+    one, *two = (F.bit_count(F.col(f"{l}.{m}").bitwiseXOR(F.col(f"{r}.{m}"))) for m in _MARKS)
+    return (one <= 2 * tau) & (two[0] + two[1] <= 4 * tau)
+
+
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(line, content) of the wanted line numbers; content is UTF-32."""
     for b in chunks(batches):
@@ -150,8 +170,11 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         want = b.column("numbers").to_pylist()
         first = np.searchsorted(x.row, np.arange(len(want)))
         at = np.array([first[i] + k for i, w in enumerate(want) for k in w], np.int64)
-        content = [x.cp[s:e].tobytes() for s, e in zip(x.start[at].tolist(), x.stop[at].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(x.hash(x.start[at], x.stop[at]).view(np.int64)), pa.array(content, pa.binary())], ["line", "content"])
+        part = [x.cp[s:e] for s, e in zip(x.start[at].tolist(), x.stop[at].tolist(), strict=True)]
+        marks = np.array([_parities(p) for p in part], np.int64).reshape(-1, 3)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x.hash(x.start[at], x.stop[at]).view(np.int64)), pa.array([p.tobytes() for p in part], pa.binary()), *(pa.array(marks[:, i]) for i in range(3))],
+            ["line", "content", *_MARKS])
 
 
 def within(a: list[np.ndarray], b: list[np.ndarray], tau: int) -> np.ndarray:
@@ -239,20 +262,26 @@ def line_links(docs: DataFrame, first: DataFrame, tau: int = TAU) -> DataFrame:
     shared = cut_lineage(shared.where("any and lo <> hi").groupBy("key", "line").agg(F.max("indexed").alias("indexed")))
 
     want = first.join(shared.select("line").distinct(), "line", "left_semi").groupBy("rk").agg(F.sort_array(F.collect_set("line_no")).alias("numbers"))
-    texts = docs.select("text", _row_key().alias("rk")).join(want, "rk").select("text", "numbers")
-    texts = cut_lineage(texts.mapInArrow(_fetch, "line bigint, content binary").dropDuplicates(["line"]))
+    want = cut_lineage(want)
+    small = (want.agg(F.sum(F.size("numbers") + 1)).first()[0] or 0) <= BROADCAST_LINES
+    texts = docs.select("text", _row_key().alias("rk")).join(F.broadcast(want) if small else want, "rk").select("text", "numbers")
+    texts = cut_lineage(texts.mapInArrow(_fetch, "line bigint, content binary, m0 bigint, m1 bigint, m2 bigint").dropDuplicates(["line"]))
+    marks = texts.select("line", *_MARKS)
 
     lead = shared.where("indexed").groupBy("key").agg(F.min("line").alias("b"))
     star = shared.join(lead, "key").where("line <> b").select(F.col("line").alias("a"), "b").distinct()
+    x, y = marks.alias("x"), marks.alias("y")
+    star = star.join(x, F.col("a") == F.col("x.line")).join(y, F.col("b") == F.col("y.line")).where(_near("x", "y", tau)).select("a", "b")
+    star = cut_lineage(star)
     links = cut_lineage(_verified(star, texts, tau))
     merged = connected_components(links)
 
     across = shared.join(merged.withColumnRenamed("node", "line"), "line", "left").withColumn("grp", F.coalesce("root", "line")).drop("root")
     across = across.select("*", F.min("grp").over(by_key).alias("lo"), F.max("grp").over(by_key).alias("hi"), F.count("*").over(by_key).alias("c"))
-    across = across.where("lo <> hi").withColumn("salts", F.ceil(F.col("c") / KEY_ROWS).cast("int")).drop("lo", "hi", "c")
+    across = across.where("lo <> hi").withColumn("salts", F.ceil(F.col("c") / KEY_ROWS).cast("int")).drop("lo", "hi", "c").join(marks, "line")
     l = across.where("indexed").withColumn("salt", F.pmod(F.xxhash64("line"), F.col("salts")).cast("int")).alias("l")
     r = across.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("r")
-    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.salt") == F.col("r.salt")) & (F.col("l.grp") != F.col("r.grp")))
+    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.salt") == F.col("r.salt")) & (F.col("l.grp") != F.col("r.grp")) & _near("l", "r", tau))
     pairs = pairs.select(F.greatest("l.line", "r.line").alias("a"), F.least("l.line", "r.line").alias("b")).distinct()
     tried = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     more = cut_lineage(_verified(pairs.join(tried, ["a", "b"], "left_anti"), texts, tau))
