@@ -324,4 +324,4 @@ def dedup_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) ->
     out = out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(docs.columns)
+    return out.select([F.col(f"`{c}`") for c in docs.columns])
