@@ -251,6 +251,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, theta: float = THETA, shar
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, theta: float = THETA) -> DataFrame:
-    """``docs`` without the documents that hold a verified passage."""
-    leaky = find_leaks(docs, benchmark, theta).select("doc_id").distinct().withColumnRenamed("doc_id", "__leak_id")
-    return docs.join(leaky, docs["doc_id"].eqNullSafe(leaky["__leak_id"]), "left_anti")
+    """``docs`` (all columns) without the rows that hold a verified passage."""
+    text = F.col("text").cast("string")
+    keyed = docs.withColumn("__row_key", F.xxhash64("doc_id", text))
+    leaky = find_leaks(keyed.select(F.col("__row_key").alias("doc_id"), text.alias("text")), benchmark, theta).select(F.col("doc_id").alias("__row_key")).distinct()
+    return keyed.join(leaky, "__row_key", "left_anti").drop("__row_key")
