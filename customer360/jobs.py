@@ -19,7 +19,7 @@ import argparse
 import datetime as dt
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,6 +113,14 @@ def refresh_flow_rollup(tx: DataFrame, p: ReportParams, path: str, days_back: in
     return spark.read.schema(schema).parquet(path).where(f"_{DEPOSIT}_any is not null or _{WITHDRAWAL}_any is not null")
 
 
+def require_unique_ids(tx: DataFrame, column: str = "id") -> None:
+    """Raise if an id repeats. A run that passes may use ``unique_txn_ids``, with
+    which the transactions need two pre-aggregated shuffles instead of three."""
+    twice = tx.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1)
+    if not twice.isEmpty():
+        raise ValueError(f"transactions repeat ids, for example {twice.first()[column]}")
+
+
 def job_a(inputs: Inputs, p: ReportParams, flow_rollup: DataFrame | None = None, store: bool = False) -> DataFrame:
     """Report A, presented: EUR money text and rounded average bets. With
     ``store`` the cohort's metrics (one row per VIP customer) are computed once
@@ -163,6 +171,8 @@ def main(argv=None) -> None:
                     help="size of the largest input table; sizes spark.sql.shuffle.partitions")
     ap.add_argument("--flow-rollup", default=None,
                     help="report a: day-partitioned transaction rollup to keep up to date and read")
+    ap.add_argument("--unique-ids", action="store_true",
+                    help="report a: check that transaction ids are unique and use it")
     ap.add_argument("--rollup-days", type=int, default=None,
                     help="days to rebuild in the rollup (default: all)")
     a = ap.parse_args(argv)
@@ -193,6 +203,9 @@ def main(argv=None) -> None:
         inputs = Inputs.from_jdbc(spark, json.loads(text), a.report)
     else:
         inputs = Inputs.from_fixtures(spark, a.fixtures, names)
+    if a.report == "a" and a.unique_ids:
+        require_unique_ids(inputs.transactions)
+        p = replace(p, unique_txn_ids=True)
     if a.report == "a" and a.flow_rollup:
         rollup = refresh_flow_rollup(inputs.transactions, p, a.flow_rollup, a.rollup_days)
         print(publish(job_a(inputs, p, rollup, store=True), p.asof, a.name or DATASETS["a"], a.out, a.format))

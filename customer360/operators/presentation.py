@@ -66,7 +66,7 @@ def contact_enrichment(
     key: str = "email",
     contact_key: str = "requester_email",
     drop: Sequence[str] = ("index", "email", "requester_email"),
-    salt_buckets: int = 16,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Attach the last help-desk contact to each report row by e-mail.
 

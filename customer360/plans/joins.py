@@ -52,17 +52,22 @@ def null_safe_left_join(
     right: DataFrame,
     left_key: str,
     right_key: str,
-    salt_buckets: int = 16,
+    salt_buckets: int | None = None,
     salt_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join on ``left_key <=> right_key`` with the NULL group salted.
 
+    ``salt_buckets`` defaults to the session's shuffle partition count, so the
+    NULL group spreads as wide as any other shuffle. The output holds every pair
+    of a NULL left row and a NULL right row, as merge semantics ask.
+
     The salt of a left row is a hash of ``salt_cols`` (default: all left
     columns), so it is the same if a task is recomputed after an executor
     loss. Right rows with a NULL key are replicated ``salt_buckets`` times;
     right rows with a key are not replicated.
     """
     salt_cols = list(salt_cols or left.columns)
+    salt_buckets = salt_buckets or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lnull = F.col(left_key).isNull()
     l2 = left.withColumn(
         "_salt", F.when(lnull, F.pmod(F.xxhash64(*salt_cols), F.lit(salt_buckets))).otherwise(F.lit(0))

@@ -185,6 +185,14 @@ def test_rollup_days_that_lose_all_rows(spark, tmp_path):
     assert max(len(os.listdir(d)) for d in glob.glob(path + "/txn_date=*")) <= 2 * 8
 
 
+def test_repeated_transaction_ids_are_an_error(spark):
+    from customer360.jobs import require_unique_ids
+
+    require_unique_ids(spark.range(5))
+    with pytest.raises(ValueError, match="repeat ids"):
+        require_unique_ids(spark.range(5).union(spark.range(1)))
+
+
 def test_rollup_raises_other_trouble(spark):
     from customer360.catalog import PARAMS_A
     from customer360.jobs import refresh_flow_rollup
@@ -239,7 +247,7 @@ def test_job_cli(spark, tmp_path, capsys):
 
     out = str(tmp_path / "out")
     main(["--report", "a", "--fixtures", SF0001, "--out", out, "--asof", "2001-08-01",
-          "--vip-min-amount", "1000000", "--vip-min-count", "5",
+          "--vip-min-amount", "1000000", "--vip-min-count", "5", "--unique-ids",
           "--flow-rollup", str(tmp_path / "rollup"), "--rollup-days", "30", "--format", "csv"])
     main(["--report", "b", "--fixtures", SF0001, "--out", out, "--asof", "2001-08-01",
           "--crossing-amount", "300000"])
