@@ -37,6 +37,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea iframe noembed noframes xmp svg math title".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 #: Elements whose text is never main text.
 LEFT_OUT = frozenset("head nav footer aside form menu dialog button select input object embed applet canvas audio video".split()) | RAW
 #: Words of class, id or role that mark what is left out.
@@ -58,6 +59,8 @@ def _marked(tag: str, attrs: str, inside: bool) -> bool:
         return True
     if not attrs or tag in ("html", "body", "article", "main"):
         return False
+    if "none" in attrs and _UNSEEN.search(attrs):
+        return True
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values)
         if name == "hidden":
