@@ -4,8 +4,8 @@ A document's set is its distinct five-word shingles (64-bit hashes). Two
 documents link when 100 * |A n B| >= 80 * |A u B|. The join is exact:
 
 1. One pass gives every document its set's size, a digest (equal sets become
-   one vertex) and hashed bitmaps of 512 and 2048 bits, each bit the parity of
-   the shingles that hash to it, and counts shingles into a fixed number of
+   one vertex) and hashed bitmaps (512 bits, and twice the size and up), each
+   bit the parity of the shingles that hash to it, and counts shingles into a fixed number of
    hash buckets. A shingle that only one of two sets holds flips one bit, so
    ``(|A| + |B| - popcount(a ^ b)) / 2`` bounds the overlap from above.
 2. A linking pair shares a shingle among each one's first
@@ -16,9 +16,10 @@ documents link when 100 * |A n B| >= 80 * |A u B|. The join is exact:
    list is shared most (a star, not all pairs: the text that copies were made
    from is shared whole); verified links merge most copies.
 4. What remains are shingles shared across merged groups. They are joined in
-   tiles of (shingle, size band), salted by size, in which sizes and the short
-   bitmaps discard pairs; of the distinct pairs left, the long bitmaps discard
-   more, and the others meet in an exact intersection of sorted arrays.
+   tiles of a shingle (frequent ones by size band and salt, too), in which
+   sizes and the short bitmaps discard pairs; of the distinct pairs left, the
+   long bitmaps discard more, and the others meet in an exact intersection of
+   sorted arrays.
 
 Only pairs of vertices from different merged groups are ever formed, so
 copies are not expanded into all pairs, and no link that joins two groups is
@@ -47,7 +48,7 @@ from customer360.plans import cut_lineage
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
-LONG, SHORT = 2048, 512  # bits
+SHORT = 512  # bits
 BUCKETS = 1 << 17
 #: Rows of one side of a tile before it is salted.
 TILE_ROWS = 512
@@ -66,8 +67,15 @@ def _vertex(s: np.ndarray) -> int:
 
 
 def _bitmap(s: np.ndarray) -> np.ndarray:
-    """Parity of the shingles per bit, LONG bits as words of 64."""
-    return np.packbits(np.bincount((s >> _U(40)).astype(np.int64) % LONG, minlength=LONG).astype(np.uint8) & 1).view(np.int64)
+    """Parity of the shingles per bit, in words of 64: the power of two from
+    twice the set's size on, so that it never fills up, SHORT bits at least."""
+    width = max(SHORT, 1 << (2 * len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s >> _U(40)).astype(np.int64) % width, minlength=width).astype(np.uint8) & 1).view(np.int64)
+
+
+def _fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap as it would be with ``words`` words."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, words), axis=0)
 
 
 def _signatures(k: int, id_type: pa.DataType):
@@ -79,11 +87,8 @@ def _signatures(k: int, id_type: pa.DataType):
         for b in chunks(batches):
             sets = shingle_sets(*utf8(b.column("text")), k)
             n = len(sets)
-            bits = np.zeros((n, LONG // 64), np.int64)
-            for i, s in enumerate(sets):
-                if len(s):
-                    bits[i] = _bitmap(s)
-            short = np.bitwise_xor.reduce(bits.reshape(n, -1, SHORT // 64), axis=1)
+            bits = [_bitmap(s) if len(s) else np.zeros(SHORT // 64, np.int64) for s in sets]
+            short = np.stack([_fold(b, SHORT // 64) for b in bits])
             count += np.bincount((np.concatenate(sets) >> _U(20)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("rk"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_vertex(s) if len(s) else None for s in sets], pa.int64()),
@@ -177,14 +182,28 @@ def _bounded(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(v.as_py() for v in b.column(c)), _U).reshape(b.num_rows, -1) for c in ("bits_a", "bits_b"))
+            differ = np.zeros(b.num_rows, np.int64)
+            for i, (x, y) in enumerate(zip(b.column("bits_a"), b.column("bits_b"), strict=True)):
+                x, y = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
+                n = min(len(x), len(y))
+                differ[i] = np.bitwise_count(_fold(x, n) ^ _fold(y, n)).sum()
             both = b.column("na").to_numpy() + b.column("nb").to_numpy()
-            top = (both - np.bitwise_count(x ^ y).sum(1, dtype=np.int64)) // 2
+            top = (both - differ) // 2
             yield b.select(["a", "b"]).filter(pa.array(100 * top >= percent * (both - top)))
 
     return pairs.join(p, "a").join(q, "b").select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def _tile_pair(percent: int):
+    """Rows l and r of a tile that may link: other groups, l the smaller set (or
+    of the smaller vertex), sizes and short bitmaps within the threshold."""
+    n, m = F.col("l.n_shingles"), F.col("r.n_shingles")
+    differ = sum((F.bit_count(F.col(f"l.{w}").bitwiseXOR(F.col(f"r.{w}"))) for w in _BITS), F.lit(0))
+    top = F.floor((n + m - differ) / 2)
+    order = (n < m) | ((n == m) & (F.col("l.node") < F.col("r.node")))
+    return (F.col("l.group") != F.col("r.group")) & order & (100 * n >= percent * m) & (100 * top >= percent * (n + m - top))
+
+
 def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest linked doc_id) per row."""
     return _linked(docs, k, percent).select("doc_id", "n_shingles", "component_id")
@@ -232,25 +251,23 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     links = cut_lineage(_verified(docs, star, keys, k, percent))
     merged = connected_components(links)
 
-    # Tiles: shingles that reach over merged groups.
-    group = F.coalesce("root", "node")
-    across = shared.join(merged, "node", "left").withColumn("group", group).drop("root")
+    # Tiles: shingles that reach over merged groups. One shuffle by shingle serves
+    # the window and both sides of the join; frequent shingles are dealt by size
+    # band and salt as well.
+    across = shared.join(merged, "node", "left").join(near.select("node", *_BITS), "node")
+    across = across.withColumn("group", F.coalesce("root", "node")).drop("root")
     across = across.select("*", F.min("group").over(by_token).alias("lo"), F.max("group").over(by_token).alias("hi"), F.count("*").over(by_token).alias("c"))
+    across = across.where("lo <> hi").drop("lo", "hi")
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(100 / percent + 0.01)))
-    across = across.where("lo <> hi").withColumn("band", band).withColumn("salts", F.ceil(F.col("c") / TILE_ROWS).cast("int"))
-    across = across.drop("lo", "hi", "c").join(near.select("node", *_BITS), "node")
-    differ = sum((F.bit_count(F.col(f"l.{w}").bitwiseXOR(F.col(f"r.{w}"))) for w in _BITS), F.lit(0))
-    total = F.col("l.n_shingles") + F.col("r.n_shingles")
-    top = F.floor((total - differ) / 2)
-    left = across.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + 1))).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
-    right = across.withColumn("tile", F.col("band")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    l, r = left.alias("l"), right.alias("r")
-    order = (F.col("l.n_shingles") < F.col("r.n_shingles")) | ((F.col("l.n_shingles") == F.col("r.n_shingles")) & (F.col("l.node") < F.col("r.node")))
-    tiles = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.tile") == F.col("r.tile")) & (F.col("l.salt") == F.col("r.salt"))
-                   & (F.col("l.group") != F.col("r.group")) & order & (100 * F.col("l.n_shingles") >= percent * F.col("r.n_shingles"))
-                   & (100 * top >= percent * (total - top)))
-    pairs = tiles.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
-    pairs = cut_lineage(_bounded(pairs, near, percent))
+    often = across.where(F.col("c") > 8 * TILE_ROWS).withColumn("band", band).withColumn("salts", F.ceil(F.col("c") / TILE_ROWS).cast("int"))
+    left = often.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + 1))).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
+    right = often.withColumn("tile", F.col("band")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    pairs = None
+    for l, r, keys_ in ((across.where(F.col("c") <= 8 * TILE_ROWS), across.where(F.col("c") <= 8 * TILE_ROWS), ["token"]), (left, right, ["token", "tile", "salt"])):
+        same = [F.col(f"l.{k_}") == F.col(f"r.{k_}") for k_ in keys_]
+        found = l.alias("l").join(r.alias("r"), [*same, _tile_pair(percent)]).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+        pairs = found if pairs is None else pairs.unionByName(found)
+    pairs = cut_lineage(_bounded(pairs.distinct(), near, percent))
     more = cut_lineage(_verified(docs, pairs, keys, k, percent))
 
     roots = connected_components(merged.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
