@@ -315,12 +315,14 @@ def line_report(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) ->
 
 def dedup_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` without repeated lines: all columns kept, n_chars (if there)
-    recounted. A document all of whose lines are removed goes."""
-    gone = line_classes(docs, tau, min_chars).where("not keep").groupBy("rk").agg(F.collect_set("line_no").alias("__gone"))
+    recounted. A document goes if it loses every line that takes part: what is
+    left of it are lines too short to be compared."""
+    gone = line_classes(docs, tau, min_chars).groupBy("rk").agg(F.collect_set(F.when(~F.col("keep"), F.col("line_no"))).alias("__gone"), F.max("keep").alias("__any"))
+    gone = gone.where(F.size("__gone") > 0)
     out = docs.withColumn("__row_key", _row_key()).join(gone.withColumnRenamed("rk", "__row_key"), "__row_key", "left")
     kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("__gone", i))
     out = out.withColumn("__kept", F.when(F.col("__gone").isNotNull(), kept))
-    out = out.where(F.col("__kept").isNull() | F.exists("__kept", lambda x: F.length(F.trim(x)) > 0))
+    out = out.where(F.coalesce("__any", F.lit(True)))
     out = out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
