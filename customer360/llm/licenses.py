@@ -4,8 +4,8 @@ Every line of a file, and the file as a whole, is a unit. Units are compared
 to licence templates by the cosine of sparse TF-IDF vectors (lower-cased runs
 of a-z and 0-9; idf over the templates, unknown words as rarest). A cosine of
 ``least`` needs one of a template's essential words: the heaviest ones, such
-that the others' share of its norm is below ``least``; units without any are
-left aside by one pattern, so only few texts are split into words. The
+that the others' share of its norm is below ``least``; texts and then units
+without any are left aside, so only few words are counted. The
 template table is a constant of this module, so its broadcast has a fixed size.
 
 A file's own licence is its best unit's. Licence files give it to their
@@ -28,6 +28,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from customer360.plans import cut_lineage
+
 LEAST = 0.7
 
 #: Licence identifiers and the notices that announce them.
@@ -57,6 +59,9 @@ TEMPLATES = [
     ("proprietary", "All rights reserved."),
 ]
 
+#: English words that any text may hold: a bad choice for a filter.
+FUNCTION_WORDS = frozenset("a an and any are as at be by for from in into is it may not of on or that the this to under with you your".split())
+
 _NAME = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
 
@@ -77,11 +82,12 @@ def _vectors(templates: list[tuple[str, str]]) -> tuple[list[tuple], float, dict
 
 
 def _essential(rows: list[tuple], least: float) -> list[str]:
-    """Words of which a unit with a cosine of ``least`` has one at least."""
+    """Words of which a unit with a cosine of ``least`` has one at least; function
+    words and numbers only where the other words of a template are too light."""
     out: set[str] = set()
     for i in {r[0] for r in rows}:
         rest = 1.0
-        for v, w in sorted(((r[3], r[2]) for r in rows if r[0] == i), reverse=True):
+        for _, v, w in sorted(((r[2] not in FUNCTION_WORDS and not r[2].isdigit(), r[3], r[2]) for r in rows if r[0] == i), reverse=True):
             if rest < (least * 0.999) ** 2:
                 break
             out.add(w)
@@ -94,12 +100,17 @@ def own_licenses(files: DataFrame, least: float = LEAST, templates: list[tuple[s
     text) with a licence; first_line tells whether its first line is one."""
     spark = files.sparkSession
     rows, unknown, idf = _vectors(templates)
-    pattern = r"(?i)(?:^|[^a-z0-9])(?:" + "|".join(_essential(rows, least)) + r")(?:[^a-z0-9]|$)"
+    essential = F.array(*[F.lit(w) for w in _essential(rows, least)])
+
+    def hopeful(c: str):
+        """A superset of the texts that can reach the threshold."""
+        return F.arrays_overlap(F.split(F.lower(c), "[^a-z0-9]+"), essential)
+
     known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "word string, idf double"))
     vectors = F.broadcast(spark.createDataFrame(rows, "template int, license string, word string, weight double"))
 
-    hits = files.where(F.col("text").rlike(pattern)).dropDuplicates(["rk"])
-    units = hits.select("rk", F.posexplode(F.split("text", "\n")).alias("line", "unit")).where(F.col("unit").rlike(pattern))
+    hits = files.where(hopeful("text")).dropDuplicates(["rk"])
+    units = hits.select("rk", F.posexplode(F.split("text", "\n")).alias("line", "unit")).where(hopeful("unit"))
     units = units.unionByName(hits.where(F.instr("text", "\n") > 0).select("rk", F.lit(-1).alias("line"), F.col("text").alias("unit")))
     words = units.select("rk", "line", F.explode(F.split(F.lower("unit"), "[^a-z0-9]+")).alias("word")).where("word <> ''")
     bag = words.groupBy("rk", "line", "word").agg(F.count("*").alias("tf")).join(known, "word", "left")
@@ -116,6 +127,7 @@ def scan_licenses(files: DataFrame, least: float = LEAST, templates: list[tuple[
     'inherited' or 'none') and license_path (the file that the licence is from)."""
     keyed = files.withColumn("__row_key", F.xxhash64("path", "text"))
     own = own_licenses(keyed.select(F.col("__row_key").alias("rk"), F.col("text").cast("string").alias("text")), least, templates)
+    own = cut_lineage(own)  # few rows, read several times below
     rest = [F.col(f"`{c}`") for c in files.columns if c != "text"]
     out = keyed.select(*rest, "__row_key").join(own.select(F.col("rk").alias("__row_key"), F.col("license").alias("__own"), F.col("score").alias("__score"), F.col("first_line").alias("__first")), "__row_key", "left")
     out = out.withColumn("__dir", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
