@@ -2,7 +2,7 @@
 
 Every line of a file, and the file as a whole, is a unit. Units are compared
 to licence templates by the cosine of sparse TF-IDF vectors (lower-cased runs
-of a-z and 0-9; idf over the templates, unknown words as rarest). A cosine of
+of a-z and 0-9, function words left out; idf over the templates, unknown words as rarest). A cosine of
 ``least`` needs one of a template's essential words: the heaviest ones, such
 that the others' share of its norm is below ``least``; texts and then units
 without any are left aside, so only few words are counted. The
@@ -59,7 +59,7 @@ TEMPLATES = [
     ("proprietary", "All rights reserved."),
 ]
 
-#: English words that any text may hold: a bad choice for a filter.
+#: English words that no vector holds.
 FUNCTION_WORDS = frozenset("a an and any are as at be by for from in into is it may not of on or that the this to under with you your".split())
 
 _NAME = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
@@ -67,7 +67,7 @@ _NAME = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
 def _vectors(templates: list[tuple[str, str]]) -> tuple[list[tuple], float, dict[str, float]]:
     """(template, licence, word, unit weight) rows, the idf of unknown words and the idf of known ones."""
-    bags = [re.findall(r"[a-z0-9]+", t.lower()) for _, t in templates]
+    bags = [[w for w in re.findall(r"[a-z0-9]+", t.lower()) if w not in FUNCTION_WORDS] for _, t in templates]
     df: dict[str, int] = {}
     for b in bags:
         for w in set(b):
@@ -82,12 +82,12 @@ def _vectors(templates: list[tuple[str, str]]) -> tuple[list[tuple], float, dict
 
 
 def _essential(rows: list[tuple], least: float) -> list[str]:
-    """Words of which a unit with a cosine of ``least`` has one at least; function
-    words and numbers only where the other words of a template are too light."""
+    """Words of which a unit with a cosine of ``least`` has one at least; numbers
+    only where the other words of a template are too light."""
     out: set[str] = set()
     for i in {r[0] for r in rows}:
         rest = 1.0
-        for _, v, w in sorted(((r[2] not in FUNCTION_WORDS and not r[2].isdigit(), r[3], r[2]) for r in rows if r[0] == i), reverse=True):
+        for _, v, w in sorted(((not r[2].isdigit(), r[3], r[2]) for r in rows if r[0] == i), reverse=True):
             if rest < (least * 0.999) ** 2:
                 break
             out.add(w)
@@ -112,7 +112,7 @@ def own_licenses(files: DataFrame, least: float = LEAST, templates: list[tuple[s
     hits = files.where(hopeful("text")).dropDuplicates(["rk"])
     units = hits.select("rk", F.posexplode(F.split("text", "\n")).alias("line", "unit")).where(hopeful("unit"))
     units = units.unionByName(hits.where(F.instr("text", "\n") > 0).select("rk", F.lit(-1).alias("line"), F.col("text").alias("unit")))
-    words = units.select("rk", "line", F.explode(F.split(F.lower("unit"), "[^a-z0-9]+")).alias("word")).where("word <> ''")
+    words = units.select("rk", "line", F.explode(F.split(F.lower("unit"), "[^a-z0-9]+")).alias("word")).where((F.col("word") != "") & ~F.col("word").isin(*sorted(FUNCTION_WORDS)))
     bag = words.groupBy("rk", "line", "word").agg(F.count("*").alias("tf")).join(known, "word", "left")
     bag = bag.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
     norm = bag.groupBy("rk", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -157,11 +157,12 @@ def scan_licenses(files: DataFrame, least: float = LEAST, templates: list[tuple[
 def oracle(files: str, templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST) -> str:
     """The scan of the relation ``files`` (doc_id, path, text), licence files by
     first line, in DuckDB SQL: every unit is scored, without the word pattern."""
+    stop = ", ".join(f"'{w}'" for w in sorted(FUNCTION_WORDS))
     values = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(templates))
     return f"""
 WITH f AS ({files}),
 t(template, license, body) AS (VALUES {values}),
-tw AS (SELECT template, license, word, count(*) AS tf FROM (SELECT template, license, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS word FROM t) GROUP BY ALL),
+tw AS (SELECT template, license, word, count(*) AS tf FROM (SELECT template, license, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS word FROM t) WHERE word NOT IN ({stop}) GROUP BY ALL),
 idf AS (SELECT word, ln(1 + (SELECT count(*) FROM t) / count(*)) AS idf FROM tw GROUP BY word),
 tv AS (SELECT template, license, word, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS weight FROM tw JOIN idf USING (word)),
 units AS (
@@ -170,7 +171,7 @@ units AS (
   UNION ALL SELECT DISTINCT doc_id, path, -1, text FROM f WHERE contains(text, chr(10))),
 bag AS (
   SELECT doc_id, path, line, word, count(*) AS tf
-  FROM (SELECT doc_id, path, line, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS word FROM units) GROUP BY ALL),
+  FROM (SELECT doc_id, path, line, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS word FROM units) WHERE word NOT IN ({stop}) GROUP BY ALL),
 w AS (SELECT bag.*, idf.idf, tf * coalesce(idf.idf, ln(1 + (SELECT count(*) FROM t))) AS v FROM bag LEFT JOIN idf USING (word)),
 norm AS (SELECT doc_id, path, line, sqrt(sum(v * v)) AS norm FROM w GROUP BY ALL),
 hit AS (
