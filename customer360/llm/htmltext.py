@@ -2,8 +2,9 @@
 
 A page is read into a flat element tree (preorder arrays). Menus, page
 headers and footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are left out by element, role and class or id words. For
-every other element the composite text density is its characters per tag,
+reader comments are left out by element, role and whole class or id tokens,
+unless they enclose the page's main element, its article or most of its
+unlinked text. For every other element the composite text density is its characters per tag,
 adjusted by the share of linked characters and tags. The least density on the
 path from the body to the densest element is the threshold; among the
 elements that reach it, the one with the largest sum of its children's
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from customer360.llm.textnum import chunks
 
 _TAG = re.compile(r"""<!--(?s:.*?)(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""")
-_ATTR = re.compile(r"""\b(class|id|role|hidden|aria-label|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe noembed noframes xmp svg math title".split())
@@ -40,12 +41,22 @@ INLINE = frozenset(
 _UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 #: Elements whose text is never main text.
 LEFT_OUT = frozenset("head nav footer aside form menu dialog button select input object embed applet canvas audio video".split()) | RAW
-#: Words of class, id or role that mark what is left out.
+#: Those of them that may enclose a page's main text.
+WRAPS = frozenset("nav footer aside form menu dialog".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Tokens of class, id or role that mark what is left out.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adbox adslot banner sponsor sponsored promo promotion menu menus nav navbar navigation breadcrumb breadcrumbs "
     "sidebar aside footer masthead topbar toolbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social "
     "related recommended recommendations comment comments commentlist disqus reply replies respond discussion widget widgets pagination pager copyright legal disclaimer skip search "
     "contentinfo complementary navigation dialog alertdialog".split())
+#: Words that may stand beside them in a token ("site-footer").
+BESIDE = frozenset(
+    "site page global post posts entry article articles item items left right top bottom primary secondary box bar list block links link icons button buttons area unit slot "
+    "panel form section container wrapper wrap inner outer group holder".split())
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: Marks of an element: a wrapper by its name, by its token, reader comments, never main text.
+BY_TAG, BY_TOKEN, READERS, NEVER = 1, 2, 3, 4
 #: Start tags that close an open element of the listed kinds.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
           "tbody": {"tbody", "thead", "tr", "td", "th"}, "thead": {"tbody", "thead", "tr", "td", "th"}, "body": {"head"}}
@@ -53,30 +64,90 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPE = frozenset("html body table ul ol dl article section main div td th aside nav header footer form blockquote".split())
 
 
-def _marked(tag: str, attrs: str, inside: bool) -> bool:
-    """Is the element left out? ``inside``: within an article or main element."""
-    if tag in LEFT_OUT or (tag == "header" and not inside):
-        return True
-    if not attrs or tag in ("html", "body", "article", "main"):
-        return False
-    if "none" in attrs and _UNSEEN.search(attrs):
-        return True
+def _attributes(attrs: str) -> dict[str, str]:
+    """Attribute values by lower-case name; the first one of a name holds."""
+    out: dict[str, str] = {}
     for name, *values in _ATTR.findall(attrs):
-        name, value = name.lower(), "".join(values)
-        if name == "hidden":
-            return True
-        if name in ("class", "id", "role"):
-            words = {w.lower() for w in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", value)}
-            if words & MARKS:
-                return True
-    return False
+        out.setdefault(name.lower(), "".join(values))
+    return out
+
+
+def _token_mark(value: str, marks: frozenset[str]) -> int:
+    """Does a token of ``value`` consist of marks (and words that go with them)?"""
+    found = 0
+    for token in value.split():
+        words = {w.lower() for w in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", token) if w and not w.isdigit()}
+        if words & marks and words <= MARKS | BESIDE:
+            found = max(found, READERS if words & COMMENTS else BY_TOKEN)
+    return found
+
+
+def _mark(tag: str, attrs: str, inside: bool) -> int:
+    """Mark of an element, 0 for none. ``inside``: within an article or main element."""
+    kind = 0
+    if tag in LEFT_OUT or (tag == "header" and not inside):
+        if tag not in WRAPS and tag != "header":
+            return NEVER
+        kind = BY_TOKEN if tag == "form" else BY_TAG  # a form may wrap a whole page
+    if not attrs:
+        return kind
+    named = _attributes(attrs)
+    if tag in ("html", "body", "article", "main"):
+        return kind
+    if "hidden" in named or named.get("aria-hidden", "").strip().lower() == "true" or _UNSEEN.search(named.get("style", "")):
+        return NEVER
+    for name in ("class", "id", "role"):
+        if name == "id" and tag in HEADINGS:
+            continue  # the heading's own words
+        marks = COMMENTS if name == "id" and tag == "section" and inside else MARKS
+        kind = max(kind, _token_mark(named.get(name, ""), marks))
+    return kind
+
+
+def _dropped(tag: list[str], parent: list[int], mark: list[int], own: list[int], body: int) -> list[bool]:
+    """Is the element, or one around it, left out? A marked wrapper stays if it
+    encloses a main element or an article with more unlinked text than all that is
+    unmarked. If no unmarked article or main element has text, one marked by its
+    token also stays if it encloses most of the body's unlinked text. Reader
+    comments do not count."""
+    n = len(tag)
+    out, linked, readers = [False] * n, [False] * n, [False] * n
+    free = own[:]  # unlinked characters
+    for v in range(1, n):
+        up = parent[v]
+        out[v] = out[up] or mark[v] > 0
+        linked[v] = linked[up] or tag[v] == "a"
+        readers[v] = readers[up] or mark[v] >= READERS
+        if linked[v] or readers[v]:
+            free[v] = 0
+    if True not in out:
+        return out
+    clear = sum(c for c, d in zip(free, out, strict=True) if not d)
+    main, article = [False] * n, [0] * n
+    for v in range(n - 1, 0, -1):
+        up = parent[v]
+        free[up] += free[v]
+        main[up] |= main[v] or (tag[v] == "main" and mark[v] == 0)
+        article[up] = max(article[up], article[v], free[v] if tag[v] == "article" else 0)
+    found = any(free[v] and not out[v] for v in range(1, n) if tag[v] in ("article", "main"))
+    whole = free[body] or free[0]
+    for v in range(1, n):
+        kind = mark[v]
+        stays = kind == 0 or (kind < NEVER and main[v])
+        if not found:
+            stays |= (kind in (BY_TAG, BY_TOKEN) and article[v] > clear) or (kind == BY_TOKEN and 2 * free[v] > whole)
+        elif kind == BY_TOKEN:
+            stays |= article[v] > clear
+        out[v] = out[parent[v]] or not stays
+    return out
 
 
 def main_text(page: str | None) -> str:
     """The main text of one page; see the module text."""
     if not page:
         return ""
-    tag, parent, dropped, own, block, pieces = ["#root"], [-1], [False], [0], [True], []
+    tag, parent, mark, own, block, pieces = ["#root"], [-1], [0], [0], [True], []
+    never = [False]
     article = [False]
     stack = [0]
     body, at, gap = 0, 0, True
@@ -85,7 +156,7 @@ def main_text(page: str | None) -> str:
     def text(s: str) -> None:
         nonlocal gap
         node = stack[-1]
-        if dropped[node] or not s:
+        if never[node] or not s:
             return
         s = _html.unescape(s) if "&" in s else s
         own[node] += len("".join(s.split()))
@@ -137,7 +208,8 @@ def main_text(page: str | None) -> str:
         parent.append(up)
         inside = article[up] or name in ("article", "main")
         article.append(inside)
-        dropped.append(dropped[up] or _marked(name, attrs, article[up]))
+        mark.append(_mark(name, attrs, article[up]))
+        never.append(never[up] or mark[node] == NEVER)
         own.append(0)
         block.append(name not in INLINE)
         if name == "body" and not body:
@@ -149,6 +221,8 @@ def main_text(page: str | None) -> str:
             stack.append(node)
 
     n = len(tag)
+    dropped = _dropped(tag, parent, mark, own, body)
+    own = [0 if d else c for c, d in zip(own, dropped, strict=True)]
     chars, links, tags, link_tags = own[:], [0] * n, [0] * n, [0] * n
     last = list(range(1, n + 1))  # one past the subtree of each element
     for v in range(n - 1, 0, -1):
@@ -194,7 +268,7 @@ def main_text(page: str | None) -> str:
         v = parent[v]
     out = []
     for node, cut, s in pieces:
-        if best <= node < last[best]:
+        if best <= node < last[best] and not dropped[node]:
             out.append(" " + s if cut else s)
     return " ".join("".join(out).split())
 

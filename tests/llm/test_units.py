@@ -197,6 +197,31 @@ def test_main_text(page, want):
     assert htmltext.main_text(page) == want
 
 
+LONG = "A long paragraph of the main text that goes on for quite some words. " * 4
+TEXT = " ".join(LONG.split())
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f'<body><div style="overflow:hidden"><article><p>{LONG}</article></div>', TEXT),
+        (f'<body><div aria-hidden="false"><article><p>{LONG}</article></div>', TEXT),
+        (f"<body><div data-note='is hidden class=ad'><article><p>{LONG}</article></div>", TEXT),
+        (f'<body><article><p>{LONG}<p aria-hidden="true">no<p hidden>no<p style="display: none">no</article>', TEXT),
+        (f'<body><article><p>{LONG}<p><a href="/w?id=search">link</a> end</article>', f"{TEXT} link end"),
+        (f'<body><div class="layout has-sidebar"><article><p>{LONG}</article><div class="left-sidebar">no</div></div>', TEXT),
+        (f'<body><article><h2 id="search-algorithms">A</h2><h2 id="search">B</h2><section id="related-work"><p>{LONG}</section></article>', f"A B {TEXT}"),
+        (f'<body><div class="sidebar"><article><p>{LONG}</article></div><p>x</p>', TEXT),
+        (f'<body><div class="widget"><main><p>{LONG}</main></div><p>x</p>', TEXT),
+        (f"<body><form id=page><p>{LONG}</p><p>{LONG}</p><div class=site-footer>no</div></form>", f"{TEXT} {TEXT}"),
+        (f'<body><article><p>{LONG}</article><div class="comments"><article><p>{LONG * 3}</article></div><div class="related-posts"><p>{LONG * 3}</div>', TEXT),
+        (f"<body><article><p>Short.</article><footer>{LONG}</footer>", "Short."),
+    ],
+)
+def test_marks_leave_the_main_text(page, want):
+    assert htmltext.main_text(page) == want
+
+
 def slow_walk(text):
     """The edit embedding, one step at a time."""
     stay, chars, j, path = editembed._stay(), editembed.classes(text), 0, []
