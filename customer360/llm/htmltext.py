@@ -8,7 +8,13 @@ unlinked text. For every other element the composite text density is its charact
 adjusted by the share of linked characters and tags. The least density on the
 path from the body to the densest element is the threshold; among the
 elements that reach it, the one with the largest sum of its children's
-densities is the content, widened to an enclosing article or main element.
+densities is content, widened to an enclosing article or main element. So is
+the one with the largest sum of every other branch that reaches the threshold:
+in the other articles of a page whose content is an article, else in the whole
+body; and so are, below the body, unlinked sections beside content (section
+elements, or elements of the same tag and class without ids). Content of several branches without an article is their lowest common
+ancestor; if that is the body, its part from the first of them (with headings
+right before it) to the last one, without elements of mostly linked text.
 
 Its text: character references decoded, white space runs made one space,
 trimmed, blocks joined by one space in page order. Nothing else is dropped.
@@ -23,6 +29,7 @@ from __future__ import annotations
 import html as _html
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -142,12 +149,105 @@ def _dropped(tag: list[str], parent: list[int], mark: list[int], own: list[int],
     return out
 
 
+def _leaf_density(c: int, bias: float) -> float:
+    """Density of ``c`` unlinked characters without tags."""
+    return c * math.log(c) / math.log(math.log(1 + bias * c + math.e)) if c else 0.0
+
+
+def _section(tag: str, attrs: str) -> tuple[str, str] | None:
+    """What the sections of one text have in common."""
+    if tag == "section":
+        return tag, ""
+    named = _attributes(attrs)
+    return None if "id" in named else (tag, " ".join(sorted(named.get("class", "").split())))
+
+
+def _content(best, limit, body, tag, attrs, parent, last, own, chars, links, density, total, block, dropped) -> list[tuple[int, int]]:
+    """Preorder ranges of the content; ``best`` has the largest sum of all."""
+
+    def widened(v: int) -> int:
+        out = v
+        while v > body:
+            if tag[v] in ("article", "main"):
+                out = v
+            v = parent[v]
+        return out
+
+    def inner(v: int) -> list[int]:
+        out, c = [], v + 1
+        while c < last[v]:
+            if chars[c] and not dropped[c]:
+                out.append(c)
+            c = last[c]
+        return out
+
+    top = widened(best)
+    if best == body or tag[top] == "main":
+        return [(top, last[top])]
+    # The element of the largest sum in every branch, outside of those found before.
+    picks, todo = [], [body]
+    bias = links[body] / chars[body]
+    while todo:
+        v = todo.pop()
+        if v == body:
+            pick = best
+        else:
+            reach = (x for x in range(v, last[v]) if chars[x] and not dropped[x] and density[x] >= limit and (block[x] or x == v))
+            pick = max(reach, key=lambda x: (total[x], chars[x], -x), default=0)
+            if not pick:
+                continue
+        picks.append(pick)
+        # What is left of the branch: the branches beside the way down to the pick.
+        up, child = parent[pick], pick
+        while child != v:
+            if _leaf_density(own[up], bias) >= limit:  # loose text
+                picks.append(up)
+            todo += [c for c in inner(up) if c != child]
+            up, child = parent[up], up
+    wide = sorted({widened(x) for x in picks})
+    if tag[top] == "article":
+        wide = [x for x in wide if tag[x] in ("article", "main")]
+        return [(x, last[x]) for x in wide]
+    seen = set()
+    for v in wide[:]:
+        while parent[v] > body and chars[parent[v]] == chars[v]:
+            v = parent[v]
+        if parent[v] > body and (kind := _section(tag[v], attrs[v])) and (parent[v], kind) not in seen:
+            seen.add((parent[v], kind))
+            wide += [c for c in inner(parent[v]) if _section(tag[c], attrs[c]) == kind and 2 * links[c] <= chars[c]]
+    wide = sorted(set(wide))
+    low = wide[0]
+    while last[low] <= wide[-1]:
+        low = parent[low]
+    if low != body or low in wide:
+        return [(low, last[low])]
+    parts = inner(low)
+    holds = [bisect_left(wide, c) < bisect_left(wide, last[c]) for c in parts]
+    first, end = holds.index(True), len(parts) - holds[::-1].index(True)
+    while first and _headings_only(parts[first - 1], tag, last, own, dropped):
+        first -= 1
+    return [(c, last[c]) for c, h in zip(parts[first:end], holds[first:end], strict=True) if h or 2 * links[c] <= chars[c]]
+
+
+def _headings_only(v: int, tag: list[str], last: list[int], own: list[int], dropped: list[bool]) -> bool:
+    """Is all text of the element inside headings?"""
+    x = v
+    while x < last[v]:
+        if tag[x] in HEADINGS or dropped[x]:
+            x = last[x]
+        elif own[x]:
+            return False
+        else:
+            x += 1
+    return True
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page; see the module text."""
     if not page:
         return ""
     tag, parent, mark, own, block, pieces = ["#root"], [-1], [0], [0], [True], []
-    never = [False]
+    never, written = [False], [""]
     article = [False]
     stack = [0]
     body, at, gap = 0, 0, True
@@ -208,6 +308,7 @@ def main_text(page: str | None) -> str:
         parent.append(up)
         inside = article[up] or name in ("article", "main")
         article.append(inside)
+        written.append(attrs)
         mark.append(_mark(name, attrs, article[up]))
         never.append(never[up] or mark[node] == NEVER)
         own.append(0)
@@ -261,15 +362,15 @@ def main_text(page: str | None) -> str:
     best = max((x for x in within if density[x] >= limit and (block[x] or x == body)), key=lambda x: (total[x], chars[x], -x), default=body)
     if total[best] == 0:  # no element holds blocks of text: take the body
         best = body
-    v = best
-    while v > body:
-        if tag[v] in ("article", "main"):
-            best = v
-        v = parent[v]
-    out = []
+    spans = _content(best, limit, body, tag, written, parent, last, own, chars, links, density, total, block, dropped)
+    starts = [a for a, _ in spans]
+    out, ended = [], False
     for node, cut, s in pieces:
-        if best <= node < last[best] and not dropped[node]:
-            out.append(" " + s if cut else s)
+        at = bisect_right(starts, node) - 1
+        here = not dropped[node] and at >= 0 and node < spans[at][1]
+        if here:
+            out.append(" " + s if cut or ended else s)
+        ended = not here and (ended or bool(s.strip()))
     return " ".join("".join(out).split())
 
 

@@ -222,6 +222,36 @@ def test_marks_leave_the_main_text(page, want):
     assert htmltext.main_text(page) == want
 
 
+def paragraphs(name, n):
+    return [f"{name} paragraph {i} {TEXT}" for i in range(n)]
+
+
+def html_of(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+FIRST, SECOND = paragraphs("One", 3), paragraphs("Two", 5)
+BOTH = " ".join(["Head", *FIRST, "Sub", *SECOND])
+LINKS = "<ul>" + "<li><a href=/x>Some linked words of a list</a>" * 6 + "</ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<body><div id=content><h1>Head</h1><div>{html_of(FIRST)}</div><div><h2>Sub</h2>{html_of(SECOND)}</div></div>", BOTH),
+        (f"<body>{LINKS}<div id=content><h1>Head</h1><div>{html_of(FIRST)}</div><h2>Sub</h2><div>{html_of(SECOND)}</div></div>{LINKS}<footer>f</footer>", BOTH),
+        (f"<body>{LINKS}<h1>Head</h1><section>{html_of(FIRST)}</section>{LINKS}<h2>Sub</h2><section>{html_of(SECOND)}</section>{LINKS}", BOTH),
+        (f"<body><div><div><h1>Head</h1><div>{html_of(FIRST)}</div></div><div class=ad>{LONG}</div></div><div><div>Sub {html_of(SECOND)}</div></div>", BOTH),
+        (f"<body><div id=c><div class=s><p>Short one.</div><div class=s>{html_of(FIRST * 4)}</div></div><div id=r><p>Beside.</div>", " ".join(["Short one.", *FIRST * 4])),
+        (f"<body><div id=c><section id=a><p>Short one.</section><section id=b>{html_of(FIRST * 4)}</section></div>", " ".join(["Short one.", *FIRST * 4])),
+        (f"<body>{LINKS}<article><h1>Head</h1>{html_of(FIRST)}</article><div>{LINKS}</div><article><h2>Sub</h2>{html_of(SECOND)}</article>", BOTH),
+        (f"<body><div><p>{TEXT}</p></div><div>{html_of(FIRST)}</div><div>{html_of(SECOND)}</div><div>(c) me</div>", " ".join([*FIRST, *SECOND])),
+    ],
+)
+def test_main_text_of_sectioned_pages(page, want):
+    assert htmltext.main_text(page) == want
+
+
 def slow_walk(text):
     """The edit embedding, one step at a time."""
     stay, chars, j, path = editembed._stay(), editembed.classes(text), 0, []
