@@ -313,16 +313,26 @@ def line_report(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) ->
     return out.select("doc_id", "n_lines", F.size(removed).alias("n_removed"), removed.alias("removed"), F.coalesce("classes", F.array().cast("array<bigint>")).alias("classes"))
 
 
+def _later_copies(docs: DataFrame) -> DataFrame:
+    """(rk, __copy) of every row whose text a smaller doc_id holds as well."""
+    rows = docs.select(_row_key().alias("rk"), F.struct("doc_id").alias("id"), F.xxhash64("text").alias("t1"), F.length("text").alias("t2")).where("t2 > 0")
+    lead = rows.groupBy("t1", "t2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where(~F.col("lo").eqNullSafe(F.col("hi")))
+    later = rows.join(lead, ["t1", "t2"]).where(~F.col("id").eqNullSafe(F.col("lo")))
+    return later.select("rk", F.lit(True).alias("__copy")).distinct()
+
+
 def dedup_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` without repeated lines: all columns kept, n_chars (if there)
-    recounted. A document goes if it loses every line that takes part: what is
-    left of it are lines too short to be compared."""
-    gone = line_classes(docs, tau, min_chars).groupBy("rk").agg(F.collect_set(F.when(~F.col("keep"), F.col("line_no"))).alias("__gone"), F.max("keep").alias("__any"))
-    gone = gone.where(F.size("__gone") > 0)
+    recounted. A document that loses lines goes if no non-blank line is left of
+    it, or if its whole text is that of a smaller doc_id, which holds its shorter
+    lines too."""
+    gone = line_classes(docs, tau, min_chars).where("not keep").groupBy("rk").agg(F.collect_set("line_no").alias("__gone"))
+    gone = gone.join(_later_copies(docs), "rk", "left")
     out = docs.withColumn("__row_key", _row_key()).join(gone.withColumnRenamed("rk", "__row_key"), "__row_key", "left")
     kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("__gone", i))
     out = out.withColumn("__kept", F.when(F.col("__gone").isNotNull(), kept))
-    out = out.where(F.coalesce("__any", F.lit(True)))
+    blank = ~F.exists("__kept", lambda x: x.rlike(r"\S"))
+    out = out.where(F.col("__kept").isNull() | ~(blank | F.coalesce("__copy", F.lit(False))))
     out = out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))

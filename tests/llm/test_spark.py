@@ -160,6 +160,15 @@ def test_line_dedup(spark, docs, texts):
     assert linededup.line_report(empty(spark, docs)).count() == linededup.dedup_lines(empty(spark, docs)).count() == 0
 
 
+def test_line_dedup_keeps_short_lines(spark):
+    head = "A heading that several documents share"
+    rows = [(1, head + "\nand its text, which is long enough"), (2, head + "\nroses red\nviolets blue\n"), (3, head + "\n \n"), (4, head + "\nroses red\nviolets blue\n"),
+            (5, "短い行\n" + head), (6, "short\nshort"), (7, "short\nshort"), (None, "nothing of this is found elsewhere")]
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in linededup.dedup_lines(spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id int, text string, n_chars int")).collect()}
+    want = dict(rows) | {2: "roses red\nviolets blue\n", 5: "短い行"}
+    assert got == {i: (t, len(t)) for i, t in want.items() if i not in (3, 4)}
+
+
 def test_decontamination(spark, docs, texts):
     bench = spark.createDataFrame([(1, next(t for _, t in texts if t and len(t.split()) == 40)), (2, None), (3, ""), (4, "no such words are found in any row at all")], "item_id int, text string")
     found = decontam.find_leaks(docs, bench).collect()
