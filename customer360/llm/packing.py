@@ -52,8 +52,8 @@ class WordTokenizer:
 
     The vocabulary's split pattern starts a new piece at every single space
     between two non-spaces, so a text without runs of white space (and without
-    non-ASCII white space) can be encoded word by word; any other text is
-    encoded whole. Words are looked up by a 64-bit hash of their bytes in an
+    non-ASCII white space) can be encoded word by word; any other text, and one
+    that holds an added token of the vocabulary, is encoded whole. Words are looked up by a 64-bit hash of their bytes in an
     open-addressing table."""
 
     def __init__(self, path: str):
@@ -61,7 +61,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values() if t.content]
         self._clear()
 
     def _clear(self) -> None:
@@ -116,6 +116,12 @@ class WordTokenizer:
         odd |= (raw == 0xE3) & (follow == 0x80) & (third == 0x80)
         whole = np.zeros(len(column) + 1, bool)
         whole[np.searchsorted(off, np.flatnonzero(odd), "right") - 1] = True
+        data = raw.tobytes()
+        for t in self.added:  # found across two texts, it only encodes the first one whole
+            i = data.find(t)
+            while i >= 0:
+                whole[np.searchsorted(off, i, "right") - 1] = True
+                i = data.find(t, i + 1)
         # A word begins at a text's start and after every space.
         gaps = np.flatnonzero(raw == 32)
         row = np.searchsorted(off, gaps, "right") - 1
@@ -136,7 +142,6 @@ class WordTokenizer:
         lost = np.flatnonzero(which < 0)
         if len(lost):
             fresh, at = np.unique(h[lost], return_index=True)
-            data = raw.tobytes()
             self._learn(fresh, [("" if f else " ") + data[a:b].decode("utf-8", "replace") for a, b, f in zip(begin[lost[at]].tolist(), stop[lost[at]].tolist(), first[lost[at]].tolist(), strict=True)])
             which[lost] = self._find(h[lost])
         size = self.at[which + 1] - self.at[which]

@@ -91,6 +91,17 @@ def test_word_tokenizer_equals_whole_text_encoding():
         assert ids.tolist() == w.tok.encode(t or "", add_special_tokens=False).ids
 
 
+def test_added_tokens_are_encoded_as_the_vocabulary_loads():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.default_tokenizer())
+    w = packing.WordTokenizer(packing.default_tokenizer())
+    texts = ["foo <|endoftext|> bar", "<|endoftext|>", "a<|endoftext|>b c", "no <|end", "oftext|> token", None, "x <|endoftext|><|endoftext|>", "plain words", "<|endof", "text|> y", "<<|endoftext|>"]
+    for t, ids in zip(texts, w.encode(pa.array(texts)), strict=True):
+        assert ids.tolist() == plain.encode(t or "", add_special_tokens=False).ids
+    assert w.encode(pa.array(texts))[0].tolist() == [21943, 220, 50256, 2318]
+
+
 def test_bin_plans_use_every_piece_once_and_fit():
     rng = np.random.default_rng(1)
     for cap, n in ((50, 400), (2048, 3000), (10, 1)):
