@@ -3,7 +3,8 @@
 Test items are the indexed documents; every passage of every training text
 is a query. Items are cut into shards of ``SHARD_ITEMS``, so that the index a
 task holds has a proven bound; each shard is one pass over the corpus, in
-blocks. Inside a shard:
+blocks. Number of items, mean length and document frequencies are those of all
+items, so results do not depend on the shards. Inside a shard:
 
 * Items are grouped by length class (a power of two words, L); passages are
   windows of 2 L words every L words, so any L consecutive words lie whole
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from customer360.llm.textnum import chunks, ngram_hashes, span_hashes, utf8
+from customer360.plans import cut_lineage
 
 SHARD_ITEMS = 4096
 BLOCK = 4
@@ -77,9 +79,13 @@ def _split(text: str) -> tuple[str, str]:
 
 
 class Index:
-    """One shard: BM25 impacts, block maxima and the trigrams to verify."""
+    """One shard: BM25 impacts, block maxima and the trigrams to verify.
 
-    def __init__(self, items: list[tuple], theta: float = THETA):
+    ``among``: number of all items with words, their mean length, and the sorted
+    terms of this shard with their document frequencies; None if this shard
+    holds all items."""
+
+    def __init__(self, items: list[tuple], theta: float = THETA, among: tuple | None = None):
         raw, off = utf8(pa.array([t for _, t in items], pa.string()))
         h, w = words(raw, off)
         size = np.diff(w)
@@ -102,8 +108,11 @@ class Index:
         term, item = pair // max(1, len(items)), pair % max(1, len(items))
         df = np.bincount(term, minlength=len(self.terms))
         n = len(order)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
         mean = max(1.0, size[size > 0].mean() if n else 1.0)
+        if among:
+            n, mean, known, counts = among
+            df = counts[np.searchsorted(known, self.terms)]
+        idf = np.log1p((n - df + 0.5) / (df + 0.5))
         impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / mean))
         impact /= np.maximum(theta * np.bincount(item, impact, len(items))[item], 1e-12)
         self.vector = [None] * len(items)
@@ -208,6 +217,25 @@ def _passages(cell: np.ndarray, word: np.ndarray, postings: tuple, rest: np.ndar
     return first[of(first) + of(first + len(rest)) + rest[first % len(rest)] >= 1 - 1e-9]
 
 
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, size, terms) of every item: its number of words and distinct words."""
+    for b in chunks(batches):
+        h, w = words(*utf8(b.column("text")))
+        terms = [np.unique(h[a:z]).view(np.int64) for a, z in zip(w[:-1].tolist(), w[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column("shard"), pa.array(np.diff(w).astype(np.int64)), pa.array(terms, pa.list_(pa.int64()))], ["shard", "size", "terms"])
+
+
+def _frequencies(items: DataFrame) -> tuple[int, float, DataFrame]:
+    """Number of items with words, their mean length, and (shard, term, df) of
+    every term of a shard, df counted over the items of all shards."""
+    rows = cut_lineage(items.select("shard", "text").mapInArrow(_item_words, "shard int, size bigint, terms array<bigint>"))
+    n, total = rows.where("size > 0").agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    terms = rows.select("shard", F.explode("terms").alias("term"))
+    held = terms.groupBy("shard", "term").agg(F.count("*").alias("here"))
+    df = held.groupBy("term").agg(F.sum("here").alias("df"))
+    return n, max(1.0, total / n if n else 1.0), cut_lineage(held.select("shard", "term").join(df, "term"))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, theta: float = THETA, shard_items: int = SHARD_ITEMS) -> DataFrame:
     """One row per (document row, item) whose passage is verified: doc_id,
     item_id, score (BM25 as a share of the item's threshold), n_passages,
@@ -220,10 +248,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, theta: float = THETA, shar
     arrow_item = to_arrow_type(item_type)
     schema = (f"doc_id {id_type.simpleString()}, item_id {item_type.simpleString()}, score double, n_passages int, first_word int, last_word int, "
               "question_cover double, answer_cover double")
-    out = None
+    out, among = None, None
+    if shards > 1:
+        items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"))
+        n, mean, held = _frequencies(items)
     for shard in range(shards):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard) if shards > 1 else items
-        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in part.toLocalIterator()], theta))
+        part = items
+        if shards > 1:
+            part = items.where(F.col("shard") == shard)
+            known = np.array([(r["term"], r["df"]) for r in held.where(F.col("shard") == shard).toLocalIterator()], np.int64).reshape(-1, 2)
+            term = known[:, 0].copy().view(np.uint64)
+            order = np.argsort(term)
+            among = (n, mean, term[order], known[order, 1])
+        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in part.toLocalIterator()], theta, among))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for b in chunks(batches):

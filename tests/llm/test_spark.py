@@ -181,6 +181,20 @@ def test_decontamination(spark, docs, texts):
     assert decontam.find_leaks(docs, empty(spark, bench)).count() == decontam.find_leaks(empty(spark, docs), bench).count() == 0
 
 
+def test_shards_give_the_scores_of_one_index(spark):
+    rng = random.Random(8)
+    items = [(i, " ".join(words(rng, rng.randint(6, 30), 40)) + ". " + " ".join(words(rng, 3, 40))) for i in range(40)] + [(98, ""), (99, None)]
+    rows = []
+    for i, t in items[:40]:
+        w = t.split()
+        for _ in range(len(w) // 10):
+            w[rng.randrange(len(w))] = "other"
+        rows.append((i, " ".join(words(rng, 20, 40) + w + words(rng, 20, 40))))
+    corpus, bench = spark.createDataFrame(rows, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+    one = sorted(map(tuple, decontam.find_leaks(corpus, bench).collect()))
+    assert len(one) > 20 and sorted(map(tuple, decontam.find_leaks(corpus, bench, shard_items=9).collect())) == one
+
+
 def test_fingerprints(spark, docs, texts):
     rows = {}
     for r in editembed.fingerprint_report(docs).collect():
