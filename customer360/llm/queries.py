@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from customer360.llm import licenses
+from customer360.llm import exactdedup, lexical, licenses, merkle
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,11 +98,36 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays for every document, copies and single ones alike."""
+    from customer360.llm.exactdedup import copy_groups
+
+    # The digest of every text is part of the result, so here all are read to the end.
+    return copy_groups(_table(spark, sf_dir, "documents"), digest_all=True).withColumnRenamed("digest", "text_sha256")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and the check of a partly changed copy of every document."""
+    from customer360.llm.merkle import manifest_report
+
+    return manifest_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    from customer360.llm.lexical import search
+
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality, op2_license_scan, op3_decontamination, op4_line_dedup, op5_language_id, op6_html_text, op7_fingerprints, op8_ngram_jaccard, op9_best_fit_packing, op10_toxicity)
+    for f in (op1_quality, op2_license_scan, op3_decontamination, op4_line_dedup, op5_language_id, op6_html_text, op7_fingerprints, op8_ngram_jaccard, op9_best_fit_packing, op10_toxicity, op11_exact_dedup, op12_merkle_manifest, op13_ranked_search)
 }
 ORACLE_SQL = {
+    "op11_exact_dedup": exactdedup.ORACLE,
+    "op12_merkle_manifest": merkle.oracle(),
+    "op13_ranked_search": lexical.ORACLE,
     "op2_license_scan": licenses.oracle(
         "SELECT doc_id, '/' || source || '/' || (doc_id // 1000) || '/' || (doc_id // 100) || '/' || doc_id || '.txt' AS path, text FROM documents"),
 }
