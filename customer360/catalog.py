@@ -82,7 +82,7 @@ QUERIES: dict[str, Query] = {
     # sources
     "scan_contacts": lambda s, d: _fx(s, d).last_contacts(),
     "contact_enrichment": lambda s, d: ops.contact_enrichment(
-        ops.round_metrics(report_b(s, d, binary_email=True), PARAMS_B), _fx(s, d).last_contacts()
+        ops.round_metrics(report_b(s, d, binary_email=True), PARAMS_B), _fx(s, d).last_contacts(), sized_by=_fx(s, d).customers()
     ),
     "report_label": lambda s, d: with_report_label(
         ops.vip_cohort(_fx(s, d).transactions(), PARAMS_A).select("client_id"), PARAMS_A.asof, REPORT_A_NAME

@@ -133,14 +133,16 @@ def job_a(inputs: Inputs, p: ReportParams, flow_rollup: DataFrame | None = None,
 
 def job_b(inputs: Inputs, p: ReportParams, store: bool = False) -> DataFrame:
     """Report B, presented: rounded metrics with the last help-desk contact. With
-    ``store`` the crossing dates are computed once and checkpointed."""
-    crossing = ops.threshold_crossing(inputs.transactions, inputs.currencies, p)
+    ``store`` the cohort's flows and then the report (one row per VIP customer and
+    attribute) are computed once and checkpointed."""
+    flows = cut_lineage(ops.cohort_ledger(inputs.transactions, inputs.currencies, p)) if store else None
     rep = ops.report_b(
         inputs.attributes, inputs.customers, inputs.merchants, inputs.countries, inputs.languages,
-        inputs.transactions, inputs.currencies, inputs.game_days, inputs.balances, inputs.bonuses, p,
-        crossing=cut_lineage(crossing) if store else crossing,
+        inputs.transactions, inputs.currencies, inputs.game_days, inputs.balances, inputs.bonuses, p, flows=flows,
     )
-    return ops.contact_enrichment(ops.round_metrics(rep, p), inputs.last_contacts)
+    rep = ops.round_metrics(rep, p)
+    # A stored report is counted where it lies; otherwise its NULL e-mails are those of the customers.
+    return ops.contact_enrichment(cut_lineage(rep) if store else rep, inputs.last_contacts, sized_by=None if store else inputs.customers)
 
 
 def run(spark: SparkSession, report: str, inputs: Inputs, p: ReportParams, out_root: str, fmt: str = "parquet",

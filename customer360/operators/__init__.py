@@ -27,12 +27,14 @@ from customer360.operators.gaming import (
     top_product,
     top_products,
 )
+from customer360.operators.ledger import cohort_ledger, ledger
 from customer360.operators.milestones import cumulative_deposits_eur, threshold_crossing
 from customer360.operators.presentation import contact_enrichment, format_money, round_metrics
 from customer360.operators.reports import cohort_flows, kpi_ratios, report_a, report_b
 
 __all__ = [
     "cohort_flows",
+    "cohort_ledger",
     "avg_bet_horizons",
     "avg_games_per_active_day",
     "bonus_enriched",
@@ -56,6 +58,7 @@ __all__ = [
     "kpi_ratios",
     "last_active_day",
     "latest_balance",
+    "ledger",
     "net_deposits",
     "payout_percent",
     "product_plays",

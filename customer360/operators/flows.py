@@ -27,6 +27,7 @@ from customer360.functions.expressions import (
     to_day,
     units_to_money,
 )
+from customer360.functions.money import Money, stored_eur
 
 # Output column prefixes of the two flow kinds (source spelling kept).
 DEPOSIT = "deposit"
@@ -62,19 +63,15 @@ def daily_flow(tx: DataFrame, p: ReportParams, txn_type, prefix: str = "dpst", b
     )
 
 
-def _kind_exprs(p: ReportParams, prefix: str, is_kind: Column, dd: Column, day_span: bool) -> list[Column]:
+def _kind_exprs(p: ReportParams, prefix: str, is_kind: Column, dd: Column, day_span: bool, amount: Money) -> list[Column]:
     """Aggregates of one flow kind over rows where ``is_kind`` holds.
 
     Rows of the other kind map to NULL and are ignored, so a customer without
     rows of this kind gets NULL in every column, exactly as if the kind had
     been aggregated on its own and left-joined.
     """
-    units = money_units("amount")
-    out = [
-        units_to_money(F.sum(F.when(is_kind, F.when(dd <= n, units).otherwise(F.lit(0))))).alias(f"{prefix}_{n}_days")
-        for n in p.horizons
-    ]
-    out.append(units_to_money(F.sum(F.when(is_kind, units))).alias(f"{prefix}_lifetime"))
+    out = [amount.or_zero(dd <= n).only(is_kind).total().double().alias(f"{prefix}_{n}_days") for n in p.horizons]
+    out.append(amount.only(is_kind).total().double().alias(f"{prefix}_lifetime"))
     cnt_name = "total_deposits_count" if prefix == DEPOSIT else f"{prefix}_count"
     out.append(F.sum(F.when(is_kind, F.col("id").isNotNull().cast("bigint"))).alias(cnt_name))
     if day_span:
@@ -89,6 +86,7 @@ def flow_horizons(
     kinds: Mapping[str, object] | None = None,
     day_span: Mapping[str, bool] | None = None,
     net: str | None = None,
+    amount: Money | None = None,
 ) -> DataFrame:
     """Horizon sums, lifetime sum and count per customer for several flow kinds.
 
@@ -98,17 +96,19 @@ def flow_horizons(
     a day inside the horizon contributes its amounts, one outside contributes
     0, and NULL amounts are skipped either way. ``net`` names an extra column,
     the exact difference of the two lifetime sums (NULL if either is missing).
+    ``amount`` replaces the column of that name.
     """
+    amount = Money((money_units("amount"),)) if amount is None else amount
     kinds = kinds or {DEPOSIT: p.deposit_type, WITHDRAWAL: p.withdrawal_type}
     day_span = day_span if day_span is not None else {DEPOSIT: True}
     dd = days_since(p.asof, "txn_date")
     base = filter_approved(tx, p).filter(F.col("txn_type").isin(*kinds.values()))
     exprs: list[Column] = []
     for prefix, t in kinds.items():
-        exprs += _kind_exprs(p, prefix, F.col("txn_type") == F.lit(t), dd, day_span.get(prefix, False))
+        exprs += _kind_exprs(p, prefix, F.col("txn_type") == F.lit(t), dd, day_span.get(prefix, False), amount)
     if net:
-        plus, minus = (F.sum(F.when(F.col("txn_type") == F.lit(kinds[k]), money_units("amount"))) for k in (DEPOSIT, WITHDRAWAL))
-        exprs.append((plus - minus).cast("double").alias(net))
+        plus, minus = (amount.only(F.col("txn_type") == F.lit(kinds[k])).total() for k in (DEPOSIT, WITHDRAWAL))
+        exprs.append(plus.minus(minus).double().alias(net))
     return base.groupBy("client_id").agg(*exprs)
 
 
@@ -219,6 +219,27 @@ def flow_daily(tx: DataFrame, p: ReportParams) -> DataFrame:
     )
 
 
+def day_total_exprs(p: ReportParams, amounts: Mapping[str, Money]) -> list[Column]:
+    """Horizon sums, lifetime sum, count and (deposits) day span per customer, from
+    rows of per-day totals (``_<kind>_any``, ``_<kind>_cnt`` and the kind's money).
+
+    Horizon sums over day totals equal those over raw rows: a day inside the
+    horizon adds its total, a day outside adds 0, and a kind with no rows
+    stays NULL."""
+    dd = days_since(p.asof, "txn_date")
+    out = []
+    for prefix, amount in amounts.items():
+        present = F.col(f"_{prefix}_any").isNotNull()
+        out += [amount.or_zero(dd <= n).only(present).total().double().alias(f"{prefix}_{n}_days") for n in p.horizons]
+        out.append(amount.total().double().alias(f"{prefix}_lifetime"))
+        cnt_name = "total_deposits_count" if prefix == DEPOSIT else f"{prefix}_count"
+        out.append(F.sum(f"_{prefix}_cnt").alias(cnt_name))
+        if prefix == DEPOSIT:
+            out.append(F.min(F.when(present, dd)).alias(f"days_since_last_{prefix}"))
+            out.append(F.max(F.when(present, dd)).alias(f"days_since_first_{prefix}"))
+    return out
+
+
 def flow_summary(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None,
                  daily: DataFrame | None = None) -> DataFrame:
     """Deposit and withdrawal horizons plus the VIP qualification date, one scan.
@@ -229,9 +250,7 @@ def flow_summary(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None
     distinct deposit ids need one shuffle on the id), a running-total window
     per customer over those day rows (at most one row per calendar day), and
     a final per-customer aggregation on the window's partitioning (no
-    further shuffle). Horizon sums over day totals equal those over raw rows:
-    a day inside the horizon adds its total, a day outside adds 0, and a kind
-    with no rows stays NULL. Pass ``daily`` (a stored rollup) to skip the
+    further shuffle; :func:`day_total_exprs`). Pass ``daily`` (a stored rollup) to skip the
     transaction scan; ``tx`` is then unused.
     """
     min_amount = p.vip_min_amount if min_amount is None else min_amount
@@ -244,21 +263,7 @@ def flow_summary(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None
         "_run_amt": F.sum(f"_{DEPOSIT}_units").over(w),
         "_run_cnt": F.sum(ids_col).over(w),
     })
-    dd = days_since(p.asof, "txn_date")
-    out = []
-    for prefix in kinds:
-        present = F.col(f"_{prefix}_any").isNotNull()
-        u = F.col(f"_{prefix}_units")
-        out += [
-            units_to_money(F.sum(F.when(present, F.when(dd <= n, u).otherwise(F.lit(0))))).alias(f"{prefix}_{n}_days")
-            for n in p.horizons
-        ]
-        out.append(units_to_money(F.sum(u)).alias(f"{prefix}_lifetime"))
-        cnt_name = "total_deposits_count" if prefix == DEPOSIT else f"{prefix}_count"
-        out.append(F.sum(f"_{prefix}_cnt").alias(cnt_name))
-        if prefix == DEPOSIT:
-            out.append(F.min(F.when(present, dd)).alias(f"days_since_last_{prefix}"))
-            out.append(F.max(F.when(present, dd)).alias(f"days_since_first_{prefix}"))
+    out = day_total_exprs(p, {k: Money((F.col(f"_{k}_units"),)) for k in kinds})
     qualifies = (F.col("_run_amt") >= money_threshold(min_amount)) | (F.col("_run_cnt") >= F.lit(min_count))
     out.append(F.min(F.when(qualifies, F.col("txn_date"))).alias("vip_date"))
     return run.groupBy("client_id").agg(*out)
@@ -279,14 +284,10 @@ def vip_cohort(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None)
 def net_deposits(tx_eur: DataFrame, p: ReportParams) -> DataFrame:
     """Total deposits and withdrawals (base currency) per customer, one pass.
 
-    ``tx_eur`` carries ``amount_eur`` (see ``fx.fx_normalise``) and
-    ``txn_type``; each total is a conditional sum, the other type adds 0.
+    ``tx_eur`` comes from ``fx.fx_normalise``; each total is a conditional sum,
+    the other type adds 0.
     """
-    deposit, withdrawal = p.deposit_type, p.withdrawal_type
-
-    def total(t):
-        return units_to_money(F.sum(F.when(F.col("txn_type") == F.lit(t), money_units("amount_eur")).otherwise(F.lit(0))))
-
+    eur = stored_eur(tx_eur, p.fx_extra_digits)
+    kinds = {"total_deposits": p.deposit_type, "total_withdrawals": p.withdrawal_type}
     return tx_eur.groupBy("client_id").agg(
-        total(deposit).alias("total_deposits"), total(withdrawal).alias("total_withdrawals")
-    )
+        *[eur.or_zero(F.col("txn_type") == F.lit(t)).total().double().alias(name) for name, t in kinds.items()])

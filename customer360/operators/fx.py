@@ -13,9 +13,9 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType
 
 from customer360.config import ReportParams
+from customer360.functions.money import Money, divided
 from customer360.operators.flows import filter_approved
 
 # The per-code conversion rates of the game summaries (codes
@@ -33,15 +33,11 @@ CASE_RATES = {
 DEFAULT_CASE_RATE = Decimal("1")
 
 
-def to_base(amount: Column, kind: DataType, rate: Column, extra: int) -> Column:
-    """``amount / rate``; NULL if rate is 0/NULL.
-
-    For a DECIMAL amount (``kind`` is its type) the quotient is DECIMAL with
-    ``extra`` digits more than the amount's own scale, as the source database's
-    decimal division gives, so that later sums are exact and order independent.
-    """
-    q = F.try_divide(amount, rate)
-    return q.cast(f"decimal(28,{kind.scale + extra})") if isinstance(kind, DecimalType) else q.cast("double")
+def in_base(amounts: DataFrame, column: str, rates: DataFrame, p: ReportParams, rate: str = "rate_to_eur") -> Money:
+    """``column`` of ``amounts`` over a joined rate (column ``rate``) of ``rates``: exact at
+    the declared scale and ``fx_extra_digits`` more, NULL where the rate is 0/NULL."""
+    kind, rate_kind = amounts.schema[column].dataType, rates.schema["rate_to_eur"].dataType
+    return divided(F.col(column), kind, F.col(rate), rate_kind, p.fx_extra_digits)
 
 
 def fx_normalise(tx: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
@@ -49,14 +45,15 @@ def fx_normalise(tx: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
 
     Every rate row of the currency joins, so a currency with two rows doubles
     its transactions (the source behaviour, kept on purpose); a currency
-    without a rate gives a NULL amount that sums ignore.
+    without a rate gives a NULL amount that sums ignore. Amounts of very wide
+    types come as two columns (``functions.money``): ``amount_eur``, the whole part, and ``amount_eur_part``.
     """
     r = rates.select(F.col("id").alias("_rate_id"), "rate_to_eur")
     t = filter_approved(tx, p)
     return (
         t.join(r, t.currency_fk == r._rate_id, "left")
         .drop("_rate_id")
-        .withColumn("amount_eur", to_base(F.col("amount"), tx.schema["amount"].dataType, F.col("rate_to_eur"), p.fx_extra_digits))
+        .withColumns(in_base(tx, "amount", rates, p).named("amount_eur"))
     )
 
 
@@ -65,6 +62,15 @@ def valid_rates(rates: DataFrame) -> DataFrame:
     return rates.filter(F.col("is_valid") == 1).select("id", "rate_to_eur").distinct()
 
 
+def rate_rows(rates: DataFrame) -> DataFrame:
+    """Every rate row (``id, rate_to_eur``), with ``counted`` true on exactly one
+    row of each distinct valid pair: one join serves both rate sets."""
+    pairs = rates.groupBy("id", "rate_to_eur").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.col("is_valid") == 1), F.lit(False)).alias("valid"))
+    copies = pairs.select("id", "rate_to_eur", "valid", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i"))
+    return copies.select("id", "rate_to_eur", (F.col("valid") & (F.col("i") == 1)).alias("counted"))
+
+
 def fx_normalise_valid(tx: DataFrame, rates: DataFrame, p: ReportParams, txn_type=None) -> DataFrame:
     """Approved transactions (optionally of one type) against distinct valid rates only."""
     r = valid_rates(rates).withColumnRenamed("id", "_rate_id")
@@ -72,7 +78,7 @@ def fx_normalise_valid(tx: DataFrame, rates: DataFrame, p: ReportParams, txn_typ
     return (
         t.join(r, t.currency_fk == r._rate_id, "left")
         .drop("_rate_id")
-        .withColumn("amount_eur", to_base(F.col("amount"), tx.schema["amount"].dataType, F.col("rate_to_eur"), p.fx_extra_digits))
+        .withColumns(in_base(tx, "amount", rates, p).named("amount_eur"))
     )
 
 

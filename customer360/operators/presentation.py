@@ -66,7 +66,7 @@ def contact_enrichment(
     key: str = "email",
     contact_key: str = "requester_email",
     drop: Sequence[str] = ("index", "email", "requester_email"),
-    salt_buckets: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Attach the last help-desk contact to each report row by e-mail.
 
@@ -74,11 +74,14 @@ def contact_enrichment(
     which NULL e-mails match NULL contact e-mails (merge semantics: a NULL
     e-mail row gets every NULL-e-mail contact). Columns present on both sides
     get ``_x`` / ``_y`` suffixes; the keys and ``index`` are dropped.
+    ``sized_by``: a table with the ``key`` column in which NULL e-mails can be counted
+    without computing the report (see :func:`null_safe_left_join`).
     """
     if isinstance(report.schema[key].dataType, BinaryType):
         report = report.withColumn(key, decode_utf8(key))
     if isinstance(contacts.schema[contact_key].dataType, BinaryType):
         contacts = contacts.withColumn(contact_key, decode_utf8(contact_key))
     left, right = suffix_overlaps(report, contacts, [key, contact_key])
-    joined = null_safe_left_join(left, right, key, contact_key, salt_buckets=salt_buckets)
-    return joined.drop(*[c for c in drop if c in joined.columns])
+    joined = null_safe_left_join(left, right, key, contact_key, sized_by=sized_by)
+    # By exact name: DataFrame.drop would also take a column that differs in case.
+    return joined.select([F.col(f"`{c}`") for c in joined.columns if c not in set(drop)])

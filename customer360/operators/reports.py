@@ -7,9 +7,8 @@ source in the same aggregation), so a report reads every source once:
 * report A: transactions (deposit and withdrawal horizons and the
   running-total VIP date, one pass), game days (revenue, average bet, last
   bet day), plays (four top-product horizons in one aggregation), customers;
-* report B: customer + dimensions, transactions with all rates (flows),
-  transactions with valid rates (crossing date), game days, balances,
-  bonuses.
+* report B: transactions (flows in base currency and crossing date, one pass),
+  game days, bonuses, balances, customers and dimensions.
 
 The VIP restriction (A: lifetime rule, B: crossing date) is applied to the
 small per-customer frame first and joined inner, so every other join only
@@ -23,13 +22,14 @@ from pyspark.sql import functions as F
 
 from customer360.config import ReportParams
 from customer360.functions.expressions import days_since, ratio
+from customer360.functions.money import stored_eur
 from customer360.functions.formatting import blocked_flag, decode_utf8
-from customer360.operators.bonus import bonus_expense
+from customer360.operators.bonus import expense_columns, expense_exprs, won_bonuses
 from customer360.operators.customers import customer_dimension, latest_balance
 from customer360.operators.flows import DEPOSIT, WITHDRAWAL, cohort_filter, flow_horizons, flow_summary
 from customer360.operators.fx import fx_normalise
 from customer360.operators.gaming import LIFETIME, avg_bet_exprs, last_bet_expr, payout_expr, revenue_exprs, top_products
-from customer360.operators.milestones import threshold_crossing
+from customer360.operators.ledger import cohort_ledger
 from customer360.plans.joins import left_join_all
 
 
@@ -157,8 +157,8 @@ def report_b_columns(p: ReportParams) -> list[tuple[str, str]]:
 
 def flow_horizons_eur(tx: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
     """Deposit and withdrawal horizons in base currency (all rate rows)."""
-    txe = fx_normalise(tx, rates, p).withColumn("amount", F.col("amount_eur"))
-    return flow_horizons(txe, p, net="net_deposits")
+    eur = fx_normalise(tx, rates, p)
+    return flow_horizons(eur, p, net="net_deposits", amount=stored_eur(eur, p.fx_extra_digits))
 
 
 def gaming_b(days: DataFrame, p: ReportParams) -> DataFrame:
@@ -171,6 +171,26 @@ def gaming_b(days: DataFrame, p: ReportParams) -> DataFrame:
     )
 
 
+def _with_bonuses(flows: DataFrame, bonuses: DataFrame, customers: DataFrame, rates: DataFrame, p: ReportParams) -> DataFrame:
+    """``flows`` (one row per customer, with its crossing date) plus the customer's
+    exact bonus expense and counts, once per rate row.
+
+    The bonuses, counted per customer, day and amount, meet the flows on the
+    customer, and the aggregation hands the flows' row on: nothing computes
+    the flows a second time to look the crossing date up."""
+    pre = won_bonuses(bonuses).withColumnRenamed("client_id", "_bonus_client")
+    c = customers.select(F.col("id").alias("_cid"), "currency_fk")
+    r = rates.select(F.col("id").alias("_rid"), "rate_to_eur")
+    j = (
+        flows.join(pre, flows.client_id == pre._bonus_client, "left")
+        .join(c, flows.client_id == c._cid, "left")
+        .join(r, F.col("currency_fk") == r._rid, "left")
+    )
+    row = F.struct(*[F.col(x) for x in flows.columns if x != "client_id"])
+    out = j.groupBy("client_id").agg(F.first(row).alias("_row"), *expense_exprs(bonuses, rates, p))
+    return out.select("client_id", "_row.*", *[x for x in out.columns if x not in ("client_id", "_row")])
+
+
 def report_b(
     attributes: DataFrame,
     customers: DataFrame,
@@ -183,35 +203,33 @@ def report_b(
     balances: DataFrame,
     bonuses: DataFrame,
     p: ReportParams,
-    crossing: DataFrame | None = None,
+    flows: DataFrame | None = None,
 ) -> DataFrame:
     """The VIP customer report of job B (57 columns).
 
     Cohort: customers whose running base-currency deposits (valid rates)
     reached ``crossing_amount``. A customer with several balance rows on its
     latest day, or several attribute rows, appears once per row, as in the
-    source.
-
-    The crossing dates decide the cohort and the bonus counts. They cost a full
-    transaction scan, so a job computes them once, stores them and passes them
-    as ``crossing``. The cohort restricts every input by a semi join before its
-    aggregation (Spark broadcasts or shuffles it by its measured size):
-    Catalyst cannot push the final inner join through the outer joins.
+    source, and its bonuses count once per attribute row.
+
+    The transactions are read once (:mod:`customer360.operators.ledger`). The
+    cohort enters the plan once, as the first frame of the join chain; every
+    other source is aggregated per customer, map-side first, and meets it there.
+    A job may compute the cohort's flows once, store them and pass them as
+    ``flows``: then they also cut the raw inputs by semi joins, which cost no
+    second computation (Spark broadcasts or shuffles them by their measured size).
     """
-    crossing = threshold_crossing(tx, rates, p) if crossing is None else crossing
-    ids = crossing.select("client_id")
-    days, tx_flows = days.join(ids, "client_id", "left_semi"), tx.join(ids, "client_id", "left_semi")
-    attrs = attributes.join(ids, "client_id", "left_semi")
-    custs = customers.join(ids.withColumnRenamed("client_id", "id"), "id", "left_semi")
-    base = customer_dimension(attrs, custs, merchants, countries, languages, p)
-    base = crossing.join(base.withColumnRenamed("customer_fk", "client_id"), "client_id", "inner")
-    wide = left_join_all(
-        base,
-        [gaming_b(days, p), flow_horizons_eur(tx_flows, rates, p),
-         latest_balance(balances.join(ids, "client_id", "left_semi")),
-         bonus_expense(bonuses, custs, rates, crossing, p, attributes=attrs, cohort=ids)],
-        "client_id",
-    )
+    if flows is None:
+        flows = cohort_ledger(tx, rates, p)
+    else:
+        ids = flows.select("client_id")
+        days, balances, bonuses, attributes = (t.join(ids, "client_id", "left_semi") for t in (days, balances, bonuses, attributes))
+    times = attributes.groupBy("client_id").agg(F.count(F.lit(1)).alias("_times"))
+    base = customer_dimension(attributes, customers, merchants, countries, languages, p).withColumnRenamed("customer_fk", "client_id")
+    metrics = left_join_all(
+        _with_bonuses(flows, bonuses, customers, rates, p), [times, gaming_b(days, p), latest_balance(balances)], "client_id")
+    metrics = metrics.withColumns(expense_columns(metrics, bonuses, p, F.col("_times")))
+    wide = metrics.join(base, "client_id", "inner")
     email_text = decode_utf8("email") if dict(customers.dtypes).get("email") == "binary" else F.col("email")
     wide = kpi_ratios(wide, p).withColumns(
         {

@@ -95,8 +95,11 @@ def test_stored_cohort_spares_the_transactions(spark):
     assert "Window [" not in plan(stored, "simple") and rows(stored) == rows(ops.report_a(*a, PARAMS_A))
     b = (f.attributes(), f.customers(), f.merchants(), f.countries(), f.languages(), f.transactions(),
          f.currencies(), f.game_days(), f.balances(), f.bonuses())
-    crossing = cut_lineage(ops.threshold_crossing(f.transactions(), f.currencies(), PARAMS_B))
-    assert rows(ops.report_b(*b, PARAMS_B, crossing=crossing)) == rows(ops.report_b(*b, PARAMS_B))
+    flows = cut_lineage(ops.cohort_ledger(f.transactions(), f.currencies(), PARAMS_B))
+    stored = ops.report_b(*b, PARAMS_B, flows=flows)
+    tree = plan(stored).split("\n\n")[0]
+    assert tree.count("LeftSemi") >= 4  # the raw inputs are cut to the stored cohort
+    assert rows(stored) == rows(ops.report_b(*b, PARAMS_B))
 
 
 def test_unique_ids_need_two_shuffles(raw_tx):
@@ -141,9 +144,58 @@ def test_join_chain_reuses_customer_partitioning(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_report_b_inputs_are_cut_to_the_cohort(spark):
-    tree = plan(QUERIES["report_b"](spark, SF001)).split("\n\n")[0]
-    assert tree.count("LeftSemi") >= 6
+@pytest.fixture(scope="module")
+def stored_b(spark, tmp_path_factory):
+    """Job B's logical tables as stored tables, as a real source has them."""
+    from customer360.jobs import TABLES_B, Inputs
+
+    root = tmp_path_factory.mktemp("logical")
+    for name, df in Inputs.from_fixtures(spark, SF001, TABLES_B).tables.items():
+        df.write.parquet(str(root / f"{name}.parquet"))
+    return Inputs.from_dir(spark, str(root), TABLES_B)
+
+
+def executed(df) -> str:
+    """The final adaptive plan, after a run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_report_b_reads_the_transactions_once(stored_b):
+    from customer360.catalog import PARAMS_B
+
+    i = stored_b
+    txt = executed(ops.report_b(i.attributes, i.customers, i.merchants, i.countries, i.languages, i.transactions, i.currencies,
+                                i.game_days, i.balances, i.bonuses, PARAMS_B))
+    scans = re.findall(r"FileScan parquet .*?/(\w+)\.parquet", txt)
+    assert [scans.count(t) for t in ("transactions", "game_days", "balances", "bonuses")] == [1, 1, 1, 1], scans
+    assert len(re.findall(r"(?:\+|:)- Window \[|^ *Window \[|\bWindow \[", txt)) <= 2
+    assert txt.count("Exchange hashpartitioning") <= 10
+    assert "CartesianProduct" not in txt
+
+
+def test_ledger_is_one_scan_and_two_shuffles_of_facts(stored_b):
+    from customer360.catalog import PARAMS_B
+    from customer360.plans import plan_summary
+
+    s = plan_summary(ops.ledger(stored_b.transactions, stored_b.currencies, PARAMS_B))
+    # The third shuffle is that of the rate rows.
+    assert (s["scans"], s["hash_shuffles"], s["windows"], s["smj"]) == (2, 3, 1, 0)
+
+
+def test_null_join_of_a_million_partitions_is_built_at_once(spark):
+    import time
+
+    left = spark.createDataFrame([(1, "a"), (2, None)], "k long, email string")
+    right = spark.createDataFrame([("a", 10), (None, 20)], "req string, turn long")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1000000")
+    try:
+        start = time.time()
+        txt = plan(ops.contact_enrichment(left, right.withColumnRenamed("req", "requester_email")))
+        assert time.time() - start < 5 and len(txt) < 50_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def test_horizon_filter_reaches_the_scan(spark, tmp_path):

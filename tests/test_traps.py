@@ -52,6 +52,10 @@ def tx(spark, data):
     )
 
 
+def rates(spark, data):
+    return spark.createDataFrame([(i, None if r is None else D(r), v) for i, r, v in data], RATES)
+
+
 # -- horizons -----------------------------------------------------------------
 
 def test_horizon_is_inclusive_and_lets_future_rows_in(spark):
@@ -260,12 +264,77 @@ def test_blocked_flag_case_sensitive_and_null(spark):
 def test_null_keys_match_and_salting_is_exact(spark):
     left = spark.createDataFrame([(1, "a"), (2, None), (3, None), (4, "z")], "k long, email string")
     right = spark.createDataFrame([("a", 10), (None, 20), (None, 21), ("b", 30)], "req string, turn long")
-    got = rows(null_safe_left_join(left, right, "email", "req", salt_buckets=4), "k", "turn")
+    got = rows(null_safe_left_join(left, right, "email", "req", group_rows=1), "k", "turn")
     assert got == [(1, 10), (2, 20), (2, 21), (3, 20), (3, 21), (4, None)]
     plain = left.join(right, left.email.eqNullSafe(right.req), "left")
     assert got == rows(plain, "k", "turn")
 
 
+@pytest.mark.parametrize("a, b, group_rows", [(0, 3, 1), (3, 0, 1), (1, 1, 1), (40, 5, 7), (5, 400, 2), (300, 1, 10)])
+def test_null_groups_of_every_size(spark, a, b, group_rows):
+    left = spark.createDataFrame([(k, None if k < a else "e%d" % k, 1, 2) for k in range(a + 3)], "k long, email string, salt int, fan int").repartition(3)
+    right = spark.createDataFrame([(None if k < b else "e%d" % (a + k - b), k, 9) for k in range(b + 2)], "req string, turn long, right_salt int").repartition(2)
+    plain = left.join(right, left.email.eqNullSafe(right.req), "left")
+    for sized_by in (None, left):
+        out = null_safe_left_join(left, right, "email", "req", group_rows=group_rows, sized_by=sized_by)
+        assert out.columns == plain.columns and rows(out) == rows(plain)
+
+
+def test_bonus_columns_named_like_lookups_pass_through(spark):
+    bon = spark.createDataFrame(
+        [(1, 6, 0, 0, day(1), "WIN", D("8.00"), "own text", 77, "own rate", "x", "y")],
+        "id long, client_id long, bonus_fk long, merchant_fk long, bonus_date date, status string, "
+        "winning_amount decimal(12,2), description string, currency_fk long, rate_to_eur string, _pid string, _rate_to_eur string",
+    )
+    cust = spark.createDataFrame([(6, 1, 0)], "id long, currency_fk long, country_fk long")
+    none = {"bonus_defs": "id long, promo_code string, description string", "merchants": "id long, name string",
+            "attributes": "client_id long, referral_info string", "countries": "id long, country_desc string", "crossing": "client_id long, date_of_reaching_1k date"}
+    frames = {k: spark.createDataFrame([], v) for k, v in none.items()}
+    frames["bonus_defs"] = spark.createDataFrame([(0, "P", "looked up")], none["bonus_defs"])
+    r = ops.bonus_enriched(bon, cust, rates(spark, [(1, "0.500", 1)]), frames["bonus_defs"], frames["merchants"], frames["attributes"],
+                           frames["countries"], frames["crossing"], P).collect()[0].asDict()
+    assert (r["description"], r["description_lookup"], r["currency_fk"], r["currency_fk_lookup"]) == ("own text", "looked up", 77, 1)
+    assert (r["rate_to_eur"], r["rate_to_eur_lookup"], r["win_amount_euro"], r["promo_code"], r["_pid"]) == ("own rate", 0.5, 16.0, "P", "x")
+
+
+@pytest.mark.parametrize("kind", ["decimal(18,2)", "decimal(38,18)", "double"])
+def test_ledger_equals_its_parts(spark, kind):
+    """Rates repeated, invalid, zero and missing; undated rows; both kinds; any money type."""
+    import random
+
+    rng = random.Random(4)
+    data = [(i, rng.randrange(6), "a", None if rng.random() < 0.1 else day(rng.randrange(-3, 100)), rng.choice(["Approved", "Pending"]), rng.choice([1, 2, 3]),
+             rng.randrange(7), None if rng.random() < 0.05 else D(rng.randrange(-500, 3000)) / 100) for i in range(400)]
+    t = spark.createDataFrame(data, TX).withColumn("amount", F.col("amount").cast(kind)).repartition(4)
+    r = rates(spark, [(0, "1.000", 1), (1, "0.300", 1), (1, "0.300", 1), (1, "0.300", 0), (1, "0.700", 0), (2, "0.000", 1), (3, "0.900", 0), (4, None, 1), (4, "3.000", 1), (4, "0.070", 1)])
+    from customer360.operators.reports import flow_horizons_eur
+
+    want = flow_horizons_eur(t, r, P).join(ops.threshold_crossing(t, r, P), "client_id", "left")
+    got = ops.ledger(t, r, P)
+    if kind == "double":  # sums of doubles depend on their order
+        near = lambda x: [[pytest.approx(v, rel=1e-9) if isinstance(v, float) else v for v in row] for row in x]
+        assert [list(x) for x in rows(got, *want.columns)] == near(rows(want))
+    else:
+        assert rows(got, *want.columns) == rows(want)
+    crossed = {r["client_id"] for r in ops.threshold_crossing(t, r, P).collect()}
+    assert crossed and {r["client_id"] for r in got.where("reached").collect()} == crossed == {r["client_id"] for r in ops.cohort_ledger(t, r, P).collect()}
+
+
+def test_bonus_counts_beyond_a_thousand_million(spark):
+    """Equal bonuses times attribute rows: more than nine digits, exact."""
+    from customer360.operators.bonus import expense_columns, expense_exprs
+
+    counted = spark.createDataFrame([(1, day(1), D("0.07"), 4_000_000_011, D("0.300"), None), (1, day(2), D("-1.00"), 3, D("0.300"), None)],
+                                    "client_id long, bonus_date date, winning_amount decimal(12,2), n long, rate_to_eur decimal(10,3), date_of_reaching_1k date")
+    for kind, places in (("decimal(12,2)", 6), ("decimal(38,18)", 22), ("decimal(14,5)", 9)):
+        df = counted.withColumn("winning_amount", F.col("winning_amount").cast(kind))
+        out = df.groupBy("client_id").agg(*expense_exprs(df, df, P))
+        r = out.withColumns(expense_columns(out, df, P, F.lit(5).cast("bigint"))).first()
+        each = (D("0.07") / D("0.3")).quantize(D(1).scaleb(-places))
+        third = (D(-1) / D("0.3")).quantize(D(1).scaleb(-places))
+        assert (r["mkt_expense"], r["bonus_count"]) == (float((each * 4_000_000_011 + third * 3) * 5), 20_000_000_055)
+
+
 def test_overlapping_names_get_suffixes(spark):
     l = spark.createDataFrame([(1, "x", 5)], "k long, email string, turn long")
     r = spark.createDataFrame([("x", 6, 7)], "req string, turn long, other long")
