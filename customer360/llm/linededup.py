@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from customer360.llm.components import connected_components
-from customer360.llm.textnum import chunks, mix, utf8
+from customer360.llm.textnum import chunks, mix, powers, utf8
 from customer360.plans import cut_lineage
 
 TAU = 2
@@ -51,19 +51,6 @@ BROADCAST_LINES = 500_000
 
 _MARKS = ["m0", "m1", "m2"]
 _U = np.uint64
-_BASE = 0xA0761D6478BD642F
-_POW: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POW or len(_POW[0]) < n:
-        size = max(n, 1 << 22)
-        _POW[:] = []
-        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(size, b, dtype=_U)
-            p[0] = 1
-            _POW.append(np.cumprod(p, dtype=_U))
-    return _POW[0], _POW[1]
 
 
 class Lines:
@@ -89,7 +76,7 @@ class Lines:
         first = np.searchsorted(self.row, np.arange(len(off) - 1))
         self.number = np.arange(len(self.row)) - first[self.row]
         self.n = self.stop - self.start
-        p, self.inv = _powers(len(self.cp) + 1)
+        p, self.inv = powers(len(self.cp) + 1)
         with np.errstate(over="ignore"):
             self.sum = np.zeros(len(self.cp) + 1, _U)
             np.cumsum((self.cp.astype(_U) * _U(0x9E3779B97F4A7C15) + _U(0x7F4A7C15)) * p[: len(self.cp)], out=self.sum[1:])

@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+#: Bytes of text handled at once; the arrays of a task are a few dozen times as large.
+CHUNK_BYTES = 1 << 20
 _U = np.uint64
 
 
@@ -44,16 +45,25 @@ _BASE = 0xD1342543DE82EF95
 _POW: list[np.ndarray] = []
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, kept per process."""
-    if not _POW or len(_POW[0]) < n:
-        size = max(n, CHUNK_BYTES)
-        _POW[:] = []
-        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(size, b, dtype=_U)
-            p[0] = 1
-            _POW.append(np.cumprod(p, dtype=_U))
-    return _POW[0][:n], _POW[1][: n + 1]
+def _power_tables(n: int) -> list[np.ndarray]:
+    out = []
+    for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+        p = np.full(n, b, dtype=_U)
+        p[0] = 1
+        out.append(np.cumprod(p, dtype=_U))
+    return out
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, ``n`` of each. A process
+    keeps those of one chunk (16 MB in all) for every user of this module; a text
+    that is longer than a chunk has its own, which go with it."""
+    size = CHUNK_BYTES + 1
+    if n > size:
+        return tuple(_power_tables(n))
+    if not _POW:
+        _POW[:] = _power_tables(size)
+    return _POW[0][:n], _POW[1][:n]
 
 
 def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +113,7 @@ def span_hashes(raw: np.ndarray, s: np.ndarray, e: np.ndarray, fold: bool = True
     """64-bit hash of the (case-folded) bytes of every span."""
     if not len(s):
         return np.zeros(0, _U)
-    p, inv = _powers(len(raw) + 1)
+    p, inv = powers(len(raw) + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(len(raw) + 1, _U)
         np.cumsum((_BYTE if fold else _PLAIN)[raw] * p[: len(raw)], out=total[1:])

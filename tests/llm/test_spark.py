@@ -121,6 +121,9 @@ def test_packing(spark, docs, texts):
         ends[r["sequence_id"]] += r["length"]
     assert max(ends.values()) <= 2048 and len(ends) <= sum(ends.values()) / 2048 + 1
     assert packing.pack_documents(empty(spark, docs)).count() == 0
+    for texts_ in ([(1, None)], [(1, ""), (2, "")]):  # batches without any word
+        got = packing.pack_documents(spark.createDataFrame(texts_, "doc_id int, text string")).collect()
+        assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == [(i, 0, 0, 1, zlib.crc32(bytes(4))) for i, _ in texts_]
     # Many pieces of one length, numbered in several groups.
     many = spark.range(500).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(700).cast("long").alias("length"))
     got = packing.pack_pieces(many, rank_group=7).collect()

@@ -83,12 +83,43 @@ def test_lines_match_split():
 
 
 def test_word_tokenizer_equals_whole_text_encoding():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.default_tokenizer())
     w = packing.WordTokenizer(packing.default_tokenizer())
     rng = random.Random(3)
-    parts = ["a", "B", " ", " ", "\n", "é", " ", "　", "1", ".", "'s", "日", "\t", "<|endoftext|>", "\r", " the", " "]
-    texts = ["", "a", " ", "a ", "a  b", None, "\n", "b \n c"] + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
-    for t, ids in zip(texts, w.encode(pa.array(texts)), strict=True):
-        assert ids.tolist() == w.tok.encode(t or "", add_special_tokens=False).ids
+    parts = ["a", "B", " ", " ", " ", "\n", "é", "\u00a0", "　", "1", "23", ".", "--", "_", "'s", "'", "'ll", "x'", "日", "\t", "<|endoftext|>", "\r", " the", "\u2009", "\x00", "\x1c", "\x7f", "\x0b", "½", "²", "ˈ", "\U0001f600", "\u0301"]
+    texts = ["", "a", " ", "a ", "a  b", None, "\n", "b \n c", "a1b2 c3", " ", "x"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(6000)]
+    for at in range(0, len(texts), 700):
+        part = texts[at : at + 700]
+        for t, ids in zip(part, w.encode(pa.array(part)), strict=True):
+            assert ids.tolist() == plain.encode(t or "", add_special_tokens=False).ids, repr(t)
+
+
+@pytest.mark.parametrize("texts", [[None], [""], [None, "", None], [], ["", "a", ""], [" "]])
+def test_batches_without_words(texts):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.default_tokenizer())
+    w = packing.WordTokenizer(packing.default_tokenizer())
+    assert [x.tolist() for x in w.encode(pa.array(texts, pa.string()))] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_piece_cache_starts_afresh(monkeypatch):
+    monkeypatch.setattr(packing, "WORD_CACHE", 50)
+    w = packing.WordTokenizer(packing.default_tokenizer())
+    for k in range(20):
+        texts = ["w%d x%d-%d" % (k, j, k) for j in range(30)]
+        assert [x.tolist() for x in w.encode(pa.array(texts))] == [w.tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_texts_longer_than_a_chunk_hash_alike(monkeypatch):
+    raw = np.frombuffer(("some words again " * 400).encode(), np.uint8)
+    want = textnum.word_hashes(raw, np.array([0, len(raw)]))[0]
+    monkeypatch.setattr(textnum, "CHUNK_BYTES", 64)
+    monkeypatch.setattr(textnum, "_POW", [])
+    assert (textnum.word_hashes(raw, np.array([0, len(raw)]))[0] == want).all() and sum(len(p) for p in textnum._POW) == 0
 
 
 def test_added_tokens_are_encoded_as_the_vocabulary_loads():
