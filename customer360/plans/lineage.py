@@ -44,3 +44,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove_stored(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that is no longer read, in its own file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
