@@ -3,7 +3,8 @@
 Every stage takes (spark, docs, sf_dir) and works on all rows that the stage
 before it kept; all but the last return the columns of ``documents``. Each
 result is written as Parquet to the session's shared checkpoint folder and
-read again, so a lost executor never costs more than the stage at hand.
+read again, so a lost executor never costs more than the stage at hand; a
+stage's folder goes once the next stage stands. The last one stays for the caller.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from customer360.llm.linededup import dedup_lines
 from customer360.llm.ngramjoin import keep_one
 from customer360.llm.packing import pack_documents
 from customer360.llm.toxcnn import drop_toxic
-from customer360.plans import checkpoint_dir
+from customer360.plans import checkpoint_dir, remove_stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,8 +66,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, from ``documents`` of ``sf_dir``."""
     docs = _table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4()}"
+    folder, before = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4()}", None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:  # the stage that read it stands
+            remove_stored(spark, before)
+        before = f"{folder}/{name}"
     return docs
