@@ -43,7 +43,6 @@ class ReportParams:
     # Reproduce the source's slip where the 30/90-day "bets on top game"
     # columns carry the 7-day value.
     reference_compat: bool = False
-    # Declare transaction ids a primary key: the running deposit count then
-    # uses count(id), which aggregates map-side, instead of the exact
-    # count(DISTINCT id), which shuffles every deposit row by its id.
+    # Declare that transaction ids do not repeat within a day: spares the scan of
+    # ids and days that finds the days on which they do.
     unique_txn_ids: bool = False

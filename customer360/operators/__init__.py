@@ -10,8 +10,10 @@ from customer360.operators.flows import (
     flow_daily,
     flow_horizons,
     flow_summary,
+    id_zones,
     net_deposits,
     qualification_date,
+    repeated_id_days,
     vip_cohort,
     withdrawal_horizons,
 )
@@ -55,6 +57,7 @@ __all__ = [
     "format_money",
     "fx_normalise",
     "fx_normalise_valid",
+    "id_zones",
     "kpi_ratios",
     "last_active_day",
     "latest_balance",
@@ -63,6 +66,7 @@ __all__ = [
     "payout_percent",
     "product_plays",
     "qualification_date",
+    "repeated_id_days",
     "report_a",
     "report_b",
     "revenue_horizons",

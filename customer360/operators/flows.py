@@ -8,15 +8,22 @@ partial aggregation runs before the shuffle, so a customer holding a large
 share of all rows is collapsed map-side instead of landing whole in one task.
 Deposits and withdrawals come out of one scan and one shuffle
 (:func:`flow_horizons`); the running totals shuffle per (customer, day)
-aggregates only, so a window partition holds at most one row per calendar day.
+aggregates only, so a window partition holds one row per calendar day.
+
+Running counts are of distinct ids within a customer's login and day, while ids
+hardly ever repeat. Zone maps show where they do: ids of a day are marked as bits
+of 64-id zones, one aggregation on primitive buffers that folds runs of ids
+before its shuffle (:func:`repeated_id_days`). Days without a repeated id are
+counted; only the rows of the others are told apart by id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from customer360.config import ReportParams
 from customer360.functions.expressions import (
@@ -122,6 +129,48 @@ def withdrawal_horizons(tx: DataFrame, p: ReportParams) -> DataFrame:
     return flow_horizons(tx, p, {WITHDRAWAL: p.withdrawal_type}, day_span={})
 
 
+def id_zones(rows: DataFrame) -> DataFrame:
+    """Zone map of ``rows`` (``id, txn_date``): per day and zone of 64 ids, the rows
+    with an id (``n``) and the distinct ids (``ids``). Ids that are not integers are
+    zones of their own."""
+    day = to_day("txn_date").alias("txn_date")
+    some = rows.filter(F.col("id").isNotNull())
+    if not isinstance(rows.schema["id"].dataType, IntegralType):
+        return some.groupBy(day, F.col("id").alias("zone")).agg(F.count(F.lit(1)).alias("n"), F.lit(1).cast("bigint").alias("ids"))
+    wide = F.col("id").cast("bigint")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), wide.bitwiseAND(F.lit(63)).cast("int"))
+    return some.groupBy(day, F.shiftright(wide, 6).alias("zone")).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_count(F.bit_or(bit)).cast("bigint").alias("ids"))
+
+
+def repeated_id_days(rows: DataFrame) -> DataFrame:
+    """``txn_date`` of the days on which an id occurs more than once."""
+    return id_zones(rows).groupBy("txn_date").agg(F.sum("n").alias("n"), F.sum("ids").alias("ids")).filter("n > ids").select("txn_date")
+
+
+def _with_repeats(rows: DataFrame, p: ReportParams, is_deposit: Column) -> DataFrame:
+    """``rows`` plus ``_repeat``: (login, id) of a deposit on a day with repeated
+    ids, NULL on all others, so that grouping by it too tells only those apart."""
+    pair = F.struct("user_name", "id")
+    if p.unique_txn_ids:
+        return rows.withColumn("_repeat", F.when(F.lit(False), pair))
+    days = repeated_id_days(rows.filter(is_deposit)).select(F.col("txn_date").alias("_day"), F.lit(True).alias("_again"))
+    # At most one row per calendar day, so its size is bounded by the DATE type.
+    marked = rows.join(F.broadcast(days), to_day("txn_date").eqNullSafe(F.col("_day")), "left")
+    return marked.withColumn("_repeat", F.when(F.col("_again") & is_deposit & F.col("id").isNotNull(), pair)).drop("_day", "_again")
+
+
+def _distinct_ids(count: str) -> Column:
+    """Distinct ids of a group of :func:`_with_repeats`: its count, or the one it stands for."""
+    return F.when(F.col("_repeat").isNotNull(), F.lit(1).cast("bigint")).otherwise(F.col(count))
+
+
+def _up_to_day() -> WindowSpec:
+    """The days of a customer up to the current one; a NULL day comes last, as job A's database sorts it."""
+    w = Window.partitionBy("client_id").orderBy(F.col("txn_date").asc_nulls_last())
+    return w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def cumulative_flow(tx: DataFrame, p: ReportParams, txn_type=None) -> DataFrame:
     """Per customer, login and day: amount, count and the running totals.
 
@@ -129,50 +178,35 @@ def cumulative_flow(tx: DataFrame, p: ReportParams, txn_type=None) -> DataFrame:
     day only, so logins of one customer on the same day share one running
     total (peers), as in the source window; a NULL day comes last, as the
     source's database sorts it. The running count adds up the per-group
-    distinct ids.
+    distinct ids: on days with repeated ids the window sees a row per id, which
+    are put together after it, on the same partitioning.
     """
     txn_type = p.deposit_type if txn_type is None else txn_type
-    daily = (
-        filter_approved(tx, p, txn_type)
-        .groupBy("client_id", "user_name", to_day("txn_date").alias("txn_date"))
-        .agg(
-            F.sum(money_units("amount")).alias("_amt"),
-            F.count("id").alias("dpst_cnt"),
-            F.count_distinct("id").alias("_ids"),
-        )
-    )
-    w = Window.partitionBy("client_id").orderBy(F.col("txn_date").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return daily.select(
-        "client_id",
-        "user_name",
-        "txn_date",
-        days_since(p.asof, "txn_date").alias("date_diff_dpst"),
-        units_to_money(F.col("_amt")).alias("dpst_amt"),
-        "dpst_cnt",
-        units_to_money(F.sum("_amt").over(w)).alias("cumulative_dpst_amt"),
-        F.sum("_ids").over(w).alias("cumulative_dpst_count"),
-    )
+    rows = _with_repeats(filter_approved(tx, p, txn_type), p, F.lit(True))
+    daily = rows.groupBy("client_id", "user_name", to_day("txn_date").alias("txn_date"), "_repeat").agg(
+        F.sum(money_units("amount")).alias("_amt"), F.count("id").alias("_cnt"))
+    w = _up_to_day()
+    run = daily.withColumns({"_run_amt": F.sum("_amt").over(w), "_run_cnt": F.sum(_distinct_ids("_cnt")).over(w)})
+    out = run.groupBy("client_id", "user_name", "txn_date").agg(
+        units_to_money(F.sum("_amt")).alias("dpst_amt"), F.sum("_cnt").alias("dpst_cnt"),
+        units_to_money(F.max("_run_amt")).alias("cumulative_dpst_amt"), F.max("_run_cnt").alias("cumulative_dpst_count"))
+    return out.select(
+        "client_id", "user_name", "txn_date", days_since(p.asof, "txn_date").alias("date_diff_dpst"),
+        "dpst_amt", "dpst_cnt", "cumulative_dpst_amt", "cumulative_dpst_count")
 
 
 def _running_by_day(tx: DataFrame, p: ReportParams, txn_type) -> DataFrame:
-    """Per customer and day: running amount and running distinct-id count.
+    """Per customer and day (and repeated id): running amount and running distinct-id count.
 
-    One row per (customer, day) before the window: the per-login distinct
-    counts of the source add up to the number of distinct (login, id) pairs.
+    The per-login distinct counts of the source add up to the number of
+    distinct (login, id) pairs.
     """
-    pair = F.when(F.col("id").isNotNull(), F.struct("user_name", "id"))
-    per_day = (
-        filter_approved(tx, p, txn_type)
-        .groupBy("client_id", to_day("txn_date").alias("txn_date"))
-        .agg(F.sum(money_units("amount")).alias("_amt"), F.count_distinct(pair).alias("_ids"))
-    )
-    w = Window.partitionBy("client_id").orderBy(F.col("txn_date").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = _with_repeats(filter_approved(tx, p, txn_type), p, F.lit(True))
+    per_day = rows.groupBy("client_id", to_day("txn_date").alias("txn_date"), "_repeat").agg(
+        F.sum(money_units("amount")).alias("_amt"), F.count("id").alias("_cnt"))
+    w = _up_to_day()
     return per_day.select(
-        "client_id",
-        "txn_date",
-        F.sum("_amt").over(w).alias("run_amt"),
-        F.sum("_ids").over(w).alias("run_cnt"),
-    )
+        "client_id", "txn_date", F.sum("_amt").over(w).alias("run_amt"), F.sum(_distinct_ids("_cnt")).over(w).alias("run_cnt"))
 
 
 def qualification_date(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None) -> DataFrame:
@@ -187,16 +221,9 @@ def qualification_date(tx: DataFrame, p: ReportParams, min_amount=None, min_coun
     )
 
 
-def flow_daily(tx: DataFrame, p: ReportParams) -> DataFrame:
-    """Per (customer, day) totals of both flow kinds: the daily rollup.
-
-    Columns: ``client_id, txn_date`` and per kind ``_<kind>_any`` (1 if the
-    day has rows of the kind), ``_<kind>_units`` (exact sums),
-    ``_<kind>_cnt`` (non-NULL ids), plus ``_ids`` (distinct (login, id)
-    deposit pairs; absent with ``unique_txn_ids``). Independent of the report
-    date, so a daily job can keep it as a day-partitioned table and rebuild
-    only the days that changed (see ``jobs.refresh_flow_rollup``).
-    """
+def _day_rows(tx: DataFrame, p: ReportParams) -> DataFrame:
+    """Totals of both flow kinds per customer, day and ``_repeat`` (see
+    :func:`_with_repeats`), with ``_ids``, the distinct (login, id) deposit pairs."""
     units = money_units("amount")
     kinds = {DEPOSIT: p.deposit_type, WITHDRAWAL: p.withdrawal_type}
     day_aggs = []
@@ -207,16 +234,25 @@ def flow_daily(tx: DataFrame, p: ReportParams) -> DataFrame:
             F.sum(F.when(is_kind, units)).alias(f"_{prefix}_units"),
             F.sum(F.when(is_kind, F.col("id").isNotNull().cast("bigint"))).alias(f"_{prefix}_cnt"),
         ]
-    if not p.unique_txn_ids:
-        pair = F.when((F.col("txn_type") == F.lit(p.deposit_type)) & F.col("id").isNotNull(),
-                      F.struct("user_name", "id"))
-        day_aggs.append(F.count_distinct(pair).alias("_ids"))
-    return (
-        filter_approved(tx, p)
-        .filter(F.col("txn_type").isin(*kinds.values()))
-        .groupBy("client_id", to_day("txn_date").alias("txn_date"))
-        .agg(*day_aggs)
-    )
+    rows = filter_approved(tx, p).filter(F.col("txn_type").isin(*kinds.values()))
+    rows = _with_repeats(rows, p, F.col("txn_type") == F.lit(p.deposit_type))
+    out = rows.groupBy("client_id", to_day("txn_date").alias("txn_date"), "_repeat").agg(*day_aggs)
+    return out.withColumn("_ids", _distinct_ids(f"_{DEPOSIT}_cnt"))
+
+
+def flow_daily(tx: DataFrame, p: ReportParams) -> DataFrame:
+    """Per (customer, day) totals of both flow kinds: the daily rollup.
+
+    Columns: ``client_id, txn_date`` and per kind ``_<kind>_any`` (1 if the
+    day has rows of the kind), ``_<kind>_units`` (exact sums),
+    ``_<kind>_cnt`` (non-NULL ids), plus ``_ids`` (distinct (login, id)
+    deposit pairs). Independent of the report date, so a daily job can keep it
+    as a day-partitioned table and rebuild only the days that changed (see
+    ``jobs.refresh_flow_rollup``): then only the ids of those days are looked at.
+    """
+    rows = _day_rows(tx, p)
+    totals = [(F.max if c.endswith("_any") else F.sum)(c).alias(c) for c in rows.columns if c not in ("client_id", "txn_date", "_repeat")]
+    return rows.groupBy("client_id", "txn_date").agg(*totals)
 
 
 def day_total_exprs(p: ReportParams, amounts: Mapping[str, Money]) -> list[Column]:
@@ -245,24 +281,19 @@ def flow_summary(tx: DataFrame, p: ReportParams, min_amount=None, min_count=None
     """Deposit and withdrawal horizons plus the VIP qualification date, one scan.
 
     Equals ``flow_horizons(tx, p)`` left-joined with ``qualification_date``
-    but reads the transactions once. The chain is: per (customer, day)
-    totals of each kind (:func:`flow_daily`, partially aggregated; the
-    distinct deposit ids need one shuffle on the id), a running-total window
-    per customer over those day rows (at most one row per calendar day), and
-    a final per-customer aggregation on the window's partitioning (no
-    further shuffle; :func:`day_total_exprs`). Pass ``daily`` (a stored rollup) to skip the
-    transaction scan; ``tx`` is then unused.
+    but reads the amounts once. The chain is: totals of each kind per (customer,
+    day), partially aggregated; a running-total window per customer over
+    those day rows; and a final per-customer aggregation on the window's
+    partitioning (no further shuffle; :func:`day_total_exprs`). A second, narrow
+    scan of ids and days makes the zone map; ``unique_txn_ids`` spares it. Pass
+    ``daily`` (a stored rollup) to skip the transactions; ``tx`` is then unused.
     """
     min_amount = p.vip_min_amount if min_amount is None else min_amount
     min_count = p.vip_min_count if min_count is None else min_count
     kinds = {DEPOSIT: p.deposit_type, WITHDRAWAL: p.withdrawal_type}
-    ids_col = f"_{DEPOSIT}_cnt" if p.unique_txn_ids else "_ids"  # unique ids: distinct = count
-    daily = flow_daily(tx, p) if daily is None else daily
-    w = Window.partitionBy("client_id").orderBy(F.col("txn_date").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    run = daily.withColumns({
-        "_run_amt": F.sum(f"_{DEPOSIT}_units").over(w),
-        "_run_cnt": F.sum(ids_col).over(w),
-    })
+    daily = _day_rows(tx, p) if daily is None else daily
+    w = _up_to_day()
+    run = daily.withColumns({"_run_amt": F.sum(f"_{DEPOSIT}_units").over(w), "_run_cnt": F.sum("_ids").over(w)})
     out = day_total_exprs(p, {k: Money((F.col(f"_{k}_units"),)) for k in kinds})
     qualifies = (F.col("_run_amt") >= money_threshold(min_amount)) | (F.col("_run_cnt") >= F.lit(min_count))
     out.append(F.min(F.when(qualifies, F.col("txn_date"))).alias("vip_date"))

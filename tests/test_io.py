@@ -186,11 +186,20 @@ def test_rollup_days_that_lose_all_rows(spark, tmp_path):
 
 
 def test_repeated_transaction_ids_are_an_error(spark):
+    from customer360.catalog import PARAMS_A
     from customer360.jobs import require_unique_ids
+    from customer360.sources.fixtures import Fixtures
 
-    require_unique_ids(spark.range(5))
-    with pytest.raises(ValueError, match="repeat ids"):
-        require_unique_ids(spark.range(5).union(spark.range(1)))
+    p = PARAMS_A
+    tx = Fixtures(spark, SF0001).transactions()
+    require_unique_ids(tx, p)
+    deposits = tx.filter((F.col("txn_type") == p.deposit_type) & (F.col("status") == "Approved") & F.col("txn_date").isNotNull())
+    old = deposits.orderBy("txn_date", "id").limit(1)
+    with pytest.raises(ValueError, match="ids repeat, for example on"):
+        require_unique_ids(tx.unionByName(old), p)
+    # Another day, or a day that is not rebuilt, is no repeat.
+    require_unique_ids(tx.unionByName(old.withColumn("txn_date", F.date_add("txn_date", 1))), p)
+    require_unique_ids(tx.unionByName(old), p, days_back=30)
 
 
 def test_rollup_raises_other_trouble(spark):

@@ -102,11 +102,22 @@ def test_stored_cohort_spares_the_transactions(spark):
     assert rows(stored) == rows(ops.report_b(*b, PARAMS_B))
 
 
-def test_unique_ids_need_two_shuffles(raw_tx):
+@pytest.mark.parametrize("unique", [False, True])
+def test_running_counts_need_two_shuffles_of_totals(raw_tx, unique):
+    """The main path: per (customer, day), then per customer. By default two more
+    shuffles carry the zone map of ids and its days."""
     from customer360.plans import plan_summary
 
-    p = ReportParams(asof=dt.date(2001, 8, 1), unique_txn_ids=True)
-    assert plan_summary(ops.flow_summary(raw_tx, p))["hash_shuffles"] == 2
+    p = ReportParams(asof=dt.date(2001, 8, 1), unique_txn_ids=unique)
+    for df in (ops.flow_summary(raw_tx, p), ops.qualification_date(raw_tx, p), ops.cumulative_flow(raw_tx, p)):
+        s = plan_summary(df)
+        assert (s["hash_shuffles"], s["smj"]) == (2 if unique else 4, 0)
+        txt = plan(df)
+        keys = [k for k in re.findall(r"hashpartitioning\((.*?), \d+\)", txt)]
+        # No shuffle is dealt by the raw id: ids travel as zones, or as NULL where no id repeats.
+        assert not any(re.search(r"\bid#", k) for k in keys), keys
+    zones = plan(ops.id_zones(raw_tx))
+    assert "partial_bit_or" in zones and "SortAggregate" not in zones
 
 
 def test_latest_balance_one_scan_one_shuffle_no_join(spark, tmp_path):

@@ -108,6 +108,55 @@ def test_running_count_uses_distinct_ids(spark):
     assert c == {day(3): 1, day(2): 2}
 
 
+def brute_running(data, p):
+    """(client, login, day) -> amount, count, running amount, running distinct ids; NULL days last."""
+    groups = {}
+    for i, c, u, d, s, t, _, a in data:
+        if s in p.approved_statuses and t == p.deposit_type:
+            g = groups.setdefault((c, u, d), [[], []])
+            g[0].append(a)
+            g[1].append(i)
+    out = {}
+    for c, u, d in groups:
+        upto = [v for (c2, _, d2), v in groups.items() if c2 == c and (d is None or (d2 is not None and d2 <= d))]
+        out[(c, u, d)] = (float(sum(groups[(c, u, d)][0])), sum(i is not None for i in groups[(c, u, d)][1]),
+                          float(sum(sum(v[0]) for v in upto)), sum(len({i for i in v[1] if i is not None}) for v in upto))
+    return out
+
+
+@pytest.mark.parametrize("id_type", ["bigint", "int", "string", "decimal(20,0)"])
+@pytest.mark.parametrize("repeats", [0.0, 0.3])
+def test_running_distinct_ids(spark, id_type, repeats):
+    """Ids that repeat inside a day, across days, logins and customers; NULL, negative and undated ones."""
+    import random
+
+    rng = random.Random(int(repeats * 10) + len(id_type))
+    data = []
+    for k in range(700):
+        i = None if rng.random() < 0.05 else rng.randrange(-40, 60) if rng.random() < repeats else 10_000 + 3 * k
+        data.append((i, 1 if k % 3 == 0 else rng.randrange(8), rng.choice(["a", "b", None]), None if rng.random() < 0.05 else day(rng.randrange(20)),
+                     rng.choice(["Approved", "Pending"]), rng.choice([1, 2, 2]), 1, D(rng.randrange(100, 900)) / 100))
+    if repeats:  # one id on a day of one login, of two logins, of two customers, and on two days
+        data += [(5, c, u, d, "Approved", 2, 1, D("1.50")) for c, u, d in ((1, "a", day(3)), (1, "a", day(3)), (1, "b", day(3)), (2, "a", day(3)), (1, "a", day(4)))]
+    t = spark.createDataFrame(data, TX).withColumn("id", F.col("id").cast(id_type)).repartition(6)
+    want = brute_running(data, P)
+    got = {(r["client_id"], r["user_name"], r["txn_date"]): tuple(r)[4:] for r in ops.cumulative_flow(t, P).collect()}
+    assert got == want
+    first = {}
+    for (c, _, d), v in want.items():
+        if v[2] >= P.vip_min_amount or v[3] >= P.vip_min_count:
+            first.setdefault(c, []).append(d)
+    vip = {c: min((d for d in ds if d is not None), default=None) for c, ds in first.items()}
+    assert dict(rows(ops.qualification_date(t, P))) == vip
+    summary = ops.flow_summary(t, P)
+    assert {r["client_id"]: r["vip_date"] for r in summary.collect() if r["client_id"] in vip} == vip
+    assert rows(ops.flow_summary(t, P, daily=ops.flow_daily(t, P))) == rows(summary)
+    assert ops.flow_daily(t, P).groupBy("client_id", "txn_date").count().where("count > 1").isEmpty()
+    days = {d for d in {x[3] for x in data} if len(ids := [x[0] for x in data if x[3] == d and x[0] is not None and x[4] == "Approved" and x[5] == 2]) > len(set(ids))}
+    found = ops.repeated_id_days(ops.filter_approved(t, P, P.deposit_type))
+    assert {r["txn_date"] for r in found.collect()} == days and bool(days) == (repeats > 0)
+
+
 def test_two_vip_rules_differ_with_negative_amounts(spark):
     df = tx(spark, [(1, 1, "a", 5, "Approved", 2, 1, "150.00"), (2, 1, "a", 4, "Approved", 2, 1, "-100.00")])
     assert rows(ops.qualification_date(df, P)) == [(1, day(5))]   # running total crossed 100 once
