@@ -30,8 +30,12 @@ from customer360.config import ReportParams
 from customer360.operators.flows import DEPOSIT, WITHDRAWAL
 from customer360.plans.lineage import cut_lineage
 from customer360.plans.settings import shuffle_partitions_for, tune_session
+from customer360.operators import gaming_state
+from customer360.operators.customers import merge_latest
+from customer360.operators.gaming_state import GamingState
 from customer360.sources.sinks import publish
 from customer360.sources.tables import path_exists, read_jdbc
+from customer360.sources.versions import Versions
 
 # Logical tables of the two jobs.
 TABLES_A = ("customers", "transactions", "game_days", "game_plays")
@@ -40,6 +44,8 @@ TABLES_B = ("attributes", "customers", "merchants", "countries", "languages", "t
 # Dataset names of the two reports, unless the caller gives others.
 DATASETS = {"a": "report_a", "b": "report_b"}
 ROLLUP_TASKS_PER_DAY = 8
+# Tables whose arrivals a stored state takes in.
+STATE_TABLES = {"a": ("game_days", "game_plays"), "b": ("game_days", "balances")}
 
 
 @dataclass
@@ -113,6 +119,30 @@ def refresh_flow_rollup(tx: DataFrame, p: ReportParams, path: str, days_back: in
     return spark.read.schema(schema).parquet(path).where(f"_{DEPOSIT}_any is not null or _{WITHDRAWAL}_any is not null")
 
 
+def refresh_gaming_state(game_days: DataFrame, plays: DataFrame, p: ReportParams, path: str) -> GamingState:
+    """Add the rows that arrived since the last run to the gaming state stored under
+    ``path`` and return it. The first run takes the whole history as arrivals.
+
+    Each run reads the stored tables and the arrivals and publishes new tables
+    together (:class:`Versions`: one marker makes all four current), so a run that
+    fails leaves the state as it was and can be repeated with the same arrivals."""
+    spark = game_days.sparkSession
+    store = Versions(spark, path, "parquet")
+    at = store.current()
+    old = None if at is None else gaming_state.from_tables({t: spark.read.parquet(f"{at}/{t}") for t in gaming_state.TABLES})
+    new = gaming_state.advance(old, game_days, plays, p)
+    at = store.write_tables(new.tables())
+    return gaming_state.from_tables({t: spark.read.parquet(f"{at}/{t}") for t in gaming_state.TABLES})
+
+
+def refresh_latest_balances(balances: DataFrame, path: str) -> DataFrame:
+    """Merge the balance snapshots that arrived since the last run into the latest
+    rows stored under ``path`` and return them."""
+    store = Versions(balances.sparkSession, path)
+    store.write(merge_latest(store.read(), balances))
+    return store.read()
+
+
 def require_unique_ids(tx: DataFrame, p: ReportParams, days_back: int | None = None) -> None:
     """Raise if an id repeats within a day. A run that passes may use
     ``unique_txn_ids``. The check is a zone map (:func:`customer360.operators.id_zones`),
@@ -125,17 +155,19 @@ def require_unique_ids(tx: DataFrame, p: ReportParams, days_back: int | None = N
         raise ValueError(f"transaction ids repeat, for example on {twice.first()['txn_date']}")
 
 
-def job_a(inputs: Inputs, p: ReportParams, flow_rollup: DataFrame | None = None, store: bool = False) -> DataFrame:
+def job_a(inputs: Inputs, p: ReportParams, flow_rollup: DataFrame | None = None, store: bool = False,
+          state: GamingState | None = None) -> DataFrame:
     """Report A, presented: EUR money text and rounded average bets. With
     ``store`` the cohort's metrics (one row per VIP customer) are computed once
     and checkpointed in the session's shared folder before the report."""
     flows = ops.cohort_flows(inputs.transactions, p, flow_rollup)
     rep = ops.report_a(inputs.customers, inputs.transactions, inputs.game_days, inputs.game_plays, p,
-                       flows=cut_lineage(flows) if store else flows)
+                       flows=cut_lineage(flows) if store else flows, state=state)
     return ops.format_money(rep, p)
 
 
-def job_b(inputs: Inputs, p: ReportParams, store: bool = False) -> DataFrame:
+def job_b(inputs: Inputs, p: ReportParams, store: bool = False, state: GamingState | None = None,
+          latest: DataFrame | None = None) -> DataFrame:
     """Report B, presented: rounded metrics with the last help-desk contact. With
     ``store`` the cohort's flows and then the report (one row per VIP customer and
     attribute) are computed once and checkpointed."""
@@ -143,6 +175,7 @@ def job_b(inputs: Inputs, p: ReportParams, store: bool = False) -> DataFrame:
     rep = ops.report_b(
         inputs.attributes, inputs.customers, inputs.merchants, inputs.countries, inputs.languages,
         inputs.transactions, inputs.currencies, inputs.game_days, inputs.balances, inputs.bonuses, p, flows=flows,
+        state=state, latest=latest,
     )
     rep = ops.round_metrics(rep, p)
     # A stored report is counted where it lies; otherwise its NULL e-mails are those of the customers.
@@ -150,11 +183,12 @@ def job_b(inputs: Inputs, p: ReportParams, store: bool = False) -> DataFrame:
 
 
 def run(spark: SparkSession, report: str, inputs: Inputs, p: ReportParams, out_root: str, fmt: str = "parquet",
-        name: str | None = None) -> str:
-    """Compute and publish one report as dataset ``name``; returns its path."""
+        name: str | None = None, **kept) -> str:
+    """Compute and publish one report as dataset ``name``; returns its path. ``kept``
+    are the stored tables that :func:`job_a` and :func:`job_b` take."""
     if report not in DATASETS:
         raise ValueError(f"unknown report {report!r}")
-    df = (job_a if report == "a" else job_b)(inputs, p, store=True)
+    df = (job_a if report == "a" else job_b)(inputs, p, store=True, **kept)
     return publish(df, p.asof, name or DATASETS[report], out_root, fmt)
 
 
@@ -181,6 +215,10 @@ def main(argv=None) -> None:
                     help="report a: check that transaction ids do not repeat within a day and use it")
     ap.add_argument("--rollup-days", type=int, default=None,
                     help="days to rebuild in the rollup (default: all)")
+    ap.add_argument("--state", default=None,
+                    help="folder of the gaming state (and, report b, latest balances) to carry forward and read")
+    ap.add_argument("--arrived", default=None,
+                    help="with --state: directory with the rows that arrived since the last run (default: all tables, a first run)")
     a = ap.parse_args(argv)
 
     kw = {}
@@ -213,11 +251,21 @@ def main(argv=None) -> None:
         rebuilt = a.rollup_days if a.flow_rollup and path_exists(spark, a.flow_rollup) else None
         require_unique_ids(inputs.transactions, p, rebuilt)
         p = replace(p, unique_txn_ids=True)
+    kept = {}
     if a.report == "a" and a.flow_rollup:
-        rollup = refresh_flow_rollup(inputs.transactions, p, a.flow_rollup, a.rollup_days)
-        print(publish(job_a(inputs, p, rollup, store=True), p.asof, a.name or DATASETS["a"], a.out, a.format))
-    else:
-        print(run(spark, a.report, inputs, p, a.out, a.format, a.name))
+        kept["flow_rollup"] = refresh_flow_rollup(inputs.transactions, p, a.flow_rollup, a.rollup_days)
+    if a.state:
+        arrived = Inputs.from_dir(spark, a.arrived, [n for n in STATE_TABLES[a.report]]) if a.arrived else inputs
+        if a.arrived and a.source_tables:
+            arrived = Inputs.from_source(arrived.tables, a.report)
+        # Job B has no plays: its state holds none.
+        plays = arrived.game_plays if a.report == "a" else arrived.game_days.select(
+            "client_id", *[F.lit(None).cast("string").alias(c) for c in ("provider_name", "product_name")],
+            F.lit(None).cast("bigint").alias("played_count"), "summary_day").where("false")
+        kept["state"] = refresh_gaming_state(arrived.game_days, plays, p, f"{a.state}/gaming_{a.report}")
+        if a.report == "b":
+            kept["latest"] = refresh_latest_balances(arrived.balances, f"{a.state}/balances")
+    print(run(spark, a.report, inputs, p, a.out, a.format, a.name, **kept))
 
 
 if __name__ == "__main__":

@@ -1,7 +1,7 @@
 """Report operators: each is a function of DataFrames returning a DataFrame."""
 
 from customer360.operators.bonus import bonus_enriched, bonus_expense
-from customer360.operators.customers import customer_dimension, customer_recency, latest_balance
+from customer360.operators.customers import customer_dimension, customer_recency, latest_balance, latest_rows, merge_latest, shown_balance
 from customer360.operators.flows import (
     cumulative_flow,
     daily_flow,
@@ -61,7 +61,9 @@ __all__ = [
     "kpi_ratios",
     "last_active_day",
     "latest_balance",
+    "latest_rows",
     "ledger",
+    "merge_latest",
     "net_deposits",
     "payout_percent",
     "product_plays",
@@ -71,6 +73,7 @@ __all__ = [
     "report_b",
     "revenue_horizons",
     "round_metrics",
+    "shown_balance",
     "threshold_crossing",
     "top_product",
     "top_products",

@@ -60,8 +60,8 @@ def customer_dimension(
     )
 
 
-def latest_balance(balances: DataFrame) -> DataFrame:
-    """Balance rows on each customer's latest snapshot day (ties all kept).
+def latest_rows(balances: DataFrame) -> DataFrame:
+    """Rows (``client_id, summary_day, balance``) on each customer's latest snapshot day, ties all kept.
 
     ``rank() = 1`` over the customer: Spark keeps each task's own latest rows of
     a customer before the shuffle (a window group limit), so one scan suffices
@@ -71,7 +71,27 @@ def latest_balance(balances: DataFrame) -> DataFrame:
     w = Window.partitionBy("client_id").orderBy(F.col("summary_day").desc())
     return (
         balances.where("summary_day is not null and client_id is not null")
+        .select("client_id", "summary_day", "balance")
         .withColumn("_rank", F.rank().over(w))
         .where("_rank = 1")
-        .select("client_id", F.col("balance").cast("double").alias("balance_base_currency"))
+        .drop("_rank")
     )
+
+
+def merge_latest(state: DataFrame | None, arrived: DataFrame) -> DataFrame:
+    """:func:`latest_rows` after the arrival of snapshots of any days.
+
+    ``state`` is the former result (None at first). A snapshot that is older than a
+    customer's latest changes nothing, one of the same day is a tie, a newer one
+    replaces them; so a run reads one row per customer and the day's arrivals."""
+    return latest_rows(arrived if state is None else state.unionByName(arrived.select(*state.columns)))
+
+
+def shown_balance(latest: DataFrame) -> DataFrame:
+    """The reports' balance columns of :func:`latest_rows`."""
+    return latest.select("client_id", F.col("balance").cast("double").alias("balance_base_currency"))
+
+
+def latest_balance(balances: DataFrame) -> DataFrame:
+    """Balance rows on each customer's latest snapshot day (ties all kept)."""
+    return shown_balance(latest_rows(balances))

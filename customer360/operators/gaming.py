@@ -164,7 +164,11 @@ def top_products(plays: DataFrame, p: ReportParams, horizons: Sequence = (LIFETI
     Columns per horizon: ``top_provider_<h>``, ``top_played_game_<h>``,
     ``bets_on_top_game_<h>``.
     """
-    pp = product_plays(plays, p, horizons)
+    return rank_products(product_plays(plays, p, horizons), horizons)
+
+
+def rank_products(pp: DataFrame, horizons: Sequence) -> DataFrame:
+    """The ranking of :func:`top_products` over :func:`product_plays`."""
     best = []
     for h in horizons:
         name = _horizon_name(h)

@@ -25,10 +25,12 @@ from customer360.functions.expressions import days_since, ratio
 from customer360.functions.money import stored_eur
 from customer360.functions.formatting import blocked_flag, decode_utf8
 from customer360.operators.bonus import expense_columns, expense_exprs, won_bonuses
-from customer360.operators.customers import customer_dimension, latest_balance
+from customer360.operators import gaming_state
+from customer360.operators.customers import customer_dimension, latest_balance, shown_balance
 from customer360.operators.flows import DEPOSIT, WITHDRAWAL, cohort_filter, flow_horizons, flow_summary
 from customer360.operators.fx import fx_normalise
 from customer360.operators.gaming import LIFETIME, avg_bet_exprs, last_bet_expr, payout_expr, revenue_exprs, top_products
+from customer360.operators.gaming_state import GamingState
 from customer360.operators.ledger import cohort_ledger
 from customer360.plans.joins import left_join_all
 
@@ -76,7 +78,7 @@ def cohort_flows(tx: DataFrame, p: ReportParams, flow_rollup: DataFrame | None =
 
 def report_a(
     customers: DataFrame, tx: DataFrame, days: DataFrame, plays: DataFrame, p: ReportParams,
-    flow_rollup: DataFrame | None = None, flows: DataFrame | None = None,
+    flow_rollup: DataFrame | None = None, flows: DataFrame | None = None, state: GamingState | None = None,
 ) -> DataFrame:
     """The VIP customer report of job A (63 columns, one row per VIP customer).
 
@@ -86,15 +88,21 @@ def report_a(
     ``flow_daily`` table) the transactions are not scanned; with ``flows`` (a
     stored :func:`cohort_flows`) nor is the cohort computed. The cohort
     restricts customers, game days and plays by plain semi joins, which Spark
-    broadcasts or shuffles by the measured size of the cohort.
+    broadcasts or shuffles by the measured size of the cohort. With ``state``
+    (``gaming_state``) neither game days nor plays are read.
     """
     flows = cohort_flows(tx, p, flow_rollup) if flows is None else flows
     ids = flows.select("client_id")
-    days, plays = days.join(ids, "client_id", "left_semi"), plays.join(ids, "client_id", "left_semi")
-    gaming = days.groupBy("client_id").agg(
-        *revenue_exprs(p, ggr_horizons=True), *avg_bet_exprs(p), last_bet_expr("bets_count")
-    )
-    tops = top_products(plays, p, (LIFETIME, 7, 30, 90))
+    horizons = (LIFETIME, *p.product_horizons)
+    if state is None:
+        days, plays = days.join(ids, "client_id", "left_semi"), plays.join(ids, "client_id", "left_semi")
+        gaming = days.groupBy("client_id").agg(
+            *revenue_exprs(p, ggr_horizons=True), *avg_bet_exprs(p), last_bet_expr("bets_count")
+        )
+        tops = top_products(plays, p, horizons)
+    else:
+        own = gaming_state.from_tables({t: df.join(ids, "client_id", "left_semi") for t, df in state.tables().items()})
+        gaming, tops = gaming_state.gaming_metrics(own, p), gaming_state.top_products(own, p, horizons)
     cust = customers.select(
         F.col("id").alias("client_id"),
         F.col("email").alias("Email"),
@@ -204,6 +212,8 @@ def report_b(
     bonuses: DataFrame,
     p: ReportParams,
     flows: DataFrame | None = None,
+    state: GamingState | None = None,
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """The VIP customer report of job B (57 columns).
 
@@ -218,16 +228,20 @@ def report_b(
     A job may compute the cohort's flows once, store them and pass them as
     ``flows``: then they also cut the raw inputs by semi joins, which cost no
     second computation (Spark broadcasts or shuffles them by their measured size).
+    With ``state`` (``gaming_state``) the game days are not read, with ``latest``
+    (``customers.merge_latest``) the balances are not.
     """
     if flows is None:
         flows = cohort_ledger(tx, rates, p)
     else:
         ids = flows.select("client_id")
         days, balances, bonuses, attributes = (t.join(ids, "client_id", "left_semi") for t in (days, balances, bonuses, attributes))
+    gaming = gaming_b(days, p) if state is None else gaming_state.gaming_metrics(state, p, "last_bet_day", ggr_horizons=False)
+    balance = latest_balance(balances) if latest is None else shown_balance(latest)
     times = attributes.groupBy("client_id").agg(F.count(F.lit(1)).alias("_times"))
     base = customer_dimension(attributes, customers, merchants, countries, languages, p).withColumnRenamed("customer_fk", "client_id")
     metrics = left_join_all(
-        _with_bonuses(flows, bonuses, customers, rates, p), [times, gaming_b(days, p), latest_balance(balances)], "client_id")
+        _with_bonuses(flows, bonuses, customers, rates, p), [times, gaming, balance], "client_id")
     metrics = metrics.withColumns(expense_columns(metrics, bonuses, p, F.col("_times")))
     wide = metrics.join(base, "client_id", "inner")
     email_text = decode_utf8("email") if dict(customers.dtypes).get("email") == "binary" else F.col("email")

@@ -108,7 +108,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     stored = Inputs.from_dir(spark, tables, TABLES_A)
     assert rows(job_a(stored, PARAMS_A)) == rows(job_a(ins_a, PARAMS_A))
     path_a = run(spark, "a", stored, PARAMS_A, out, "csv")
-    assert glob.glob(path_a + "/report_date=07-31-2001/*.csv")
+    assert glob.glob(path_a + "/report_date=07-31-2001/v-*/*.csv")
 
 
 def test_shuffle_partition_sizing():
@@ -265,7 +265,7 @@ def test_job_cli(spark, tmp_path, capsys):
     printed = capsys.readouterr().out.split()
     assert printed[-2].endswith("/report_a") and printed[-1].endswith("/report_b")
     assert spark.read.parquet(printed[-1]).count() > 0
-    assert glob.glob(printed[-2] + "/report_date=07-31-2001/*.csv")
+    assert glob.glob(printed[-2] + "/report_date=07-31-2001/v-*/*.csv")
     from customer360.catalog import report_a
 
     published = spark.read.option("header", "true").csv(printed[-2])
