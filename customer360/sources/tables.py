@@ -13,6 +13,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from customer360.sources.splits import read_split
 
 
 class TableSet:
@@ -78,16 +79,25 @@ def read_jdbc(
     upper_bound: int | None = None,
     num_partitions: int | None = None,
     options: Mapping[str, str] | None = None,
+    split_key: str | None = None,
+    splits: int | None = None,
+    split_then: str | None = None,
 ) -> DataFrame:
     """Read a database table or query over JDBC.
 
     Connection details (user, password, driver) come only from ``options``.
     With ``partition_column`` and bounds the read is split into
-    ``num_partitions`` range queries that run in parallel; without them the
-    whole table arrives through one task, so give them for large tables.
+    ``num_partitions`` range queries that run in parallel; with ``split_key``
+    into ``splits`` queries of equal shares, whose bounds the database gives
+    (:mod:`customer360.sources.splits`; numbers, texts, dates). Without either the
+    whole table arrives through one task, so give one for large tables.
     """
     if (table is None) == (query is None):
         raise ValueError("give exactly one of table or query")
+    if split_key is not None:
+        if table is None or splits is None:
+            raise ValueError("a read by shares needs table and splits")
+        return read_split(spark, url, table, split_key, splits, options, split_then)[0]
     r = spark.read.format("jdbc").option("url", url)
     r = r.option("dbtable", table) if table is not None else r.option("query", query)
     if partition_column is not None:

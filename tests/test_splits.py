@@ -1,0 +1,127 @@
+"""Database reads by equal shares and high-water marks, on an embedded in-memory database."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from customer360.sources.splits import HighWater, cuts_query, plan_splits, read_new, read_split, sql_literal
+from customer360.sources.tables import read_jdbc
+
+OPTIONS = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+URL = "jdbc:derby:memory:c360splits;create=true"
+
+
+def store(spark, name, data, schema, mode="overwrite"):
+    df = spark.createDataFrame(data, schema)
+    w = df.write.format("jdbc").option("url", URL).option("dbtable", name).options(**OPTIONS)
+    text = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+    if text and mode == "overwrite":
+        w = w.option("createTableColumnTypes", ", ".join(f"{c} VARCHAR(40)" for c in text))
+    w.mode(mode).save()
+    return df
+
+
+def sizes(df):
+    n = df.rdd.getNumPartitions()
+    got = {r["p"]: r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}
+    return [got.get(p, 0) for p in range(n)]
+
+
+def skewed(n, kind):
+    """Keys bunched at one end, in no order, some NULL."""
+    rng = random.Random(n)
+    out = []
+    for i in range(n):
+        x = int(10 ** (6 * rng.random()))
+        k = {"number": x, "text": "k'%07d" % x, "date": dt.date(1990, 1, 1) + dt.timedelta(days=x % 9000 if x % 3 else x % 40)}[kind]
+        # The writer of this database cannot store NULL texts.
+        out.append((None if i % 50 == 0 and kind != "text" else k, i))
+    return out
+
+
+@pytest.mark.parametrize("kind, type_", [("number", "long"), ("text", "string"), ("date", "date")])
+def test_shares_of_a_skewed_key_are_even(spark, kind, type_):
+    name = f"skew_{kind}"
+    df = store(spark, name, skewed(2000, kind), f"K {type_}, ID long")
+    got, top = read_split(spark, URL, name, "k", 8, OPTIONS, then="id")
+    n = sizes(got)
+    assert sum(n) == 2000 and n[-1] == (0 if kind == "text" else 40) and max(n[:-1]) <= 2 * statistics.median(n[:-1])
+    assert rows(got) == rows(df) and top == df.agg(F.max("K")).first()[0]
+    # The key alone divides as far as its values do.
+    plain, _ = read_split(spark, URL, name, "k", 8, OPTIONS)
+    assert rows(plain) == rows(df)
+
+
+def test_a_hot_key_is_divided_by_the_second_column(spark):
+    data = [(7 if i % 3 else i, i) for i in range(3000)]  # one value holds two thirds
+    df = store(spark, "hot", data, "CLIENT long, ID long")
+    one, _ = read_split(spark, URL, "hot", "client", 10, OPTIONS)
+    assert max(sizes(one)) >= 2000 and rows(one) == rows(df)
+    two, _ = read_split(spark, URL, "hot", "client", 10, OPTIONS, then="id")
+    n = sizes(two)[:-1]
+    assert len(n) == 10 and max(n) <= 2 * statistics.median(n) and rows(two) == rows(df)
+    by_options = read_jdbc(spark, URL, table="hot", options=OPTIONS, split_key="client", splits=10, split_then="id")
+    assert sizes(by_options) == sizes(two)
+    with pytest.raises(ValueError, match="splits"):
+        read_jdbc(spark, URL, table="hot", options=OPTIONS, split_key="client")
+
+
+def test_a_second_run_reads_new_rows_only(spark, tmp_path):
+    path = str(tmp_path / "mark")
+    store(spark, "daily", [(i, "a") for i in range(500)], "ID long, V string")
+    first, done = read_new(spark, URL, "daily", "id", 4, path, OPTIONS)
+    assert first.count() == 500
+    store(spark, "daily", [(i, "b") for i in range(500, 620)], "ID long, V string", "append")
+    assert first.count() == 500  # rows that arrive after the plan are left to the next run
+    again, _ = read_new(spark, URL, "daily", "id", 4, path, OPTIONS)
+    assert again.count() == 620  # the first run was not committed
+    done()
+    second, done = read_new(spark, URL, "daily", "id", 4, path, OPTIONS)
+    n = sizes(second)
+    assert sum(n) == 120 and max(n) <= 2 * statistics.median(n) and {r["V"] for r in second.collect()} == {"b"}
+    done()
+    third, done = read_new(spark, URL, "daily", "id", 4, path, OPTIONS)
+    assert third.count() == 0
+    done()  # nothing new: the mark stays
+    assert HighWater(spark, path).value() == 619
+
+
+@pytest.mark.parametrize("top", [5, 2.5, "it's", dt.date(2001, 8, 1), dt.datetime(2001, 8, 1, 12, 30, 0, 250)])
+def test_marks_of_every_kind(spark, tmp_path, top):
+    mark = HighWater(spark, str(tmp_path / "m"))
+    assert mark.value() is None
+    mark.commit(None)
+    assert mark.value() is None
+    mark.commit(top)
+    assert mark.value() == top and type(mark.value()) is type(top)
+
+
+def test_empty_tables_and_literals(spark):
+    store(spark, "nothing", [], "ID long, V string")
+    df, top = read_split(spark, URL, "nothing", "id", 4, OPTIONS)
+    assert df.count() == 0 and top is None and plan_splits(spark, URL, "nothing", "id", 4, OPTIONS, after=9).predicates == []
+    assert sql_literal("a'b") == "'a''b'" and sql_literal(dt.date(2001, 8, 1)) == "{d '2001-08-01'}"
+    with pytest.raises(ValueError):
+        sql_literal(None)
+
+
+@pytest.mark.parametrize("then", [None, "id"])
+@pytest.mark.parametrize("n, shares", [(1, 4), (3, 4), (10, 3), (100, 7), (1000, 16)])
+def test_cuts_of_databases_with_windows(n, shares, then):
+    """The query for other databases, run where windows are ordered: shares differ by one row at most."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE t AS SELECT CAST(pow(i, 3) AS BIGINT) AS k, i AS id FROM range({n}) r(i)")
+    out = con.execute(cuts_query("t", "k", shares, "jdbc:postgresql:x", then, "k >= 0")).fetchall()
+    cuts = sorted(r[1:] for r in out if r[0] == 0)
+    assert len(cuts) == min(n, shares) and cuts[0][0] == 0 and [r[1] for r in out if r[0] == 1] == [(n - 1) ** 3]
+    keys = [i**3 for i in range(n)]
+    per = [sum(a <= k < b for k in keys) for a, b in zip([c[0] for c in cuts], [c[0] for c in cuts[1:]] + [n**3 + 1])]
+    assert sum(per) == n and max(per) - min(per) <= 1
