@@ -43,7 +43,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from customer360.llm.components import connected_components
-from customer360.llm.textnum import chunks, mix, shingle_sets, stream, utf8
+from customer360.llm.skew import free_name, join_groups
+from customer360.llm.textnum import CHUNK_BYTES, chunks, mix, shingle_sets, utf8
 from customer360.plans import cut_lineage
 
 SHINGLE_WORDS = 5
@@ -129,51 +130,71 @@ def _prefixes(k: int, percent: int, counts: np.ndarray):
     return run
 
 
-def _arrays(k: int):
-    """(a, b, hashes): the array of vertex ``a`` for each of its wanted rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches):
-            sets = shingle_sets(*utf8(b.column("text")), k)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array([s.tobytes() for s in sets], pa.binary())], ["a", "b", "hashes"])
-
-    return run
-
-
-def _intersect(percent: int):
-    """Keeps the (a, b) rows whose sorted arrays reach the threshold."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, text): the compressed text of vertex ``a`` for each of its wanted
+    rows. A text is a fraction of its 8-byte shingle hashes, and those are made
+    again where two texts meet."""
+    codec = pa.Codec("zstd", compression_level=1)
+    for b in batches:
+        sizes, bodies = [], []
+        for t in b.column("text"):
+            raw = t.as_buffer()
+            sizes.append(raw.size)
+            bodies.append(codec.compress(raw, asbytes=True))
+        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(bodies, pa.binary()), pa.array(sizes, pa.int64())], ["a", "b", "body", "size"])
+
+
+def _unpacked(bodies: pa.Array, sizes: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) in pieces of bounded size."""
+    codec, at, part, held = pa.Codec("zstd"), 0, [], 0
+    for i, (body, size) in enumerate(zip(bodies, sizes.to_pylist(), strict=True)):
+        part.append(codec.decompress(body.as_buffer(), size, asbytes=True))
+        held += size
+        if held >= CHUNK_BYTES:
+            yield at, pa.array(part, pa.binary())
+            at, part, held = i + 1, [], 0
+    if part:
+        yield at, pa.array(part, pa.binary())
+
+
+def _intersect(k: int, percent: int):
+    """Keeps the (a, b) rows whose sorted arrays of shingles reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, q = None, np.zeros(0, _U)  # rows come by b: its array serves the rows in turn
         for b in batches:
-            keep = []
-            for x, y in zip(b.column("x"), b.column("y"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                if len(p) > len(q):
-                    p, q = q, p
-                both = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            keep, ends = [], b.column("b").to_pylist()
+            for at, texts in _unpacked(b.column("x"), b.column("nx")):
+                for i, p in enumerate(shingle_sets(*utf8(texts), k), at):
+                    if ends[i] != last:
+                        [(_, text)] = _unpacked(b.column("y").slice(i, 1), b.column("ny").slice(i, 1))
+                        last, q = ends[i], shingle_sets(*utf8(text), k)[0]
+                    small, large = (p, q) if len(p) <= len(q) else (q, p)
+                    both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+                    keep.append(100 * both >= percent * (len(p) + len(q) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _wanted(docs: DataFrame, want: DataFrame, k: int) -> DataFrame:
-    """Arrays for ``want`` (rk, a, b), made from the texts again instead of being
+def _wanted(docs: DataFrame, want: DataFrame) -> DataFrame:
+    """Compressed texts for ``want`` (rk, a, b), read again instead of being
     stored for the whole corpus. Up to BROADCAST_ROWS rows (24 bytes each) are
     broadcast, counted first; more are joined by a shuffle."""
     small = want.count() <= BROADCAST_ROWS
     found = docs.join(F.broadcast(want) if small else want, "rk").select("text", "a", "b")
-    return found.mapInArrow(_arrays(k), "a bigint, b bigint, hashes binary")
+    return found.mapInArrow(_packed, "a bigint, b bigint, body binary, size bigint")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, keys: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link. ``keys``: (node, rk) of one row with each set.
-    The array of ``a`` travels to that of ``b``."""
-    x = _wanted(docs, cut_lineage(pairs.join(keys, F.col("a") == F.col("node")).select("rk", "a", "b")), k)
+    The text of ``a`` travels to that of ``b``."""
+    x = _wanted(docs, cut_lineage(pairs.join(keys, F.col("a") == F.col("node")).select("rk", "a", "b")))
     ends = pairs.select("b").distinct().join(keys, F.col("b") == F.col("node"))
-    y = _wanted(docs, cut_lineage(ends.select("rk", F.col("b").alias("a"), "b")), k).dropDuplicates(["b"])
-    both = x.withColumnRenamed("hashes", "x").join(y.select("b", F.col("hashes").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_intersect(percent), "a bigint, b bigint")
+    y = _wanted(docs, cut_lineage(ends.select("rk", F.col("b").alias("a"), "b"))).dropDuplicates(["b"])
+    y = y.select("b", F.col("body").alias("y"), F.col("size").alias("ny"))
+    both = x.select("a", "b", F.col("body").alias("x"), F.col("size").alias("nx")).join(y, "b")
+    return both.mapInArrow(_intersect(k, percent), "a bigint, b bigint")
 
 
 def _bounded(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
@@ -212,9 +233,10 @@ def link_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_
 def keep_one(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = MIN_PERCENT) -> DataFrame:
     """``docs`` (all columns) with the smallest doc_id of each component; of
     identical rows one stays. Components without any doc_id stay whole."""
-    keep = _linked(docs, k, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("rk").alias("__row_key")).distinct()
-    keyed = docs.withColumn("__row_key", F.xxhash64("doc_id", F.col("text").cast("string")))
-    return keyed.join(keep, "__row_key", "left_semi").dropDuplicates(["__row_key"]).drop("__row_key")
+    row = free_name("row_key", docs)
+    keep = _linked(docs, k, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("rk").alias(row)).distinct()
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", F.col("text").cast("string")))
+    return keyed.join(keep, row, "left_semi").dropDuplicates([row]).drop(row)
 
 
 def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -271,7 +293,13 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     more = cut_lineage(_verified(docs, pairs, keys, k, percent))
 
     roots = connected_components(merged.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-    member = sigs.select("doc_id", "rk", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = member.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = member.join(least, "root", "left")
-    return out.select("doc_id", "rk", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    # One row per set up to here; its members meet the outcome, however many they are.
+    sets = sigs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("members"))
+    sets = cut_lineage(sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    distinct, total = sets.agg(F.count("*"), F.coalesce(F.sum("members"), F.lit(0))).first()
+    least = sets.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("sets"))
+    sets = cut_lineage(join_groups(sets, least, "root", "sets", distinct).select("node", "members", "component_id"))
+    rows = sigs.select("doc_id", "rk", "n_shingles", "node")
+    found = join_groups(rows.where("node is not null"), sets, "node", "members", total).select("doc_id", "rk", "n_shingles", "component_id")
+    alone = rows.where("node is null").select("doc_id", "rk", "n_shingles", F.col("doc_id").alias("component_id"))
+    return found.unionByName(alone)
