@@ -38,7 +38,10 @@ from pyspark.sql import functions as F
 
 from customer360.llm.textnum import chunks
 
-_TAG = re.compile(r"""<!--(?s:.*?)(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""")
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+#: The rest of a tag, whose end may not stand inside quotes.
+_REST = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+_SPECIAL = re.compile(r"""["'>]""")
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -164,14 +167,13 @@ def _section(tag: str, attrs: str) -> tuple[str, str] | None:
 
 def _content(best, limit, body, tag, attrs, parent, last, own, chars, links, density, total, block, dropped) -> list[tuple[int, int]]:
     """Preorder ranges of the content; ``best`` has the largest sum of all."""
+    n = len(tag)
+    outer = [0] * n  # outermost article or main element around each one, below the body
+    for v in range(body + 1, last[body]):
+        outer[v] = outer[parent[v]] or (v if tag[v] in ("article", "main") else 0)
 
     def widened(v: int) -> int:
-        out = v
-        while v > body:
-            if tag[v] in ("article", "main"):
-                out = v
-            v = parent[v]
-        return out
+        return outer[v] or v
 
     def inner(v: int) -> list[int]:
         out, c = [], v + 1
@@ -184,6 +186,16 @@ def _content(best, limit, body, tag, attrs, parent, last, own, chars, links, den
     top = widened(best)
     if best == body or tag[top] == "main":
         return [(top, last[top])]
+    # Within each element, the block of the largest sum that reaches the limit.
+    reach = [0] * n
+
+    def larger(x: int, y: int) -> int:
+        return x if x and (not y or (total[x], chars[x], -x) > (total[y], chars[y], -y)) else y
+
+    for v in range(last[body] - 1, body, -1):
+        if chars[v] and not dropped[v] and block[v] and density[v] >= limit:
+            reach[v] = larger(v, reach[v])
+        reach[parent[v]] = larger(reach[v], reach[parent[v]])
     # The element of the largest sum in every branch, outside of those found before.
     picks, todo = [], [body]
     bias = links[body] / chars[body]
@@ -192,8 +204,7 @@ def _content(best, limit, body, tag, attrs, parent, last, own, chars, links, den
         if v == body:
             pick = best
         else:
-            reach = (x for x in range(v, last[v]) if chars[x] and not dropped[x] and density[x] >= limit and (block[x] or x == v))
-            pick = max(reach, key=lambda x: (total[x], chars[x], -x), default=0)
+            pick = larger(v if chars[v] and not dropped[v] and density[v] >= limit else 0, reach[v])
             if not pick:
                 continue
         picks.append(pick)
@@ -208,13 +219,21 @@ def _content(best, limit, body, tag, attrs, parent, last, own, chars, links, den
     if tag[top] == "article":
         wide = [x for x in wide if tag[x] in ("article", "main")]
         return [(x, last[x]) for x in wide]
-    seen = set()
+    alone = list(range(n))  # highest ancestor that holds no other text
+    for v in range(body + 1, last[body]):
+        if parent[v] > body and chars[parent[v]] == chars[v]:
+            alone[v] = alone[parent[v]]
+    kinds: dict[int, dict] = {}
     for v in wide[:]:
-        while parent[v] > body and chars[parent[v]] == chars[v]:
-            v = parent[v]
-        if parent[v] > body and (kind := _section(tag[v], attrs[v])) and (parent[v], kind) not in seen:
-            seen.add((parent[v], kind))
-            wide += [c for c in inner(parent[v]) if _section(tag[c], attrs[c]) == kind and 2 * links[c] <= chars[c]]
+        v = alone[v]
+        up = parent[v]
+        if up > body and (kind := _section(tag[v], attrs[v])):
+            if up not in kinds:
+                kinds[up] = {}
+                for c in inner(up):
+                    if 2 * links[c] <= chars[c] and (k := _section(tag[c], attrs[c])):
+                        kinds[up].setdefault(k, []).append(c)
+            wide += kinds[up].pop(kind, [])
     wide = sorted(set(wide))
     low = wide[0]
     while last[low] <= wide[-1]:
@@ -242,20 +261,95 @@ def _headings_only(v: int, tag: list[str], last: list[int], own: list[int], drop
     return True
 
 
+class _Ends:
+    """Where tags end: at the first ``>`` outside quotes, or where quotes do not
+    close, at the first ``>``.
+
+    The pattern finds an ordinary end. Where it fails once, it has read to the end of
+    the page, and might again at every later tag; so the ends outside quotes are
+    then worked out for all quotes and brackets of the page, from the last to the first."""
+
+    def __init__(self, page: str):
+        self.page, self.places = page, None
+        self.last = page.rfind(">")
+
+    def find(self, at: int) -> int:
+        """The end of a tag whose name ends at ``at``; -1 if there is none."""
+        if at > self.last:
+            return -1
+        if self.places is None:
+            m = _REST.match(self.page, at)
+            if m:
+                return m.end() - 1
+            self._prepare(at)
+        i = bisect_left(self.places, at)
+        end = self.ends[i]
+        return end if end >= 0 else self.page.find(">", at)
+
+    def _prepare(self, at: int) -> None:
+        found = [(m.start(), m.group()) for m in _SPECIAL.finditer(self.page, at)]
+        self.places = [p for p, _ in found]
+        self.ends = [-1] * (len(found) + 1)
+        after = {}  # the place in the list after the next quote of either kind
+        for i in range(len(found) - 1, -1, -1):
+            p, c = found[i]
+            if c == ">":
+                self.ends[i] = p
+            else:
+                if c in after:
+                    self.ends[i] = self.ends[after[c]]
+                after[c] = i + 1
+
+
+class _Stack:
+    """Open elements, with the places of every name and of the scope elements."""
+
+    def __init__(self):
+        self.nodes, self.names, self.where, self.scopes = [0], ["#root"], {}, []
+
+    def push(self, node: int, name: str) -> None:
+        self.where.setdefault(name, []).append(len(self.nodes))
+        if name in SCOPE:
+            self.scopes.append(len(self.nodes))
+        self.nodes.append(node)
+        self.names.append(name)
+
+    def cut(self, at: int) -> None:
+        """Close the elements from place ``at`` on."""
+        for name in self.names[at:]:
+            self.where[name].pop()
+        while self.scopes and self.scopes[-1] >= at:
+            self.scopes.pop()
+        del self.nodes[at:], self.names[at:]
+
+    def place(self, name: str) -> int:
+        """The innermost open element of that name, 0 for none."""
+        at = self.where.get(name)
+        return at[-1] if at else 0
+
+    def barrier(self, but=frozenset()) -> int:
+        """The innermost scope element whose name is not in ``but``."""
+        for at in reversed(self.scopes):
+            if self.names[at] not in but:
+                return at
+        return 0
+
+
 def main_text(page: str | None) -> str:
-    """The main text of one page; see the module text."""
+    """The main text of one page; see the module text. Its time grows with the
+    page's length, whatever is left unclosed."""
     if not page:
         return ""
     tag, parent, mark, own, block, pieces = ["#root"], [-1], [0], [0], [True], []
     never, written = [False], [""]
     article = [False]
-    stack = [0]
+    stack, ends = _Stack(), _Ends(page)
     body, at, gap = 0, 0, True
-    size = len(page)
+    size, comments = len(page), page.rfind("<!--")
 
     def text(s: str) -> None:
         nonlocal gap
-        node = stack[-1]
+        node = stack.nodes[-1]
         if never[node] or not s:
             return
         s = _html.unescape(s) if "&" in s else s
@@ -263,46 +357,54 @@ def main_text(page: str | None) -> str:
         pieces.append((node, gap, s))
         gap = False
 
+    shown = 0  # where the text that is not yet taken begins
     while at < size:
-        m = _TAG.search(page, at)
-        if not m:
-            text(page[at:])
-            break
-        if m.start() > at:
-            text(page[at : m.start()])
-        at = m.end()
-        name = m.group(2) or m.group(5)
+        start = page.find("<", at)
+        if start < 0 or start > max(ends.last, comments):
+            break  # no tag can end any more
+        name, closing, attrs = "", "", ""
+        m = _NAME.match(page, start + 1)
+        if m:
+            stop = ends.find(m.end())
+            if stop < 0:
+                at = start + 1
+                continue
+            closing, name, attrs = m.group(1), m.group(2).lower(), page[m.end() : stop]
+        elif page.startswith("<!--", start):
+            stop = page.find("-->", start + 4)
+            stop = size if stop < 0 else stop + 2
+        elif page[start + 1 : start + 2] in ("!", "?"):
+            stop = page.find(">", start) if start < ends.last else -1
+            if stop < 0:
+                at = start + 1
+                continue
+        else:
+            at = start + 1
+            continue
+        text(page[shown:start])
+        shown = at = stop + 1
         if not name:
             continue
-        name = name.lower()
-        if m.group(1) or m.group(4):
+        if closing:
             gap = gap or name not in INLINE
-            for i in range(len(stack) - 1, 0, -1):
-                if tag[stack[i]] == name:
-                    del stack[i:]
-                    break
-                if name in INLINE and tag[stack[i]] in SCOPE:  # a stray inline end closes no block
-                    break
+            place = stack.place(name)
+            # A stray inline end closes no block.
+            if place and not (name in INLINE and stack.barrier() > place):
+                stack.cut(place)
             continue
-        attrs = m.group(3) or m.group(6) or ""
         if name not in INLINE:
             gap = True
-            if name not in VOID or name == "hr":
-                for i in range(len(stack) - 1, 0, -1):
-                    if tag[stack[i]] == "p":
-                        del stack[i:]
-                        break
-                    if tag[stack[i]] in SCOPE:
-                        break
+            if (name not in VOID or name == "hr") and stack.place("p") > stack.barrier():
+                stack.cut(stack.place("p"))
         if name in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if tag[stack[i]] in CLOSES[name]:
-                    del stack[i:]
-                    if name not in ("tr", "tbody", "thead"):
-                        break
-                elif tag[stack[i]] in SCOPE:
+            while True:
+                place = max(map(stack.place, CLOSES[name]))
+                if place <= stack.barrier(CLOSES[name]):
+                    break
+                stack.cut(place)
+                if name not in ("tr", "tbody", "thead"):
                     break
-        up = stack[-1]
+        up = stack.nodes[-1]
         node = len(tag)
         tag.append(name)
         parent.append(up)
@@ -316,10 +418,12 @@ def main_text(page: str | None) -> str:
         if name == "body" and not body:
             body = node
         if name in RAW and not attrs.rstrip().endswith("/"):
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
+            end = re.compile(rf"</{name}\b", re.I).search(page, at)
+            end = page.find(">", end.end()) if end and end.end() <= ends.last else -1
+            shown = at = size if end < 0 else end + 1
         elif name not in VOID:
-            stack.append(node)
+            stack.push(node, name)
+    text(page[shown:])
 
     n = len(tag)
     dropped = _dropped(tag, parent, mark, own, body)

@@ -351,3 +351,33 @@ def test_pooling_equals_plain_convolution():
                 assert best[r, c * toxcnn.FILTERS + f] == pytest.approx(max([0, *v]), abs=1e-4)
                 if v and max(v) > 0:
                     assert arg[r, c * toxcnn.FILTERS + f] == w[r] + int(np.argmax(v))
+
+
+UNCLOSED = {
+    "start tags": "<a " * 350_000, "declarations": "<!" * 500_000, "brackets": "<" * 1_000_000, "brackets before a comment": "<" * 1_000_000 + "<!--", "quotes": "<a \"' >" * 150_000,
+    "odd quotes": "<a x=\"y' " * 100_000 + ">", "nesting": "<div>" * 100_000 + "</b>" * 200_000, "own elements": "<x-y>t " * 130_000, "stray ends": "<b><div>" + "<i>" * 150_000 + "</b>" * 150_000,
+    "raw ends": "<svg></svg " * 90_000, "comments": "<!--" * 250_000, "list": "<ul>" + "<li>x" * 200_000, "table": "<table>" + "<tr><td>x" * 100_000, "end tags": "</a " * 250_000,
+    "classes": "<body><div>" + "".join(f"<div class=c{i}>some words here</div>" for i in range(30_000)) + "</div>", "comb": "<body>" + "<div><p>some words are here and more</p>" * 30_000,
+}
+
+
+@pytest.mark.parametrize("kind", sorted(UNCLOSED))
+def test_time_grows_with_the_page_alone(kind):
+    """A megabyte of what never closes: seconds at most, where a second look at the rest of the page for every tag takes hours."""
+    import time
+
+    start = time.process_time()
+    htmltext.main_text(UNCLOSED[kind])
+    assert time.process_time() - start < 5
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p>one <a <b>two</b>", "one two"), ("<p>one <a href=\"x>two", "one two"), ("<p title='a>b'>one", "one"), ("<p>a < b <!-- c > d", "a < b"), ("<p>x<!--", "x"),
+        ("<p>x<!-->y", "x"), ("<!doctype html><?pi?><p>x", "x"), ("<a \"'>t<a '\">u", "u"), ("<script>x</script y>z", "z"), ("<title>x</title", ""), ("<p>1 <2 <b>3", "1 <2 3"),
+        ("<b><div>x</b>y</div>", "xy"), ("<table><tr><td>a<td>b<tr><td>c</table>d", "a b c d"), ("<ul><li>a<ul><li>b</ul><li>c</ul>", "a b c"), ("<p>a<div>b<p>c</div>d", "a b c d"),
+    ],
+)
+def test_unclosed_and_crossed_elements(page, want):
+    assert htmltext.main_text(page) == want
