@@ -2,18 +2,20 @@
 
 A line is a maximal run of text between line feeds. Lines of ``min_chars`` or
 more code points take part. Equal lines are one vertex (64-bit hash of the
-bytes). Two different lines of at least ``8 * (tau + 1)`` code points link
-when their edit distance is at most ``tau``; classes are the connected
-components of the links.
-
-The join is exact. A line of n code points is cut into tau + 1 segments; a
-line within tau edits holds one of them unchanged, at a place shifted by no
-more than the edits left on either side. Each line gives its own segments
-(the index rows) and, for every partner length n - tau .. n, the substrings
-at the admissible places (the probe rows). Keys held by one line only are
+bytes). Two different lines link when their edit distance is at most ``tau``,
+which grows with the length of the shorter one (``CLASSES``); classes of lines
+are the connected components of the links.
+
+The join is exact. In each length class, a line gives ``tau + 1`` disjoint
+segments of one width, the first half placed from the line's start, the others
+from its end (the index rows). ``tau`` edits leave one of them unchanged, and
+one that lies, counted from its end of the line, no further off than the
+segments before it are many. So a line probes with the substrings at those
+places, in its own class and in the one below if a partner may be there; neither needs
+the partner's length. Keys held by one line only are
 dropped. Each key's members are first verified against its smallest index
 line and merged; then only pairs of different merged groups are formed, so a
-large group of copies is never expanded into all pairs. Parities of character
+large group of copies is never expanded into all pairs. Lengths and the parities of character
 and character-pair counts, of which an edit flips few bits, discard most pairs
 inside the joins. Distances of the others come from a diagonal band of 2 tau + 1 cells kept as bit vectors, advanced for many pairs
 at once.
@@ -36,10 +38,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from customer360.llm.components import connected_components
+from customer360.llm.skew import free_name
 from customer360.llm.textnum import chunks, mix, powers, utf8
 from customer360.plans import cut_lineage
 
-TAU = 2
+#: Length classes: from so many code points (of the shorter line) on, so many
+#: edits. A replaced word is some six edits.
+CLASSES = ((16, 1), (24, 2), (96, 4), (192, 6), (512, 8), (1024, 12), (2048, 16))
 MIN_CHARS = 16
 #: Rows of a key before its pairs are salted.
 KEY_ROWS = 512
@@ -99,35 +104,43 @@ def _occurrences(min_chars: int):
     return run
 
 
-def _keys(tau: int, least: int):
-    """(key, line, indexed) rows: own segments, and probes for partners up to tau shorter."""
+def tau_of(n: np.ndarray, classes=CLASSES) -> np.ndarray:
+    """Edits that a pair may differ by whose shorter line has ``n`` code points; -1 below the classes."""
+    return np.array([-1, *(t for _, t in classes)])[np.searchsorted([least for least, _ in classes], n, "right")]
+
+
+def _keys(classes):
+    """(key, line, indexed) rows: a line's own segments, and its probes for partners
+    that are no longer than it is."""
+    steps = []  # (class, least, end of the class, tau, width)
+    for c, (least, tau) in enumerate(classes):
+        end = classes[c + 1][0] if c + 1 < len(classes) else 1 << 62
+        steps.append((c, least, end, tau, least // (tau + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = tau + 1
         seen = np.zeros(0, _U)
         for b in chunks(batches):
             x = Lines(b.column("text"))
-            use = np.flatnonzero(x.n >= least)
+            use = np.flatnonzero(x.n >= classes[0][0])
             line, at = np.unique(x.hash(x.start[use], x.stop[use]), return_index=True)
             new = ~np.isin(line, seen, assume_unique=True)
             line, use = line[new], use[at[new]]
             seen = np.concatenate((seen, line))
-            start, size = x.start[use], x.n[use]
             keys, indexed, rows = [], [], []
-            for delta in range(m):
-                n = size - delta
-                base, extra = n // m, n % m
-                for i in range(m):
-                    width = base + (i >= m - extra)
-                    place = i * base + np.maximum(0, i - (m - extra))
-                    for shift in range(max(-i, delta - (tau - i)), min(i, delta + tau - i) + 1):
+            for c, least, end, tau, width in steps:
+                here = np.flatnonzero((x.n[use] >= least) & (x.n[use] < end + tau))
+                start, size, own = x.start[use[here]], x.n[use[here]], x.n[use[here]] < end
+                half = (tau + 2) // 2
+                for i in range(tau + 1):
+                    off, place = (i, i * width) if i < half else (tau - i, size - (tau - i + 1) * width)
+                    for shift in range(-off, off + 1):
                         a = place + shift
                         ok = (a >= 0) & (a + width <= size)
                         s = (start + a)[ok]
                         with np.errstate(over="ignore"):
-                            keys.append(mix(x.hash(s, s + width[ok]) + n[ok].astype(_U) * _U(0x9FB21C651E98DF25) + _U(i)))
-                        indexed.append(np.full(len(s), delta == 0 and shift == 0))
-                        rows.append(line[ok])
+                            keys.append(mix(x.hash(s, s + width) + _U(c * 64 + i + 1) * _U(0x9FB21C651E98DF25)))
+                        indexed.append(own[ok] & (shift == 0))
+                        rows.append(line[here][ok])
             if len(line):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(rows).view(np.int64)),
                                                   pa.array(np.concatenate(indexed))], ["key", "line", "indexed"])
@@ -144,10 +157,15 @@ def _parities(cp: np.ndarray) -> np.ndarray:
     return np.packbits(np.concatenate((one, two)).astype(np.uint8)).view(np.int64)
 
 
-def _near(l: str, r: str, tau: int):
-    """Condition that the parities allow ``tau`` edits."""
+def _near(l: str, r: str, classes):
+    """Condition that lengths and parities allow the pair's number of edits."""
+    n, m = F.col(f"{l}.n"), F.col(f"{r}.n")
+    shorter = F.least(n, m)
+    tau = F.lit(-1)
+    for least, t in classes:
+        tau = F.when(shorter >= least, t).otherwise(tau)
     one, *two = (F.bit_count(F.col(f"{l}.{m}").bitwiseXOR(F.col(f"{r}.{m}"))) for m in _MARKS)
-    return (one <= 2 * tau) & (two[0] + two[1] <= 4 * tau)
+    return (F.abs(n - m) <= tau) & (one <= 2 * tau) & (two[0] + two[1] <= 4 * tau)
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,8 +178,22 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = [x.cp[s:e] for s, e in zip(x.start[at].tolist(), x.stop[at].tolist(), strict=True)]
         marks = np.array([_parities(p) for p in part], np.int64).reshape(-1, 3)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x.hash(x.start[at], x.stop[at]).view(np.int64)), pa.array([p.tobytes() for p in part], pa.binary()), *(pa.array(marks[:, i]) for i in range(3))],
-            ["line", "content", *_MARKS])
+            [pa.array(x.hash(x.start[at], x.stop[at]).view(np.int64)), pa.array([p.tobytes() for p in part], pa.binary()), pa.array(x.n[at].astype(np.int32)),
+             *(pa.array(marks[:, i]) for i in range(3))],
+            ["line", "content", "n", *_MARKS])
+
+
+def _inner(a: np.ndarray, b: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two without most of their common start and end, which no edit needs to touch."""
+    spare = min(len(a), len(b)) - 2 * tau - 2
+    if spare <= 0:
+        return a, b
+    m = min(len(a), len(b))
+    differ = np.flatnonzero(a[:m] != b[:m])
+    front = min(spare, int(differ[0]) if len(differ) else m)
+    differ = np.flatnonzero(a[::-1][:m] != b[::-1][:m])
+    back = min(spare - front, int(differ[0]) if len(differ) else m)
+    return a[front : len(a) - back], b[front : len(b) - back]
 
 
 def within(a: list[np.ndarray], b: list[np.ndarray], tau: int) -> np.ndarray:
@@ -169,6 +201,8 @@ def within(a: list[np.ndarray], b: list[np.ndarray], tau: int) -> np.ndarray:
 
     Bit d of a vector stands for the cell on diagonal d - tau of the band; the
     distance is followed down the lowest diagonal to the last row, then along it."""
+    pairs = [_inner(x, y, tau) if abs(len(x) - len(y)) <= tau else (x, y) for x, y in zip(a, b, strict=True)]
+    a, b = [x for x, _ in pairs], [y for _, y in pairs]
     out = np.zeros(len(a), bool)
     la, lb = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
     todo = np.flatnonzero(np.abs(la - lb) <= tau)
@@ -212,21 +246,28 @@ def within(a: list[np.ndarray], b: list[np.ndarray], tau: int) -> np.ndarray:
     return out
 
 
-def _check(tau: int):
+def _check(classes):
+    """Keeps the (a, b) rows whose contents are within their number of edits."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in (whole.slice(i, 2000) for i in range(0, whole.num_rows, 2000)):
                 left = [np.frombuffer(v.as_buffer(), np.uint32) for v in b.column("x")]
                 right = [np.frombuffer(v.as_buffer(), np.uint32) for v in b.column("y")]
-                yield b.select(["a", "b"]).filter(pa.array(within(left, right, tau)))
+                tau = tau_of(np.array([min(len(p), len(q)) for p, q in zip(left, right, strict=True)], np.int64), classes)
+                keep = np.zeros(len(left), bool)
+                for t in np.unique(tau[tau >= 0]).tolist():
+                    on = np.flatnonzero(tau == t)
+                    keep[on] = within([left[i] for i in on], [right[i] for i in on], t)
+                yield b.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, tau: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, classes) -> DataFrame:
     x = pairs.join(texts.select(F.col("line").alias("a"), F.col("content").alias("x")), "a")
     both = x.join(texts.select(F.col("line").alias("b"), F.col("content").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_check(tau), "a bigint, b bigint")
+    return both.select("a", "b", "x", "y").mapInArrow(_check(classes), "a bigint, b bigint")
 
 
 def _row_key() -> F.Column:
@@ -239,11 +280,10 @@ def line_occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return docs.select("doc_id", "text", _row_key().alias("rk")).mapInArrow(_occurrences(min_chars), f"doc_id {id_type}, rk bigint, line_no int, line bigint")
 
 
-def line_links(docs: DataFrame, first: DataFrame, tau: int = TAU) -> DataFrame:
+def line_links(docs: DataFrame, first: DataFrame, classes=CLASSES) -> DataFrame:
     """(node, root) of every line in a class of two or more different lines.
     ``first``: (line, rk, line_no) of one occurrence of each line."""
-    least = 8 * (tau + 1)
-    rows = docs.select("text").mapInArrow(_keys(tau, least), "key bigint, line bigint, indexed boolean")
+    rows = docs.select("text").mapInArrow(_keys(classes), "key bigint, line bigint, indexed boolean")
     by_key = Window.partitionBy("key")
     shared = rows.select("*", F.min("line").over(by_key).alias("lo"), F.max("line").over(by_key).alias("hi"), F.max("indexed").over(by_key).alias("any"))
     shared = cut_lineage(shared.where("any and lo <> hi").groupBy("key", "line").agg(F.max("indexed").alias("indexed")))
@@ -252,15 +292,15 @@ def line_links(docs: DataFrame, first: DataFrame, tau: int = TAU) -> DataFrame:
     want = cut_lineage(want)
     small = (want.agg(F.sum(F.size("numbers") + 1)).first()[0] or 0) <= BROADCAST_LINES
     texts = docs.select("text", _row_key().alias("rk")).join(F.broadcast(want) if small else want, "rk").select("text", "numbers")
-    texts = cut_lineage(texts.mapInArrow(_fetch, "line bigint, content binary, m0 bigint, m1 bigint, m2 bigint").dropDuplicates(["line"]))
-    marks = texts.select("line", *_MARKS)
+    texts = cut_lineage(texts.mapInArrow(_fetch, "line bigint, content binary, n int, m0 bigint, m1 bigint, m2 bigint").dropDuplicates(["line"]))
+    marks = texts.select("line", "n", *_MARKS)
 
     lead = shared.where("indexed").groupBy("key").agg(F.min("line").alias("b"))
     star = shared.join(lead, "key").where("line <> b").select(F.col("line").alias("a"), "b").distinct()
     x, y = marks.alias("x"), marks.alias("y")
-    star = star.join(x, F.col("a") == F.col("x.line")).join(y, F.col("b") == F.col("y.line")).where(_near("x", "y", tau)).select("a", "b")
+    star = star.join(x, F.col("a") == F.col("x.line")).join(y, F.col("b") == F.col("y.line")).where(_near("x", "y", classes)).select("a", "b")
     star = cut_lineage(star)
-    links = cut_lineage(_verified(star, texts, tau))
+    links = cut_lineage(_verified(star, texts, classes))
     merged = connected_components(links)
 
     across = shared.join(merged.withColumnRenamed("node", "line"), "line", "left").withColumn("grp", F.coalesce("root", "line")).drop("root")
@@ -268,20 +308,20 @@ def line_links(docs: DataFrame, first: DataFrame, tau: int = TAU) -> DataFrame:
     across = across.where("lo <> hi").withColumn("salts", F.ceil(F.col("c") / KEY_ROWS).cast("int")).drop("lo", "hi", "c").join(marks, "line")
     l = across.where("indexed").withColumn("salt", F.pmod(F.xxhash64("line"), F.col("salts")).cast("int")).alias("l")
     r = across.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("r")
-    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.salt") == F.col("r.salt")) & (F.col("l.grp") != F.col("r.grp")) & _near("l", "r", tau))
+    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.salt") == F.col("r.salt")) & (F.col("l.grp") != F.col("r.grp")) & _near("l", "r", classes))
     pairs = pairs.select(F.greatest("l.line", "r.line").alias("a"), F.least("l.line", "r.line").alias("b")).distinct()
     tried = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    more = cut_lineage(_verified(pairs.join(tried, ["a", "b"], "left_anti"), texts, tau))
+    more = cut_lineage(_verified(pairs.join(tried, ["a", "b"], "left_anti"), texts, classes))
     return connected_components(merged.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
-def line_classes(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, classes=CLASSES, min_chars: int = MIN_CHARS) -> DataFrame:
     """Every participating line: doc_id, rk, line_no, class (smallest line hash
     of its class) and keep (true for the first occurrence of the class)."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     seen = cut_lineage(line_occurrences(docs, min_chars))
     first = cut_lineage(seen.groupBy("line").agg(F.min(F.struct("doc_id", "rk", "line_no")).alias("at")))
-    roots = line_links(docs, first.select("line", "at.rk", "at.line_no"), tau)
+    roots = line_links(docs, first.select("line", "at.rk", "at.line_no"), classes)
     named = first.join(roots.withColumnRenamed("node", "line"), "line", "left").withColumn("class", F.coalesce("root", "line"))
     best = named.groupBy("class").agg(F.min("at").alias("best"))
     named = named.select("line", "class").join(best, "class")
@@ -289,10 +329,10 @@ def line_classes(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) ->
     return seen.join(named, "line").select("doc_id", "rk", "line_no", "class", here.eqNullSafe(F.col("best")).alias("keep"))
 
 
-def line_report(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_report(docs: DataFrame, classes=CLASSES, min_chars: int = MIN_CHARS) -> DataFrame:
     """Per document row: doc_id, n_lines, n_removed, removed (line numbers) and
     classes (class of every participating line, in line order)."""
-    lines = line_classes(docs, tau, min_chars).groupBy("rk").agg(F.sort_array(F.collect_set(F.struct("line_no", "class", "keep"))).alias("lines"))
+    lines = line_classes(docs, classes, min_chars).groupBy("rk").agg(F.sort_array(F.collect_set(F.struct("line_no", "class", "keep"))).alias("lines"))
     docs = docs.select("doc_id", _row_key().alias("rk"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
     lines = lines.select("rk", F.transform(F.filter("lines", lambda x: ~x["keep"]), lambda x: x["line_no"]).alias("removed"), F.col("lines.class").alias("classes"))
     out = docs.join(lines, "rk", "left")
@@ -301,26 +341,27 @@ def line_report(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) ->
 
 
 def _later_copies(docs: DataFrame) -> DataFrame:
-    """(rk, __copy) of every row whose text a smaller doc_id holds as well."""
+    """(rk, copy) of every row whose text a smaller doc_id holds as well."""
     rows = docs.select(_row_key().alias("rk"), F.struct("doc_id").alias("id"), F.xxhash64("text").alias("t1"), F.length("text").alias("t2")).where("t2 > 0")
-    lead = rows.groupBy("t1", "t2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where(~F.col("lo").eqNullSafe(F.col("hi")))
+    lead = rows.groupBy("t1", "t2").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where(~F.col("lo").eqNullSafe(F.col("hi")))
     later = rows.join(lead, ["t1", "t2"]).where(~F.col("id").eqNullSafe(F.col("lo")))
-    return later.select("rk", F.lit(True).alias("__copy")).distinct()
+    return later.select("rk", F.lit(True).alias("copy")).distinct()
 
 
-def dedup_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, classes=CLASSES, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` without repeated lines: all columns kept, n_chars (if there)
     recounted. A document that loses lines goes if no non-blank line is left of
     it, or if its whole text is that of a smaller doc_id, which holds its shorter
     lines too."""
-    gone = line_classes(docs, tau, min_chars).where("not keep").groupBy("rk").agg(F.collect_set("line_no").alias("__gone"))
-    gone = gone.join(_later_copies(docs), "rk", "left")
-    out = docs.withColumn("__row_key", _row_key()).join(gone.withColumnRenamed("rk", "__row_key"), "__row_key", "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("__gone", i))
-    out = out.withColumn("__kept", F.when(F.col("__gone").isNotNull(), kept))
-    blank = ~F.exists("__kept", lambda x: x.rlike(r"\S"))
-    out = out.where(F.col("__kept").isNull() | ~(blank | F.coalesce("__copy", F.lit(False))))
-    out = out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n")))
+    key, lost, kept, copy = (free_name(x, docs) for x in ("row_key", "lost_lines", "kept_lines", "is_copy"))
+    gone = line_classes(docs, classes, min_chars).where("not keep").groupBy("rk").agg(F.collect_set("line_no").alias("lines"))
+    gone = gone.join(_later_copies(docs), "rk", "left").select(F.col("rk").alias(key), F.col("lines").alias(lost), F.col("copy").alias(copy))
+    out = docs.withColumn(key, _row_key()).join(gone, key, "left")
+    rest = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(lost, i))
+    out = out.withColumn(kept, F.when(F.col(lost).isNotNull(), rest))
+    blank = ~F.exists(kept, lambda x: x.rlike(r"\S"))
+    out = out.where(F.col(kept).isNull() | ~(blank | F.coalesce(copy, F.lit(False))))
+    out = out.withColumn("text", F.when(F.col(lost).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(lost).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select([F.col(f"`{c}`") for c in docs.columns])

@@ -135,10 +135,11 @@ def test_line_dedup(spark, docs, texts):
     same = sorted({x for _, x in lines})
 
     def near(a, b):
-        if min(len(a), len(b)) < 8 * (linededup.TAU + 1) or abs(len(a) - len(b)) > linededup.TAU:
+        tau = int(linededup.tau_of(np.array([min(len(a), len(b))]))[0])
+        if abs(len(a) - len(b)) > tau:
             return False
         enc = [np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in (a, b)]
-        return bool(linededup.within([enc[0]], [enc[1]], linededup.TAU)[0])
+        return bool(linededup.within([enc[0]], [enc[1]], tau)[0])
 
     cls = components(list(enumerate(same)), near)
     first = {}
@@ -163,6 +164,74 @@ def test_line_dedup(spark, docs, texts):
     assert linededup.line_report(empty(spark, docs)).count() == linededup.dedup_lines(empty(spark, docs)).count() == 0
 
 
+def edited(rng, line, edits):
+    x = list(line)
+    for _ in range(edits):
+        at = rng.randrange(len(x) + 1)
+        kind = rng.choice("ids")
+        if kind == "i" or at == len(x):
+            x.insert(at, rng.choice("abcxyz "))
+        elif kind == "d":
+            del x[at]
+        else:
+            x[at] = rng.choice("abcxyz ")
+    return "".join(x)
+
+
+def test_line_links_at_every_class_border(spark):
+    """Pairs of lines around each class border, some with as many edits as are allowed and one more, against plain distances."""
+    rng = random.Random(9)
+    pool = [*"abcdefghijklmnop ", "word ", "and "]
+    lines = []
+    for least, tau in linededup.CLASSES:
+        for size in (least - 1, least, least + 1, least + tau, least - tau):
+            base = "".join(rng.choice(pool) for _ in range(size))[:size].replace("\n", " ")
+            lines += [base, *(edited(rng, base, e) for e in (1, tau - 1, tau, tau, tau + 1) if e > 0)]
+    # Edits gathered at one end, a replaced word in a long passage, and a common start.
+    long = " ".join(rng.choice(["green", "river", "stone", "cloud"]) + str(rng.randrange(99)) for _ in range(60))
+    cut = long.split(" ")
+    lines += [long, "zq" + long, long + "zqx", " ".join([*cut[:30], "window7", *cut[31:]]), long[:200] + "q" * 300, long[:200] + "w" * 300, "x" * 19, "x" * 18 + "y"]
+    lines = sorted({x for x in lines if x.strip()})
+    df = spark.createDataFrame([(i, "\n".join(lines[i::7])) for i in range(7)], "doc_id int, text string").repartition(4)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    def near(a, b):
+        tau = int(linededup.tau_of(np.array([min(len(a), len(b))]))[0])
+        if tau < 0 or abs(len(a) - len(b)) > tau:
+            return False
+        if Counter(a) != Counter(b) and sum((Counter(a) - Counter(b)).values()) > tau:
+            return False
+        return distance(a, b) <= tau
+
+    cls = components(list(enumerate(lines)), near)
+    first = {}
+    for i in range(7):
+        for n, x in enumerate(lines[i::7]):
+            if len(x) >= linededup.MIN_CHARS:
+                first.setdefault(cls[lines.index(x)], (i, n))
+    got = {(r["doc_id"], r["line_no"]): r["keep"] for r in linededup.line_classes(df).collect()}
+    want = {(i, n): first[cls[lines.index(x)]] == (i, n) for i in range(7) for n, x in enumerate(lines[i::7]) if len(x) >= linededup.MIN_CHARS}
+    assert got == want
+    assert sum(not k for k in want.values()) > 60
+    assert len({cls[lines.index(x)] for x in (long, "zq" + long, long + "zqx", " ".join([*cut[:30], "window7", *cut[31:]]))}) == 1
+
+
+def test_line_dedup_with_clashing_columns(spark):
+    names = ["__gone", "__kept", "row_key", "lost_lines", "kept_lines", "is_copy", "rk", "lines", "copy"]
+    df = spark.createDataFrame([(1, "one line of a text to see\nrest", *names), (2, "one line of a text to see\nother", *names)], "doc_id int, text string, " + ", ".join(f"{n} string" for n in names))
+    out = linededup.dedup_lines(df)
+    assert out.columns == df.columns and {r["doc_id"]: r["text"] for r in out.collect()} == {1: "one line of a text to see\nrest", 2: "other"}
+    assert all(r[n] == n for r in out.collect() for n in names)
+
+
 def test_line_dedup_keeps_short_lines(spark):
     head = "A heading that several documents share"
     rows = [(1, head + "\nand its text, which is long enough"), (2, head + "\nroses red\nviolets blue\n"), (3, head + "\n \n"), (4, head + "\nroses red\nviolets blue\n"),
