@@ -10,6 +10,7 @@ recompute the plan before it.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -50,3 +51,13 @@ def remove_stored(spark: SparkSession, path: str) -> None:
     """Delete a stored table that is no longer read, in its own file system."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def release_unreachable(spark: SparkSession) -> None:
+    """Let Spark clean up after frames that nothing refers to any more.
+
+    Checkpoints, shuffle files and broadcasts are removed when the driver's garbage
+    collector finds their frames unreachable, which may never happen in a long job
+    on a roomy heap. A job of several stages calls this between them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
