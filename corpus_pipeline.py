@@ -18,7 +18,7 @@ from customer360.llm.linededup import dedup_lines
 from customer360.llm.ngramjoin import keep_one
 from customer360.llm.packing import pack_documents
 from customer360.llm.toxcnn import drop_toxic
-from customer360.plans import checkpoint_dir, remove_stored
+from customer360.plans import checkpoint_dir, release_unreachable, remove_stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,26 +27,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold of their language; all labels train."""
+    release_unreachable(spark)  # what the stage before left
     return drop_toxic(docs, docs, _table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without near-duplicate lines but the first of each class."""
+    release_unreachable(spark)  # what the stage before left
     return dedup_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicate links."""
+    release_unreachable(spark)  # what the stage before left
     return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
+    release_unreachable(spark)  # what the stage before left
     return remove_leaks(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their places in packed sequences."""
+    release_unreachable(spark)  # what the stage before left
     return pack_documents(docs)
 
 
