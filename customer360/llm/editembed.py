@@ -14,14 +14,21 @@ of neighbouring levels are nested, so texts of different lengths compare on
 the steps they share. Likeness is the share of equal samples; steps past one
 text's end count as unequal.
 
-``near_pairs`` joins documents on bands of sampled characters, each member
-with the smallest id of its band group, and verifies by the fingerprints and
-then by edit distance.
+Near documents are found by bands and verified (``near_classes``). A band is a
+few sampled characters at fixed places of the ascending samples. Bands come in
+tiers that reach further into the samples, up to the whole fingerprint, and a
+fingerprint gives those that it is long enough for, so that neighbours in length
+share all but the last; one whose text is just short of the next
+level gives the bands of that level as well. Equal fingerprints are one
+vertex. The vertices of a band key are verified against the smallest of them and
+merged; then only pairs of different merged groups are formed. Verification is the
+likeness of the whole fingerprints; ``near_pairs`` goes on to the edit distance of the texts.
 
 Defined results: a NULL or empty text has the fingerprint of the empty
 string, whose likeness is 1 to itself and 0 to any other; equal texts have
 equal fingerprints; the next document follows by doc_id, then text (NULL ids
-first, the last wraps to the first; a single row follows itself); other
+first, the last wraps to the first; a single row follows itself); a class is named
+by its smallest doc_id, NULL if no member has one; an empty table gives no rows; other
 columns are ignored.
 """
 
@@ -33,18 +40,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from customer360.llm.linededup import within
-from customer360.llm.textnum import mix, stream
+from customer360.llm.components import connected_components
+from customer360.llm.skew import join_groups
+from customer360.llm.textnum import chunks, mix, stream
 from customer360.plans import cut_lineage
 
 SAMPLES = 128
 PERIOD = 4096
 #: Characters walked at once.
 WALK_CHARS = 8 << 20
-BANDS, BAND_SAMPLES = 16, 6
+#: Tiers of bands: tier t reaches a quarter of SAMPLES further than the one before.
+TIERS, TIER_BANDS, BAND_SAMPLES = 5, 6, 6
+#: Likeness from which two fingerprints are near.
+LEAST = 0.8
+#: Rows of a band key before its pairs are salted.
+KEY_ROWS = 512
 
 _STAY: list[np.ndarray] = []
 _STEPS: list = []
@@ -171,7 +184,12 @@ def _ordered(docs: DataFrame) -> DataFrame:
     """Rows dealt into doc_id ranges, in order inside each; the first rows of a
     range are also sent to the range before it, marked ``halo``."""
     spark = docs.sparkSession
-    key = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
+    # Ranges of ids need numbers: texts go by their first bytes, which keep their order.
+    if docs.schema["doc_id"].dataType.simpleString() == "string":
+        number = F.conv(F.rpad(F.substring(F.hex(F.encode("doc_id", "UTF-8")), 1, 12), 12, "0"), 16, 10).cast("double")
+    else:
+        number = F.col("doc_id").cast("double")
+    key = F.coalesce(number, F.lit(float("-inf")))
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), key.alias("key"))
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     finite = docs.where("key > double('-infinity')").select("key")
@@ -231,36 +249,171 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     return _ordered(docs).mapInArrow(run, schema)
 
 
-def near_pairs(docs: DataFrame, least: float = 0.8, tau: int = 30) -> DataFrame:
-    """(a, b): rows linked to the smallest id of a band group whose fingerprints
-    are ``least`` alike and whose edit distance is at most ``tau`` (31 at most)."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("doc_id is not null")
+def _picks() -> list[np.ndarray]:
+    """The sample places of every tier's bands (bands x places)."""
+    out = []
+    for t in range(TIERS):
+        reach = np.uint64(SAMPLES + t * SAMPLES // 4)
+        out.append((stream(20 + t, TIER_BANDS * BAND_SAMPLES) % reach).astype(np.int64).reshape(TIER_BANDS, BAND_SAMPLES))
+    return out
+
+
+def band_keys(n: int, level: int, samples: np.ndarray) -> np.ndarray:
+    """64-bit band keys of the fingerprint of a text of ``n`` characters."""
+    views = [(level, samples)]
+    # Texts a little longer may lie one level up: the samples that remain there.
+    if (2 * (n + n // 16 + 1) // SAMPLES).bit_length() - 1 > level:
+        views.append((level + 1, samples[_STEPS[1][_steps_of(level, len(samples))] >= level + 1]))
+    out = []
+    for at, x in views:
+        count = len(x)
+        padded = np.zeros(SAMPLES * 2, np.uint64)
+        padded[: min(count, 2 * SAMPLES)] = x[: 2 * SAMPLES]
+        for t, pick in enumerate(_picks()):
+            if t and count < SAMPLES + t * SAMPLES // 4:
+                break
+            with np.errstate(over="ignore"):
+                word = (padded[pick] * (stream(10, BAND_SAMPLES) | np.uint64(1))).sum(1, dtype=np.uint64)
+                out.append(mix(word + mix(np.arange(TIER_BANDS, dtype=np.uint64) + np.uint64((at * TIERS + t) * TIER_BANDS))))
+    return np.concatenate(out)
+
+
+def from_text(fingerprint: str) -> tuple[int, np.ndarray]:
+    """(level, samples) of :func:`to_text`."""
+    return int(fingerprint[:2], 16), np.frombuffer(bytes.fromhex(fingerprint[2:]), np.uint8)
+
 
-    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pick = (stream(9, BANDS * BAND_SAMPLES) % np.uint64(SAMPLES // 2)).astype(np.int64).reshape(BANDS, -1)
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, node) of every vertex."""
+    for b in batches:
+        keys = [band_keys(n, *from_text(f)) for n, f in zip(b.column("n").to_pylist(), b.column("fingerprint").to_pylist(), strict=True)]
+        node = np.repeat(b.column("node").to_numpy(), [len(k) for k in keys])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(node)], ["key", "node"])
+
+
+def _alike(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = []
-            for level, s in fingerprints(b.column("text").to_pylist()):
-                x = np.append(s, np.zeros(SAMPLES, np.uint8)).astype(np.uint64)
-                with np.errstate(over="ignore"):
-                    mixed = mix((x[pick] * stream(10, BAND_SAMPLES)).sum(1) + np.arange(BANDS, dtype=np.uint64) * np.uint64(64) + np.uint64(level))
-                keys.append(mixed.view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "keys"])
-
-    banded = docs.mapInArrow(bands, f"doc_id {kind}, keys array<bigint>").select("doc_id", F.explode("keys").alias("key"))
-    lead = banded.groupBy("key").agg(F.min("doc_id").alias("b"))
-    pairs = cut_lineage(banded.join(lead, "key").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct())
-    x = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
-    both = x.join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
+            keep = [likeness(from_text(x), from_text(y)) >= least for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _links(vertices: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Verified pairs (a, b) of vertices (node, n, fingerprint) that connect all near
+    ones, and (node, root) of their components."""
+    keys = vertices.select("node", "n", "fingerprint").mapInArrow(_banded, "key bigint, node bigint")
+    by_key = Window.partitionBy("key")
+    shared = keys.select("*", F.min("node").over(by_key).alias("lo"), F.max("node").over(by_key).alias("hi")).where("lo <> hi")
+    shared = cut_lineage(shared.select("key", "node", "lo").distinct())
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        x, y = (vertices.select(F.col("node").alias(e), F.col("fingerprint").alias(f)) for e, f in (("a", "x"), ("b", "y")))
+        both = pairs.join(x, "a").join(y, "b")
+        return cut_lineage(both.select("a", "b", "x", "y").mapInArrow(_alike(least), "a bigint, b bigint"))
+
+    star = cut_lineage(shared.where("node <> lo").select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct())
+    links = verified(star)
+    merged = connected_components(links)
+    across = shared.drop("lo").join(merged, "node", "left").withColumn("grp", F.coalesce("root", "node")).drop("root")
+    across = across.select("*", F.min("grp").over(by_key).alias("lo"), F.max("grp").over(by_key).alias("hi"), F.count("*").over(by_key).alias("c"))
+    across = across.where("lo <> hi").withColumn("salts", F.ceil(F.col("c") / KEY_ROWS).cast("int"))
+    l = across.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")).alias("l")
+    r = across.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("r")
+    same = (F.col("l.key") == F.col("r.key")) & (F.col("l.salt") == F.col("r.salt")) & (F.col("l.grp") != F.col("r.grp")) & (F.col("l.node") > F.col("r.node"))
+    pairs = l.join(r, same).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+    more = verified(pairs.join(star, ["a", "b"], "left_anti"))
+    links = links.unionByName(more)
+    return links, connected_components(links)
+
+
+def _vertices(prints: DataFrame) -> DataFrame:
+    """Distinct fingerprints: node, fingerprint, n, the smallest doc_id and the rows that have it."""
+    once = prints.groupBy("fingerprint").agg(F.min("n_chars").alias("n"), F.min("doc_id").alias("least"), F.count("*").alias("members"))
+    return cut_lineage(once.withColumn("node", F.xxhash64("fingerprint")))
+
+
+def near_classes(prints: DataFrame, least: float = LEAST) -> DataFrame:
+    """``prints`` (with doc_id, n_chars, fingerprint) plus near_id: the smallest doc_id
+    that verified pairs connect with the row."""
+    vertices = _vertices(prints)
+    _, roots = _links(vertices, least)
+    named = vertices.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    total, distinct = named.agg(F.coalesce(F.sum("members"), F.lit(0)), F.count("*")).first()
+    named = cut_lineage(named.select("fingerprint", "members", "least", "root"))
+    smallest = named.groupBy("root").agg(F.min("least").alias("near_id"), F.count("*").alias("vertices"))
+    found = join_groups(named, smallest, "root", "vertices", distinct).select("fingerprint", "members", "near_id")
+    return join_groups(prints, cut_lineage(found), "fingerprint", "members", total).select(*prints.columns, "near_id")
+
+
+def print_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, n_chars and fingerprint of every row."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches):
+            texts = b.column("text").to_pylist()
+            made = [to_text(*p) for p in fingerprints(texts)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(made, pa.string())], ["doc_id", "n_chars", "fingerprint"])
+
+    return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, f"doc_id {kind}, n_chars bigint, fingerprint string")
+
+
+def edits_of(n: int) -> int:
+    """Edits that two texts may differ by whose shorter one has ``n`` characters."""
+    return max(2, n // 20)
+
+
+def edit_distance_within(a: str, b: str, tau: int) -> bool:
+    """Whether the edit distance is at most ``tau``, by a diagonal band of numpy rows."""
+    x, y = (np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32) for t in (a, b))
+    if abs(len(x) - len(y)) > tau:
+        return False
+    m = min(len(x), len(y))
+    differ = np.flatnonzero(x[:m] != y[:m])
+    front = int(differ[0]) if len(differ) else m
+    x, y = x[front:], y[front:]
+    m = min(len(x), len(y))
+    differ = np.flatnonzero(x[::-1][:m] != y[::-1][:m])
+    back = int(differ[0]) if len(differ) else m
+    x, y = x[: len(x) - back], y[: len(y) - back]
+    if not len(x) or not len(y):
+        return max(len(x), len(y)) <= tau
+    # Row i of the table, at the columns i - tau .. i + tau.
+    far, step = tau + 1, np.arange(2 * tau + 1)
+    row = np.where(step - tau >= 0, step - tau, far)
+    row = np.where(step - tau <= len(y), row, far)
+    padded = np.full(len(y) + 3 * tau + 2, 0xFFFFFFFF, np.uint32)
+    padded[tau : tau + len(y)] = y
+    for i in range(1, len(x) + 1):
+        column = i + step - tau
+        # Cell (i, j) stands at place j - i + tau; (i - 1, j - 1) at the same one, (i - 1, j) one on.
+        new = np.minimum(row + (padded[i - 1 : i + 2 * tau] != x[i - 1]), np.append(row[1:], far) + 1)
+        new = np.where(column == 0, i, np.where((column < 0) | (column > len(y)), far, new))
+        new = np.minimum.accumulate(new - step) + step  # insertions along the row
+        row = np.minimum(new, far)
+        if row.min() > tau:
+            return False
+    return bool(row[len(y) - len(x) + tau] <= tau)
+
+
+def near_pairs(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """(a, b) doc_ids of near texts, representatives of equal texts alone: pairs
+    that connect all near classes, whose edit distance the texts allow (:func:`edits_of`)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("doc_id is not null")
+    vertices = _vertices(cut_lineage(print_rows(docs)))
+    links, _ = _links(vertices, least)
+    ids = vertices.select("node", F.col("least").alias("id"))
+    pairs = links.join(ids.select(F.col("node").alias("a"), F.col("id").alias("p")), "a").join(ids.select(F.col("node").alias("b"), F.col("id").alias("q")), "b")
+    pairs = cut_lineage(pairs.select("p", "q"))
+    x = pairs.join(docs.select(F.col("doc_id").alias("p"), F.col("text").alias("x")), "p")
+    both = x.join(docs.select(F.col("doc_id").alias("q"), F.col("text").alias("y")), "q")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = b.column("x").to_pylist(), b.column("y").to_pylist()
-            alike = np.array([likeness(p, q) >= least for p, q in zip(fingerprints(x), fingerprints(y), strict=True)], bool)
-            at = np.flatnonzero(alike)
-            code = [[np.frombuffer(side[i].encode("utf-32-le", "replace"), np.uint32) for i in at] for side in (x, y)]
-            alike[at] = within(code[0], code[1], tau)
-            yield b.select(["a", "b"]).filter(pa.array(alike))
-
-    return both.mapInArrow(verify, f"a {kind}, b {kind}")
+            keep = [edit_distance_within(x, y, edits_of(min(len(x), len(y)))) for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("p"), b.column("q")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("p", "q", "x", "y").mapInArrow(verify, f"a {kind}, b {kind}").distinct()

@@ -78,10 +78,12 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edit-embedding fingerprints of every document and of its edited text."""
-    from customer360.llm.editembed import fingerprint_report
+    """Edit-embedding fingerprints of every document and of its edited text, and the
+    class of near documents (near_id) that bands and verification put it in."""
+    from customer360.llm.editembed import fingerprint_report, near_classes
+    from customer360.plans import cut_lineage
 
-    return fingerprint_report(_table(spark, sf_dir, "documents"))
+    return near_classes(cut_lineage(fingerprint_report(_table(spark, sf_dir, "documents"))))
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

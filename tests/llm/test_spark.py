@@ -283,9 +283,49 @@ def test_fingerprints(spark, docs, texts):
     assert editembed.fingerprint_report(empty(spark, docs)).count() == 0
     one = editembed.fingerprint_report(docs.where("doc_id = 10")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1
-    pairs = {(r["a"], r["b"]) for r in editembed.near_pairs(docs).collect()}
+    near = {r["doc_id"]: r["near_id"] for r in editembed.near_classes(editembed.fingerprint_report(docs)).collect() if r["doc_id"] is not None}
     copies = [i for i, t in texts if t == texts[5][1]]
-    assert {(c, copies[0]) for c in copies[1:]} <= pairs
+    assert {near[i] for i in copies} == {min(copies)} and len(near) == len(texts)
+    assert editembed.near_classes(editembed.print_rows(empty(spark, docs))).count() == editembed.near_pairs(empty(spark, docs)).count() == 0
+    named = docs.where("doc_id is not null").withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 4, "0")))
+    assert [r["n_chars"] for r in editembed.fingerprint_report(named).orderBy("doc_id", "edited_sha256").collect()] == [len(t) for i, t in order[1:]]
+
+
+def test_near_classes_against_all_pairs(spark):
+    """Inserted characters at every length, level borders included, and replaced parts: recall of the likeness over all pairs."""
+    rng = random.Random(6)
+    texts = []
+    for size in (20, 60, 63, 64, 65, 127, 128, 500, 1000, 1023, 1024, 2000, 2047, 3000, 4000, 4095, 4096, 6000, 8191, 8192):
+        base = "".join(rng.choice("abcdefgh ijklmno") for _ in range(size))
+        for _ in range(3):
+            at = rng.randrange(size)
+            texts += [base[:at] + "z" + base[at:], base[:at] + base[at + 1 :]]
+        at = rng.randrange(max(1, size - size // 15))
+        texts += [base, base, base[:at] + "".join(rng.choice("qrstuv") for _ in range(size // 15)) + base[at + size // 15 :]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4)
+    prints = editembed.fingerprints(texts)
+    alike = {(i, j) for i in range(len(texts)) for j in range(i) if editembed.likeness(prints[i], prints[j]) >= editembed.LEAST}
+    near = {r["doc_id"]: r["near_id"] for r in editembed.near_classes(editembed.print_rows(docs)).collect()}
+    want = components(list(enumerate(range(len(texts)))), lambda a, b: (a, b) in alike or (b, a) in alike)
+    assert len(alike) > 300 and sum(near[i] == near[j] for i, j in alike) >= 0.97 * len(alike)
+    assert all(want[near[i]] == want[i] for i in near)  # nothing is linked that likeness does not connect
+    pairs = {(r["a"], r["b"]) for r in editembed.near_pairs(docs).collect()}
+    assert pairs and all(editembed.edit_distance_within(texts[a], texts[b], editembed.edits_of(min(len(texts[a]), len(texts[b])))) for a, b in pairs)
+
+
+@pytest.mark.parametrize("tau", [1, 3, 12])
+def test_wide_band_edit_distance(tau):
+    rng = random.Random(tau)
+    for _ in range(150):
+        a = "".join(rng.choice("abc") for _ in range(rng.randrange(0, 40)))
+        b = edited(rng, a or "x", rng.randrange(0, 2 * tau + 3))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        assert editembed.edit_distance_within(a, b, tau) == (row[-1] <= tau), (a, b)
 
 
 def test_language_and_labels(spark, docs):
