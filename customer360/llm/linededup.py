@@ -43,8 +43,8 @@ from customer360.llm.textnum import chunks, mix, powers, utf8
 from customer360.plans import cut_lineage
 
 #: Length classes: from so many code points (of the shorter line) on, so many
-#: edits. A replaced word is some six edits.
-CLASSES = ((16, 1), (24, 2), (96, 4), (192, 6), (512, 8), (1024, 12), (2048, 16))
+#: edits. A replaced word is some five edits. A line has about (tau + 1)^2 / 2 keys.
+CLASSES = ((16, 1), (24, 2), (96, 3), (192, 5), (512, 6), (1024, 8))
 MIN_CHARS = 16
 #: Rows of a key before its pairs are salted.
 KEY_ROWS = 512
