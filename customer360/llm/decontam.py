@@ -2,8 +2,9 @@
 
 Test items are the indexed documents; every passage of every training text
 is a query. Items are cut into shards of ``SHARD_ITEMS``, so that the index a
-task holds has a proven bound; each shard is one pass over the corpus, in
-blocks. Number of items, mean length and document frequencies are those of all
+task has unpacked has a proven bound; shards are built in a task each, and the one pass
+over the corpus takes every chunk through all of them. Number of items, mean length
+and document frequencies are those of all
 items, so results do not depend on the shards. Inside a shard:
 
 * Items are grouped by length class (a power of two words, L); passages are
@@ -30,6 +31,7 @@ benchmark or corpus gives an empty result.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from customer360.llm.skew import free_name
 from customer360.llm.textnum import chunks, ngram_hashes, span_hashes, utf8
 from customer360.plans import cut_lineage
 
@@ -116,8 +119,10 @@ class Index:
         impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / mean))
         impact /= np.maximum(theta * np.bincount(item, impact, len(items))[item], 1e-12)
         self.vector = [None] * len(items)
+        by = np.argsort(item, kind="stable")
+        ends = np.searchsorted(item[by], np.arange(len(items) + 1))
         for i in order:
-            at = np.flatnonzero(item == i)
+            at = by[ends[i] : ends[i + 1]]
             self.vector[i] = (term[at], impact[at])
         # An item's essential terms: the heaviest ones, such that the others sum to SLACK at most.
         by = np.lexsort((-impact, item))
@@ -236,10 +241,31 @@ def _frequencies(items: DataFrame) -> tuple[int, float, DataFrame]:
     return n, max(1.0, total / n if n else 1.0), cut_lineage(held.select("shard", "term").join(df, "term"))
 
 
+def _shards(items: DataFrame, theta: float) -> list[bytes]:
+    """The index of every shard (``items`` with a shard number), pickled: built in a
+    task each, from its items and the statistics of all of them."""
+    n, mean, held = _frequencies(items)
+
+    def build(part: pa.Table, terms: pa.Table) -> pa.Table:
+        if not part.num_rows:
+            return pa.table({"index": pa.array([], pa.binary())})
+        term = terms.column("term").to_numpy().view(np.uint64)
+        order = np.argsort(term)
+        rows = list(zip(part.column("item_id").to_pylist(), part.column("text").to_pylist(), strict=True))
+        index = Index(rows, theta, (n, mean, term[order], terms.column("df").to_numpy()[order]))
+        return pa.table({"index": pa.array([pickle.dumps(index)], pa.binary())})
+
+    built = items.groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(build, "index binary")
+    return [bytes(r["index"]) for r in built.toLocalIterator()]
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, theta: float = THETA, shard_items: int = SHARD_ITEMS) -> DataFrame:
     """One row per (document row, item) whose passage is verified: doc_id,
     item_id, score (BM25 as a share of the item's threshold), n_passages,
-    first_word and last_word of the best passage, question_cover, answer_cover."""
+    first_word and last_word of the best passage, question_cover, answer_cover.
+
+    One scan of ``docs``, however many items there are: the words of a chunk are
+    hashed once and go through the shards one after another, one index unpacked at a time."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
@@ -248,24 +274,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, theta: float = THETA, shar
     arrow_item = to_arrow_type(item_type)
     schema = (f"doc_id {id_type.simpleString()}, item_id {item_type.simpleString()}, score double, n_passages int, first_word int, last_word int, "
               "question_cover double, answer_cover double")
-    out, among = None, None
-    if shards > 1:
-        items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"))
-        n, mean, held = _frequencies(items)
-    for shard in range(shards):
-        part = items
-        if shards > 1:
-            part = items.where(F.col("shard") == shard)
-            known = np.array([(r["term"], r["df"]) for r in held.where(F.col("shard") == shard).toLocalIterator()], np.int64).reshape(-1, 2)
-            term = known[:, 0].copy().view(np.uint64)
-            order = np.argsort(term)
-            among = (n, mean, term[order], known[order, 1])
-        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in part.toLocalIterator()], theta, among))
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for b in chunks(batches):
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"))
+    packed = [spark.sparkContext.broadcast(x) for x in _shards(cut_lineage(items), theta)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only = pickle.loads(packed[0].value) if len(packed) == 1 else None
+        for b in chunks(batches):
+            spans = words(*utf8(b.column("text")))
+            for shard in packed:
+                index = only or pickle.loads(shard.value)
                 found: dict[tuple[int, int], list] = {}
-                for r, i, score, a, z, q, s in index.value.search(*words(*utf8(b.column("text")))):
+                for r, i, score, a, z, q, s in index.search(*spans):
                     best = found.setdefault((r, i), [set(), None])
                     best[0].add(a)
                     rank = (q + s, score, -a)
@@ -276,20 +295,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, theta: float = THETA, shar
                 keys = sorted(found)
                 best = [found[x][1][1] for x in keys]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(pa.array([r for r, _ in keys], pa.int64())), pa.array([index.value.ids[i] for _, i in keys], arrow_item),
+                    [b.column("doc_id").take(pa.array([r for r, _ in keys], pa.int64())), pa.array([index.ids[i] for _, i in keys], arrow_item),
                      pa.array([x[0] for x in best], pa.float64()), pa.array([len(found[x][0]) for x in keys], pa.int32()),
                      pa.array([x[1] for x in best], pa.int32()), pa.array([x[2] for x in best], pa.int32()),
                      pa.array([x[3] for x in best], pa.float64()), pa.array([x[4] for x in best], pa.float64())],
                     ["doc_id", "item_id", "score", "n_passages", "first_word", "last_word", "question_cover", "answer_cover"])
 
-        rows = docs.mapInArrow(run, schema)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    return docs.mapInArrow(run, schema)
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, theta: float = THETA) -> DataFrame:
     """``docs`` (all columns) without the rows that hold a verified passage."""
-    text = F.col("text").cast("string")
-    keyed = docs.withColumn("__row_key", F.xxhash64("doc_id", text))
-    leaky = find_leaks(keyed.select(F.col("__row_key").alias("doc_id"), text.alias("text")), benchmark, theta).select(F.col("doc_id").alias("__row_key")).distinct()
-    return keyed.join(leaky, "__row_key", "left_anti").drop("__row_key")
+    text, row = F.col("text").cast("string"), free_name("row_key", docs)
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", text))
+    leaky = find_leaks(keyed.select(F.col(row).alias("doc_id"), text.alias("text")), benchmark, theta).select(F.col("doc_id").alias(row)).distinct()
+    return keyed.join(leaky, row, "left_anti").drop(row)

@@ -267,6 +267,17 @@ def test_shards_give_the_scores_of_one_index(spark):
     assert len(one) > 20 and sorted(map(tuple, decontam.find_leaks(corpus, bench, shard_items=9).collect())) == one
 
 
+def test_many_items_are_one_pass_over_the_corpus(spark, tmp_path):
+    from customer360.plans.inspect import plan_text
+
+    texts = [(i, " ".join(f"w{(i * 7 + k) % 5000}" for k in range(30))) for i in range(9000)]
+    spark.createDataFrame(texts[:300], "doc_id int, text string").write.parquet(str(tmp_path / "d"))
+    corpus, bench = spark.read.parquet(str(tmp_path / "d")), spark.createDataFrame(texts, "item_id int, text string")
+    found = decontam.find_leaks(corpus, bench)  # three shards
+    assert plan_text(found, "simple").count("FileScan") == 1
+    assert {r["doc_id"] for r in found.where("doc_id = item_id").collect()} == set(range(300))
+
+
 def test_fingerprints(spark, docs, texts):
     rows = {}
     for r in editembed.fingerprint_report(docs).collect():
