@@ -43,8 +43,9 @@ from customer360.llm.textnum import chunks, mix, powers, utf8
 from customer360.plans import cut_lineage
 
 #: Length classes: from so many code points (of the shorter line) on, so many
-#: edits. A replaced word is some five edits. A line has about (tau + 1)^2 / 2 keys.
-CLASSES = ((16, 1), (24, 2), (96, 3), (192, 5), (512, 6), (1024, 8))
+#: edits. A replaced word is three to six edits. A line has about (tau + 1)^2 / 2 keys.
+#: A class is cut into steps of a quarter more length, with segments of their own width.
+CLASSES = ((16, 1), (24, 2), (128, 3), (256, 4), (512, 5), (1024, 6))
 MIN_CHARS = 16
 #: Rows of a key before its pairs are salted.
 KEY_ROWS = 512
@@ -109,13 +110,22 @@ def tau_of(n: np.ndarray, classes=CLASSES) -> np.ndarray:
     return np.array([-1, *(t for _, t in classes)])[np.searchsorted([least for least, _ in classes], n, "right")]
 
 
+def _steps(classes) -> list[tuple[int, int, int, int]]:
+    """(least, end, tau, width of a segment) of every step of the classes."""
+    out = []
+    for c, (least, tau) in enumerate(classes):
+        last = classes[c + 1][0] if c + 1 < len(classes) else 1 << 40
+        while least < last:
+            end = min(last, least + max(tau, least // 4))
+            out.append((least, end, tau, least // (tau + 1)))
+            least = end
+    return out
+
+
 def _keys(classes):
     """(key, line, indexed) rows: a line's own segments, and its probes for partners
     that are no longer than it is."""
-    steps = []  # (class, least, end of the class, tau, width)
-    for c, (least, tau) in enumerate(classes):
-        end = classes[c + 1][0] if c + 1 < len(classes) else 1 << 62
-        steps.append((c, least, end, tau, least // (tau + 1)))
+    steps = _steps(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, _U)
@@ -127,15 +137,18 @@ def _keys(classes):
             line, use = line[new], use[at[new]]
             seen = np.concatenate((seen, line))
             keys, indexed, rows = [], [], []
-            for c, least, end, tau, width in steps:
-                here = np.flatnonzero((x.n[use] >= least) & (x.n[use] < end + tau))
-                start, size, own = x.start[use[here]], x.n[use[here]], x.n[use[here]] < end
+            size = x.n[use]
+            for c, (least, end, tau, width) in enumerate(steps):
+                here = np.flatnonzero((size >= least) & (size < end + tau))
+                if not len(here):
+                    continue
+                start, n, own = x.start[use[here]], size[here], size[here] < end
                 half = (tau + 2) // 2
                 for i in range(tau + 1):
-                    off, place = (i, i * width) if i < half else (tau - i, size - (tau - i + 1) * width)
+                    off, place = (i, i * width) if i < half else (tau - i, n - (tau - i + 1) * width)
                     for shift in range(-off, off + 1):
                         a = place + shift
-                        ok = (a >= 0) & (a + width <= size)
+                        ok = (a >= 0) & (a + width <= n)
                         s = (start + a)[ok]
                         with np.errstate(over="ignore"):
                             keys.append(mix(x.hash(s, s + width) + _U(c * 64 + i + 1) * _U(0x9FB21C651E98DF25)))
@@ -169,7 +182,7 @@ def _near(l: str, r: str, classes):
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(line, content) of the wanted line numbers; content is UTF-32."""
+    """(line, content) of the wanted line numbers, with lengths and parities."""
     for b in chunks(batches):
         x = Lines(b.column("text"))
         want = b.column("numbers").to_pylist()
@@ -178,7 +191,7 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = [x.cp[s:e] for s, e in zip(x.start[at].tolist(), x.stop[at].tolist(), strict=True)]
         marks = np.array([_parities(p) for p in part], np.int64).reshape(-1, 3)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x.hash(x.start[at], x.stop[at]).view(np.int64)), pa.array([p.tobytes() for p in part], pa.binary()), pa.array(x.n[at].astype(np.int32)),
+            [pa.array(x.hash(x.start[at], x.stop[at]).view(np.int64)), pa.array([p.tobytes().decode("utf-32-le") for p in part], pa.string()), pa.array(x.n[at].astype(np.int32)),
              *(pa.array(marks[:, i]) for i in range(3))],
             ["line", "content", "n", *_MARKS])
 
@@ -252,8 +265,7 @@ def _check(classes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in (whole.slice(i, 2000) for i in range(0, whole.num_rows, 2000)):
-                left = [np.frombuffer(v.as_buffer(), np.uint32) for v in b.column("x")]
-                right = [np.frombuffer(v.as_buffer(), np.uint32) for v in b.column("y")]
+                left, right = ([np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in b.column(c).to_pylist()] for c in ("x", "y"))
                 tau = tau_of(np.array([min(len(p), len(q)) for p, q in zip(left, right, strict=True)], np.int64), classes)
                 keep = np.zeros(len(left), bool)
                 for t in np.unique(tau[tau >= 0]).tolist():
@@ -292,7 +304,7 @@ def line_links(docs: DataFrame, first: DataFrame, classes=CLASSES) -> DataFrame:
     want = cut_lineage(want)
     small = (want.agg(F.sum(F.size("numbers") + 1)).first()[0] or 0) <= BROADCAST_LINES
     texts = docs.select("text", _row_key().alias("rk")).join(F.broadcast(want) if small else want, "rk").select("text", "numbers")
-    texts = cut_lineage(texts.mapInArrow(_fetch, "line bigint, content binary, n int, m0 bigint, m1 bigint, m2 bigint").dropDuplicates(["line"]))
+    texts = cut_lineage(texts.mapInArrow(_fetch, "line bigint, content string, n int, m0 bigint, m1 bigint, m2 bigint").dropDuplicates(["line"]))
     marks = texts.select("line", "n", *_MARKS)
 
     lead = shared.where("indexed").groupBy("key").agg(F.min("line").alias("b"))
