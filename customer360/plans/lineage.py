@@ -10,9 +10,9 @@ recompute the plan before it.
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
+from gc import collect as collect_garbage
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,5 +59,5 @@ def release_unreachable(spark: SparkSession) -> None:
     Checkpoints, shuffle files and broadcasts are removed when the driver's garbage
     collector finds their frames unreachable, which may never happen in a long job
     on a roomy heap. A job of several stages calls this between them."""
-    gc.collect()
+    collect_garbage()
     spark.sparkContext._jvm.System.gc()
