@@ -1,13 +1,14 @@
 """Licence scan with DataFrame functions only.
 
 A file's units are its lines, windows of consecutive lines (``WINDOWS``: so many
-lines each, a new one beginning every quarter of that), in which headers and notices that
+lines each, a new one beginning every half of that), in which headers and notices that
 are wrapped over lines stand, and the file as a whole. Units are compared
 to licence templates by the cosine of sparse TF-IDF vectors (lower-cased runs
 of a-z and 0-9, so comment signs do not count, function words left out; idf over the templates, unknown words as rarest). A cosine of
 ``least`` needs one of a template's essential words: the heaviest ones, such
 that the others' share of its norm is below ``least``; texts and then units
-without any are left aside, so only few words are counted. The
+without any are left aside. So are units that do not hold ``least`` squared of a
+template's squared weights, which such a cosine needs as well; so only few words are counted. The
 template table is a constant of this module, so its broadcast has a fixed size.
 
 A file's own licence is its best unit's. Licence files give it to their
@@ -34,9 +35,14 @@ from customer360.llm.skew import free_name
 from customer360.plans import cut_lineage
 
 LEAST = 0.7
-#: Lines of a window; with a quarter of a window for a step, a notice of any length
-#: from two lines on nearly fills one.
+#: Units (20 bytes each) that are broadcast to be counted; more are joined by a shuffle.
+BROADCAST_UNITS = 500_000
+#: Lines of a window; a new one begins every half of that, so a notice of any
+#: length from two lines on nearly fills one.
 WINDOWS = (2, 4, 8, 16, 32)
+#: Longest window, three times the longest template: in a longer one the other words
+#: outweigh a template's, and a notice in it stands in a shorter window, too.
+WINDOW_CHARS = 2500
 
 #: Licence identifiers and the notices that announce them, from one
 #: sentence to the wrapped headers of source files and the titles of licence files.
@@ -90,7 +96,7 @@ TEMPLATES = [
 ]
 
 #: English words that no vector holds.
-FUNCTION_WORDS = frozenset("a an and any are as at be by for from in into is it may not of on or that the this to under with you your".split())
+FUNCTION_WORDS = frozenset("a an and any are as at be by for from in into is it may not of on or that the this to under was one see shall should so will with you your".split())
 
 _NAME = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
@@ -144,12 +150,21 @@ def own_licenses(files: DataFrame, least: float = LEAST, templates: list[tuple[s
     several = hits.where(F.size("lines") > 1)
     # Windows of two lines at least; the last ones of a file are shorter than asked for.
     def windows_of(k: int):
-        starts = F.sequence(F.lit(0), F.size("lines") - 2, F.lit(max(1, k // 4)))
+        starts = F.sequence(F.lit(0), F.size("lines") - 2, F.lit(k // 2))
         return F.transform(starts, lambda i: F.struct(i.cast("int").alias("at"), F.array_join(F.slice("lines", i + 1, F.lit(k)), " ").alias("unit"), F.lit(k).alias("span")))
 
     windows = several.select("rk", F.inline(F.concat(*map(windows_of, WINDOWS))))
-    units = lines.unionByName(windows).where(hopeful("unit")).unionByName(several.select("rk", F.lit(0).alias("at"), F.col("text").alias("unit"), F.lit(0).alias("span")))
+    units = lines.unionByName(windows.where(F.length("unit") <= WINDOW_CHARS)).where(hopeful("unit")).unionByName(several.select("rk", F.lit(0).alias("at"), F.col("text").alias("unit"), F.lit(0).alias("span")))
     unit = ["rk", "at", "span"]
+    # A cosine of ``least`` needs template words of ``least`` squared in squared weight:
+    # few units hold so many, and only their words are counted.
+    squares = vectors.select("template", "word", (F.col("weight") * F.col("weight")).alias("square"))
+    held = units.select(*unit, F.explode(F.array_distinct(F.split(F.lower("unit"), "[^a-z0-9]+"))).alias("word")).join(F.broadcast(squares), "word")
+    held = held.groupBy(*unit, "template").agg(F.sum("square").alias("held")).where(F.col("held") >= least * least - 1e-6)
+    held = cut_lineage(held.select(*unit).distinct())
+    held = F.broadcast(held) if held.count() <= BROADCAST_UNITS else held
+    again = F.when(F.col("span") == 0, F.col("text")).otherwise(F.array_join(F.slice("lines", F.col("at") + 1, F.greatest("span", F.lit(1))), " "))
+    units = hits.join(held, "rk").select(*unit, again.alias("unit"))
     words = units.select(*unit, F.explode(F.split(F.lower("unit"), "[^a-z0-9]+")).alias("word")).where((F.col("word") != "") & ~F.col("word").isin(*sorted(FUNCTION_WORDS)))
     bag = words.groupBy(*unit, "word").agg(F.count("*").alias("tf")).join(known, "word", "left")
     bag = bag.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
@@ -197,7 +212,7 @@ def oracle(files: str, templates: list[tuple[str, str]] = TEMPLATES, least: floa
     """The scan of the relation ``files`` (doc_id, path, text), licence files by
     first line, in DuckDB SQL: every unit is scored, without the word pattern."""
     stop = ", ".join(f"'{w}'" for w in sorted(FUNCTION_WORDS))
-    spans = ", ".join(f"({k}, {max(1, k // 4)})" for k in WINDOWS)
+    spans = ", ".join(f"({k}, {k // 2})" for k in WINDOWS)
     values = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(templates))
     return f"""
 WITH f AS ({files}),
@@ -208,8 +223,9 @@ tv AS (SELECT template, license, word, tf * idf / sqrt(sum(tf * idf * tf * idf)
 g AS (SELECT DISTINCT doc_id, path, text, string_split(text, chr(10)) AS lines FROM f WHERE text IS NOT NULL),
 units AS (
   SELECT doc_id, path, no - 1 AS pos, 1 AS span, lines[no] AS unit FROM g, unnest(range(1, len(lines) + 1)) AS r(no)
-  UNION ALL SELECT doc_id, path, no * step, k, array_to_string(list_slice(lines, no * step + 1, no * step + k), ' ')
-    FROM g, (VALUES {spans}) AS s(k, step), unnest(range(0, (len(lines) - 2) // step + 1)) AS r(no) WHERE len(lines) > 1
+  UNION ALL SELECT * FROM (
+    SELECT doc_id, path, no * step AS pos, k, array_to_string(list_slice(lines, no * step + 1, no * step + k), ' ') AS unit
+    FROM g, (VALUES {spans}) AS s(k, step), unnest(range(0, (len(lines) - 2) // step + 1)) AS r(no) WHERE len(lines) > 1) WHERE length(unit) <= {WINDOW_CHARS}
   UNION ALL SELECT doc_id, path, 0, 0, text FROM g WHERE len(lines) > 1),
 bag AS (
   SELECT doc_id, path, pos, span, word, count(*) AS tf
