@@ -145,7 +145,18 @@ def own_licenses(files: DataFrame, least: float = LEAST, templates: list[tuple[s
     known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "word string, idf double"))
     vectors = F.broadcast(spark.createDataFrame(rows, "template int, license string, word string, weight double"))
 
-    hits = files.where(hopeful("text")).dropDuplicates(["rk"]).withColumn("lines", F.split("text", "\n"))
+    # A cosine of ``least`` needs template words of ``least`` squared in squared
+    # weight: few files hold so many of a template's, and few of their units.
+    squares = F.broadcast(vectors.select("template", "word", (F.col("weight") * F.col("weight")).alias("square")))
+
+    def holding(rows: DataFrame, text: str, *keys: str) -> DataFrame:
+        words = rows.select(*keys, F.explode(F.array_distinct(F.split(F.lower(text), "[^a-z0-9]+"))).alias("word"))
+        sums = words.join(squares, "word").groupBy(*keys, "template").agg(F.sum("square").alias("held"))
+        out = cut_lineage(sums.where(F.col("held") >= least * least - 1e-6).select(*keys).distinct())
+        return F.broadcast(out) if out.count() <= BROADCAST_UNITS else out
+
+    hits = files.where(hopeful("text")).dropDuplicates(["rk"])
+    hits = hits.join(holding(hits, "text", "rk"), "rk", "left_semi").withColumn("lines", F.split("text", "\n"))
     lines = hits.select("rk", F.posexplode("lines").alias("at", "unit")).withColumn("span", F.lit(1))
     several = hits.where(F.size("lines") > 1)
     # Windows of two lines at least; the last ones of a file are shorter than asked for.
@@ -156,13 +167,7 @@ def own_licenses(files: DataFrame, least: float = LEAST, templates: list[tuple[s
     windows = several.select("rk", F.inline(F.concat(*map(windows_of, WINDOWS))))
     units = lines.unionByName(windows.where(F.length("unit") <= WINDOW_CHARS)).where(hopeful("unit")).unionByName(several.select("rk", F.lit(0).alias("at"), F.col("text").alias("unit"), F.lit(0).alias("span")))
     unit = ["rk", "at", "span"]
-    # A cosine of ``least`` needs template words of ``least`` squared in squared weight:
-    # few units hold so many, and only their words are counted.
-    squares = vectors.select("template", "word", (F.col("weight") * F.col("weight")).alias("square"))
-    held = units.select(*unit, F.explode(F.array_distinct(F.split(F.lower("unit"), "[^a-z0-9]+"))).alias("word")).join(F.broadcast(squares), "word")
-    held = held.groupBy(*unit, "template").agg(F.sum("square").alias("held")).where(F.col("held") >= least * least - 1e-6)
-    held = cut_lineage(held.select(*unit).distinct())
-    held = F.broadcast(held) if held.count() <= BROADCAST_UNITS else held
+    held = holding(units, "unit", *unit)
     again = F.when(F.col("span") == 0, F.col("text")).otherwise(F.array_join(F.slice("lines", F.col("at") + 1, F.greatest("span", F.lit(1))), " "))
     units = hits.join(held, "rk").select(*unit, again.alias("unit"))
     words = units.select(*unit, F.explode(F.split(F.lower("unit"), "[^a-z0-9]+")).alias("word")).where((F.col("word") != "") & ~F.col("word").isin(*sorted(FUNCTION_WORDS)))
