@@ -12,9 +12,10 @@ documents link when 100 * |A n B| >= 80 * |A u B|. The join is exact:
    ``n - ceil(0.8 n) + 1`` shingles in any common order; rarest bucket first
    keeps these lists apart. They are emitted per partition once per distinct
    set, and only shingles held by two different sets go on.
-3. The holders of a shingle are verified against the one of them whose own
+3. The holders of a shingle lead to the one of them whose own
    list is shared most (a star, not all pairs: the text that copies were made
-   from is shared whole); verified links merge most copies.
+   from is shared whole); each is verified against the lead it shares most
+   shingles with, and verified links merge most copies.
 4. What remains are shingles shared across merged groups. They are joined in
    tiles of a shingle (frequent ones by size band and salt, too), in which
    sizes and the short bitmaps discard pairs; of the distinct pairs left, the
@@ -268,18 +269,20 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     weight = shared.groupBy("node").agg((F.count("*") / F.max(first_of)).alias("share"))
     held = shared.select("token", "node").join(weight, "node")
     lead = held.groupBy("token").agg(F.max(F.struct("share", "node")).alias("top")).select("token", F.col("top.node").alias("b"))
-    star = shared.join(lead, "token").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    # Of a holder's leads the one it shares most with; what it shares with others is left to the tiles.
+    met = shared.join(lead, "token").where("node <> b").groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("n"))
+    star = met.groupBy("a").agg(F.max(F.struct("n", "b")).alias("top")).select("a", F.col("top.b").alias("b"))
     star = cut_lineage(_bounded(star, near, percent))
     links = cut_lineage(_verified(docs, star, keys, k, percent))
     merged = connected_components(links)
 
-    # Tiles: shingles that reach over merged groups. One shuffle by shingle serves
-    # the window and both sides of the join; frequent shingles are dealt by size
+    # Tiles: shingles that reach over merged groups; frequent ones are dealt by size
     # band and salt as well.
-    across = shared.join(merged, "node", "left").join(near.select("node", *_BITS), "node")
-    across = across.withColumn("group", F.coalesce("root", "node")).drop("root")
+    across = shared.join(merged, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
     across = across.select("*", F.min("group").over(by_token).alias("lo"), F.max("group").over(by_token).alias("hi"), F.count("*").over(by_token).alias("c"))
     across = across.where("lo <> hi").drop("lo", "hi")
+    # Only these rows carry bitmaps.
+    across = cut_lineage(across).join(near.select("node", *_BITS), "node")
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(100 / percent + 0.01)))
     often = across.where(F.col("c") > 8 * TILE_ROWS).withColumn("band", band).withColumn("salts", F.ceil(F.col("c") / TILE_ROWS).cast("int"))
     left = often.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + 1))).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
