@@ -53,6 +53,7 @@ def kpi_ratios(wide: DataFrame, p: ReportParams) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def report_a_columns(p: ReportParams) -> list[str]:
+    """The ordered output labels of report A."""
     h = p.horizons
     return (
         ["Email", "FirstName", "LastName", "MobileNumber", "CountryName", "LanguageId", "BirthDate",
@@ -139,7 +140,7 @@ def report_a(
 # ---------------------------------------------------------------------------
 
 def report_b_columns(p: ReportParams) -> list[tuple[str, str]]:
-    """(output label, internal column) pairs of report B, in order."""
+    """The ordered output labels of report B, each with its internal column."""
     h = p.horizons
     return (
         [("Customer_ID", "customer_fk"), ("Brand", "merchant_name"), ("Affiliate_ID", "referral_info"),
