@@ -34,6 +34,7 @@ from customer360.operators import gaming_state
 from customer360.operators.customers import merge_latest
 from customer360.operators.gaming_state import GamingState
 from customer360.sources.sinks import publish
+from customer360.sources.source_schemas import check_columns
 from customer360.sources.tables import path_exists, read_jdbc
 from customer360.sources.versions import Versions
 
@@ -160,6 +161,7 @@ def job_a(inputs: Inputs, p: ReportParams, flow_rollup: DataFrame | None = None,
     """Report A, presented: EUR money text and rounded average bets. With
     ``store`` the cohort's metrics (one row per VIP customer) are computed once
     and checkpointed in the session's shared folder before the report."""
+    check_columns(inputs.tables, p)
     flows = ops.cohort_flows(inputs.transactions, p, flow_rollup)
     rep = ops.report_a(inputs.customers, inputs.transactions, inputs.game_days, inputs.game_plays, p,
                        flows=cut_lineage(flows) if store else flows, state=state)
@@ -171,6 +173,7 @@ def job_b(inputs: Inputs, p: ReportParams, store: bool = False, state: GamingSta
     """Report B, presented: rounded metrics with the last help-desk contact. With
     ``store`` the cohort's flows and then the report (one row per VIP customer and
     attribute) are computed once and checkpointed."""
+    check_columns(inputs.tables, p)
     flows = cut_lineage(ops.cohort_ledger(inputs.transactions, inputs.currencies, p)) if store else None
     rep = ops.report_b(
         inputs.attributes, inputs.customers, inputs.merchants, inputs.countries, inputs.languages,

@@ -71,7 +71,9 @@ def _totals(rows: DataFrame, keys: Sequence[str], sums: Sequence[str], latest: S
 
 def _day_rows(game_days: DataFrame) -> DataFrame:
     active = [F.when(F.col(m) > 0, F.col("summary_day")).alias(c) for c, m in LAST.items()]
-    return game_days.select("client_id", "summary_day", *SUMS, *active, F.lit(1).cast("bigint").alias("rows"))
+    # Job A's game days have no returns.
+    sums = [F.col(c) if c in game_days.columns else F.lit(None).cast("double").alias(c) for c in SUMS]
+    return game_days.select("client_id", "summary_day", *sums, *active, F.lit(1).cast("bigint").alias("rows"))
 
 
 def _play_rows(plays: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from customer360.config import ReportParams
 
@@ -79,6 +80,33 @@ JOB_B_TYPES = ("DEPOSIT", "WITHDRAWAL")
 JOB_B_CROSSING_AMOUNT = 1000
 
 
+# What the reports do with a logical column, wherever it stands: add it up,
+# compare it with days, or read it as text.
+COLUMN_KINDS = {
+    "number": ("amount", "bet_amount", "bets_count", "ggr", "ngr", "returns_amount", "played_count", "balance", "winning_amount", "rate_to_eur"),
+    "day": ("txn_date", "summary_day", "created_on", "last_session_on", "registered_on", "bonus_date"),
+    "text": ("status", "email", "requester_email", "user_name", "login"),
+}
+_TYPES = {"number": T.NumericType, "day": (T.DateType, T.TimestampType, T.TimestampNTZType), "text": (T.StringType, T.BinaryType)}
+
+
+def check_columns(tables: Mapping[str, DataFrame], p: ReportParams) -> None:
+    """Raise if a logical table has a column of another kind than the reports need, or
+    transaction types of another kind than the parameters' codes: such data would
+    give an empty or wrong report without an error. Looks at schemas alone."""
+    wrong = []
+    for name, df in tables.items():
+        kinds = {f.name: f.dataType for f in df.schema}
+        for kind, columns in COLUMN_KINDS.items():
+            wrong += [f"{name}.{c} is {kinds[c].simpleString()}, not a {kind}" for c in columns if c in kinds and not isinstance(kinds[c], _TYPES[kind])]
+        if name == "transactions" and "txn_type" in kinds:
+            for code in (p.deposit_type, p.withdrawal_type):
+                if isinstance(code, str) != isinstance(kinds["txn_type"], T.StringType):
+                    wrong.append(f"{name}.txn_type is {kinds['txn_type'].simpleString()}, but its code is {code!r}")
+    if wrong:
+        raise ValueError("; ".join(wrong))
+
+
 def job_a_params(asof: dt.date | None = None, **overrides) -> ReportParams:
     kw = dict(approved_statuses=JOB_A_STATUSES, deposit_type=JOB_A_TYPES[0], withdrawal_type=JOB_A_TYPES[1],
               vip_min_amount=JOB_A_VIP_MIN_AMOUNT, vip_min_count=JOB_A_VIP_MIN_COUNT)

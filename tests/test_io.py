@@ -228,6 +228,23 @@ def test_missing_source_columns_are_an_error(spark):
         to_logical({"currencies": spark.createDataFrame([(1, 1)], "id int, is_valid int")}, "b")
 
 
+def test_columns_and_codes_of_another_kind_are_errors(spark):
+    from dataclasses import replace
+
+    from customer360.catalog import PARAMS_A, PARAMS_B
+    from customer360.jobs import TABLES_A, TABLES_B, Inputs, job_a, job_b
+    from customer360.sources.source_schemas import check_columns
+
+    a, b = Inputs.from_fixtures(spark, SF0001, TABLES_A), Inputs.from_fixtures(spark, SF0001, TABLES_B)
+    check_columns(a.tables, PARAMS_A)
+    check_columns(b.tables, PARAMS_B)
+    with pytest.raises(ValueError, match="txn_type is int, but its code is 'DEPOSIT'"):
+        job_b(b, replace(PARAMS_B, deposit_type="DEPOSIT", withdrawal_type="WITHDRAWAL"))
+    text = a.transactions.withColumn("amount", F.col("amount").cast("string")).withColumn("txn_date", F.col("txn_date").cast("string"))
+    with pytest.raises(ValueError, match="transactions.amount is string, not a number; transactions.txn_date is string, not a day"):
+        job_a(Inputs({**a.tables, "transactions": text}), PARAMS_A)
+
+
 def test_database_tables_feed_job_a(spark, tmp_path):
     from customer360.catalog import PARAMS_A
     from customer360.jobs import TABLES_A, Inputs, job_a

@@ -118,6 +118,14 @@ def test_report_a_from_state(spark, tmp_path):
     assert "lineitem" not in scans  # neither game days nor plays are read
 
 
+def test_state_of_game_days_without_returns(spark):
+    p = ReportParams(asof=FIRST)
+    days = spark.createDataFrame([(1, FIRST, D(4), 2, D(1), D(1), D(1))], DAYS).drop("returns_amount")
+    state = gaming_state.advance(None, days, spark.createDataFrame([], PLAYS), p)
+    r = gaming_state.gaming_metrics(state, p).first()
+    assert (r["avg_bet_7_days"], r["ngr_lifetime"], r["payout_percent"]) == (2.0, 1.0, None)
+
+
 def test_a_state_run_that_fails_can_be_repeated(spark, tmp_path):
     path = str(tmp_path / "s")
     p = ReportParams(asof=FIRST)
