@@ -381,3 +381,111 @@ def test_time_grows_with_the_page_alone(kind):
 )
 def test_unclosed_and_crossed_elements(page, want):
     assert htmltext.main_text(page) == want
+
+
+def test_dual_descent_against_a_plain_solver():
+    """The hinge-loss model against many sweeps over dense rows in plain order: same margins, no duality gap to speak of."""
+    rng = np.random.default_rng(2)
+    good, bad = ([" ".join(rng.choice([f"{c}{k}" for k in range(40)] + ["the", "of"], 25)) for _ in range(40)] for c in "ab")
+    rows = [np.sort(r) for r in nbsvm.features(pa.array(good + bad[:25]))]
+    y = np.array([1] * 40 + [0] * 25)
+    model = nbsvm.QualityModel(rows, y, np.ones(65, int), 1.0)
+    count = [np.bincount(np.concatenate([r for r, c in zip(rows, y) if c == k]), minlength=nbsvm.SLOTS) + nbsvm.ALPHA for k in (0, 1)]
+    ratio = np.log(count[1] / count[1].sum()) - np.log(count[0] / count[0].sum())
+    used = np.unique(np.concatenate(rows))
+    x = np.zeros((65, len(used) + 1))
+    for i, r in enumerate(rows):
+        x[i, np.searchsorted(used, r)] = ratio[r] / np.sqrt((ratio[r] ** 2).sum())
+    x[:, -1] = 1
+    sign, cost = np.where(y == 1, 1.0, -1.0), nbsvm.COST * 65 * np.where(y == 1, 0.5 / 40, 0.5 / 25)
+    dual = np.zeros(65)
+    for _ in range(400):
+        for i in range(65):
+            w = (dual * sign) @ x
+            dual[i] = min(max(dual[i] - (sign[i] * (x[i] @ w) - 1) / (x[i] @ x[i]), 0), cost[i])
+    w = (dual * sign) @ x
+    primal = 0.5 * w @ w + (cost * np.maximum(0, 1 - sign * (x @ w))).sum()
+    assert primal - (dual.sum() - 0.5 * w @ w) < 1e-3 * primal
+    margins = np.array([model.margin(r) for r in rows])
+    assert np.abs(margins - x @ w).max() < 0.02
+    found = 0.5 * ((model.weight[used] / np.where(ratio[used] == 0, 1, ratio[used])) ** 2).sum() + 0.5 * model.intercept**2 + (cost * np.maximum(0, 1 - sign * margins)).sum()
+    assert found < 1.01 * primal
+
+
+def test_language_models_against_plain_kneser_ney():
+    """Probabilities of seen and unseen grams against the recursion written out over dictionaries."""
+    texts = {"aa": ["the cat sat on the mat", "a hat that the rat had"], "bb": ["der hund und die katze", "das haus und der garten"], "cc": ["x"]}
+    tables = []
+    for lang, ts in texts.items():
+        k, n = np.unique(langid.symbols(pa.array(ts))[0], return_counts=True)
+        tables.append(pa.table({"lang": [lang] * len(k), "key": pa.array(k.astype(np.int32)), "n": pa.array(n.astype(np.int64))}))
+    model = langid.LanguageModels(pa.concat_tables(tables))
+
+    def gram(key, order):
+        return tuple(key >> langid.BITS * b & (langid.SYMBOLS - 1) for b in range(order - 1, -1, -1))
+
+    rng = random.Random(1)
+    for j, (lang, table) in enumerate(zip(sorted(texts), tables)):
+        level = {langid.ORDER: {gram(k, langid.ORDER): n for k, n in zip(table.column("key").to_pylist(), table.column("n").to_pylist())}}
+        for order in range(langid.ORDER - 1, 0, -1):
+            left = {}
+            for g in level[order + 1]:
+                left.setdefault(g[1:], set()).add(g[0])
+            level[order] = {g: len(x) for g, x in left.items()}
+        discount = {}
+        for order, counts in level.items():
+            ones, twos = (sum(c == v for c in counts.values()) for v in (1, 2))
+            discount[order] = min(max(ones / max(1, ones + 2 * twos), 0.1), 0.9)
+
+        def p(g):
+            if not g:
+                return 1 / langid.SYMBOLS
+            counts, d = level[len(g)], discount[len(g)]
+            ctx = [c for x, c in counts.items() if x[:-1] == g[:-1]]
+            if not ctx:
+                return p(g[1:])
+            return max(counts.get(g, 0) - d, 0) / sum(ctx) + d * len(ctx) / sum(ctx) * p(g[1:])
+
+        keys = [int(k) for t in tables for k in rng.sample(t.column("key").to_pylist(), min(12, t.num_rows))] + [rng.randrange(1 << 24) for _ in range(20)]
+        got = model._missing(np.array(keys, np.int64), langid.ORDER)[:, j]
+        assert np.allclose(got, [math.log(p(gram(k, langid.ORDER))) for k in keys], atol=1e-4), lang
+        ctx = next(iter(level[langid.ORDER]))[:-1]
+        assert sum(p((*ctx, x)) for x in range(langid.SYMBOLS)) == pytest.approx(1)
+
+
+def test_network_steps_follow_the_gradient():
+    """One training step on one batch, undone to its gradient, against differences of the loss."""
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 30, rng.integers(3, 12)).astype(np.int32) for _ in range(16)]
+    labels = np.array([0, 1] * 8)
+    base, stepped = toxcnn.TextCNN(3), toxcnn.TextCNN(3)
+    base.fit(texts, labels, epochs=0, batch=100)
+    stepped.fit(texts, labels, epochs=1, rate=1e-3, batch=100)
+    w = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    rows = base.rows_of(np.concatenate(texts))
+
+    def loss():
+        z = base.logits(rows, w).astype(np.float64)
+        fit = np.log1p(np.exp(-np.where(labels == 1, z, -z))).mean()
+        return fit + 0.5e-4 * (float((base.out.astype(np.float64) ** 2).sum()) + sum(float((f.astype(np.float64) ** 2).sum()) for f in base.filt.values()))
+
+    checked = 0
+    for name, old, new in [("out", base.out, stepped.out), ("vec", base.vec, stepped.vec), *[(f"filter {k}", base.filt[k], stepped.filt[k]) for k in toxcnn.WIDTHS],
+                           *[(f"bias {k}", base.bias[k], stepped.bias[k]) for k in toxcnn.WIDTHS]]:
+        ratio = -(new.astype(np.float64) - old) / 1e-3
+        gradient = 0.1 * ratio / np.sqrt(np.maximum(1 - ratio**2, 1e-9))  # AdaGrad starts from 1e-2
+        largest = np.argsort(-np.abs(gradient).ravel())[:6]
+        for at in largest.tolist():
+            flat, keep = old.reshape(-1), old.reshape(-1)[at]
+            if name == "vec" and at < toxcnn.DIM:
+                continue  # row 0 stays zero
+            h = np.float32(2e-3)
+            flat[at] = keep + h
+            up = loss()
+            flat[at] = keep - h
+            down = loss()
+            flat[at] = keep
+            slope = (up - down) / (2 * float(h))
+            assert gradient.reshape(-1)[at] == pytest.approx(slope, rel=0.1, abs=2e-3), (name, at)
+            checked += 1
+    assert checked > 30
