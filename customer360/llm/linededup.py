@@ -13,8 +13,8 @@ one that lies, counted from its end of the line, no further off than the
 segments before it are many. So a line probes with the substrings at those
 places, in its own class and in the one below if a partner may be there; neither needs
 the partner's length. Keys held by one line only are
-dropped. Each key's members are first verified against its smallest index
-line and merged; then only pairs of different merged groups are formed, so a
+dropped. Each key's members are first verified against the index line that
+shares most of its segments, and merged; then only pairs of different merged groups are formed, so a
 large group of copies is never expanded into all pairs. Lengths and the parities of character
 and character-pair counts, of which an edit flips few bits, discard most pairs
 inside the joins. Distances of the others come from a diagonal band of 2 tau + 1 cells kept as bit vectors, advanced for many pairs
@@ -43,9 +43,9 @@ from customer360.llm.textnum import chunks, mix, powers, utf8
 from customer360.plans import cut_lineage
 
 #: Length classes: from so many code points (of the shorter line) on, so many
-#: edits. A replaced word is three to six edits. A line has about (tau + 1)^2 / 2 keys.
+#: edits. A line has about (tau + 1)^2 / 2 keys.
 #: A class is cut into steps of a quarter more length, with segments of their own width.
-CLASSES = ((16, 1), (24, 2), (128, 3), (256, 4), (512, 5), (1024, 6))
+CLASSES = ((16, 1), (24, 2), (192, 3), (512, 4), (1024, 5))
 MIN_CHARS = 16
 #: Rows of a key before its pairs are salted.
 KEY_ROWS = 512
@@ -307,7 +307,11 @@ def line_links(docs: DataFrame, first: DataFrame, classes=CLASSES) -> DataFrame:
     texts = cut_lineage(texts.mapInArrow(_fetch, "line bigint, content string, n int, m0 bigint, m1 bigint, m2 bigint").dropDuplicates(["line"]))
     marks = texts.select("line", "n", *_MARKS)
 
-    lead = shared.where("indexed").groupBy("key").agg(F.min("line").alias("b"))
+    # The lead of a key is the line most of whose segments others hold: the one that
+    # copies were made from. Index lines of a key have equally many segments.
+    own = shared.where("indexed").select("key", "line")
+    held = own.join(own.groupBy("line").agg(F.count("*").alias("share")), "line")
+    lead = held.groupBy("key").agg(F.max(F.struct("share", "line")).alias("top")).select("key", F.col("top.line").alias("b"))
     star = shared.join(lead, "key").where("line <> b").select(F.col("line").alias("a"), "b").distinct()
     x, y = marks.alias("x"), marks.alias("y")
     star = star.join(x, F.col("a") == F.col("x.line")).join(y, F.col("b") == F.col("y.line")).where(_near("x", "y", classes)).select("a", "b")
