@@ -43,9 +43,10 @@ from customer360.llm.textnum import chunks, mix, powers, utf8
 from customer360.plans import cut_lineage
 
 #: Length classes: from so many code points (of the shorter line) on, so many
-#: edits. A line has about (tau + 1)^2 / 2 keys.
+#: edits. More edits for long lines (up to 16 were tried) pair the variants of a
+#: passage that differ by a word with one another: README has the figures. A line has about (tau + 1)^2 / 2 keys.
 #: A class is cut into steps of a quarter more length, with segments of their own width.
-CLASSES = ((16, 1), (24, 2), (192, 3), (512, 4), (1024, 5))
+CLASSES = ((16, 1), (24, 2), (1024, 3))
 MIN_CHARS = 16
 #: Rows of a key before its pairs are salted.
 KEY_ROWS = 512
@@ -324,7 +325,8 @@ def line_links(docs: DataFrame, first: DataFrame, classes=CLASSES) -> DataFrame:
     across = across.where("lo <> hi").withColumn("salts", F.ceil(F.col("c") / KEY_ROWS).cast("int")).drop("lo", "hi", "c").join(marks, "line")
     l = across.where("indexed").withColumn("salt", F.pmod(F.xxhash64("line"), F.col("salts")).cast("int")).alias("l")
     r = across.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("r")
-    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.salt") == F.col("r.salt")) & (F.col("l.grp") != F.col("r.grp")) & _near("l", "r", classes))
+    once = ~F.col("r.indexed") | (F.col("l.line") > F.col("r.line"))  # two index rows meet both ways
+    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.salt") == F.col("r.salt")) & once & (F.col("l.grp") != F.col("r.grp")) & _near("l", "r", classes))
     pairs = pairs.select(F.greatest("l.line", "r.line").alias("a"), F.least("l.line", "r.line").alias("b")).distinct()
     tried = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     more = cut_lineage(_verified(pairs.join(tried, ["a", "b"], "left_anti"), texts, classes))
