@@ -8,7 +8,8 @@ of a-z and 0-9, so comment signs do not count, function words left out; idf over
 ``least`` needs one of a template's essential words: the heaviest ones, such
 that the others' share of its norm is below ``least``; texts and then units
 without any are left aside. So are units that do not hold ``least`` squared of a
-template's squared weights, which such a cosine needs as well; so only few words are counted. The
+template's squared weights, which such a cosine needs as well, and units whose
+cosine could not reach it if every unknown word stood there once; so only few words are counted. The
 template table is a constant of this module, so its broadcast has a fixed size.
 
 A file's own licence is its best unit's. Licence files give it to their
@@ -167,7 +168,17 @@ def own_licenses(files: DataFrame, least: float = LEAST, templates: list[tuple[s
     windows = several.select("rk", F.inline(F.concat(*map(windows_of, WINDOWS))))
     units = lines.unionByName(windows.where(F.length("unit") <= WINDOW_CHARS)).where(hopeful("unit")).unionByName(several.select("rk", F.lit(0).alias("at"), F.col("text").alias("unit"), F.lit(0).alias("span")))
     unit = ["rk", "at", "span"]
-    held = holding(units, "unit", *unit)
+    # An upper bound of each unit's cosines: exact for its template words, and every
+    # other word counted once. Only units that it lets through have all words counted.
+    stop = F.array(F.lit(""), *[F.lit(w) for w in sorted(FUNCTION_WORDS)])
+    split = F.split(F.lower("unit"), "[^a-z0-9]+")
+    told = units.select(*unit, F.size(F.array_except(split, stop)).alias("kinds"), F.explode(split).alias("word")).join(known, "word")
+    told = told.groupBy(*unit, "kinds", "word").agg((F.count("*") * F.first("idf")).alias("w"))
+    told = cut_lineage(told)
+    least_norm = told.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w")) + (F.max("kinds") - F.count("*")) * unknown * unknown).alias("norm"))
+    best_dot = told.join(vectors, "word").groupBy(*unit, "template").agg(F.sum(F.col("w") * F.col("weight")).alias("dot")).groupBy(*unit).agg(F.max("dot").alias("dot"))
+    held = cut_lineage(best_dot.join(least_norm, unit).where(F.col("dot") >= (least - 1e-6) * F.col("norm")).select(*unit))
+    held = F.broadcast(held) if held.count() <= BROADCAST_UNITS else held
     again = F.when(F.col("span") == 0, F.col("text")).otherwise(F.array_join(F.slice("lines", F.col("at") + 1, F.greatest("span", F.lit(1))), " "))
     units = hits.join(held, "rk").select(*unit, again.alias("unit"))
     words = units.select(*unit, F.explode(F.split(F.lower("unit"), "[^a-z0-9]+")).alias("word")).where((F.col("word") != "") & ~F.col("word").isin(*sorted(FUNCTION_WORDS)))
