@@ -138,12 +138,18 @@ def to_text(level: int, samples: np.ndarray) -> str:
 def likeness(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
     """Share of equal samples on the steps of the coarser level."""
     level = max(a[0], b[0])
-    x, y = (s if l == level else s[_STEPS[1][_steps_of(l, len(s))] >= level] for l, s in (a, b))
+    x, y = (s if l == level else _coarser(l, s, level) for l, s in (a, b))
     n = max(len(x), len(y))
     m = min(len(x), len(y))
     return float((x[:m] == y[:m]).sum() / n) if n else float(len(a[1]) == len(b[1]))
 
 
+def _coarser(level: int, samples: np.ndarray, to: int) -> np.ndarray:
+    """The samples that remain at a higher level."""
+    at = _steps_of(level, len(samples))  # makes or extends the table that the next line reads
+    return samples[_STEPS[1][at] >= to]
+
+
 def _steps_of(level: int, count: int) -> np.ndarray:
     end = 1 << 18
     while len(at := _sampled(level, end)) < count:
@@ -263,7 +269,7 @@ def band_keys(n: int, level: int, samples: np.ndarray) -> np.ndarray:
     views = [(level, samples)]
     # Texts a little longer may lie one level up: the samples that remain there.
     if (2 * (n + n // 16 + 1) // SAMPLES).bit_length() - 1 > level:
-        views.append((level + 1, samples[_STEPS[1][_steps_of(level, len(samples))] >= level + 1]))
+        views.append((level + 1, _coarser(level, samples, level + 1)))
     out = []
     for at, x in views:
         count = len(x)

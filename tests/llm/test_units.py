@@ -489,3 +489,13 @@ def test_network_steps_follow_the_gradient():
             assert gradient.reshape(-1)[at] == pytest.approx(slope, rel=0.1, abs=2e-3), (name, at)
             checked += 1
     assert checked > 30
+
+
+def test_likeness_needs_no_walk_before(monkeypatch):
+    """A worker that only compares fingerprints has no tables yet."""
+    a, b = editembed.fingerprints(["x" * 63 + "abcdefgh" * 60, "y" + "x" * 63 + "abcdefgh" * 70])
+    want, keys = editembed.likeness(a, b), editembed.band_keys(543, *a).tolist()
+    monkeypatch.setattr(editembed, "_STEPS", [])
+    assert editembed.likeness(a, b) == want
+    monkeypatch.setattr(editembed, "_STEPS", [])
+    assert editembed.band_keys(543, *a).tolist() == keys
