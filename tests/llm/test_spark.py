@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import pathlib
+import pickle
 import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from customer360.llm import decontam, editembed, htmltext, langid, licenses, linededup, nbsvm, ngramjoin, packing, toxcnn
@@ -371,6 +374,54 @@ def test_labels_of_held_out_rows_are_not_read(spark):
     assert a == b
 
 
+def test_every_labelled_row_trains_the_detector(spark, monkeypatch):
+    """Words and letters beyond any bounded number of labelled rows reach the model,
+    whose counts are those of a plain loop; shards of any size learn alike."""
+    n = 5400
+    ids = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id")))
+    lab = ids.withColumn("late", rank > 2600).cache()
+    word = F.when(F.col("toxic") == 0, "calm").when(F.col("late"), "zork").otherwise("bile")
+    text = F.concat_ws(" ", F.lit("the river"), F.concat(F.lit("w"), (F.col("doc_id") % 97).cast("string")), word, F.lit("runs"))
+    lang = F.when(F.col("doc_id") == 7, None).otherwise("en")
+    docs = lab.select("doc_id", F.when(F.col("doc_id") == 8, None).otherwise(text).alias("text"), lang.alias("lang"))
+    docs = docs.unionByName(docs.where("doc_id in (3, 4)")).unionByName(docs.limit(5).withColumn("doc_id", F.lit(None).cast("long")))
+    slots = {w: int(toxcnn._ids(pa.array([w]))[0][0]) for w in ("calm", "bile", "zork", "river")}
+    rows = toxcnn.training_rows(docs, lab.drop("late"))
+    assert rows.count() == n + 2
+    want = {r["w"]: (r["a"], r["b"]) for r in rows.where("fold <> 0").select("label", F.explode(F.array_distinct(F.split("text", " "))).alias("w"))
+            .groupBy("w").agg(F.count_if(F.col("label") == 0).alias("a"), F.count_if(F.col("label") == 1).alias("b")).collect()}
+    got = {(r["lang"], r["at"]): (r["x"], r["y"]) for r in toxcnn._counts(rows, True, ["en"]).to_pylist()}
+    assert all(got[-1, slots[w]] == want[w] for w in slots) and want["zork"][1] > 50
+    assert sum(v for (k, _), (v, _) in got.items() if k == 0) == pytest.approx(n * toxcnn.FINE, rel=1e-4)  # two rows repeat, a lang and a text are NULL
+    models = []
+    for size in (4096, 700):
+        monkeypatch.setattr(toxcnn, "SHARD_ROWS", size)
+        model = toxcnn.train(docs, lab.drop("late"))
+        assert model == toxcnn.train(docs, lab.drop("late")), "another run, another model"
+        detector = pickle.loads(model)
+        assert detector.net.rows_of(np.array([slots["zork"]]))[0] > 0
+        margins = detector.margins(pa.array(["the river w5 zork runs", "the river w5 bile runs", "the river w5 calm runs", None]))
+        assert margins[0] > 0 and margins[1] > 0 and margins[2] < 0 and margins[3] < 0, (size, margins)
+        models.append(detector)
+    assert models[0].langs == ["en"] and (models[0].profiles == models[1].profiles).all()
+    lab.unpersist()
+
+
+def test_toxicity_threshold_of_counted_rows():
+    rng = np.random.default_rng(2)
+    cells = rng.integers(0, 2 * toxcnn.LIMIT * toxcnn.GRID, 40)
+    counts = np.zeros((2 * toxcnn.LIMIT * toxcnn.GRID, 2), np.int64)
+    counts[cells] = rng.integers(0, 5, (40, 2)) + [0, 1]
+    z = (np.arange(len(counts)) + 0.5) / toxcnn.GRID - toxcnn.LIMIT
+
+    def f1(cut):
+        hits, wrong = counts[z > cut].sum(axis=0)[::-1]
+        return 2 * hits / (hits + wrong + counts[:, 1].sum())
+
+    assert f1(toxcnn._cut(counts)) == pytest.approx(max(f1(c - 1e-6) for c in z[cells]))
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<body><article><p>a &amp; b</article>", 7), (2, None, None, 7), (None, "v", "", 7), (1, "u", "<body><article><p>a &amp; b</article>", 7)],
                                   "page_id bigint, url string, html string, text int")
