@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from customer360.plans import cut_lineage
+from customer360.plans import cut_lineage, release_unreachable
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -44,5 +44,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if row == seen:
             break
         seen = row
+        release_unreachable(e.sparkSession)  # the round before: its frames and plans fill the driver
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from customer360.llm.decontam import words
 from customer360.llm.sampling import fold, labelled_ids
 from customer360.llm.textnum import chunks, utf8
-from customer360.plans import checkpoint_dir, remove_stored
+from customer360.plans import checkpoint_dir, release_unreachable, remove_stored
 
 #: Labelled ids of a shard.
 SHARD_ROWS = 4096
@@ -436,6 +436,7 @@ def fit_detector(rows: DataFrame, seed: int = SEED) -> Detector:
         dense = net.dense() * 0
         dense[-1 - slot[slot < 0]] = value[slot < 0]
         net.add_dense(dense)
+        release_unreachable(rows.sparkSession)  # the pass's shuffle and broadcast
     plain = Detector(net, langs, profiles, np.zeros(max(1, len(langs))))
     return Detector(net, langs, profiles, _cuts(_grid(rows.where("fold = 0") if held else rows, plain), len(langs)))
 
@@ -447,6 +448,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> bytes:
     folder = f"{checkpoint_dir(spark)}/toxicity-{uuid.uuid4()}"
     try:
         training_rows(docs, labels, label).write.option("compression", "zstd").parquet(folder)
+        release_unreachable(spark)  # the shuffled texts
         return pickle.dumps(fit_detector(spark.read.parquet(folder)))
     finally:
         remove_stored(spark, folder)

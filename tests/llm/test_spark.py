@@ -7,6 +7,7 @@ import pathlib
 import pickle
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -374,6 +375,32 @@ def test_labels_of_held_out_rows_are_not_read(spark):
     assert a == b
 
 
+def test_component_rounds_release_the_rounds_before(spark, monkeypatch):
+    """A round's checkpoint goes while later rounds run, and with it what the driver holds of it."""
+    from customer360.llm import components as module
+    from customer360.plans import checkpoint_dir, cut_lineage, release_unreachable
+
+    checkpoint_dir(spark)  # sets one if there is none
+    folder = pathlib.Path(checkpoint_dir(spark).removeprefix("file:"))
+    release_unreachable(spark)
+    kept, known = [], set(folder.glob("rdd-*"))
+
+    def cut(frame):
+        out = cut_lineage(frame)
+        until = time.time() + 5  # the cleaner has a thread of its own
+        while (n := len(set(folder.glob("rdd-*")) - known)) > 3 and time.time() < until:
+            time.sleep(0.1)
+        kept.append(n)
+        return out
+
+    monkeypatch.setattr(module, "cut_lineage", cut)
+    rng = random.Random(3)
+    names = rng.sample(range(10_000), 400)
+    roots = connected_components(spark.createDataFrame(list(zip(names, names[1:], strict=False)), "a long, b long"))
+    assert {r["root"] for r in roots.collect()} == {min(names)} and roots.count() == 400
+    assert len(kept) > 5 and max(kept) <= 3, kept
+
+
 def test_every_labelled_row_trains_the_detector(spark, monkeypatch):
     """Words and letters beyond any bounded number of labelled rows reach the model,
     whose counts are those of a plain loop; shards of any size learn alike."""
